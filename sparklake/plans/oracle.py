@@ -432,3 +432,209 @@ ORACLE["silver_status_rollup"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + """
 SELECT status, COUNT(*) AS total,
        CAST(ROUND(SUM(CAST(amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue
 FROM silver_orders GROUP BY status"""
+
+# -- change capture -----------------------------------------------------------
+FEED = """feed AS (
+  SELECT *, 0 AS commit_seq FROM bronze_orders
+  UNION ALL
+  SELECT *, 1 AS commit_seq FROM order_changes)"""
+
+ORACLE["cdc_full_load"] = "SELECT *, 'I' AS op FROM orders"
+ORACLE["cdc_snapshot_plus_changes"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + \
+    "SELECT order_id, op, amount, updated_at, commit_seq FROM feed"
+ORACLE["cdc_inserts_updates"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + \
+    "SELECT order_id, op, amount, updated_at, commit_seq FROM feed WHERE op IN ('I', 'U')"
+ORACLE["cdc_current_state"] = with_(
+    BRONZE_ORDERS, ORDER_CHANGES,
+    "feed AS (SELECT * FROM bronze_orders UNION ALL SELECT * FROM order_changes)",
+    _silver_orders_cte("feed", "state", mode="apply")) + "SELECT * FROM state"
+ORACLE["cdc_current_state_filter"] = with_(
+    BRONZE_ORDERS, ORDER_CHANGES,
+    "feed AS (SELECT * FROM bronze_orders UNION ALL SELECT * FROM order_changes)",
+    _silver_orders_cte("feed", "state", mode="filter")) + "SELECT * FROM state"
+
+ORACLE["dedup_by_key"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+       l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+        l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST,
+        l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST, l_discount DESC NULLS LAST,
+        l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) AS rn
+      FROM lineitem) WHERE rn = 1"""
+
+# -- events ---------------------------------------------------------------------
+GOOD_EVENTS = """good AS (
+  SELECT event_id AS seq, order_id AS partition_key, CAST(event_id AS VARCHAR) AS event_id, order_id,
+         CAST(customer_id AS VARCHAR) AS customer_id, event_type, COALESCE(product, '') AS product,
+         COALESCE(amount, '0') AS amount, status, timestamp
+  FROM order_events WHERE NOT is_corrupt AND NOT misses_order_id)"""
+ITEMS = """items AS (
+  SELECT concat('ORDER#', order_id) AS pk, concat('EVENT#', timestamp, '#', event_type) AS sk,
+         concat('CUSTOMER#', customer_id) AS gsi1pk, timestamp AS gsi1sk,
+         event_id, order_id, customer_id, event_type, product, amount, status, timestamp
+  FROM good)"""
+
+ORACLE["event_decode"] = with_(ORDER_EVENTS, GOOD_EVENTS) + "SELECT * FROM good"
+ORACLE["event_dead_letter"] = with_(ORDER_EVENTS) + """
+SELECT event_id AS seq, order_id AS partition_key,
+       CASE WHEN is_corrupt THEN 'undecodable_payload' ELSE 'missing_order_id' END AS reason
+FROM order_events WHERE is_corrupt OR misses_order_id"""
+ORACLE["event_batch_counters"] = with_(ORDER_EVENTS) + """
+SELECT COUNT(*) FILTER (WHERE NOT (is_corrupt OR misses_order_id)) AS processed,
+       COUNT(*) FILTER (WHERE is_corrupt OR misses_order_id) AS failed
+FROM order_events"""
+ORACLE["event_items"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + "SELECT * FROM items"
+ORACLE["event_upsert"] = ORACLE["event_items"]
+ORACLE["order_history"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + \
+    "SELECT pk, sk, event_type, status, timestamp FROM items"
+ORACLE["order_history_range"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT pk, sk, event_type FROM items WHERE sk >= 'EVENT#2024-01-10' AND sk < 'EVENT#2024-01-20'"""
+ORACLE["customer_orders"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + \
+    "SELECT gsi1pk, gsi1sk, pk, sk, event_type FROM items"
+ORACLE["order_current_state"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT order_id, event_type, status, timestamp AS last_timestamp FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sk DESC) AS rn FROM items) WHERE rn = 1"""
+_PREV = """prev AS (
+  SELECT order_id, event_type, timestamp,
+         LAG(event_type) OVER (PARTITION BY order_id ORDER BY sk) AS prev_event_type,
+         LAG(timestamp) OVER (PARTITION BY order_id ORDER BY sk) AS prev_timestamp
+  FROM items)"""
+ORACLE["lifecycle_violations"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS, _PREV) + """
+SELECT order_id, prev_event_type, event_type, timestamp FROM prev
+WHERE NOT ((prev_event_type IS NULL AND event_type = 'order_placed')
+        OR (prev_event_type = 'order_placed' AND event_type = 'order_confirmed')
+        OR (prev_event_type = 'order_confirmed' AND event_type = 'order_shipped')
+        OR (prev_event_type = 'order_shipped' AND event_type = 'order_delivered')
+        OR (prev_event_type = 'order_confirmed' AND event_type = 'order_cancelled'))"""
+_ISO = "CAST(replace(left({c}, 23), 'T', ' ') AS TIMESTAMP)"
+ORACLE["lifecycle_durations"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS, _PREV) + f"""
+SELECT order_id, event_type, prev_event_type,
+       (epoch_us({_ISO.format(c='timestamp')}) - epoch_us({_ISO.format(c='prev_timestamp')})) / 1000000.0
+         AS seconds_since_prev
+FROM prev"""
+
+# -- data quality -------------------------------------------------------------
+def _nn(cols, table, key):
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT 'not_null' AS rule, '{c}' AS column,
+       COUNT(*) FILTER (WHERE {c} IS NULL) AS violations,
+       CAST(MIN(CASE WHEN {c} IS NULL THEN CAST({key} AS VARCHAR) END) AS VARCHAR) AS sample_key
+FROM {table}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_BRONZE_ORDER_COLS = ["order_id", "customer_id", "product", "quantity", "amount", "status",
+                      "created_at", "updated_at", "op"]
+ORACLE["dq_not_null"] = with_(BRONZE_ORDERS) + _nn(_BRONZE_ORDER_COLS, "bronze_orders", "order_id")
+
+
+def _acc(col, values, table, key):
+    vals = ", ".join(f"'{v}'" for v in values)
+    bad = f"({col} IS NOT NULL AND {col} NOT IN ({vals}))"
+    return f"""SELECT 'accepted_values' AS rule, '{col}' AS column, COUNT(*) FILTER (WHERE {bad}) AS violations,
+       MIN(CASE WHEN {bad} THEN CAST({key} AS VARCHAR) END) AS sample_key FROM {table}"""
+
+
+ORACLE["dq_accepted_values"] = with_(BRONZE_ORDERS, ORDER_EVENTS) + "\nUNION ALL\n".join([
+    _acc("op", ["I", "U", "D"], "bronze_orders", "order_id"),
+    _acc("product", ["1-URGENT", "2-HIGH", "3-MEDIUM"], "bronze_orders", "order_id"),
+    _acc("event_type", ["order_placed", "order_confirmed", "order_shipped", "order_delivered"],
+         "order_events", "event_id")])
+
+
+def _uniq(keys, table):
+    kt = " || ',' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"""SELECT 'unique' AS rule, '{','.join(keys)}' AS column, COUNT(*) AS violations, MIN(k) AS sample_key
+FROM (SELECT {kt} AS k FROM {table} GROUP BY {', '.join(keys)} HAVING COUNT(*) > 1)"""
+
+
+ORACLE["dq_unique"] = _uniq(["l_orderkey", "l_linenumber"], "lineitem") + "\nUNION ALL\n" + \
+    _uniq(["o_orderkey"], "orders")
+
+
+def _fk(table, fk, parent, pk):
+    return f"""SELECT 'foreign_key' AS rule, '{fk}' AS column, COUNT(*) AS violations,
+       MIN(CAST({fk} AS VARCHAR)) AS sample_key
+FROM {table} c WHERE {fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})"""
+
+
+ORACLE["dq_foreign_key"] = "\nUNION ALL\n".join([
+    _fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _fk("lineitem", "l_partkey", "part", "p_partkey"),
+    _fk("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _fk("orders", "o_custkey", "customer", "c_custkey")])
+
+ORACLE["dq_defaults"] = with_(ORDER_EVENTS) + "\nUNION ALL\n".join(
+    f"""SELECT 'default_applied' AS rule, '{c}' AS column, COUNT(*) FILTER (WHERE {c} IS NULL) AS violations,
+       MIN(CASE WHEN {c} IS NULL THEN CAST(event_id AS VARCHAR) END) AS sample_key FROM order_events"""
+    for c in ["product", "amount"])
+
+
+def _bound(name, bad):
+    return f"""SELECT 'bounds' AS rule, '{name}' AS column, COUNT(*) FILTER (WHERE {bad}) AS violations,
+       MIN(CASE WHEN {bad} THEN order_id END) AS sample_key FROM bronze_orders"""
+
+
+ORACLE["dq_bounds"] = with_(BRONZE_ORDERS) + "\nUNION ALL\n".join([
+    _bound("product<= 10 chars", "length(product) > 10"),
+    _bound("status<= 20 chars", "length(status) > 20"),
+    _bound("amount fits decimal(10,2)", "amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(10,2)) IS NULL")])
+
+# -- casts ----------------------------------------------------------------------
+_TYPES = [("customer_id", "int", "INTEGER"), ("quantity", "int", "INTEGER"), ("amount", "double", "DOUBLE"),
+          ("created_at", "timestamp_ntz", "TIMESTAMP"), ("updated_at", "timestamp_ntz", "TIMESTAMP")]
+ORACLE["typed_cast"] = with_(BRONZE_ORDERS) + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, '{st}' AS target_type,
+       COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {dt}) IS NULL) AS rejected,
+       COUNT(*) FILTER (WHERE TRY_CAST({c} AS {dt}) IS NOT NULL) AS accepted FROM bronze_orders"""
+    for c, st, dt in _TYPES)
+ORACLE["resolve_choice"] = with_(ORDER_EVENTS) + """
+SELECT event_id, TRY_CAST(amount AS DOUBLE) AS amount, TRY_CAST(product AS DOUBLE) AS product_double,
+       CASE WHEN TRY_CAST(product AS DOUBLE) IS NULL THEN product END AS product_text
+FROM order_events"""
+ORACLE["apply_mapping"] = with_(BRONZE_ORDERS) + """
+SELECT TRY_CAST(order_id AS BIGINT) AS order_key, TRY_CAST(customer_id AS INTEGER) AS customer_key,
+       TRY_CAST(amount AS DOUBLE) AS amount_value, TRY_CAST(created_at AS TIMESTAMP) AS created_ts
+FROM bronze_orders"""
+
+# -- scalar groups ------------------------------------------------------------
+ORACLE["scalar_string"] = with_(BRONZE_CUSTOMERS) + """
+SELECT customer_id, trim(upper(country)) AS country_norm, substring(name, 1, 3) AS name_prefix,
+       concat('CUSTOMER#', customer_id) AS item_key, concat_ws('|', customer_id, email) AS joined
+FROM bronze_customers"""
+ORACLE["scalar_datetime"] = with_(SYSTEM_LOG) + """
+SELECT event_id, strftime(ts, '%Y-%m') AS year_month, strftime(ts, '%H:%M:%S') AS clock,
+       CAST(date_trunc('month', ts) AS DATE) AS month_start,
+       CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month,
+       CAST(year(ts) AS INTEGER) AS year, CAST(dayofweek(ts) AS INTEGER) AS dow,
+       (epoch_us(ts) - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP))) / 60000000.0 AS minutes_since_midnight,
+       CAST(ts AS DATE) + 7 AS plus_7d, CAST(ts AS DATE) - 7 AS minus_7d,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso_ts
+FROM system_log"""
+ORACLE["scalar_numeric"] = f"""
+SELECT o_orderkey, {rnd('o_totalprice / 7', 2)} AS price_div_7, o_orderkey % 7 AS key_mod_7,
+       o_totalprice * 2 AS price_x2, o_custkey + 1 AS cust_plus_1,
+       CAST(floor(o_totalprice / 1000) AS INTEGER) AS price_thousands, o_custkey / 3 AS cust_div_3
+FROM orders"""
+ORACLE["scalar_conditional"] = with_(ORDER_EVENTS) + """
+SELECT event_id, status AS status_lookup, COALESCE(amount, '0') AS amount_or_zero,
+       NULLIF(customer_id, 0) AS customer_or_null,
+       CASE WHEN product IS NULL THEN 'missing' WHEN event_type = 'order_cancelled' THEN 'cancel'
+            ELSE 'ok' END AS note
+FROM order_events"""
+ORACLE["scalar_json"] = with_(ORDER_EVENTS) + """
+SELECT event_id AS seq,
+       CASE WHEN is_corrupt THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
+       CASE WHEN is_corrupt THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN is_corrupt THEN NULL ELSE COALESCE(product, '') END AS product,
+       CASE WHEN is_corrupt THEN NULL ELSE COALESCE(amount, '0') END AS amount,
+       CASE WHEN is_corrupt THEN 'undecodable_payload' WHEN misses_order_id THEN 'missing_order_id' END AS reason
+FROM order_events"""
+
+ORACLE["table_counts"] = with_(FLIGHTS, SYSTEM_LOG, BRONZE_ORDERS, BRONZE_CUSTOMERS, ORDER_EVENTS) + """
+SELECT 'flights' AS table_name, COUNT(*) AS row_count FROM flights UNION ALL
+SELECT 'system_log', COUNT(*) FROM system_log UNION ALL
+SELECT 'bronze_orders', COUNT(*) FROM bronze_orders UNION ALL
+SELECT 'bronze_customers', COUNT(*) FROM bronze_customers UNION ALL
+SELECT 'order_events', COUNT(*) FROM order_events"""

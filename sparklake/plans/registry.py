@@ -97,3 +97,143 @@ QUERIES["product_ranking"] = lambda spark, sf: md.product_ranking(silver_orders_
 QUERIES["customer_summary"] = lambda spark, sf: md.customer_summary(
     silver_orders_of(spark, sf), silver_customers_of(spark, sf))
 QUERIES["silver_status_rollup"] = lambda spark, sf: md.silver_status_rollup(silver_orders_of(spark, sf))
+
+
+# -- change capture -----------------------------------------------------------
+from sparklake.functions import casting as cs  # noqa: E402
+from sparklake.operators import cdc  # noqa: E402
+from sparklake.operators import quality as dq  # noqa: E402
+from sparklake.operators.dedup import latest_by_key  # noqa: E402
+from sparklake.plans import events as ev  # noqa: E402
+from sparklake.plans import scalars as sc  # noqa: E402
+from sparklake.sources.tables import table  # noqa: E402
+
+
+def feed_of(spark, sf):
+    return cdc.change_feed(ad.load_bronze_orders(spark, sf), ad.load_order_changes(spark, sf))
+
+
+FEED_COLS = ["order_id", "op", "amount", "updated_at", "commit_seq"]
+
+
+@register("cdc_full_load")
+def _cdc_full_load(spark, sf):
+    names = cdc.select_tables(ad_tables(), include=["order%"], exclude=["%_tmp"])
+    return cdc.full_load(table(spark, sf, names[0]))
+
+
+def ad_tables():
+    from sparklake.sources.tables import TABLES
+    return list(TABLES)
+
+
+QUERIES["cdc_snapshot_plus_changes"] = lambda spark, sf: feed_of(spark, sf).select(*FEED_COLS)
+QUERIES["cdc_inserts_updates"] = lambda spark, sf: cdc.inserts_updates(feed_of(spark, sf)).select(*FEED_COLS)
+QUERIES["cdc_current_state"] = lambda spark, sf: md.type_orders(
+    cdc.current_state(feed_of(spark, sf), "order_id", mode="apply"), now=False)
+QUERIES["cdc_current_state_filter"] = lambda spark, sf: md.type_orders(
+    cdc.current_state(feed_of(spark, sf), "order_id", mode="filter"), now=False)
+
+
+@register("dedup_by_key")
+def _dedup_by_key(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return latest_by_key(li, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+# -- events ---------------------------------------------------------------------
+def decoded_of(spark, sf):
+    return ev.decode(ad.load_stream_records(spark, sf))
+
+
+def items_of(spark, sf):
+    return ev.to_items(ev.good(decoded_of(spark, sf)))
+
+
+QUERIES["event_decode"] = lambda spark, sf: ev.good(decoded_of(spark, sf))
+QUERIES["event_dead_letter"] = lambda spark, sf: ev.dead_letter(decoded_of(spark, sf)).select(
+    "seq", "partition_key", "reason")
+QUERIES["event_batch_counters"] = lambda spark, sf: ev.batch_counters(decoded_of(spark, sf))
+QUERIES["event_items"] = items_of
+
+
+@register("event_upsert")
+def _event_upsert(spark, sf):
+    from pyspark.sql import functions as F
+    items = items_of(spark, sf).withColumn("seq", F.col("event_id").cast("bigint"))
+    # the same batch delivered twice (a replay) must change nothing
+    batches = items.withColumn("batch_id", F.lit(0)).unionByName(items.withColumn("batch_id", F.lit(1)))
+    return ev.upsert_view(batches)
+
+
+QUERIES["order_history"] = lambda spark, sf: ev.order_history(items_of(spark, sf))
+QUERIES["order_history_range"] = lambda spark, sf: ev.history_range(
+    items_of(spark, sf), "2024-01-10", "2024-01-20")
+QUERIES["customer_orders"] = lambda spark, sf: ev.customer_orders(items_of(spark, sf))
+QUERIES["order_current_state"] = lambda spark, sf: ev.current_state(items_of(spark, sf))
+QUERIES["lifecycle_violations"] = lambda spark, sf: ev.lifecycle_violations(items_of(spark, sf))
+QUERIES["lifecycle_durations"] = lambda spark, sf: ev.lifecycle_durations(items_of(spark, sf))
+
+# -- data quality -------------------------------------------------------------
+QUERIES["dq_not_null"] = lambda spark, sf: dq.not_null(ad.load_bronze_orders(spark, sf), key="order_id")
+QUERIES["dq_accepted_values"] = lambda spark, sf: dq.accepted_values(
+    ad.load_bronze_orders(spark, sf), {"op": ["I", "U", "D"], "product": ["1-URGENT", "2-HIGH", "3-MEDIUM"]},
+    key="order_id").unionByName(dq.accepted_values(
+        ad.load_order_events(spark, sf), {"event_type": ["order_placed", "order_confirmed",
+                                                         "order_shipped", "order_delivered"]},
+        key="event_id"))
+QUERIES["dq_unique"] = lambda spark, sf: dq.unique(
+    table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber"]), ["l_orderkey", "l_linenumber"]
+).unionByName(dq.unique(table(spark, sf, "orders", ["o_orderkey"]), ["o_orderkey"]))
+
+
+@register("dq_foreign_key")
+def _dq_fk(spark, sf):
+    li = table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey"])
+    return (dq.foreign_key(li, ["l_orderkey"], table(spark, sf, "orders", ["o_orderkey"]), ["o_orderkey"])
+            .unionByName(dq.foreign_key(li, ["l_partkey"], table(spark, sf, "part", ["p_partkey"]), ["p_partkey"]))
+            .unionByName(dq.foreign_key(li, ["l_suppkey"], table(spark, sf, "supplier", ["s_suppkey"]), ["s_suppkey"]))
+            .unionByName(dq.foreign_key(table(spark, sf, "orders", ["o_custkey"]), ["o_custkey"],
+                                        table(spark, sf, "customer", ["c_custkey"]), ["c_custkey"])))
+
+
+QUERIES["dq_defaults"] = lambda spark, sf: dq.defaults_report(
+    ad.load_order_events(spark, sf), {"product": "", "amount": "0"}, key="event_id")
+QUERIES["dq_bounds"] = lambda spark, sf: dq.bounds(
+    ad.load_bronze_orders(spark, sf), "order_id", max_length={"product": 10, "status": 20},
+    decimals={"amount": (10, 2)})
+
+# -- casts ----------------------------------------------------------------------
+ORDER_TYPES = {"customer_id": "int", "quantity": "int", "amount": "double",
+               "created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"}
+QUERIES["typed_cast"] = lambda spark, sf: cs.cast_rejects(ad.load_bronze_orders(spark, sf), ORDER_TYPES)
+QUERIES["resolve_choice"] = lambda spark, sf: cs.resolve_choice(
+    ad.load_order_events(spark, sf).select("event_id", "amount", "product"),
+    {"amount": ("double", "cast"), "product": ("double", "split")})
+ORDER_MAPPING = [("order_id", "string", "order_key", "bigint"),
+                 ("customer_id", "string", "customer_key", "int"),
+                 ("amount", "string", "amount_value", "double"),
+                 ("created_at", "string", "created_ts", "timestamp_ntz")]
+QUERIES["apply_mapping"] = lambda spark, sf: cs.apply_mapping(ad.load_bronze_orders(spark, sf), ORDER_MAPPING)
+
+# -- scalar groups ------------------------------------------------------------
+QUERIES["scalar_string"] = lambda spark, sf: sc.string_functions(ad.load_bronze_customers(spark, sf))
+QUERIES["scalar_datetime"] = lambda spark, sf: sc.datetime_functions(ad.load_system_log(spark, sf))
+QUERIES["scalar_numeric"] = lambda spark, sf: sc.numeric_functions(
+    table(spark, sf, "orders", ["o_orderkey", "o_totalprice", "o_custkey"]))
+QUERIES["scalar_conditional"] = lambda spark, sf: sc.conditional_functions(ad.load_order_events(spark, sf))
+QUERIES["scalar_json"] = lambda spark, sf: sc.json_functions(ad.load_stream_records(spark, sf))
+
+
+@register("table_counts")
+def _table_counts(spark, sf):
+    from pyspark.sql import functions as F
+    parts = [("flights", ad.load_flights(spark, sf)), ("system_log", ad.load_system_log(spark, sf)),
+             ("bronze_orders", ad.load_bronze_orders(spark, sf)),
+             ("bronze_customers", ad.load_bronze_customers(spark, sf)),
+             ("order_events", ad.load_order_events(spark, sf))]
+    out = None
+    for name, df in parts:
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
