@@ -638,3 +638,51 @@ SELECT 'system_log', COUNT(*) FROM system_log UNION ALL
 SELECT 'bronze_orders', COUNT(*) FROM bronze_orders UNION ALL
 SELECT 'bronze_customers', COUNT(*) FROM bronze_customers UNION ALL
 SELECT 'order_events', COUNT(*) FROM order_events"""
+
+# -- sinks, catalog, incremental, streams ------------------------------------
+ORACLE["csv_bronze_scan"] = with_(BRONZE_ORDERS) + "SELECT * FROM bronze_orders"
+ORACLE["csv_recursive_scan"] = with_(BRONZE_ORDERS, ORDER_CHANGES) + \
+    "SELECT * FROM bronze_orders UNION ALL SELECT * FROM order_changes"
+ORACLE["parquet_scan"] = with_(FLIGHTS) + """
+SELECT *, CAST(year(flight_date) AS INTEGER) AS year, CAST(month(flight_date) AS INTEGER) AS month
+FROM flights"""
+ORACLE["parquet_roundtrip"] = ORACLE["daily_sales"]
+ORACLE["partitioned_sink_roundtrip"] = ORACLE["silver_orders"]
+_CHANGES_SILVER = _silver_orders_cte("order_changes", "changes_silver", mode="filter")
+ORACLE["append_sink"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + \
+    "SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver"
+ORACLE["incremental_bookmark"] = ORACLE["append_sink"]
+ORACLE["cdc_date_partitioned_sink"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + """
+SELECT order_id, op, amount, updated_at, commit_seq,
+       strftime(TRY_CAST(updated_at AS TIMESTAMP), '%Y') AS year,
+       strftime(TRY_CAST(updated_at AS TIMESTAMP), '%m') AS month,
+       strftime(TRY_CAST(updated_at AS TIMESTAMP), '%d') AS day
+FROM feed"""
+ORACLE["write_metrics"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + \
+    "SELECT 'silver_orders' AS table_name, COUNT(*) AS rows_written FROM silver_orders"
+ORACLE["insert_select"] = ORACLE["flight_calendar"]
+ORACLE["table_lifecycle"] = ORACLE["join_on_expression"]
+ORACLE["catalog_discover"] = ORACLE["silver_status_rollup"]
+ORACLE["incremental_empty_run"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
+SELECT 1 AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
+SELECT 2, (SELECT COUNT(*) FROM changes_silver) UNION ALL
+SELECT 3, 0"""
+ORACLE["incremental_merge"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
+SELECT order_id, customer_id, product, quantity, amount, status, created_at, updated_at, year, month
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC NULLS LAST,
+        customer_id DESC NULLS LAST, product DESC NULLS LAST, quantity DESC NULLS LAST,
+        amount DESC NULLS LAST, status DESC NULLS LAST, created_at DESC NULLS LAST) AS rn
+      FROM (SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver)) WHERE rn = 1"""
+ORACLE["stream_ingest"] = ORACLE["event_items"]
+ORACLE["raw_hourly_landing"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT *, substring(timestamp, 1, 4) AS year, substring(timestamp, 6, 2) AS month,
+       substring(timestamp, 9, 2) AS day, substring(timestamp, 12, 2) AS hour
+FROM items"""
+ORACLE["stream_silver"] = ORACLE["raw_hourly_landing"]
+ORACLE["gold_refresh"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + f"""
+SELECT CAST(created_at AS DATE) AS date, COUNT(order_id) AS total_orders,
+       {rnd(SUM_AMT, 2)} AS total_revenue,
+       {rnd(f'{SUM_AMT} / COUNT(amount)', 2)} AS avg_order_value,
+       COUNT(DISTINCT customer_id) AS unique_customers
+FROM (SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver)
+GROUP BY CAST(created_at AS DATE)"""
