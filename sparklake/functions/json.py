@@ -22,14 +22,16 @@ def decode_base64_text(c) -> Column:
     return F.try_to_binary(col(c), F.lit("base64")).cast("string")
 
 
-def json_keys(text) -> Column:
-    """Top-level keys of a JSON object; NULL when the text is not a JSON object."""
-    return F.json_object_keys(col(text))
+def json_map(text) -> Column:
+    """Parse a JSON object once into ``map<string,string>``: scalar values keep
+    their text (``12`` -> ``"12"``), a key present with JSON null stays in the
+    map, and text that is not a JSON object gives a NULL map."""
+    return F.from_json(col(text), "map<string,string>")
 
 
-def field_or_default(parsed: Column, keys: Column, name: str, default: str) -> Column:
+def field_or_default(parsed: Column, name: str, default: str) -> Column:
     """A missing key takes the default; a key present with JSON null stays NULL;
-    text that is not a JSON object gives NULL (no default)."""
-    return (F.when(keys.isNull(), F.lit(None).cast("string"))
-             .when(F.array_contains(keys, F.lit(name)), parsed[name])
+    a payload that is not a JSON object gives NULL (no default)."""
+    return (F.when(parsed.isNull(), F.lit(None).cast("string"))
+             .when(F.map_contains_key(parsed, F.lit(name)), parsed[name])
              .otherwise(F.lit(default)))

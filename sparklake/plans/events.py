@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparklake.functions.json import (
     OPTIONAL_DEFAULTS, ORDER_EVENT_SCHEMA, REQUIRED_FIELDS, decode_base64_text,
-    field_or_default, json_keys)
+    field_or_default, json_map)
 from sparklake.functions.scalar import CANCEL_AFTER, ORDER_LIFECYCLE, micros_between
 from sparklake.operators.dedup import latest_by_key
 from sparklake.operators.ordered import keyed_shift
@@ -22,22 +22,31 @@ NOT_JSON = "malformed_json"
 
 
 def decode(records: DataFrame) -> DataFrame:
-    """Decode every record; ``reason`` is NULL for good rows, else why it failed."""
+    """Decode every record; ``reason`` is NULL for good rows, else why it failed.
+
+    The JSON is parsed once, into a text map (values and key presence from one
+    parse).  The decoded record is emitted through a one-element ``inline``
+    generator: predicates on its fields (``reason IS NULL``) stay above the
+    generator, so base64 and JSON parsing run once per row instead of being
+    re-inlined into every pushed-down filter.
+    """
     text = decode_base64_text("data")
-    d = records.select("*", text.alias("_text"))
-    d = d.select("*", json_keys("_text").alias("_keys"),
-                 F.from_json("_text", ORDER_EVENT_SCHEMA).alias("_evt"))
-    reason = F.when(F.col("_text").isNull(), F.lit(UNDECODABLE)) \
-              .when(F.col("_keys").isNull(), F.lit(NOT_JSON))
+    d = records.select("seq", "partition_key", "data", text.alias("_text"))
+    d = d.select("seq", "partition_key", "data", F.col("_text").isNull().alias("_undecodable"),
+                 json_map("_text").alias("_evt"))
+    evt = F.col("_evt")
+    reason = (F.when(F.col("_undecodable"), F.lit(UNDECODABLE))
+               .when(evt.isNull(), F.lit(NOT_JSON)))
     for f in REQUIRED_FIELDS:
-        reason = reason.when(F.col("_evt")[f].isNull(), F.lit(f"missing_{f}"))
+        reason = reason.when(evt[f].isNull(), F.lit(f"missing_{f}"))
     fields = []
     for f in ORDER_EVENT_SCHEMA.fieldNames():
         if f in OPTIONAL_DEFAULTS:
-            fields.append(field_or_default(F.col("_evt"), F.col("_keys"), f, OPTIONAL_DEFAULTS[f]).alias(f))
+            fields.append(field_or_default(evt, f, OPTIONAL_DEFAULTS[f]).alias(f))
         else:
-            fields.append(F.col("_evt")[f].alias(f))
-    return d.select("seq", "partition_key", "data", *fields, reason.alias("reason"))
+            fields.append(evt[f].alias(f))
+    rec = F.struct(*fields, reason.alias("reason"))
+    return d.select("seq", "partition_key", "data", F.inline(F.array(rec)))
 
 
 def good(decoded: DataFrame) -> DataFrame:

@@ -443,3 +443,46 @@ def filter_in(f: DataFrame) -> DataFrame:
 
 def filter_month(f: DataFrame, month: str = MONTH_B) -> DataFrame:
     return f.filter(in_month("flight_date", month)).select("id", "route", "flight_date", "status")
+
+
+def in_exists_join_equivalence(f: DataFrame, customers: DataFrame) -> DataFrame:
+    """IN vs EXISTS vs JOIN vs NOT IN / NOT EXISTS, as row counts per method.
+
+    Customers that fly (carrier = c_custkey).  The NOT IN list carries a NULL for
+    every cancelled flight, so NOT IN returns nothing (three-valued logic) while
+    NOT EXISTS returns the customers without flights.  NOT IN is evaluated as
+    "anti join, unless the list holds a NULL": no nested-loop plan.
+    """
+    cust = customers.select(F.col("c_custkey").alias("k"))
+    carriers = f.select(F.col("carrier").alias("k"))
+    nullable = f.select(F.when(F.col("status") == CANCELLED, F.lit(None).cast("bigint"))
+                        .otherwise(F.col("carrier")).alias("k"))
+    spark = f.sparkSession
+    cust.createOrReplaceTempView("_eq_customers")
+    carriers.createOrReplaceTempView("_eq_carriers")
+    in_sql = spark.sql("SELECT k FROM _eq_customers WHERE k IN (SELECT k FROM _eq_carriers)")
+
+    def n(df, tag):
+        return df.agg(F.count(F.lit(1)).alias("v")).select(F.lit(tag).alias("t"), "v")
+
+    parts = [
+        n(in_sql, "in_subquery"),
+        n(cust.join(carriers, "k", "left_semi"), "exists"),
+        n(cust.join(carriers, "k", "inner"), "inner_join"),
+        n(cust.join(carriers, "k", "inner").distinct(), "inner_join_distinct"),
+        n(cust.join(carriers, "k", "left_anti"), "not_exists"),
+        n(cust.filter(F.col("k").isNotNull()).join(nullable.filter(F.col("k").isNotNull()), "k", "left_anti"),
+          "_anti_nonnull"),
+        nullable.agg(F.count_if(F.col("k").isNull()).alias("v")).select(F.lit("_list_nulls").alias("t"), "v"),
+    ]
+    allv = parts[0]
+    for p in parts[1:]:
+        allv = allv.unionByName(p)
+    one = allv.groupBy().pivot("t", [t for t in ("in_subquery", "exists", "inner_join",
+                                                  "inner_join_distinct", "not_exists",
+                                                  "_anti_nonnull", "_list_nulls")]).agg(F.first("v"))
+    not_in = F.when(F.col("_list_nulls") > 0, F.lit(0)).otherwise(F.col("_anti_nonnull")).cast("bigint")
+    rows = [F.struct(F.lit(m).alias("method"), F.col(m).cast("bigint").alias("row_count"))
+            for m in ("in_subquery", "exists", "inner_join", "inner_join_distinct", "not_exists")]
+    rows.append(F.struct(F.lit("not_in_nullable_list").alias("method"), not_in.alias("row_count")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -686,3 +686,15 @@ SELECT CAST(created_at AS DATE) AS date, COUNT(order_id) AS total_orders,
        COUNT(DISTINCT customer_id) AS unique_customers
 FROM (SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver)
 GROUP BY CAST(created_at AS DATE)"""
+
+ORACLE["in_exists_join_equivalence"] = with_(FLIGHTS) + """
+SELECT 'in_subquery' AS method, COUNT(*) AS row_count FROM customer
+  WHERE c_custkey IN (SELECT carrier FROM flights)
+UNION ALL SELECT 'exists', COUNT(*) FROM customer c
+  WHERE EXISTS (SELECT 1 FROM flights f WHERE f.carrier = c.c_custkey)
+UNION ALL SELECT 'inner_join', COUNT(*) FROM customer c JOIN flights f ON f.carrier = c.c_custkey
+UNION ALL SELECT 'inner_join_distinct', COUNT(DISTINCT c.c_custkey) FROM customer c JOIN flights f ON f.carrier = c.c_custkey
+UNION ALL SELECT 'not_exists', COUNT(*) FROM customer c
+  WHERE NOT EXISTS (SELECT 1 FROM flights f WHERE f.carrier = c.c_custkey)
+UNION ALL SELECT 'not_in_nullable_list', COUNT(*) FROM customer
+  WHERE c_custkey NOT IN (SELECT CASE WHEN status = 'CANCELLED' THEN NULL ELSE carrier END FROM flights)"""

@@ -237,3 +237,9 @@ def _table_counts(spark, sf):
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@register("in_exists_join_equivalence")
+def _in_exists(spark, sf):
+    return fl.in_exists_join_equivalence(ad.load_flights(spark, sf),
+                                         table(spark, sf, "customer", ["c_custkey"]))
