@@ -144,3 +144,64 @@ def keyed_shift(df: DataFrame, by: Sequence[str], order: Sequence, values: Seque
         out = out.withColumn(prefix + v, F.when(edge, F.when(same_key, F.col("_nb." + v)))
                              .otherwise(F.col(prefix + v)))
     return out.drop(PID, "_nb", "_has_nb")
+
+
+def _ranges_with_positions(df: DataFrame, full: list[Column], num_ranges: int | None):
+    """Checkpointed ranges, each row with its in-range number ``_rn`` and the
+    per-range table (range id, dense index, offset, size)."""
+    r = ranged(df, full, num_ranges)
+    r = r.withColumn("_rn", F.row_number().over(Window.partitionBy(PID).orderBy(*full)))
+    sizes = r.groupBy(PID).agg(F.count(F.lit(1)).alias("_cnt"))
+    by_pid = Window.orderBy(PID)
+    table = sizes.select(
+        PID, "_cnt",
+        F.row_number().over(by_pid).alias("_idx"),
+        F.coalesce(F.sum("_cnt").over(by_pid.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return r, table
+
+
+def keyed_sliding(df: DataFrame, by: Sequence[str], order: Sequence, preceding: int,
+                  aggs: dict, *, num_ranges: int | None = None) -> DataFrame:
+    """Aggregates over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` of
+    ``PARTITION BY by ORDER BY order`` (``order`` must make rows unique within a key).
+
+    ``aggs`` maps an output name to a function ``WindowSpec -> Column``.
+    Rows are range-partitioned on (by, order), so a key holding a third of the
+    rows is split over many tasks.  Each range also receives a *halo*: copies of
+    the ``preceding`` rows that come right before it in the global order, so the
+    frame of its first rows is complete; halo rows are dropped after the window.
+    The halo is at most ``preceding`` rows per range.
+    """
+    by = list(by)
+    full = [F.col(k) for k in by] + _order_cols(order)
+    r, table = _ranges_with_positions(df, full, num_ranges)
+    t = F.broadcast(table)  # one row per range
+    r = r.join(t, PID)
+    cols = df.columns
+    near = r.filter(F.col("_rn") > F.col("_cnt") - preceding).withColumn("_g", F.col("_off") + F.col("_rn"))
+    targets = t.select(F.col(PID).alias("_tpid"), F.col("_idx").alias("_tidx"), F.col("_off").alias("_toff"))
+    halo = (near.withColumn("_tidx", F.explode(F.sequence(F.col("_idx") + 1, F.col("_idx") + preceding)))
+                .join(targets, "_tidx")
+                .filter((F.col("_toff") >= F.col("_g")) & (F.col("_toff") - preceding < F.col("_g")))
+                .select(*cols, F.col("_tpid").alias(PID), F.lit(True).alias("_halo")))
+    rows = r.select(*cols, PID, F.lit(False).alias("_halo")).unionByName(halo)
+    w = Window.partitionBy(PID, *by).orderBy(*full).rowsBetween(-preceding, Window.currentRow)
+    out = rows.select(*cols, "_halo", *[fn(w).alias(name) for name, fn in aggs.items()])
+    return out.filter(~F.col("_halo")).drop("_halo")
+
+
+def keyed_position(df: DataFrame, by: Sequence[str], order: Sequence, *, name: str = "pos",
+                   num_ranges: int | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (equivalently a
+    ``COUNT(*)`` over ``ROWS UNBOUNDED PRECEDING``) with hot keys split over
+    ranges: global position minus the global position of the key's first row."""
+    by = list(by)
+    full = [F.col(k) for k in by] + _order_cols(order)
+    r, table = _ranges_with_positions(df, full, num_ranges)
+    r = r.join(F.broadcast(table), PID).withColumn("_g", F.col("_off") + F.col("_rn"))
+    renamed = {k: f"_k_{i}" for i, k in enumerate(by)}
+    first = r.groupBy(*by).agg(F.min("_g").alias("_g0"))
+    first = first.select(*[F.col(k).alias(v) for k, v in renamed.items()], "_g0")
+    cond = [r[k].eqNullSafe(first[v]) for k, v in renamed.items()]
+    out = r.join(first, cond).withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("bigint"))
+    return out.select(*df.columns, name)

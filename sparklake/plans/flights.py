@@ -17,7 +17,8 @@ from sparklake.functions.scalar import (
     clock_time, dow_sunday0, epoch_minutes_between, in_month, micros_between,
     month_start, pct, round_half_up, year_month)
 from sparklake.operators.dedup import distinct_on, latest_by_key
-from sparklake.operators.ordered import global_lead, global_ntile
+from sparklake.operators.ordered import (global_lead, global_ntile, keyed_position, keyed_shift,
+                                         keyed_sliding)
 
 CANCELLED, DELAYED, COMPLETED = "CANCELLED", "DELAYED", "COMPLETED"
 
@@ -70,39 +71,52 @@ def _operated(f: DataFrame) -> DataFrame:
 
 
 def seven_row_window(by="route"):
+    """The plain named window (one sort shared by all its functions)."""
     return (Window.partitionBy(by).orderBy("flight_date", "id").rowsBetween(-6, Window.currentRow))
 
 
+def _sliding(f: DataFrame, aggs: dict) -> DataFrame:
+    """ROWS 6 PRECEDING per route via range partitioning + halo: a route with a
+    third of all flights is split over many tasks (``keyed_sliding``)."""
+    base = _operated(f).select("route", "flight_date", "id", "passengers", "capacity",
+                               occupancy(f).alias("_occ"))
+    return keyed_sliding(base, ["route"], ["flight_date", "id"], 6, aggs)
+
+
 def sliding_occupancy(f: DataFrame) -> DataFrame:
-    w = seven_row_window()
-    occ = occupancy(f)
-    return _operated(f).select(
-        "route", "flight_date", "id", "passengers", "capacity",
-        round_half_up(occ, 2).alias("occupancy_pct"),
-        round_half_up(F.avg(occ).over(w), 2).alias("occupancy_avg_7"),
-        F.count(F.lit(1)).over(w).alias("rows_in_window"))
+    out = _sliding(f, {"_avg": lambda w: F.avg("_occ").over(w),
+                       "rows_in_window": lambda w: F.count(F.lit(1)).over(w)})
+    return out.select("route", "flight_date", "id", "passengers", "capacity",
+                      round_half_up("_occ", 2).alias("occupancy_pct"),
+                      round_half_up("_avg", 2).alias("occupancy_avg_7"), "rows_in_window")
 
 
 def sliding_stats(f: DataFrame) -> DataFrame:
-    w = seven_row_window()  # one named window, one sort shared by all three
-    occ = occupancy(f)
-    return _operated(f).select(
-        "route", "flight_date", "id",
-        round_half_up(occ, 2).alias("occupancy_pct"),
-        round_half_up(F.avg(occ).over(w), 2).alias("avg_7"),
-        round_half_up(F.min(occ).over(w), 2).alias("min_7"),
-        round_half_up(F.max(occ).over(w), 2).alias("max_7"))
+    out = _sliding(f, {"_avg": lambda w: F.avg("_occ").over(w),
+                       "_min": lambda w: F.min("_occ").over(w),
+                       "_max": lambda w: F.max("_occ").over(w)})
+    return out.select("route", "flight_date", "id", round_half_up("_occ", 2).alias("occupancy_pct"),
+                      round_half_up("_avg", 2).alias("avg_7"), round_half_up("_min", 2).alias("min_7"),
+                      round_half_up("_max", 2).alias("max_7"))
 
 
 def range_occupancy(f: DataFrame, days: int = 6) -> DataFrame:
-    """Logical frame: rows whose date lies within ``days`` days back (gaps respected)."""
+    """Logical frame: rows whose date lies within ``days`` days back (gaps respected).
+
+    The RANGE frame is evaluated on one row per (route, day) (a map-side
+    combined aggregate), then joined back to the flights, so the window never
+    holds raw rows.
+    """
+    base = _operated(f).select("route", "flight_date", "id", occupancy(f).alias("_occ"))
+    daily = base.groupBy("route", "flight_date").agg(
+        F.sum("_occ").alias("_s"), F.count("_occ").alias("_n"), F.count(F.lit(1)).alias("_rows"))
     w = (Window.partitionBy("route").orderBy(F.unix_date("flight_date"))
          .rangeBetween(-days, Window.currentRow))
-    occ = occupancy(f)
-    return _operated(f).select(
-        "route", "flight_date", "id",
-        round_half_up(F.avg(occ).over(w), 2).alias("occupancy_avg_7d"),
-        F.count(F.lit(1)).over(w).alias("rows_in_range"))
+    per_day = daily.select("route", "flight_date",
+                           round_half_up(F.sum("_s").over(w) / F.sum("_n").over(w), 2).alias("occupancy_avg_7d"),
+                           F.sum("_rows").over(w).alias("rows_in_range"))
+    return base.join(per_day, ["route", "flight_date"]).select(
+        "route", "flight_date", "id", "occupancy_avg_7d", "rows_in_range")
 
 
 # -- K13-K15: gaps in a global event order -----------------------------------
@@ -117,9 +131,7 @@ def gaps(log: DataFrame, threshold_minutes: float = 30, by: str | None = None) -
     if by is None:
         led = global_lead(log, order, ["ts", "event_id"])
     else:
-        w = Window.partitionBy(by).orderBy(*order)
-        led = (log.withColumn("next_ts", F.lead("ts").over(w))
-                  .withColumn("next_event_id", F.lead("event_id").over(w)))
+        led = keyed_shift(log, [by], order, ["ts", "event_id"], direction="lead")
     limit = int(threshold_minutes * 60_000_000)
     return led.filter(micros_between("ts", "next_ts") > limit)
 
@@ -185,26 +197,32 @@ def lag_default(f: DataFrame, default: int = 0) -> DataFrame:
 
 # -- K18-K20: running totals and calendars ----------------------------------
 def running_total(f: DataFrame, month: str = MONTH_A) -> DataFrame:
-    by_route = Window.partitionBy("route")
-    running = by_route.orderBy("flight_date")  # default RANGE frame: peers included
-    base = _operated(f).filter(in_month("flight_date", month))
-    run = F.sum("passengers").over(running)
-    tot = F.sum("passengers").over(by_route)
-    return base.select(
-        "route", "flight_date", "id", "passengers",
-        run.cast("bigint").alias("running_passengers"),
-        tot.cast("bigint").alias("total_month"),
-        round_half_up(F.lit(100.0) * run / tot, 1).alias("pct_of_total"))
+    """Running passengers per route (default RANGE frame: same-day peers share
+    the value), the month total and the share reached.
+
+    Evaluated on one row per (route, day), combined map-side, then joined back:
+    the window holds days, not flights, so a busy route is not one huge task.
+    """
+    base = _operated(f).filter(in_month("flight_date", month)).select(
+        "route", "flight_date", "id", "passengers")
+    daily = base.groupBy("route", "flight_date").agg(F.sum("passengers").alias("_p"))
+    upto = Window.partitionBy("route").orderBy("flight_date").rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)
+    run, tot = F.sum("_p").over(upto), F.sum("_p").over(Window.partitionBy("route"))
+    per_day = daily.select("route", "flight_date", run.cast("bigint").alias("running_passengers"),
+                           tot.cast("bigint").alias("total_month"),
+                           round_half_up(F.lit(100.0) * run / tot, 1).alias("pct_of_total"))
+    return base.join(per_day, ["route", "flight_date"]).select(
+        "route", "flight_date", "id", "passengers", "running_passengers", "total_month", "pct_of_total")
 
 
 def running_count(f: DataFrame, route: str = ROUTE, start: str = "1996-01-01",
                   end: str = "1996-01-31") -> DataFrame:
-    w = (Window.partitionBy("route", "status").orderBy("flight_date", "id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    """Running count per (route, status) over ROWS UNBOUNDED PRECEDING, as a
+    keyed position (hot keys split over ranges)."""
     base = f.filter(F.col("flight_date").between(F.lit(_d(start)), F.lit(_d(end)))
-                    & (F.col("route") == route))
-    return base.select("flight_date", "route", "status", "id",
-                       F.count(F.lit(1)).over(w).alias("running_count"))
+                    & (F.col("route") == route)).select("flight_date", "route", "status", "id")
+    return keyed_position(base, ["route", "status"], ["flight_date", "id"], name="running_count")
 
 
 def day_series(spark_df: DataFrame, start, end, name: str = "day") -> DataFrame:
@@ -283,29 +301,38 @@ def last_flight_per_route(f: DataFrame) -> DataFrame:
 
 
 # -- K24-K26: baselines and quartiles ----------------------------------------
-def _full_month_window():
-    return (Window.partitionBy("route", month_start("flight_date")).orderBy("flight_date", "id")
-            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+def _month_key(f: DataFrame):
+    return month_start("flight_date").alias("_m")
 
 
 def first_last_baseline(f: DataFrame, route: str = ROUTE, month: str = MONTH_A) -> DataFrame:
-    w = _full_month_window()
-    occ = occupancy(f)
-    base = _operated(f).filter((F.col("route") == route) & in_month("flight_date", month))
-    first = F.first_value(occ).over(w)
-    return base.select(
-        "route", "flight_date", "id", round_half_up(occ, 2).alias("occupancy_pct"),
-        round_half_up(first, 2).alias("first_flight_pct"),
-        round_half_up(F.last_value(occ).over(w), 2).alias("last_flight_pct"),
-        round_half_up(occ - first, 2).alias("diff_vs_first"))
+    """First and last flight of the route-month as baseline (full-frame
+    FIRST_VALUE / LAST_VALUE), as ``min_by`` / ``max_by`` aggregates joined back:
+    combined map-side, whatever the size of a route-month."""
+    base = (_operated(f).filter((F.col("route") == route) & in_month("flight_date", month))
+            .select("route", "flight_date", "id", _month_key(f), occupancy(f).alias("_occ")))
+    ordering = F.struct("flight_date", "id")
+    ends = base.groupBy("route", "_m").agg(F.min_by("_occ", ordering).alias("_first"),
+                                           F.max_by("_occ", ordering).alias("_last"))
+    return base.join(ends, ["route", "_m"]).select(
+        "route", "flight_date", "id", round_half_up("_occ", 2).alias("occupancy_pct"),
+        round_half_up("_first", 2).alias("first_flight_pct"),
+        round_half_up("_last", 2).alias("last_flight_pct"),
+        round_half_up(F.col("_occ") - F.col("_first"), 2).alias("diff_vs_first"))
 
 
 def nth_value_baseline(f: DataFrame, n: int = 3, month: str = MONTH_B) -> DataFrame:
-    w = _full_month_window()
-    occ = occupancy(f)
-    base = _operated(f).filter(in_month("flight_date", month))
-    return base.select("route", "flight_date", "id", round_half_up(occ, 2).alias("occupancy_pct"),
-                       round_half_up(F.nth_value(occ, n).over(w), 2).alias("nth_flight_pct"))
+    """NTH_VALUE(occupancy, n) over the full route-month.  ``row_number() = n``
+    lets Catalyst put a map-side ``WindowGroupLimit`` (at most n rows per
+    route-month leave each task); a month with fewer rows gets NULL."""
+    base = (_operated(f).filter(in_month("flight_date", month))
+            .select("route", "flight_date", "id", _month_key(f), occupancy(f).alias("_occ")))
+    w = Window.partitionBy("route", "_m").orderBy("flight_date", "id")
+    nth = (base.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n)
+               .select("route", "_m", F.col("_occ").alias("_nth")))
+    return base.join(nth, ["route", "_m"], "left").select(
+        "route", "flight_date", "id", round_half_up("_occ", 2).alias("occupancy_pct"),
+        round_half_up("_nth", 2).alias("nth_flight_pct"))
 
 
 def ntile_labels(f: DataFrame, month: str = MONTH_A, k: int = 4) -> DataFrame:

@@ -159,3 +159,18 @@ def test_customer_summary_ties_kept(spark):
     assert sorted(r["top_product"] for r in ranked.collect()) == ["A", "B"]
     first = md.customer_summary(orders, cust, ties="first").collect()
     assert len(first) == 1 and first[0]["total_spent"] == 30.0 and first[0]["avg_order_value"] == 15.0
+
+
+def test_keyed_sliding_and_position_match_plain_windows(spark):
+    from sparklake.operators.ordered import keyed_position, keyed_sliding
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), i, rnd.randint(0, 100)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t int, x int")
+    w = Window.partitionBy("k").orderBy("t")
+    for n in (2, 9, 120):  # 120 ranges over 300 rows: ranges shorter than the frame
+        got = keyed_sliding(df, ["k"], ["t"], 6, {"s": lambda w_: F.sum("x").over(w_)}, num_ranges=n)
+        ref = df.select("*", F.sum("x").over(w.rowsBetween(-6, 0)).alias("s"))
+        assert sorted(got.collect()) == sorted(ref.collect())
+        pos = keyed_position(df, ["k"], ["t"], name="p", num_ranges=n)
+        ref = df.select("*", F.row_number().over(w).cast("bigint").alias("p"))
+        assert sorted(pos.collect()) == sorted(ref.collect())
