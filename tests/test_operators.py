@@ -170,7 +170,7 @@ def test_keyed_sliding_and_position_match_plain_windows(spark):
     for n in (2, 9, 120):  # 120 ranges over 300 rows: ranges shorter than the frame
         got = keyed_sliding(df, ["k"], ["t"], 6, {"s": lambda w_: F.sum("x").over(w_)}, num_ranges=n)
         ref = df.select("*", F.sum("x").over(w.rowsBetween(-6, 0)).alias("s"))
-        assert sorted(got.collect()) == sorted(ref.collect())
+        assert sorted(got.collect(), key=str) == sorted(ref.collect(), key=str)
         pos = keyed_position(df, ["k"], ["t"], name="p", num_ranges=n)
         ref = df.select("*", F.row_number().over(w).cast("bigint").alias("p"))
-        assert sorted(pos.collect()) == sorted(ref.collect())
+        assert sorted(pos.collect(), key=str) == sorted(ref.collect(), key=str)
