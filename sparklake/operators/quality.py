@@ -57,11 +57,17 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def foreign_key(child: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence[str],
                 name: str | None = None) -> DataFrame:
-    """Child rows whose key has no parent (NOT EXISTS as a left-anti join)."""
-    cond = [child[a] == parent[b] for a, b in zip(fk, pk)]
-    orphans = (child.select(*fk).filter(" AND ".join(f"{c} IS NOT NULL" for c in fk))
-                    .join(parent.select(*pk), cond, "left_anti"))
-    one = orphans.agg(F.count(F.lit(1)).alias("v_0"), F.min(_key_text(fk)).alias("s_0"))
+    """Child rows whose key has no parent (NOT EXISTS as a left-anti join).
+
+    The child is first reduced to (key, rows) with a map-side combined count,
+    so a hot key is one row per task before the anti join; the parent side is
+    reduced to its distinct keys the same way.
+    """
+    keyed = (child.select(*fk).filter(" AND ".join(f"{c} IS NOT NULL" for c in fk))
+                  .groupBy(*fk).agg(F.count(F.lit(1)).alias("_rows")))
+    parents = parent.select(*[F.col(b).alias(a) for a, b in zip(fk, pk)]).distinct()
+    orphans = keyed.join(parents, list(fk), "left_anti")
+    one = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("v_0"), F.min(_key_text(fk)).alias("s_0"))
     return _report(one, "foreign_key", [name or ",".join(fk)])
 
 
