@@ -118,8 +118,14 @@ FEED_COLS = ["order_id", "op", "amount", "updated_at", "commit_seq"]
 
 @register("cdc_full_load")
 def _cdc_full_load(spark, sf):
+    """Snapshot of every selected table into a replaced target (drop-and-create)."""
+    from sparklake.session import scratch_path
+    from sparklake.sources.files import read_parquet, write_parquet
     names = cdc.select_tables(ad_tables(), include=["order%"], exclude=["%_tmp"])
-    return cdc.full_load(table(spark, sf, names[0]))
+    root = scratch_path(spark, "full_load")
+    for name in names:  # one job per selected table (catalog metadata, a few names)
+        write_parquet(cdc.full_load(table(spark, sf, name)), f"{root}/{name}/load", mode="overwrite")
+    return read_parquet(spark, f"{root}/{names[0]}/load")
 
 
 def ad_tables():

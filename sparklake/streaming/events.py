@@ -28,11 +28,27 @@ def record_stream(spark: SparkSession, source: str, max_files_per_trigger: int |
 
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
-           max_files_per_trigger: int | None = None) -> None:
+           max_files_per_trigger: int | None = None, start: str = "earliest") -> None:
     """Decode each micro-batch; good items and dead letters go to
     ``out/items/batch_id=<n>`` and ``out/dead_letter/batch_id=<n>`` (overwrite:
-    a replayed batch rewrites its own folder, so the upsert is idempotent)."""
-    decoded = ev.decode(record_stream(spark, source, max_files_per_trigger))
+    a replayed batch rewrites its own folder, so the upsert is idempotent).
+
+    ``start="latest"`` skips the records already present when the consumer
+    starts for the first time (no checkpoint yet): only records with a higher
+    sequence number are processed, on this and later runs.
+    """
+    stream = record_stream(spark, source, max_files_per_trigger)
+    if start == "latest":
+        marker = f"{checkpoint}_start"
+        try:
+            first_seq = spark.read.parquet(marker).first()["seq"]
+        except Exception:  # noqa: BLE001 - first run: remember where the stream stood
+            top = spark.read.schema(schemas.STREAM_RECORD).parquet(source).agg(F.max("seq").alias("seq"))
+            top.write.mode("overwrite").parquet(marker)
+            first_seq = spark.read.parquet(marker).first()["seq"]
+        if first_seq is not None:
+            stream = stream.filter(F.col("seq") > F.lit(first_seq))
+    decoded = ev.decode(stream)
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
