@@ -664,7 +664,7 @@ ORACLE["insert_select"] = ORACLE["flight_calendar"]
 ORACLE["table_lifecycle"] = ORACLE["join_on_expression"]
 ORACLE["catalog_discover"] = ORACLE["silver_status_rollup"]
 ORACLE["incremental_empty_run"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
-SELECT 1 AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
+SELECT CAST(1 AS BIGINT) AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
 SELECT 2, (SELECT COUNT(*) FROM changes_silver) UNION ALL
 SELECT 3, 0"""
 ORACLE["incremental_merge"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
