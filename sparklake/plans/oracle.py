@@ -698,3 +698,13 @@ UNION ALL SELECT 'not_exists', COUNT(*) FROM customer c
   WHERE NOT EXISTS (SELECT 1 FROM flights f WHERE f.carrier = c.c_custkey)
 UNION ALL SELECT 'not_in_nullable_list', COUNT(*) FROM customer
   WHERE c_custkey NOT IN (SELECT CASE WHEN status = 'CANCELLED' THEN NULL ELSE carrier END FROM flights)"""
+
+# Catalog metadata: the listing and the schema diff follow from the layout and
+# the schemas the queries create, independent of the row values.
+ORACLE["catalog_layers"] = """
+SELECT * FROM (VALUES ('bronze', 'orders', 'EXTERNAL'), ('silver', 'orders', 'EXTERNAL'),
+                      ('gold', 'daily_sales', 'EXTERNAL')) AS t(database, table_name, table_type)"""
+ORACLE["schema_evolution_diff"] = """
+SELECT * FROM (VALUES ('segment', 'added', CAST(NULL AS VARCHAR), 'string', 'applied'),
+                      ('email', 'dropped', 'string', CAST(NULL AS VARCHAR), 'logged'))
+  AS t("column", change, old_type, new_type, action)"""
