@@ -60,3 +60,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/sparklake/{name}/{uuid.uuid4().hex}"
+
+
+def scale_settings(shuffle_bytes: int, *, partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200, max_partitions: int = 50_000) -> dict:
+    """SQL settings for a job that shuffles about ``shuffle_bytes``.
+
+    Shuffle partitions are sized so one partition is ~``partition_bytes``
+    (AQE coalesces small ones and splits skewed ones at run time).  The range
+    operators in ``operators.ordered`` take their range count from the same
+    setting, so their per-range stitch table has at most ``max_partitions``
+    rows.  Apply on the session of a cluster job, e.g.::
+
+        for k, v in scale_settings(40 * 2**40).items():
+            spark.conf.set(k, v)
+    """
+    n = max(min_partitions, min(max_partitions, -(-shuffle_bytes // partition_bytes)))
+    size = f"{partition_bytes >> 20}m"
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
