@@ -133,7 +133,8 @@ def catalog_layers(spark, sf):
     dbs = cat.create_layers(spark, root, prefix=prefix)
     io.write_csv(ad.load_bronze_orders(spark, sf), f"{root}/data/bronze/orders")
     io.write_parquet(silver_orders_of(spark, sf), f"{root}/data/silver/orders", partition_by=["year", "month"])
-    io.write_parquet(md.daily_sales(silver_orders_of(spark, sf)), f"{root}/data/gold/daily_sales")
+    silver = io.read_parquet(spark, f"{root}/data/silver/orders")  # gold reads the written silver
+    io.write_parquet(md.daily_sales(silver), f"{root}/data/gold/daily_sales")
     cat.discover_table(spark, dbs[0], "orders", f"{root}/data/bronze/orders", "csv", {"header": "true"})
     cat.discover_table(spark, dbs[1], "orders", f"{root}/data/silver/orders")
     cat.discover_table(spark, dbs[2], "daily_sales", f"{root}/data/gold/daily_sales")

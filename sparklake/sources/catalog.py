@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "silver", "gold")
@@ -27,11 +26,10 @@ def discover_table(spark: SparkSession, db: str, name: str, path: str, fmt: str
     if options:
         opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING {fmt}{opts} LOCATION '{path}'")
-    if spark.table(f"{db}.{name}").schema and spark.sql(
-            f"DESCRIBE TABLE EXTENDED {db}.{name}").filter(F.col("col_name") == "# Partition Information").count():
-        spark.catalog.recoverPartitions(f"{db}.{name}")
-    else:
-        spark.catalog.refreshTable(f"{db}.{name}")
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(name, db))
+    if partitioned:
+        spark.catalog.recoverPartitions(f"{db}.{name}")  # MSCK REPAIR TABLE
+    spark.catalog.refreshTable(f"{db}.{name}")
 
 
 def list_tables(spark: SparkSession, dbs) -> DataFrame:
