@@ -37,7 +37,8 @@ def list_tables(spark: SparkSession, dbs) -> DataFrame:
     rows = []
     for db in dbs:
         for t in spark.catalog.listTables(db):
-            rows.append((db, t.name, t.tableType))
+            if not t.isTemporary:  # session temp views are listed with every database
+                rows.append((db, t.name, t.tableType))
     return spark.createDataFrame(rows, "database string, table_name string, table_type string")
 
 
