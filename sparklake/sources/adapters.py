@@ -139,16 +139,18 @@ def load_bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- order events (plain columns) and their encoded stream records ----------
 def order_events(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    ord_ = F.floor(eid / 4).cast("bigint")
-    kind = eid % 4
+    # order number and lifecycle step are computed once, then referenced
+    base = events.select("event_id", "ts", "value", "props",
+                         F.floor(F.col("event_id") / 4).cast("bigint").alias("_ord"),
+                         (F.col("event_id") % 4).alias("_kind"))
+    eid, ord_, kind = F.col("event_id"), F.col("_ord"), F.col("_kind")
     keep = ~((kind == 3) & (ord_ % 5 == 0) & (ord_ % 7 != 0))
     etype = (F.when(kind == 0, "order_placed")
               .when(kind == 1, "order_confirmed")
               .when((kind == 2) & (ord_ % 5 == 0), "order_cancelled")
               .when(kind == 2, "order_shipped")
               .otherwise("order_delivered"))
-    return (events.filter(keep).select(
+    return base.filter(keep).select(
         eid.alias("event_id"),
         F.concat(F.lit("o"), ord_.cast("string")).alias("order_id"),
         (ord_ % 50).alias("customer_id"),
@@ -159,7 +161,7 @@ def order_events(events: DataFrame) -> DataFrame:
         iso_ms("ts").alias("timestamp"),
         (eid % 97 == 5).alias("is_corrupt"),
         (eid % 101 == 3).alias("misses_order_id"),
-    ).withColumn("status", status_of_event("event_type")))
+        status_of_event(etype).alias("status"))
 
 
 def load_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
