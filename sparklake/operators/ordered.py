@@ -193,15 +193,33 @@ def keyed_sliding(df: DataFrame, by: Sequence[str], order: Sequence, preceding:
 def keyed_position(df: DataFrame, by: Sequence[str], order: Sequence, *, name: str = "pos",
                    num_ranges: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY by ORDER BY order)`` (equivalently a
-    ``COUNT(*)`` over ``ROWS UNBOUNDED PRECEDING``) with hot keys split over
-    ranges: global position minus the global position of the key's first row."""
+    ``COUNT(*)`` over ``ROWS UNBOUNDED PRECEDING``) with hot keys split over ranges.
+
+    position = global position - global position of the key's first row.  The
+    key's first row is found inside each range by a window (same partitioning,
+    no extra shuffle); only a key that continues from earlier ranges needs more,
+    and that is carried through the per-range table: a key can only enter a
+    range as its first key, and passes through a range only if it fills it.
+    """
     by = list(by)
     full = [F.col(k) for k in by] + _order_cols(order)
     r, table = _ranges_with_positions(df, full, num_ranges)
     r = r.join(F.broadcast(table), PID).withColumn("_g", F.col("_off") + F.col("_rn"))
-    renamed = {k: f"_k_{i}" for i, k in enumerate(by)}
-    first = r.groupBy(*by).agg(F.min("_g").alias("_g0"))
-    first = first.select(*[F.col(k).alias(v) for k, v in renamed.items()], "_g0")
-    cond = [r[k].eqNullSafe(first[v]) for k, v in renamed.items()]
-    out = r.join(first, cond).withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("bigint"))
-    return out.select(*df.columns, name)
+    r = r.withColumn("_kfirst", F.min("_g").over(Window.partitionBy(PID, *by)))
+    key = F.struct(*[F.col(k) for k in by])
+    edges = r.groupBy(PID).agg(
+        F.min_by(key, F.col("_rn")).alias("_fk"),
+        F.max_by(F.struct(key.alias("k"), F.col("_kfirst").alias("kf")), F.col("_rn")).alias("_last"))
+    w = Window.orderBy(PID)
+    chained = F.coalesce(F.lag(F.col("_last.k")).over(w).eqNullSafe(F.col("_fk")), F.lit(False))
+    e = edges.select(PID, "_fk", "_last", chained.alias("_chained"))
+    single = F.col("_fk").eqNullSafe(F.col("_last.k"))
+    e = e.withColumn("_island", F.sum(F.when(F.col("_chained") & single, 0).otherwise(1)).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    e = e.withColumn("_carry_out", F.first("_last.kf").over(
+        Window.partitionBy("_island").orderBy(PID).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    e = e.select(PID, "_fk", F.when(F.col("_chained"), F.lag("_carry_out").over(w)).alias("_carry_in"))
+    out = r.join(F.broadcast(e), PID)  # one row per range
+    first = F.when(F.col("_carry_in").isNotNull() & key.eqNullSafe(F.col("_fk")), F.col("_carry_in")) \
+             .otherwise(F.col("_kfirst"))
+    return out.select(*df.columns, (F.col("_g") - first + 1).cast("bigint").alias(name))
