@@ -70,14 +70,11 @@ def _operated(f: DataFrame) -> DataFrame:
     return f.filter(F.col("status") != CANCELLED)
 
 
-def seven_row_window(by="route"):
-    """The plain named window (one sort shared by all its functions)."""
-    return (Window.partitionBy(by).orderBy("flight_date", "id").rowsBetween(-6, Window.currentRow))
-
-
 def _sliding(f: DataFrame, aggs: dict) -> DataFrame:
     """ROWS 6 PRECEDING per route via range partitioning + halo: a route with a
-    third of all flights is split over many tasks (``keyed_sliding``)."""
+    third of all flights is split over many tasks (``keyed_sliding``).  All
+    functions in ``aggs`` share one window spec (the named-window idea: one
+    sort serves them all)."""
     base = _operated(f).select("route", "flight_date", "id", "passengers", "capacity",
                                occupancy(f).alias("_occ"))
     return keyed_sliding(base, ["route"], ["flight_date", "id"], 6, aggs)

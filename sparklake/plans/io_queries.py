@@ -7,12 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparklake import schemas
-from sparklake.operators import cdc
-from sparklake.plans import events as ev
 from sparklake.plans import medallion as md
-from sparklake.plans.registry import (QUERIES, feed_of, register, silver_customers_of,
-                                      silver_orders_of)
+from sparklake.plans.registry import feed_of, register, silver_customers_of, silver_orders_of
 from sparklake.session import scratch_path
 from sparklake.sources import adapters as ad
 from sparklake.sources import catalog as cat
