@@ -34,6 +34,9 @@ def build_session(master: str | None = None, app: str = "sparklake",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    for k, v in (extra or {}).items():  # runtime SQL settings also apply to a reused session
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
