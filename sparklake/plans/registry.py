@@ -6,9 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparklake.functions import casting as cs
+from sparklake.operators import cdc
+from sparklake.operators import quality as dq
+from sparklake.operators.dedup import latest_by_key
+from sparklake.plans import events as ev
 from sparklake.plans import flights as fl
 from sparklake.plans import medallion as md
+from sparklake.plans import scalars as sc
 from sparklake.sources import adapters as ad
+from sparklake.sources.tables import TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,7 +77,6 @@ for _name, _fn in [("gap_detection", fl.gap_detection), ("gap_report", fl.gap_re
 
 @register("join_on_expression")
 def _join_on_expression(spark, sf):
-    from sparklake.sources.tables import table
     return fl.crew_assignment(ad.load_flights(spark, sf),
                               table(spark, sf, "customer", ["c_name", "c_mktsegment"]))
 
@@ -100,13 +106,6 @@ QUERIES["silver_status_rollup"] = lambda spark, sf: md.silver_status_rollup(silv
 
 
 # -- change capture -----------------------------------------------------------
-from sparklake.functions import casting as cs  # noqa: E402
-from sparklake.operators import cdc  # noqa: E402
-from sparklake.operators import quality as dq  # noqa: E402
-from sparklake.operators.dedup import latest_by_key  # noqa: E402
-from sparklake.plans import events as ev  # noqa: E402
-from sparklake.plans import scalars as sc  # noqa: E402
-from sparklake.sources.tables import table  # noqa: E402
 
 
 def feed_of(spark, sf):
@@ -121,18 +120,13 @@ def _cdc_full_load(spark, sf):
     """Snapshot of every selected table into a replaced target (drop-and-create)."""
     from sparklake.session import scratch_path
     from sparklake.sources.files import read_parquet, write_parquet
-    names = cdc.select_tables(ad_tables(), include=["order%"], exclude=["%_tmp"])
+    names = cdc.select_tables(list(TABLES), include=["order%"], exclude=["%_tmp"])
     root = scratch_path(spark, "full_load")
     for name in names:  # one job per selected table (catalog metadata, a few names)
         write_parquet(cdc.full_load(table(spark, sf, name)), f"{root}/{name}/load", mode="overwrite")
     return read_parquet(spark, f"{root}/{names[0]}/load")
 
 
-def ad_tables():
-    from sparklake.sources.tables import TABLES
-    return list(TABLES)
-
-
 QUERIES["cdc_snapshot_plus_changes"] = lambda spark, sf: feed_of(spark, sf).select(*FEED_COLS)
 QUERIES["cdc_inserts_updates"] = lambda spark, sf: cdc.inserts_updates(feed_of(spark, sf)).select(*FEED_COLS)
 QUERIES["cdc_current_state"] = lambda spark, sf: md.type_orders(
