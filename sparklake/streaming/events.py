@@ -14,6 +14,7 @@ ITEM_COLUMNS = ("pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "custome
 # Landing zone: item columns plus zero-padded text partitions (never re-inferred as numbers).
 LANDING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ITEM_COLUMNS]
                               + [T.StructField(c, T.StringType()) for c in ("year", "month", "day", "hour")])
+from sparklake.operators.dedup import latest_by_key
 from sparklake.plans import events as ev
 from sparklake.sources.files import read_parquet, with_date_parts, write_parquet
 
@@ -63,9 +64,45 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def _current_version(spark: SparkSession, out: str):
+    """Batch id folded into the current compacted version, or None."""
+    try:
+        return spark.read.json(f"{out}/_current").first()["version"]
+    except Exception:  # noqa: BLE001 - no compaction yet
+        return None
+
+
+def _item_sources(spark: SparkSession, out: str, upto=None) -> DataFrame:
+    """Current compacted version (as batch ``version``) plus the batches after it."""
+    batches = spark.read.parquet(f"{out}/items")
+    if upto is not None:
+        batches = batches.filter(F.col("batch_id") <= upto)
+    version = _current_version(spark, out)
+    if version is None:
+        return batches
+    base = (spark.read.parquet(f"{out}/compacted/v={version}")
+                 .withColumn("batch_id", F.lit(version).cast(batches.schema["batch_id"].dataType)))
+    return base.unionByName(batches.filter(F.col("batch_id") > version).select(*base.columns))
+
+
 def item_view(spark: SparkSession, out: str) -> DataFrame:
-    """Current items: the latest version of each (pk, sk) over all batches."""
-    return ev.upsert_view(spark.read.parquet(f"{out}/items"))
+    """Current items: the latest version of each (pk, sk).  Reads the current
+    compacted version (if any) plus the batches written after it."""
+    return ev.upsert_view(_item_sources(spark, out))
+
+
+def compact(spark: SparkSession, out: str) -> int:
+    """Fold all batches so far into ``compacted/v=<last batch>``, then move the
+    ``_current`` pointer.  Readers switch only after the version is complete;
+    re-running after a crash rewrites the same version.  Returns the version."""
+    top = spark.read.parquet(f"{out}/items").agg(F.max("batch_id").alias("v")).first()["v"]
+    if top is None:
+        return -1
+    latest = latest_by_key(_item_sources(spark, out, upto=top), ["pk", "sk"], ["batch_id", "seq"])
+    write_parquet(latest.drop("batch_id"), f"{out}/compacted/v={top}")
+    (spark.createDataFrame([(int(top),)], "version bigint").coalesce(1)
+          .write.mode("overwrite").json(f"{out}/_current"))
+    return int(top)
 
 
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:

@@ -68,3 +68,20 @@ def test_incremental_runs_then_empty(spark):
     appended = inc.read_silver(spark, sink, mode="append").count()
     merged = inc.read_silver(spark, sink, mode="merge").count()
     assert appended == expected1 + expected2 and merged <= appended
+
+
+def test_compaction_keeps_the_view(spark):
+    root = scratch_path(spark, "t_compact")
+    recs = _records(spark)
+    cut = recs.agg(F.percentile_approx("seq", 0.5)).first()[0]
+    recs.filter(F.col("seq") <= cut).write.parquet(f"{root}/src/a")
+    src = f"{root}/src/*"
+    sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
+    before = sorted(sev.item_view(spark, f"{root}/out").collect(), key=str)
+    v = sev.compact(spark, f"{root}/out")
+    assert v >= 0 and sorted(sev.item_view(spark, f"{root}/out").collect(), key=str) == before
+    recs.filter(F.col("seq") > cut).write.parquet(f"{root}/src/b")
+    sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
+    after = sev.item_view(spark, f"{root}/out")
+    assert sorted(after.collect(), key=str) == sorted(ev_items(spark).collect(), key=str)
+    assert sev.compact(spark, f"{root}/out") > v
