@@ -26,7 +26,7 @@ def discover_table(spark: SparkSession, db: str, name: str, path: str, fmt: str
     if options:
         opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING {fmt}{opts} LOCATION '{path}'")
-    partitioned = any(c.isPartition for c in spark.catalog.listColumns(name, db))
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(f"{db}.{name}"))
     if partitioned:
         spark.catalog.recoverPartitions(f"{db}.{name}")  # MSCK REPAIR TABLE
     spark.catalog.refreshTable(f"{db}.{name}")
