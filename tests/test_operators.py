@@ -174,3 +174,14 @@ def test_keyed_sliding_and_position_match_plain_windows(spark):
         pos = keyed_position(df, ["k"], ["t"], name="p", num_ranges=n)
         ref = df.select("*", F.row_number().over(w).cast("bigint").alias("p"))
         assert sorted(pos.collect(), key=str) == sorted(ref.collect(), key=str)
+
+
+def test_table_selection_rules_and_scale_settings():
+    from sparklake.session import scale_settings
+    names = ["orders", "order_items", "customers", "orders_tmp", "audit_log"]
+    assert cdc.select_tables(names, include=["order%"], exclude=["%_tmp"]) == ["orders", "order_items"]
+    assert cdc.select_tables(names, include=["%"], exclude=["audit%", "%_tmp"]) == ["orders", "order_items", "customers"]
+    assert cdc.select_tables(names, include=["orders"]) == ["orders"]  # '_' and '%' only
+    small, big = scale_settings(10 << 20), scale_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200" and big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
