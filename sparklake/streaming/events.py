@@ -41,12 +41,10 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
     stream = record_stream(spark, source, max_files_per_trigger)
     if start == "latest":
         marker = f"{checkpoint}_start"
-        try:
-            first_seq = spark.read.parquet(marker).first()["seq"]
-        except Exception:  # noqa: BLE001 - first run: remember where the stream stood
+        if not _exists(spark, marker):  # first run: remember where the stream stood
             top = spark.read.schema(schemas.STREAM_RECORD).parquet(source).agg(F.max("seq").alias("seq"))
             top.write.mode("overwrite").parquet(marker)
-            first_seq = spark.read.parquet(marker).first()["seq"]
+        first_seq = spark.read.parquet(marker).first()["seq"]
         if first_seq is not None:
             stream = stream.filter(F.col("seq") > F.lit(first_seq))
     decoded = ev.decode(stream)
@@ -64,12 +62,17 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _current_version(spark: SparkSession, out: str):
     """Batch id folded into the current compacted version, or None."""
-    try:
-        return spark.read.json(f"{out}/_current").first()["version"]
-    except Exception:  # noqa: BLE001 - no compaction yet
+    if not _exists(spark, f"{out}/_current"):
         return None
+    return spark.read.json(f"{out}/_current").first()["version"]
 
 
 def _item_sources(spark: SparkSession, out: str, upto=None) -> DataFrame:
