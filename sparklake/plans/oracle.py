@@ -708,3 +708,8 @@ ORACLE["schema_evolution_diff"] = """
 SELECT * FROM (VALUES ('segment', 'added', CAST(NULL AS VARCHAR), 'string', 'applied'),
                       ('email', 'dropped', 'string', CAST(NULL AS VARCHAR), 'logged'))
   AS t("column", change, old_type, new_type, action)"""
+
+ORACLE["stream_ingest_latest"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT pk, sk, gsi1pk, gsi1sk, event_id, order_id, customer_id, event_type, product, amount, status, timestamp
+FROM items
+WHERE CAST(event_id AS BIGINT) > (SELECT floor(max(event_id) / 2) FROM order_events)"""
