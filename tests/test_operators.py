@@ -185,3 +185,15 @@ def test_table_selection_rules_and_scale_settings():
     small, big = scale_settings(10 << 20), scale_settings(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200" and big["spark.sql.shuffle.partitions"] == "50000"
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_ordered_operators_on_empty_input(spark):
+    from sparklake.operators.ordered import keyed_position, keyed_sliding
+    df = spark.createDataFrame([], "k string, v int, id int")
+    assert global_ntile(df, ["v", "id"], 4).count() == 0
+    assert global_lead(df, ["v", "id"], ["id"]).count() == 0
+    assert keyed_position(df, ["k"], ["v", "id"]).count() == 0
+    assert keyed_shift(df, ["k"], ["v", "id"], ["v"]).count() == 0
+    assert keyed_sliding(df, ["k"], ["v", "id"], 3, {"s": lambda w: F.sum("v").over(w)}).count() == 0
+    log = spark.createDataFrame([], "event_id bigint, ts timestamp_ntz, system string, severity string")
+    assert fl.gap_summary(log).collect()[0]["total_gaps"] == 0
