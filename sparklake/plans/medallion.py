@@ -70,15 +70,22 @@ def _rolled_money(total: str, avg: str):
             round_half_up(s.cast("double") / F.sum("_na"), 2).alias(avg)]
 
 
-def daily_sales(orders: DataFrame) -> DataFrame:
+def daily_sales(orders: DataFrame, approx_distinct: bool = False, rsd: float = 0.05) -> DataFrame:
     """K3: revenue KPIs per day.
 
-    Two-level aggregate instead of ``count(DISTINCT)`` next to other aggregates
-    (which Spark runs through an Expand that doubles the rows): first per
-    (day, customer), combined map-side, then per day.  A day holding a third of
-    all orders is spread over its customers in the first shuffle.
+    Exact form: a two-level aggregate instead of ``count(DISTINCT)`` next to
+    other aggregates (which Spark runs through an Expand that doubles the
+    rows): first per (day, customer), combined map-side, then per day.  A day
+    holding a third of all orders is spread over its customers in the first
+    shuffle.  ``approx_distinct=True`` counts customers with HyperLogLog++
+    (relative error ``rsd``) in a single pass; the sketches merge map-side.
     """
     day = F.col("created_at").cast("date").alias("date")
+    if approx_distinct:
+        return orders.groupBy(day).agg(
+            F.count("order_id").alias("total_orders"),
+            *_money_stats("total_revenue", "avg_order_value"),
+            F.approx_count_distinct("customer_id", rsd).alias("unique_customers"))
     per = _partials(orders, [day, "customer_id"])
     return per.groupBy("date").agg(
         F.sum("_n").alias("total_orders"),

@@ -197,3 +197,16 @@ def test_ordered_operators_on_empty_input(spark):
     assert keyed_sliding(df, ["k"], ["v", "id"], 3, {"s": lambda w: F.sum("v").over(w)}).count() == 0
     log = spark.createDataFrame([], "event_id bigint, ts timestamp_ntz, system string, severity string")
     assert fl.gap_summary(log).collect()[0]["total_gaps"] == 0
+
+
+def test_daily_sales_approx_matches_exact_on_small_groups(spark):
+    import os
+    from sparklake.plans.registry import silver_orders_of
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    silver = silver_orders_of(spark, sf)
+    exact = {r["date"]: r["unique_customers"] for r in md.daily_sales(silver).collect()}
+    approx = {r["date"]: r["unique_customers"] for r in md.daily_sales(silver, approx_distinct=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(1, 0.1 * exact[d]) for d in exact)
