@@ -21,7 +21,7 @@ from sparklake.sources.files import read_parquet, with_date_parts, write_parquet
 
 def record_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Broker records landed as Parquet files (the source is a parameter; a
-    Kafka/Kinesis reader yields the same three columns)."""
+    broker connector such as Kafka yields the same three columns)."""
     r = spark.readStream.schema(schemas.STREAM_RECORD)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
