@@ -210,3 +210,13 @@ def test_daily_sales_approx_matches_exact_on_small_groups(spark):
     approx = {r["date"]: r["unique_customers"] for r in md.daily_sales(silver, approx_distinct=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[d] - exact[d]) <= max(1, 0.1 * exact[d]) for d in exact)
+
+
+def test_resolve_choice_policies_and_apply_mapping(spark):
+    df = spark.createDataFrame([("1", "2.5", "x"), ("a", "b", "y")], "c1 string, c2 string, c3 string")
+    out = cs.resolve_choice(df, {"c1": ("int", "cast"), "c2": ("double", "split"), "c3": ("int", "keep")})
+    rows = sorted(out.collect(), key=str)
+    assert out.columns == ["c1", "c3", "c2_double", "c2_text"]
+    assert [(r["c1"], r["c2_double"], r["c2_text"], r["c3"]) for r in rows] == [(1, 2.5, None, "x"), (None, None, "b", "y")]
+    mapped = cs.apply_mapping(df, [("c1", "string", "key", "int"), ("c3", "string", "label", "string")])
+    assert mapped.columns == ["key", "label"] and sorted(r["key"] or 0 for r in mapped.collect()) == [0, 1]
