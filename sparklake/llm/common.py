@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklake.session import scratch_path
@@ -63,3 +68,14 @@ def word_array(text: Column) -> Column:
 
 def utf8_text(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, unless PYTHONPATH already names its folder."""
+    root = Path(__file__).resolve().parents[2]
+    sc = spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_sparklake_sent", False):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="sparklake-code-"), "sparklake_code")
+    sc.addPyFile(shutil.make_archive(base, "zip", root, "sparklake"))  # Spark's file server hands it out
+    sc._sparklake_sent = True

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklake.llm import exact_dedup, quality_rules
+from sparklake.llm import exact_dedup, near_join, quality_rules, sentencepiece_bpe, source_mix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,9 @@ def _on_documents(digest: Callable[[DataFrame], DataFrame]):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mix": _on_documents(source_mix.digest),
+    "op7_near_join": _on_documents(near_join.digest),
+    "op8_sentencepiece": _on_documents(sentencepiece_bpe.digest),
     "op9_exact_dedup": _on_documents(exact_dedup.digest),
     "op10_quality_rules": _on_documents(quality_rules.digest),
 }
