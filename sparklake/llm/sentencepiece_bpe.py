@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from sparklake.llm.common import ROW, field, packed, ship, unpacked
 from sparklake.llm.pieces import MARK, Vocabulary, default_model, pre_tokens, sliced
@@ -208,7 +208,7 @@ def encode(docs: DataFrame, model: str | None = None, carry_text: bool = True) -
             yield pa.RecordBatch.from_arrays([b.column(ROW), ids], names=[ROW, "ids"])
 
     rows = docs.select(packed(docs.select(*names)), field(docs, "text").alias("text"))
-    schema = rows.select(ROW).schema.add("ids", "array<int>")
+    schema = rows.select(ROW).schema.add("ids", ArrayType(IntegerType()))
     return rows.mapInArrow(run, schema).select(*unpacked(docs, names), "ids")
 
 
@@ -225,7 +225,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*s.columns, pa.array(texts, pa.string())], names=[*s.schema.names, "decoded"])
 
     rows = encoded.drop("decoded")
-    schema = StructType(list(rows.schema.fields)).add("decoded", "string")
+    schema = StructType(list(rows.schema.fields)).add("decoded", StringType())
     return rows.mapInArrow(run, schema)
 
 
