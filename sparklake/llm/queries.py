@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparklake.llm import exact_dedup, near_join, quality_rules, sentencepiece_bpe, source_mix
+import corpus_pipeline
+from sparklake.llm import (exact_dedup, near_join, quality_rules, secret_scan, sentencepiece_bpe, sharding,
+                           source_mix)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +21,16 @@ def _on_documents(digest: Callable[[DataFrame], DataFrame]):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": _on_documents(source_mix.digest),
+    "op3_sharding": _on_documents(sharding.digest),
+    "op5_secret_scan": _on_documents(secret_scan.digest),
     "op7_near_join": _on_documents(near_join.digest),
     "op8_sentencepiece": _on_documents(sentencepiece_bpe.digest),
     "op9_exact_dedup": _on_documents(exact_dedup.digest),
     "op10_quality_rules": _on_documents(quality_rules.digest),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_secret_scan": secret_scan.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }
