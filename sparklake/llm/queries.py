@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sparklake.llm import (exact_dedup, near_join, quality_rules, secret_scan, sentencepiece_bpe, sharding,
+from sparklake.llm import (exact_dedup, near_join, pii, quality_rules, secret_scan, sentencepiece_bpe, sharding,
                            source_mix)
 
 
@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": _on_documents(source_mix.digest),
     "op3_sharding": _on_documents(sharding.digest),
     "op5_secret_scan": _on_documents(secret_scan.digest),
+    "op6_pii": _on_documents(pii.digest),
     "op7_near_join": _on_documents(near_join.digest),
     "op8_sentencepiece": _on_documents(sentencepiece_bpe.digest),
     "op9_exact_dedup": _on_documents(exact_dedup.digest),
