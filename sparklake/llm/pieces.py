@@ -45,6 +45,17 @@ def pre_tokens(text: str) -> list[str]:
     return PRE_TOKEN.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+def keys(text: str) -> list[str]:
+    """Pre-tokens as cache keys: one without a leading mark stands for itself after one mark."""
+    if "  " in text or MARK in text or text[:1] == " ":
+        return pre_tokens(text)
+    return text.split(" ") if text else []  # each space starts a pre-token
+
+
+def whole(key: str) -> str:
+    return key if key[:1] == MARK else MARK + key
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches in slices of about SLICE_BYTES of the text column."""
     for b in batches:

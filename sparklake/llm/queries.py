@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sparklake.llm import (exact_dedup, near_join, pii, quality_rules, secret_scan, sentencepiece_bpe, sharding,
-                           source_mix)
+from sparklake.llm import (exact_dedup, near_join, pii, quality_model, quality_rules, secret_scan,
+                           sentencepiece_bpe, sharding, source_mix, token_counts)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,10 @@ def _on_documents(digest: Callable[[DataFrame], DataFrame]):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": _on_documents(source_mix.digest),
+    "op2_token_counts": _on_documents(token_counts.digest),
     "op3_sharding": _on_documents(sharding.digest),
+    "op4_quality_model": lambda spark, sf_dir: quality_model.scored(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")),
     "op5_secret_scan": _on_documents(secret_scan.digest),
     "op6_pii": _on_documents(pii.digest),
     "op7_near_join": _on_documents(near_join.digest),

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from sparklake.llm.common import ROW, field, packed, ship, unpacked
-from sparklake.llm.pieces import MARK, Vocabulary, default_model, pre_tokens, sliced
+from sparklake.llm.pieces import MARK, Vocabulary, default_model, keys, sliced, whole
 
 KEPT_PRE_TOKENS = 150_000
 KEPT_PAIRS = 300_000
@@ -50,7 +50,7 @@ def merged(symbols: list[str], score: dict[str, float]) -> list[str]:
 class Encoder(dict):
     """Ids by pre-token, worked out where missing; holds the last KEPT_PRE_TOKENS or up to twice as many.
 
-    A key without a leading mark stands for the pre-token that it makes with one mark.
+    Keys are those of ``pieces.keys``.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -112,7 +112,7 @@ class Encoder(dict):
         found = self.older.get(key)
         if found is None:
             found, known = [], self.vocabulary.ids
-            for piece in self.split(key if key[:1] == MARK else MARK + key):
+            for piece in self.split(whole(key)):
                 i = known.get(piece)
                 if i is None:
                     found += self.vocabulary.byte_ids(piece)
@@ -126,11 +126,7 @@ class Encoder(dict):
 
     def encode(self, text: str) -> list[int]:
         """Ids of the text, without an end id."""
-        if "  " in text or MARK in text or text[:1] == " ":
-            words = pre_tokens(text)
-        else:  # each space starts a pre-token
-            words = text.split(" ") if text else []
-        return list(chain.from_iterable(map(self.__getitem__, words)))
+        return list(chain.from_iterable(map(self.__getitem__, keys(text))))
 
 
 def _utf8(raw: bytes) -> str:
