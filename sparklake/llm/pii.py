@@ -38,7 +38,7 @@ PATTERNS = {
     "date": r"(?<![0-9A-Za-z-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3}|[ -][0-9]{6}[ -][0-9]{5}))(?![0-9A-Za-z])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KINDS = list(PATTERNS)
