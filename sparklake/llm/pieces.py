@@ -1,4 +1,4 @@
-"""Vocabulary of a SentencePiece BPE model and the pre-tokens that its merges never cross."""
+"""Vocabulary of a SentencePiece BPE model, and the cuts of a text that its pieces never cross."""
 
 from __future__ import annotations
 
@@ -36,24 +36,39 @@ class Vocabulary:
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a space mark after other characters: merges cross pre-tokens")
 
-    def byte_ids(self, char: str) -> list[int]:
-        return [self.byte_id[b] for b in char.encode()] if self.byte_id else [self.unknown]
+        # Letters, and all other characters, never share a piece in such vocabularies: a text can
+        # be cut between them as well as before a run of marks.
+        odd = "".join(sorted({c for p in self.ids for c in p if c.isalnum() and not c.isalpha() and not c.isdecimal()}))
+        other = f"[^\\w{MARK}]|[\\d_{odd}]"
+        self.part = re.compile(f"{MARK}*[^\\W\\d_{odd}]+|{MARK}*(?:{other})+|{MARK}+")
+        if not all(map(self.part.fullmatch, self.ids)):
+            self.part = PRE_TOKEN
 
+    def parts(self, text: str) -> list[str]:
+        """The text with its leading mark, cut where no piece goes across; no text: nothing."""
+        return self.part.findall(MARK + text.replace(" ", MARK)) if text else []
 
-def pre_tokens(text: str) -> list[str]:
-    """Runs of space marks with what follows, of the text with its leading mark; no text: none."""
-    return PRE_TOKEN.findall(MARK + text.replace(" ", MARK)) if text else []
+    def byte_ids(self, char: str) -> list[int]:
+        return [self.byte_id[b] for b in char.encode()] if self.byte_id else [self.unknown]
 
 
-def keys(text: str) -> list[str]:
-    """Pre-tokens as cache keys: one without a leading mark stands for itself after one mark."""
-    if "  " in text or MARK in text or text[:1] == " ":
-        return pre_tokens(text)
-    return text.split(" ") if text else []  # each space starts a pre-token
+class Kept(dict):
+    """Results by key, worked out where missing; holds the last ``most`` or up to twice as many."""
 
+    def __init__(self, work, most: int):
+        super().__init__()
+        self.work, self.most = work, most
+        self.older: dict = {}
 
-def whole(key: str) -> str:
-    return key if key[:1] == MARK else MARK + key
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.work(key)
+        if len(self) >= self.most:  # what was used lately stays
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

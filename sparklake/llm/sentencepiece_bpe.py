@@ -6,8 +6,8 @@ position (all matches come from one Aho-Corasick pass), checks it against the pi
 before, tries shorter ones, and steps back when none fits; a bitfield keeps the positions
 that lead nowhere, as the encoding of a prefix is unique.
 
-Merges never cross pre-tokens (see ``pieces``), so each distinct pre-token is
-encoded once per worker while it is kept; the number kept is bounded.
+Merges never cross the cuts between parts of a text (see ``pieces``), so each distinct
+part is encoded once per worker while it is kept; the number kept is bounded.
 
 Defined results: null text counts as empty and gives only the end id; other columns are
 carried; repeated rows are encoded alike; an empty table gives an empty result; texts are encoded whole.
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from sparklake.llm.common import ROW, field, packed, ship, unpacked
-from sparklake.llm.pieces import MARK, Vocabulary, default_model, keys, sliced, whole
+from sparklake.llm.pieces import MARK, Kept, Vocabulary, default_model, sliced
 
-KEPT_PRE_TOKENS = 150_000
+KEPT_PARTS = 250_000
 KEPT_PAIRS = 300_000
 
 
@@ -47,14 +47,10 @@ def merged(symbols: list[str], score: dict[str, float]) -> list[str]:
         symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
 
 
-class Encoder(dict):
-    """Ids by pre-token, worked out where missing; holds the last KEPT_PRE_TOKENS or up to twice as many.
-
-    Keys are those of ``pieces.keys``.
-    """
+class Encoder:
+    """Encodes a text part by part; keeps the ids of the parts used lately."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary, self.score = vocabulary, vocabulary.score
         self.automaton = ahocorasick.Automaton()
         for piece in vocabulary.ids:
@@ -64,7 +60,7 @@ class Encoder(dict):
                 self.automaton.add_word(piece, len(piece))
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.older: dict[str, list[int]] = {}
+        self.of_part = Kept(self.part_ids, KEPT_PARTS)
 
     def compatible(self, a: str, b: str) -> bool:
         if len(self.pairs) >= KEPT_PAIRS:
@@ -73,7 +69,7 @@ class Encoder(dict):
         return found
 
     def split(self, word: str) -> list[str]:
-        """The pieces of a pre-token; characters that no piece has stand for themselves."""
+        """The pieces of a part; characters that no piece has stand for themselves."""
         n = len(word)
         matches: list[list[int]] = [[] for _ in range(n + 1)]  # lengths over 1, the longest last
         for last, length in self.automaton.iter(word):
@@ -108,25 +104,19 @@ class Encoder(dict):
             at, before, left = end, piece, len(matches[end])
         return taken
 
-    def __missing__(self, key: str) -> list[int]:
-        found = self.older.get(key)
-        if found is None:
-            found, known = [], self.vocabulary.ids
-            for piece in self.split(whole(key)):
-                i = known.get(piece)
-                if i is None:
-                    found += self.vocabulary.byte_ids(piece)
-                else:
-                    found.append(i)
-        if len(self) >= KEPT_PRE_TOKENS:  # what was used lately stays
-            self.older = dict(self)
-            self.clear()
-        self[key] = found
+    def part_ids(self, part: str) -> list[int]:
+        found, known = [], self.vocabulary.ids
+        for piece in self.split(part):
+            i = known.get(piece)
+            if i is None:
+                found += self.vocabulary.byte_ids(piece)
+            else:
+                found.append(i)
         return found
 
     def encode(self, text: str) -> list[int]:
         """Ids of the text, without an end id."""
-        return list(chain.from_iterable(map(self.__getitem__, keys(text))))
+        return list(chain.from_iterable(map(self.of_part.__getitem__, self.vocabulary.parts(text))))
 
 
 def _utf8(raw: bytes) -> str:
@@ -217,7 +207,11 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 s = b.slice(at, 500)
-                texts = [decoder.decode(ids or []) for ids in s.column("ids").to_pylist()]
+                ids = s.column("ids")
+                flat = ids.flatten().to_numpy(zero_copy_only=False).tolist()
+                sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+                texts = [decoder.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([*s.columns, pa.array(texts, pa.string())], names=[*s.schema.names, "decoded"])
 
     rows = encoded.drop("decoded")

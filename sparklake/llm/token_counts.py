@@ -1,9 +1,9 @@
 """Token counts: unigram segmentation by dynamic programming on a trie of pre-tokens.
 
-Distinct pre-tokens go into a trie.  Each node holds the best score of the segmentations of its prefix and the
+Pre-tokens are the parts of a text that no piece crosses; distinct ones go into a trie.  Each node holds the best score of the segmentations of its prefix and the
 tokens of that best one, worked out once from the nodes above it, so pre-tokens that begin
 alike share the work; a pre-token's count is that of its last node.  A document's count is the sum over its
-pre-tokens (see ``pieces``), which no piece crosses.
+pre-tokens (see ``pieces``).
 
 Scores are the model's piece scores, read as unigram scores; a character without a piece scores
 ``UNKNOWN_BELOW`` less than the least piece and counts as its UTF-8 bytes (or one unknown).  Of
@@ -24,29 +24,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructType
 
 from sparklake.llm.common import ROW, field, packed, ship, unpacked
-from sparklake.llm.pieces import Vocabulary, default_model, keys, sliced, whole
+from sparklake.llm.pieces import Kept, Vocabulary, default_model, sliced
 
 UNKNOWN_BELOW = 10.0
 #: Pieces with a score at or below this are placeholders and don't set the unknown score.
 PLACEHOLDER = -1e8
 #: A worker starts a new trie beyond this many nodes.
 MOST_NODES = 500_000
-KEPT_COUNTS = 200_000
+KEPT_PARTS = 250_000
 CHARS = 0x110000
 
 
-class ForwardTrie(dict):
-    """Token count by pre-token key, from a trie; keeps the last KEPT_COUNTS keys or up to twice as many."""
+class ForwardTrie:
+    """Token counts of pre-tokens from their trie; keeps the counts of those used lately."""
 
     def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
         self.vocabulary, self.score = vocabulary, vocabulary.score
         self.unknown = min(s for s in self.score.values() if s > PLACEHOLDER) - UNKNOWN_BELOW
         self.automaton = ahocorasick.Automaton()
         for piece, score in self.score.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
-        self.older: dict[str, int] = {}
+        self.of_part = Kept(self.part_count, KEPT_PARTS)
         self.plant()
 
     def plant(self) -> None:
@@ -78,30 +77,22 @@ class ForwardTrie(dict):
             tokens.append(count)
         return path[-1]
 
-    def __missing__(self, key: str) -> int:
-        found = self.older.get(key)
-        if found is None:
-            if len(self.best) > MOST_NODES:
-                self.plant()
-            word, child, node = whole(key), self.child, 0
-            path = [0]
-            for c in word:
-                node = child.get(node * CHARS + ord(c))
-                if node is None:
-                    node = self.grow(word, path)
-                    break
-                path.append(node)
-            found = self.tokens[node]
-        if len(self) >= KEPT_COUNTS:  # what was used lately stays
-            self.older = dict(self)
-            self.clear()
-        self[key] = found
-        return found
+    def part_count(self, word: str) -> int:
+        if len(self.best) > MOST_NODES:
+            self.plant()
+        child, node, path = self.child, 0, [0]
+        for c in word:
+            node = child.get(node * CHARS + ord(c))
+            if node is None:
+                node = self.grow(word, path)
+                break
+            path.append(node)
+        return self.tokens[node]
 
     def count(self, text: str) -> tuple[int, int]:
         """(pre-tokens, tokens) of a text."""
-        words = keys(text)
-        return len(words), sum(map(self.__getitem__, words))
+        parts = self.vocabulary.parts(text)
+        return len(parts), sum(map(self.of_part.__getitem__, parts))
 
 
 _made: dict[str, ForwardTrie] = {}
