@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.common import ROW, SPACE, field, packed, save, unpacked
+from sparklake.llm.common import ROW, SPACE, field, packed, save, small, unpacked
 
 BITS_PER_ROW = 16
 BLOCK_BITS = 32_768
@@ -69,12 +69,13 @@ def groups(docs: DataFrame, carry_text: bool = True) -> DataFrame:
         F.lit(True).alias("kept"))
     maybe = tested.where("__maybe").drop("__maybe")
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__uid").alias("uid")))
-    found = (maybe.groupBy(F.col("text_sha256").alias("__sha")).agg(first.alias("__first"),
-                                                                   F.count("*").alias("group_size")))
+    found = (maybe.groupBy(F.col("text_sha256").alias("__sha")).agg(first.alias("__first"), F.count("*").alias("__n"))
+             .where("__n >= 2"))
     # a hot group is one row of `found`; its many rows on the other side are split by AQE
-    resolved = maybe.join(found, F.col("text_sha256") == F.col("__sha")).select(
-        ROW, "text_sha256", F.col("__first")["id"].alias("keep_id"), "group_size",
-        (F.col("__uid") == F.col("__first")["uid"]).alias("kept"))
+    resolved = maybe.join(small(save(found, "dedup_groups")), F.col("text_sha256") == F.col("__sha"), "left").select(
+        ROW, "text_sha256", F.when(F.col("__n") >= 2, F.col("__first")["id"]).otherwise(F.col("__id")).alias("keep_id"),
+        F.coalesce("__n", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("__uid") == F.col("__first")["uid"], F.lit(True)).alias("kept"))
     return alone.unionByName(resolved)
 
 
