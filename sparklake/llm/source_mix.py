@@ -35,7 +35,7 @@ SLOTS = 1 << 18
 MOST_BLOCK_WORDS = 1024
 CHUNK_SLOTS = 1 << 13
 GRID = 1 << 12
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def _sized(docs: DataFrame, carry_text: bool) -> DataFrame:
