@@ -1,17 +1,24 @@
 """Operators over one global order that do not funnel into a single task.
 
 A window with ``ORDER BY`` and no ``PARTITION BY`` makes Spark move every row
-into one partition (``Exchange SinglePartition``).  Here the data is instead
-range-partitioned on the full, unique ordering key, so equal values of the
-leading column (a hot timestamp, a popular value) are spread over many tasks.
-Each range is processed locally; the ranges are then stitched through a table
-with one row per range (its size is bounded by the partition count, which is
-what makes its broadcast safe).
+into one partition (``Exchange SinglePartition``).  Here each row is tagged with a
+range of the full, unique ordering key, so equal values of the leading column (a
+hot timestamp, a popular value) are spread over many ranges.  Each range is
+processed locally; the ranges are then stitched through a table with one row per
+range (its size is bounded by the range count, which is what makes its broadcast
+safe).
+
+The range bounds are picked from a fixed sample: the rows with the smallest hashes
+of their key.  They stand in the plan as a literal, so the tag is a pure
+expression of the row: every branch, retry and re-run cuts the same ranges, and
+nothing has to be written in between.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +26,16 @@ from pyspark.sql import functions as F
 from sparklake.functions.scalar import col
 
 PID = "_range_id"
+#: Sampled rows for each range, from which its bounds are picked.
+SAMPLE_PER_RANGE = 20
+
+
+class Key(NamedTuple):
+    """One ordering column with its direction."""
+
+    column: Column
+    descending: bool
+    nulls_first: bool
 
 
 def _num_ranges(df: DataFrame, n: int | None) -> int:
@@ -31,21 +48,68 @@ def _order_cols(order: Sequence) -> list[Column]:
     return [col(c) for c in order]
 
 
+def _keys(order: Sequence) -> list[Key]:
+    """Names and columns ascend with nulls first; ``desc()`` and the like are read from the column."""
+    keys = []
+    for c in order:
+        found = re.fullmatch(r"Column<'(.*) (ASC|DESC) NULLS (FIRST|LAST)'>", str(c), re.DOTALL)
+        if found:
+            keys.append(Key(F.expr(found[1]), found[2] == "DESC", found[3] == "FIRST"))
+        else:
+            keys.append(Key(col(c), False, True))
+    return keys
+
+
+def _at_or_after(keys: list[Key], bound: Column) -> Column:
+    """Whether the row is at or after ``bound`` (a struct k0, k1, ...) in the order."""
+    out = F.lit(True)
+    for i, k in reversed(list(enumerate(keys))):
+        b = bound[f"k{i}"]
+        after = (F.when(k.column.isNull(), F.lit(not k.nulls_first))
+                  .when(b.isNull(), F.lit(k.nulls_first))
+                  .otherwise(k.column < b if k.descending else k.column > b))
+        out = F.when(k.column.eqNullSafe(b), out).otherwise(after)
+    return out
+
+
+def _bounds(df: DataFrame, keys: list[Key], n: int) -> list:
+    """Up to n - 1 key values, in order, that cut ``df`` into ranges of like size."""
+    if n < 2:
+        return []
+    named = df.select(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
+    sample = named.orderBy(F.xxhash64(*named.columns)).limit(n * SAMPLE_PER_RANGE)
+    in_order = [getattr(F.col(f"k{i}"), f"{'desc' if k.descending else 'asc'}_nulls_{'first' if k.nulls_first else 'last'}")()
+                for i, k in enumerate(keys)]
+    rows = sample.orderBy(*in_order).collect()  # SAMPLE_PER_RANGE rows a range, whatever the input
+    picked = [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
+    return [r for r, before in zip(picked, [None, *picked]) if r != before]
+
+
+def _range_of(df: DataFrame, keys: list[Key], bounds: list) -> Column:
+    """Number of bounds at or before the row: a binary search in a literal array."""
+    if not bounds:
+        return F.lit(0)
+    named = df.select(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
+    kinds = [f.dataType for f in named.schema.fields]
+    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, kinds))])
+                      for r in bounds])
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        right = (s["lo"] < s["hi"]) & _at_or_after(keys, F.get(table, mid))
+        return F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(right | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(steps, start, halve)["lo"]
+
+
 def ranged(df: DataFrame, order: Sequence, num_ranges: int | None = None) -> DataFrame:
-    """Range-partition on ``order`` and tag each row with its range number.
-
-    The range bounds come from a sample whose seed depends on the RDD id, so
-    two evaluations of the same plan can cut the ranges differently.  The
-    tagged rows are therefore checkpointed (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``): every later branch reads the same ranges, and a
-    lost executor re-reads the files instead of re-sampling.  Callers pass only
-    the columns they need, which keeps the checkpoint narrow.
-    """
-    from sparklake.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    n = _num_ranges(df, num_ranges)
-    tagged = df.repartitionByRange(n, *_order_cols(order)).withColumn(PID, F.spark_partition_id())
-    return tagged.checkpoint(eager=True)
+    """Tag each row with its range of ``order``; ranges follow each other in the order."""
+    keys = _keys(order)
+    bounds = _bounds(df, keys, _num_ranges(df, num_ranges))
+    return df.withColumn(PID, _range_of(df, keys, bounds))
 
 
 def global_position(df: DataFrame, order: Sequence, *, name: str = "_pos",
@@ -147,7 +211,7 @@ def keyed_shift(df: DataFrame, by: Sequence[str], order: Sequence, values: Seque
 
 
 def _ranges_with_positions(df: DataFrame, full: list[Column], num_ranges: int | None):
-    """Checkpointed ranges, each row with its in-range number ``_rn`` and the
+    """Ranges, each row with its in-range number ``_rn`` and the
     per-range table (range id, dense index, offset, size)."""
     r = ranged(df, full, num_ranges)
     r = r.withColumn("_rn", F.row_number().over(Window.partitionBy(PID).orderBy(*full)))
@@ -160,6 +224,18 @@ def _ranges_with_positions(df: DataFrame, full: list[Column], num_ranges: int |
     return r, table
 
 
+def _within_reach(table: DataFrame, preceding: int) -> DataFrame:
+    """(_from, _targets): per range, the later ranges that begin less than ``preceding`` rows after its end."""
+    reach = Window.orderBy("_off").rangeBetween(Window.currentRow, preceding)
+    begins = table.select(PID, "_idx", "_off", F.lit(None).cast("int").alias("_from"))
+    ends = table.select(F.lit(None).cast("int").alias(PID), "_idx", (F.col("_off") + F.col("_cnt")).alias("_off"),
+                        F.col(PID).alias("_from"))
+    both = begins.unionByName(ends)
+    target = F.when(F.col(PID).isNotNull(), F.struct(F.col(PID).alias("pid"), F.col("_idx").alias("idx"), F.col("_off").alias("off")))
+    met = both.select("_from", "_idx", F.collect_list(target).over(reach).alias("_met")).where("_from IS NOT NULL")
+    return met.select("_from", F.filter("_met", lambda t: t["idx"] > F.col("_idx")).alias("_targets"))
+
+
 def keyed_sliding(df: DataFrame, by: Sequence[str], order: Sequence, preceding: int,
                   aggs: dict, *, num_ranges: int | None = None) -> DataFrame:
     """Aggregates over ``ROWS BETWEEN preceding PRECEDING AND CURRENT ROW`` of
@@ -178,12 +254,14 @@ def keyed_sliding(df: DataFrame, by: Sequence[str], order: Sequence, preceding:
     t = F.broadcast(table)  # one row per range
     r = r.join(t, PID)
     cols = df.columns
-    near = r.filter(F.col("_rn") > F.col("_cnt") - preceding).withColumn("_g", F.col("_off") + F.col("_rn"))
-    targets = t.select(F.col(PID).alias("_tpid"), F.col("_idx").alias("_tidx"), F.col("_off").alias("_toff"))
-    halo = (near.withColumn("_tidx", F.explode(F.sequence(F.col("_idx") + 1, F.col("_idx") + preceding)))
-                .join(targets, "_tidx")
-                .filter((F.col("_toff") >= F.col("_g")) & (F.col("_toff") - preceding < F.col("_g")))
-                .select(*cols, F.col("_tpid").alias(PID), F.lit(True).alias("_halo")))
+    # the ranges that begin within reach of a range's last row: mostly one, and never more than
+    # lie between it and the end of its reach
+    later = _within_reach(table, preceding)
+    near = (r.filter(F.col("_rn") > F.col("_cnt") - preceding).withColumn("_g", F.col("_off") + F.col("_rn"))
+             .join(F.broadcast(later), F.col(PID) == F.col("_from")))  # one row per range
+    halo = (near.withColumn("_to", F.explode(F.filter(
+                "_targets", lambda t: (t["off"] >= F.col("_g")) & (t["off"] - preceding < F.col("_g")))))
+                .select(*cols, F.col("_to.pid").alias(PID), F.lit(True).alias("_halo")))
     rows = r.select(*cols, PID, F.lit(False).alias("_halo")).unionByName(halo)
     w = Window.partitionBy(PID, *by).orderBy(*full).rowsBetween(-preceding, Window.currentRow)
     out = rows.select(*cols, "_halo", *[fn(w).alias(name) for name, fn in aggs.items()])

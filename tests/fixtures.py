@@ -4,11 +4,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from sparklake.plans import flights as fl
-
-# The eight routes of the seed, in their serial order.
-SEED_ROUTES = ["SCL-LIM", "SCL-BOG", "SCL-MIA", "BOG-MIA", "LIM-BOG", "MIA-JFK", "SCL-GRU", "BOG-GRU"]
-
 # The seed system log (timestamp, system), 30 events on 2025-03-15.
 SEED_LOG = [
     ("08:00:00", "check-in"), ("08:05:12", "check-in"), ("08:09:45", "boarding"),
@@ -24,13 +19,22 @@ SEED_LOG = [
 ]
 
 
-def seed_flights(spark):
-    """960 flights: 8 routes x 2025-01-01..2025-04-30, ids in route-major order."""
-    routes = spark.createDataFrame(list(zip(SEED_ROUTES, range(1, 9))), "route string, route_idx int")
-    cal = fl.flight_calendar(routes, F.lit(dt.date(2025, 1, 1)), F.lit(dt.date(2025, 4, 30)))
-    ident = ((F.col("route_idx") - 1) * 120 + F.datediff("flight_date", F.lit(dt.date(2025, 1, 1))) + 1)
-    return cal.select(ident.cast("bigint").alias("id"), "route", "flight_date", "status", "passengers",
-                      "capacity", F.col("route").alias("carrier"))
+# A few flights by hand: (route, date, status, passengers); ids follow the order of the list.
+HAND_FLIGHTS = [
+    ("A", "2025-01-01", "COMPLETED", 90), ("A", "2025-01-02", "CANCELLED", 10), ("A", "2025-01-03", "COMPLETED", 180),
+    ("A", "2025-01-05", "DELAYED", 45), ("A", "2025-01-09", "CANCELLED", 20), ("A", "2025-02-01", "CANCELLED", 30),
+    ("A", "2025-02-02", "CANCELLED", 30), ("A", "2025-02-03", "CANCELLED", 30), ("A", "2025-02-10", "COMPLETED", 60),
+    ("B", "2025-01-01", "CANCELLED", 5), ("B", "2025-01-01", "COMPLETED", 144), ("B", "2025-01-04", "COMPLETED", 126),
+    ("B", "2025-02-01", "DELAYED", 36), ("B", "2025-02-02", "COMPLETED", 72), ("B", "2025-02-28", "COMPLETED", 108),
+    ("C", "2025-01-31", "COMPLETED", 18), ("C", "2025-02-01", "COMPLETED", 54),
+]
+CAPACITY = 180
+
+
+def hand_flights(spark):
+    rows = [(i + 1, r, dt.date.fromisoformat(d), s, p, CAPACITY, r) for i, (r, d, s, p) in enumerate(HAND_FLIGHTS)]
+    return spark.createDataFrame(rows, "id bigint, route string, flight_date date, status string, passengers int, "
+                                       "capacity int, carrier string")
 
 
 def seed_log(spark):
