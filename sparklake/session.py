@@ -13,12 +13,15 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str | None = None, app: str = "sparklake",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, shuffle_bytes: int | None = None) -> SparkSession:
     """Session used by tests and the benchmark.
 
     On a cluster the caller's own session is used instead; nothing in the
     library depends on these settings except that AQE is expected to be on.
+    ``shuffle_bytes`` sizes the partitions for a job that shuffles that much.
     """
+    if shuffle_bytes:
+        extra = {**scale_settings(shuffle_bytes), **(extra or {})}
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
     master = master or f"local[{cpus}]"
     b = (SparkSession.builder.master(master).appName(app)
@@ -34,8 +37,8 @@ def build_session(master: str | None = None, app: str = "sparklake",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    for k, v in (extra or {}).items():  # runtime SQL settings also apply to a reused session
-        if k.startswith("spark.sql."):
+    for k, v in (extra or {}).items():  # runtime settings also apply to a reused session
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -45,14 +48,16 @@ def build_session(master: str | None = None, app: str = "sparklake",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only in local mode, where
+    one machine is the whole cluster, an unset folder is replaced by a private one.
     """
     sc = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sparklake-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -66,19 +71,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def scale_settings(shuffle_bytes: int, *, partition_bytes: int = 256 << 20,
-                   min_partitions: int = 200, max_partitions: int = 50_000) -> dict:
+                   min_partitions: int = 200) -> dict:
     """SQL settings for a job that shuffles about ``shuffle_bytes``.
 
     Shuffle partitions are sized so one partition is ~``partition_bytes``
     (AQE coalesces small ones and splits skewed ones at run time).  The range
     operators in ``operators.ordered`` take their range count from the same
-    setting, so their per-range stitch table has at most ``max_partitions``
-    rows.  Apply on the session of a cluster job, e.g.::
+    setting, so their ranges stay as small.  ``build_session(shuffle_bytes=...)``
+    applies them; on the session of a cluster job::
 
         for k, v in scale_settings(40 * 2**40).items():
             spark.conf.set(k, v)
     """
-    n = max(min_partitions, min(max_partitions, -(-shuffle_bytes // partition_bytes)))
+    n = max(min_partitions, -(-shuffle_bytes // partition_bytes))
     size = f"{partition_bytes >> 20}m"
     return {
         "spark.sql.shuffle.partitions": str(n),
