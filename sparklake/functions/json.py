@@ -25,8 +25,14 @@ def decode_base64_text(c) -> Column:
 def json_map(text) -> Column:
     """Parse a JSON object once into ``map<string,string>``: scalar values keep
     their text (``12`` -> ``"12"``), a key present with JSON null stays in the
-    map, and text that is not a JSON object gives a NULL map."""
-    return F.from_json(col(text), "map<string,string>")
+    map, a repeated key keeps its last value, and text that is not a JSON object
+    gives a NULL map."""
+    parsed = F.from_json(col(text), "map<string,string>")
+    keys = F.map_keys(parsed)
+    last = F.aggregate(
+        F.map_entries(parsed), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
+        lambda m, e: F.map_concat(F.map_filter(m, lambda k, _: k != e["key"]), F.map_from_entries(F.array(e))))
+    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), parsed).otherwise(last)
 
 
 def field_or_default(parsed: Column, name: str, default: str) -> Column:

@@ -42,14 +42,30 @@ def round_half_up(c, scale: int) -> Column:
 
     ``round(double)`` is sensitive to binary representation (x.xx5 cases);
     going through ``decimal(38,9)`` makes the half-up decision on the decimal
-    digits the user sees.
+    digits the user sees.  A value beyond that decimal has no such digits and stays.
     """
-    return F.round(col(c).cast("decimal(38,9)"), scale).cast("double")
+    exact = F.round(col(c).try_cast("decimal(38,9)"), scale).cast("double")
+    return F.coalesce(exact, col(c).cast("double"))
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Order-independent sum of a money column (decimal), returned as double."""
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+#: Amounts at or beyond this are no amounts: bad text, like NaN and infinity.
+MONEY_LIMIT = 1e18
+
+
+def money(c) -> Column:
+    """Text or number -> double; NULL if it is no finite number below MONEY_LIMIT."""
+    x = col(c).try_cast("double")
+    return F.when(F.abs(x) < MONEY_LIMIT, x)
+
+
+def money_digits(c) -> Column:
+    """An amount with nine decimals, for sums that don't depend on the order of the rows."""
+    return col(c).cast("decimal(38,9)")
+
+
+def exact_sum(c) -> Column:
+    """Order-independent sum of a money column, returned as double; rounding comes last."""
+    return F.sum(money_digits(c)).cast("double")
 
 
 def pct(num, den) -> Column:
@@ -106,6 +122,17 @@ def iso_ms(c) -> Column:
     return F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+def utc_of_iso(c) -> Column:
+    """ISO-8601 text -> zone-free UTC timestamp; the text's own offset counts, none means UTC.
+
+    Through the instant's microseconds, so the session time zone has no part in it.
+    """
+    text = F.trim(col(c))
+    zoned = F.when(text.rlike(r"([Zz]|[+-][0-9]{2}:?[0-9]{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(zoned.try_cast("timestamp")),
+                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def status_of_event(c) -> Column:
     """Event type -> status lookup as a literal map (unknown type -> NULL)."""
     pairs = []

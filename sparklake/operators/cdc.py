@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import fnmatch
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,15 +12,24 @@ from sparklake.operators.dedup import dedup_changes
 OPS_EMITTED = ("I", "U")  # deletes are not emitted by an insert/update-only capture
 
 
+def _like(pattern: str) -> re.Pattern:
+    """SQL ``LIKE``: ``%`` is any text, ``_`` one character, all else itself."""
+    return re.compile("".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in pattern), re.DOTALL)
+
+
 def select_tables(names, include=("%",), exclude=()) -> list[str]:
     """Table selection rules with SQL ``LIKE`` patterns (``%`` and ``_``).
 
-    Works on catalog metadata (a list of names), never on rows.
+    Names are ``table`` or ``schema.table``.  A rule is one pattern for the table, in any
+    schema, or a (schema, table) pair of patterns.  Works on catalog metadata (a
+    list of names), never on rows.
     """
-    def like(name, pat):
-        return fnmatch.fnmatchcase(name, pat.replace("%", "*").replace("_", "?"))
+    def hit(name, rule):
+        of_schema, of_table = rule if isinstance(rule, tuple) else ("%", rule)
+        schema, _, table = name.rpartition(".")
+        return bool(_like(of_schema).fullmatch(schema) and _like(of_table).fullmatch(table))
     return [n for n in names
-            if any(like(n, p) for p in include) and not any(like(n, p) for p in exclude)]
+            if any(hit(n, r) for r in include) and not any(hit(n, r) for r in exclude)]
 
 
 def full_load(df: DataFrame, op: str = "I") -> DataFrame:

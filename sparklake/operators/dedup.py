@@ -63,10 +63,14 @@ def op_rank(c="op") -> Column:
     return F.coalesce(F.create_map(*pairs)[col(c)], F.lit(-1))
 
 
-def dedup_changes(df: DataFrame, key: str, *, ts: str = "updated_at", op: str = "op") -> DataFrame:
-    """Ruling R3: one row per primary key, the latest by ``ts`` (parsed), then by
-    operation precedence (I < U < D), then by all columns."""
-    ordering = [F.col(ts).try_cast("timestamp_ntz")] if ts in df.columns else []
+def dedup_changes(df: DataFrame, key: str, *, ts: str = "updated_at", op: str = "op",
+                  seq: str = "commit_seq") -> DataFrame:
+    """Ruling R3: one row per primary key, the last by commit order (``seq``, where the
+    feed has it), then by ``ts`` (parsed), then by operation precedence (I < U < D),
+    then by all columns."""
+    ordering = [F.col(seq)] if seq in df.columns else []
+    if ts in df.columns:
+        ordering.append(F.col(ts).try_cast("timestamp_ntz"))
     if op in df.columns:
         ordering.append(op_rank(op))
     return latest_by_key(df, [key], ordering)

@@ -7,13 +7,13 @@ items --upsert_view--> latest item per (PK, SK)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparklake.functions.json import (
     OPTIONAL_DEFAULTS, ORDER_EVENT_SCHEMA, REQUIRED_FIELDS, decode_base64_text,
     field_or_default, json_map)
-from sparklake.functions.scalar import CANCEL_AFTER, ORDER_LIFECYCLE, micros_between
+from sparklake.functions.scalar import CANCEL_AFTER, ORDER_LIFECYCLE, micros_between, utc_of_iso
 from sparklake.operators.dedup import latest_by_key
 from sparklake.operators.ordered import keyed_shift
 
@@ -64,46 +64,61 @@ def batch_counters(decoded: DataFrame) -> DataFrame:
                        F.count_if(F.col("reason").isNotNull()).alias("failed"))
 
 
-def to_items(events: DataFrame) -> DataFrame:
+def to_items(events: DataFrame, keep=()) -> DataFrame:
     """Single-table item layout: partition key per order, sort key by time and type,
-    a secondary key per customer."""
+    a secondary key per customer.  ``keep`` names columns to carry along, such as the
+    record's ``seq``."""
     return events.select(
         F.concat(F.lit("ORDER#"), "order_id").alias("pk"),
         F.concat(F.lit("EVENT#"), "timestamp", F.lit("#"), "event_type").alias("sk"),
         F.concat(F.lit("CUSTOMER#"), "customer_id").alias("gsi1pk"),
         F.col("timestamp").alias("gsi1sk"),
         "event_id", "order_id", "customer_id", "event_type", "product", "amount", "status",
-        "timestamp")
+        "timestamp", *keep)
 
 
 def upsert_view(batches: DataFrame) -> DataFrame:
     """Latest item per (pk, sk) across batches: replays and repeats overwrite.
 
     ``batches`` carries ``batch_id`` and ``seq``; the newest batch wins, then the
-    newest record.  A ``max_by`` aggregate, so it combines before the shuffle.
+    newest record.  The pick keeps one row a key and task before the shuffle.
     """
     latest = latest_by_key(batches, ["pk", "sk"], ["batch_id", "seq"])
     return latest.drop("batch_id", "seq")
 
 
-def clustered(items: DataFrame, key: str, sort: str) -> DataFrame:
-    """Copy clustered by ``key`` and sorted by ``sort`` inside it (an access path).
+BUCKETS = 64
+
+
+def _bucket(key, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def store(items: DataFrame, path: str, key: str, sort: list[str], buckets: int = BUCKETS) -> None:
+    """Write an access path: all attributes, a folder per hash bucket of ``key``, rows in the
+    order of (key, sort).  Range partitioning splits a heavy key over several files."""
+    b = items.withColumn("bucket", _bucket(key, buckets))
+    (b.repartitionByRange("bucket", key, *sort).sortWithinPartitions("bucket", key, *sort)
+      .write.mode("overwrite").partitionBy("bucket").parquet(path))
 
-    Range partitioning on (key, sort) splits a heavy key over several files
-    instead of one task.
-    """
-    return items.repartitionByRange(F.col(key), F.col(sort)).sortWithinPartitions(key, sort)
 
+def stored(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A stored access path, with each row's position inside its key as the files have it."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"),
+                                           F.col("_metadata.row_index").alias("_at"))
+    w = Window.partitionBy(key).orderBy("_file", "_at")
+    return rows.withColumn("position", F.row_number().over(w).cast("bigint")).drop("_file", "_at", "bucket")
 
-def order_history(items: DataFrame) -> DataFrame:
-    """Every order's events in sort-key order (query by pk)."""
-    return clustered(items, "pk", "sk").select("pk", "sk", "event_type", "status", "timestamp")
 
+def lookup(spark: SparkSession, path: str, key: str, value: str, buckets: int = BUCKETS) -> DataFrame:
+    """The rows of one key: reads one bucket folder, with the key pushed to its files."""
+    rows = spark.read.parquet(path)
+    return rows.filter((F.col("bucket") == _bucket(F.lit(value), buckets)) & (F.col(key) == value)).drop("bucket")
 
-def history_of(items: DataFrame, order_id: str) -> DataFrame:
-    """One order's history (point lookup)."""
-    return (items.filter(F.col("pk") == F.concat(F.lit("ORDER#"), F.lit(order_id)))
-                 .orderBy("sk"))
+
+def history_of(spark: SparkSession, path: str, order_id: str) -> DataFrame:
+    """One order's history in sort-key order (point lookup in the path stored by pk)."""
+    return lookup(spark, path, "pk", f"ORDER#{order_id}").orderBy("sk")
 
 
 def history_range(items: DataFrame, start: str, end: str) -> DataFrame:
@@ -112,11 +127,6 @@ def history_range(items: DataFrame, start: str, end: str) -> DataFrame:
     return items.filter((F.col("sk") >= lo) & (F.col("sk") < hi)).select("pk", "sk", "event_type")
 
 
-def customer_orders(items: DataFrame) -> DataFrame:
-    """Secondary access path: all events of each customer, by time."""
-    return clustered(items, "gsi1pk", "gsi1sk").select("gsi1pk", "gsi1sk", "pk", "sk", "event_type")
-
-
 def current_state(items: DataFrame) -> DataFrame:
     """The latest event of each order decides its status."""
     last = latest_by_key(items.select("order_id", "sk", "event_type", "status", "timestamp"),
@@ -147,12 +157,8 @@ def lifecycle_violations(items: DataFrame) -> DataFrame:
             .select("order_id", "prev_event_type", "event_type", "timestamp"))
 
 
-def _iso_to_ts(c: str):
-    return F.translate(F.substring(F.col(c), 1, 23), "T", " ").try_cast("timestamp_ntz")
-
-
 def lifecycle_durations(items: DataFrame) -> DataFrame:
     """Seconds between consecutive events of an order."""
     p = _with_previous(items)
-    secs = micros_between(_iso_to_ts("prev_timestamp"), _iso_to_ts("timestamp")) / F.lit(1_000_000.0)
+    secs = micros_between(utc_of_iso("prev_timestamp"), utc_of_iso("timestamp")) / F.lit(1_000_000.0)
     return p.select("order_id", "event_type", "prev_event_type", secs.alias("seconds_since_prev"))

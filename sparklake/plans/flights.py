@@ -17,6 +17,7 @@ from sparklake.functions.scalar import (
     clock_time, dow_sunday0, epoch_minutes_between, in_month, micros_between,
     month_start, pct, round_half_up, year_month)
 from sparklake.operators.dedup import distinct_on, latest_by_key
+from sparklake.operators.joins import small
 from sparklake.operators.ordered import (global_lead, global_ntile, keyed_position, keyed_shift,
                                          keyed_sliding)
 
@@ -112,7 +113,7 @@ def range_occupancy(f: DataFrame, days: int = 6) -> DataFrame:
     per_day = daily.select("route", "flight_date",
                            round_half_up(F.sum("_s").over(w) / F.sum("_n").over(w), 2).alias("occupancy_avg_7d"),
                            F.sum("_rows").over(w).alias("rows_in_range"))
-    return base.join(per_day, ["route", "flight_date"]).select(
+    return base.join(small(per_day), ["route", "flight_date"]).select(
         "route", "flight_date", "id", "occupancy_avg_7d", "rows_in_range")
 
 
@@ -209,7 +210,7 @@ def running_total(f: DataFrame, month: str = MONTH_A) -> DataFrame:
     per_day = daily.select("route", "flight_date", run.cast("bigint").alias("running_passengers"),
                            tot.cast("bigint").alias("total_month"),
                            round_half_up(F.lit(100.0) * run / tot, 1).alias("pct_of_total"))
-    return base.join(per_day, ["route", "flight_date"]).select(
+    return base.join(small(per_day), ["route", "flight_date"]).select(
         "route", "flight_date", "id", "passengers", "running_passengers", "total_month", "pct_of_total")
 
 
@@ -259,16 +260,15 @@ def route_date_series(f: DataFrame) -> DataFrame:
 def route_day_grid(f: DataFrame) -> DataFrame:
     """Routes x days over the whole span, with flights and passengers per cell.
 
-    The grid is generated per route (explode of the global day range), so no
-    cartesian product is planned; its size is routes x calendar days.
+    The day range is a scalar of its own; months are dealt out before they become days,
+    so the grid (routes x calendar days) is made by many tasks.
     """
-    per_route = f.groupBy("route").agg(F.min("flight_date").alias("lo"),
-                                       F.max("flight_date").alias("hi"))
-    everyone = Window.partitionBy()
-    spans = per_route.select("route", F.min("lo").over(everyone).alias("lo"),
-                             F.max("hi").over(everyone).alias("hi"))
-    grid = spans.select("route", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
-                        .alias("day"))
+    span = f.agg(F.struct(F.min("flight_date").alias("lo"), F.max("flight_date").alias("hi")).alias("s"))
+    spans = f.select("route").distinct().withColumn("_s", span.scalar())
+    months = spans.select("route", "_s", F.explode(F.sequence(
+        month_start("_s.lo"), month_start("_s.hi"), F.expr("INTERVAL 1 MONTH"))).alias("_m")).repartition("route", "_m")
+    days = F.sequence(F.greatest("_m", "_s.lo"), F.least(F.last_day("_m"), "_s.hi"), F.expr("INTERVAL 1 DAY"))
+    grid = months.select("route", F.explode(days).alias("day"))
     daily = (f.groupBy("route", F.col("flight_date").alias("day"))
               .agg(F.count(F.lit(1)).alias("n"), F.sum("passengers").alias("p")))
     return grid.join(daily, ["route", "day"], "left").select(
@@ -311,7 +311,7 @@ def first_last_baseline(f: DataFrame, route: str = ROUTE, month: str = MONTH_A)
     ordering = F.struct("flight_date", "id")
     ends = base.groupBy("route", "_m").agg(F.min_by("_occ", ordering).alias("_first"),
                                            F.max_by("_occ", ordering).alias("_last"))
-    return base.join(ends, ["route", "_m"]).select(
+    return base.join(small(ends), ["route", "_m"]).select(
         "route", "flight_date", "id", round_half_up("_occ", 2).alias("occupancy_pct"),
         round_half_up("_first", 2).alias("first_flight_pct"),
         round_half_up("_last", 2).alias("last_flight_pct"),
@@ -327,7 +327,7 @@ def nth_value_baseline(f: DataFrame, n: int = 3, month: str = MONTH_B) -> DataFr
     w = Window.partitionBy("route", "_m").orderBy("flight_date", "id")
     nth = (base.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == n)
                .select("route", "_m", F.col("_occ").alias("_nth")))
-    return base.join(nth, ["route", "_m"], "left").select(
+    return base.join(small(nth), ["route", "_m"], "left").select(
         "route", "flight_date", "id", round_half_up("_occ", 2).alias("occupancy_pct"),
         round_half_up("_nth", 2).alias("nth_flight_pct"))
 
@@ -335,7 +335,7 @@ def nth_value_baseline(f: DataFrame, n: int = 3, month: str = MONTH_B) -> DataFr
 def ntile_labels(f: DataFrame, month: str = MONTH_A, k: int = 4) -> DataFrame:
     base = _operated(f).filter(in_month("flight_date", month)).select(
         "route", "flight_date", "id", "passengers", round_half_up(occupancy(f), 2).alias("occupancy_pct"))
-    order = [F.col("passengers").desc_nulls_first(), F.col("flight_date").asc(), F.col("id").asc()]
+    order = [F.col("passengers").desc_nulls_first(), F.col("flight_date"), F.col("id")]
     q = global_ntile(base, order, k, name="quartile")
     labels = F.create_map(*[x for kv in QUARTILE_LABELS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return q.withColumn("category", labels[F.col("quartile").cast("int")])
@@ -374,16 +374,12 @@ def lookback_count(f: DataFrame, route: str = ROUTE, start: str = LOOKBACK_FROM,
 def above_average_rate(f: DataFrame) -> DataFrame:
     """Routes whose cancellation rate beats the global rate.
 
-    The scalar subquery is the sum over the (small) per-route aggregate, taken
-    with an empty-partition window: no second scan and no join.
+    The global rate is a scalar subquery over the per-route aggregate.
     """
     per = f.groupBy("route").agg(F.count(F.lit(1)).alias("total_flights"),
                                  F.count_if(F.col("status") == CANCELLED).alias("cancelled"))
-    everyone = Window.partitionBy()
-    rate = pct("cancelled", "total_flights")
-    overall = pct(F.sum("cancelled").over(everyone), F.sum("total_flights").over(everyone))
-    return (per.withColumn("_rate", rate).withColumn("_all", overall)
-               .filter(F.col("_rate") > F.col("_all"))
+    overall = per.agg(pct(F.sum("cancelled"), F.sum("total_flights")).alias("rate")).scalar()
+    return (per.withColumn("_rate", pct("cancelled", "total_flights")).filter(F.col("_rate") > overall)
                .select("route", "total_flights", "cancelled",
                        round_half_up("_rate", 2).alias("cancellation_rate_pct")))
 
@@ -394,43 +390,7 @@ def never_completed(f: DataFrame, month: str = MONTH_B, key: str = "carrier") ->
     return in_m.select(key).distinct().join(done, key, "left_anti")
 
 
-# -- K31 / K32 / A21: calendar generator, expression join, inline values ----
-def flight_calendar_rules(grid: DataFrame) -> DataFrame:
-    """Deterministic flight calendar from (route, route_idx, flight_date)."""
-    idx = F.col("route_idx")
-    day = F.dayofmonth("flight_date")
-    dow = dow_sunday0("flight_date")
-    status = (F.when((idx == 7) & ((idx + day) % 5 == 0), CANCELLED)
-               .when((idx == 3) & ((idx + day) % 6 == 0), CANCELLED)
-               .when((idx == 4) & ((idx + day) % 6 == 0), CANCELLED)
-               .when((idx + day) % 9 == 0, CANCELLED)
-               .when((idx * 2 + day) % 7 == 0, DELAYED)
-               .otherwise(COMPLETED))
-    passengers = (F.when(dow.isin(5, 6), F.lit(165) + idx * 2)
-                   .when(dow == 0, F.lit(155) + idx * 2)
-                   .otherwise(F.lit(130) + idx * 3 + day % 10))
-    return grid.select("route", "route_idx", "flight_date", status.alias("status"),
-                       passengers.cast("int").alias("passengers"), F.lit(180).alias("capacity"))
-
-
-def flight_calendar(routes: DataFrame, start, end) -> DataFrame:
-    """routes(route, route_idx) x days, built by exploding the day range per route."""
-    grid = routes.select("route", "route_idx",
-                         F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("flight_date"))
-    return flight_calendar_rules(grid)
-
-
-def flight_calendar_from(f: DataFrame) -> DataFrame:
-    """Calendar over the routes and date span found in a flight table."""
-    per_route = f.groupBy("route").agg(F.min("flight_date").alias("lo"),
-                                       F.max("flight_date").alias("hi"))
-    everyone = Window.partitionBy()
-    routes = per_route.select(
-        "route", F.dense_rank().over(Window.orderBy("route")).cast("int").alias("route_idx"),
-        F.min("lo").over(everyone).alias("lo"), F.max("hi").over(everyone).alias("hi"))
-    return flight_calendar(routes, F.col("lo"), F.col("hi"))
-
-
+# -- K32 / A21: expression join, inline values -------------------------------
 def crew_assignment(f: DataFrame, crew: DataFrame, roles=("BUILDING", "MACHINERY")) -> DataFrame:
     """Equi-join on a key computed from one side (``base = LEFT(route, 3)`` shape)."""
     members = crew.filter(F.col("c_mktsegment").isin(*roles)).select("c_name", "c_mktsegment")
@@ -474,43 +434,38 @@ def in_exists_join_equivalence(f: DataFrame, customers: DataFrame) -> DataFrame:
 
     Customers that fly (carrier = c_custkey).  The NOT IN list carries a NULL for
     every cancelled flight, so NOT IN returns nothing (three-valued logic) while
-    NOT EXISTS returns the customers without flights.  NOT IN is evaluated as
-    "anti join, unless the list holds a NULL": no nested-loop plan.
+    NOT EXISTS returns the customers without flights.
+
+    The flights are reduced once, map-side, to one row per carrier, so all methods are
+    read off one left join: IN and EXISTS keep a customer with a match, the join counts
+    its flights, NOT EXISTS keeps one without, and NOT IN is an anti join unless the list
+    holds a NULL.
     """
-    cust = customers.select(F.col("c_custkey").alias("k"))
-    # the flight side is reduced map-side to (carrier, flights) first: a carrier
-    # with a third of all flights is one row per task before any join
-    carriers = f.groupBy(F.col("carrier").alias("k")).agg(F.count(F.lit(1)).alias("_flights"))
-    nullable = f.select(F.when(F.col("status") == CANCELLED, F.lit(None).cast("bigint"))
-                        .otherwise(F.col("carrier")).alias("k")).groupBy("k").agg(
-                            F.count(F.lit(1)).alias("_rows"))
-    spark = f.sparkSession
-    cust.createOrReplaceTempView("_eq_customers")
-    carriers.select("k").createOrReplaceTempView("_eq_carriers")
-    in_sql = spark.sql("SELECT k FROM _eq_customers WHERE k IN (SELECT k FROM _eq_carriers)")
-    matched = cust.join(carriers, "k", "inner")
-
-    def n(df, tag):
-        return df.agg(F.count(F.lit(1)).alias("v")).select(F.lit(tag).alias("t"), "v")
-
-    parts = [
-        n(in_sql, "in_subquery"),
-        n(cust.join(carriers, "k", "left_semi"), "exists"),
-        matched.agg(F.sum("_flights").alias("v")).select(F.lit("inner_join").alias("t"), "v"),
-        n(matched.select("k").distinct(), "inner_join_distinct"),
-        n(cust.join(carriers, "k", "left_anti"), "not_exists"),
-        n(cust.filter(F.col("k").isNotNull()).join(nullable.filter(F.col("k").isNotNull()), "k", "left_anti"),
-          "_anti_nonnull"),
-        nullable.agg(F.count_if(F.col("k").isNull()).alias("v")).select(F.lit("_list_nulls").alias("t"), "v"),
-    ]
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
-    one = allv.groupBy().pivot("t", [t for t in ("in_subquery", "exists", "inner_join",
-                                                  "inner_join_distinct", "not_exists",
-                                                  "_anti_nonnull", "_list_nulls")]).agg(F.first("v"))
-    not_in = F.when(F.col("_list_nulls") > 0, F.lit(0)).otherwise(F.col("_anti_nonnull")).cast("bigint")
-    rows = [F.struct(F.lit(m).alias("method"), F.col(m).cast("bigint").alias("row_count"))
-            for m in ("in_subquery", "exists", "inner_join", "inner_join_distinct", "not_exists")]
-    rows.append(F.struct(F.lit("not_in_nullable_list").alias("method"), not_in.alias("row_count")))
+    cancelled = F.col("status") == CANCELLED
+    carriers = f.groupBy(F.col("carrier").alias("k")).agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(cancelled).alias("nulls"),
+        F.count_if(~F.coalesce(cancelled, F.lit(False))).alias("listed"))
+    nulls = carriers.agg(F.sum(F.when(F.col("k").isNull(), F.col("flights")).otherwise(F.col("nulls")))).scalar()
+    j = customers.select(F.col("c_custkey").alias("k")).join(carriers, "k", "left")
+    matched = F.col("flights").isNotNull()
+    not_listed = F.col("k").isNotNull() & (F.coalesce("listed", F.lit(0)) == 0)
+    counts = {
+        "in_subquery": F.count_if(matched), "exists": F.count_if(matched), "inner_join": F.sum("flights"),
+        "inner_join_distinct": F.count_distinct(F.when(matched, F.col("k"))), "not_exists": F.count_if(~matched),
+        "not_in_nullable_list": F.count_if(not_listed)}
+    one = j.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(m) for m, c in counts.items()])
+    one = one.withColumn("not_in_nullable_list", F.when(nulls > 0, F.lit(0).cast("bigint")).otherwise(F.col("not_in_nullable_list")))
+    rows = [F.struct(F.lit(m).alias("method"), F.col(m).alias("row_count")) for m in counts]
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+# -- F: sorted reports ---------------------------------------------------------
+def sorted_cancellations(f: DataFrame) -> tuple[DataFrame, list]:
+    """Monthly cancellations with their order: month, then most cancellations first."""
+    m = monthly_cancellations(f).select(year_month("month").alias("month"), "route", "cancellations")
+    return m, [F.col("month"), F.col("cancellations").desc(), F.col("route")]
+
+
+def sorted_mom(f: DataFrame) -> tuple[DataFrame, list]:
+    """Month-over-month changes with their order: route, then month."""
+    return mom_change(f), [F.col("route"), F.col("month")]

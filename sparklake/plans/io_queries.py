@@ -4,15 +4,19 @@ checkpoint folder and returns the read-back result."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparklake.plans import events as ev
+from sparklake.plans import flights as fl
 from sparklake.plans import medallion as md
-from sparklake.plans.registry import feed_of, register, silver_customers_of, silver_orders_of
+from sparklake.plans.registry import feed_of, items_of, register, silver_customers_of, silver_orders_of
 from sparklake.session import scratch_path
 from sparklake.sources import adapters as ad
 from sparklake.sources import catalog as cat
 from sparklake.sources import files as io
+from sparklake.sources.tables import table
 from sparklake.streaming import events as sev
 from sparklake.streaming import incremental as inc
 
@@ -96,34 +100,54 @@ def write_metrics(spark, sf):
 
 @register("insert_select")
 def insert_select(spark, sf):
-    from sparklake.plans import flights as fl
-    path = scratch_path(spark, "calendar_table")
-    name = f"calendar_{path.rsplit('/', 1)[-1][:12]}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"""CREATE TABLE {name} (route STRING, route_idx INT, flight_date DATE, status STRING,
-                  passengers INT, capacity INT) USING parquet LOCATION '{path}'""")
-    fl.flight_calendar_from(ad.load_flights(spark, sf)).write.insertInto(name)
-    return spark.table(name)
+    path = scratch_path(spark, "mom_table")
+    name = f"mom_{path.rsplit('/', 1)[-1][:12]}"
+    spark.sql(f"""CREATE TABLE {name} (route STRING, month STRING, cancellations BIGINT, prev_cancellations BIGINT,
+                  variation_pct DOUBLE, trend STRING) USING parquet LOCATION '{path}'""")
+    fl.mom_change(ad.load_flights(spark, sf)).write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")  # files stay: the table was external
+    return spark.read.parquet(path)
 
 
 @register("table_lifecycle")
 def table_lifecycle(spark, sf):
-    from sparklake.plans import flights as fl
-    from sparklake.sources.tables import table
     path = scratch_path(spark, "crew_table")
     name = f"crew_{path.rsplit('/', 1)[-1][:12]}"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     schema = "id BIGINT, route STRING, carrier BIGINT, c_name STRING, role STRING"
     spark.createDataFrame([], schema).write.option("path", path).saveAsTable(name)
     fl.crew_assignment(ad.load_flights(spark, sf),
                        table(spark, sf, "customer", ["c_name", "c_mktsegment"])).write.insertInto(name)
-    out = spark.read.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # files stay: the table was external
-    return out
+    spark.sql(f"DROP TABLE {name}")  # files stay: the table was external
+    return spark.read.parquet(path)
 
 
+# -- sorted sinks ------------------------------------------------------------------
+def _sorted_back(spark, df, order, name):
+    path = scratch_path(spark, name)
+    io.write_sorted(df, path, order)
+    return io.with_file_position(spark, path)
+
+
+@register("sorted_daily_sales")
+def sorted_daily_sales(spark, sf):
+    """Gold written in date order; position is the row's place in the files read back."""
+    return _sorted_back(spark, md.daily_sales(silver_orders_of(spark, sf)), ["date"], "sorted_sales")
+
+
+@register("sorted_cancellations")
+def sorted_cancellations(spark, sf):
+    return _sorted_back(spark, *fl.sorted_cancellations(ad.load_flights(spark, sf)), "sorted_cancellations")
+
+
+@register("sorted_mom_change")
+def sorted_mom_change(spark, sf):
+    return _sorted_back(spark, *fl.sorted_mom(ad.load_flights(spark, sf)), "sorted_mom")
+
+
+# -- catalog -------------------------------------------------------------------------
 @register("catalog_layers")
 def catalog_layers(spark, sf):
+    """The listing of the layers, each table with its rows as read through the catalog."""
     root = scratch_path(spark, "warehouse")
     prefix = "l" + root.rsplit("/", 1)[-1][:8] + "_"
     dbs = cat.create_layers(spark, root, prefix=prefix)
@@ -134,30 +158,56 @@ def catalog_layers(spark, sf):
     cat.discover_table(spark, dbs[0], "orders", f"{root}/data/bronze/orders", "csv", {"header": "true"})
     cat.discover_table(spark, dbs[1], "orders", f"{root}/data/silver/orders")
     cat.discover_table(spark, dbs[2], "daily_sales", f"{root}/data/gold/daily_sales")
-    listing = cat.list_tables(spark, dbs)
-    return listing.withColumn("database", F.regexp_replace("database", "^" + prefix, ""))
+    listed = cat.list_tables(spark, dbs).collect()  # catalog entries, a few
+    rows = [(r["database"].removeprefix(prefix), r["table_name"], r["table_type"],
+             spark.table(f"{r['database']}.{r['table_name']}").count()) for r in listed]
+    cat.drop_layers(spark, dbs)
+    return spark.createDataFrame(rows, "database string, table_name string, table_type string, row_count bigint")
 
 
 @register("catalog_discover")
 def catalog_discover(spark, sf):
+    """Two crawls: the second finds the column that later files have, in the same entry."""
     root = scratch_path(spark, "discover")
     prefix = "d" + root.rsplit("/", 1)[-1][:8] + "_"
     dbs = cat.create_layers(spark, root, layers=("silver",), prefix=prefix)
-    io.write_parquet(silver_orders_of(spark, sf), f"{root}/silver/orders", partition_by=["year", "month"])
-    cat.discover_table(spark, dbs[0], "orders", f"{root}/silver/orders")
-    return spark.sql(md.STATUS_ROLLUP_SQL.format(table=f"{dbs[0]}.orders"))
+    path = f"{root}/data/silver/orders"
+    io.write_parquet(silver_orders_of(spark, sf), path, partition_by=["year", "month"])
+    cat.discover_table(spark, dbs[0], "orders", path)
+    later = _changes_silver(spark, sf).withColumn("channel", F.lit("web"))
+    io.write_parquet(later, path, mode="append", partition_by=["year", "month"])
+    cat.discover_table(spark, dbs[0], "orders", path)
+    result = scratch_path(spark, "rollup")
+    # read through the catalog, then written, so that the entry can go
+    io.write_parquet(spark.sql(f"""SELECT status, channel, COUNT(*) AS total,
+        CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
+        FROM {dbs[0]}.orders GROUP BY status, channel"""), result)
+    cat.drop_layers(spark, dbs)
+    return io.read_parquet(spark, result)
 
 
 @register("schema_evolution_diff")
 def schema_evolution_diff(spark, sf):
+    """Schema changes of a second file and, read through the changed table, how many rows
+    have a value in each changed column."""
     root = scratch_path(spark, "evolve")
     prefix = "e" + root.rsplit("/", 1)[-1][:8] + "_"
     db = cat.create_layers(spark, root, layers=("silver",), prefix=prefix)[0]
+    path = f"{root}/data/customers"
     v1 = silver_customers_of(spark, sf)
-    io.write_parquet(v1, f"{root}/customers")
-    cat.discover_table(spark, db, "customers", f"{root}/customers")
-    v2 = v1.drop("email").withColumn("segment", F.lit("retail"))
-    return cat.evolve_table(spark, f"{db}.customers", v2.schema)
+    io.write_parquet(v1, path)
+    cat.discover_table(spark, db, "customers", path)
+    v2 = (v1.filter(F.col("customer_id") % 3 == 0).drop("email").withColumn("segment", F.lit("retail"))
+            .withColumn("customer_id", F.col("customer_id").cast("bigint")))
+    diff = cat.evolve_table(spark, f"{db}.customers", v2.schema)
+    io.write_parquet(v2, path, mode="append")
+    spark.catalog.refreshTable(f"{db}.customers")
+    t = spark.table(f"{db}.customers")
+    filled = t.agg(*[F.count(c).alias(c) for c in t.columns]).first().asDict()  # one row
+    rows = [(*r, filled[r["column"]]) for r in diff.collect()]  # a row a changed column
+    cat.drop_layers(spark, [db])
+    return spark.createDataFrame(rows, "column string, change string, old_type string, new_type string, "
+                                       "action string, filled_rows bigint")
 
 
 # -- incremental bookmark ----------------------------------------------------
@@ -165,17 +215,21 @@ def _silver_batch(batch):
     return md.silver_orders(batch, now=False)
 
 
-def _bookmark_runs(spark, sf):
+def _bookmark_runs(spark, files, transform, table="orders"):
+    """One run after each file has landed and one more; the sink and the rows of each run."""
     root = scratch_path(spark, "incremental")
     src, sink, ckpt = f"{root}/bronze", f"{root}/silver", f"{root}/_bookmark"
-    io.write_csv(ad.load_bronze_orders(spark, sf), f"{root}/staging/batch1")
-    io.write_csv(ad.load_order_changes(spark, sf), f"{root}/staging/batch2")
-    fs = _move_csv_files(spark, f"{root}/staging/batch1", src, "batch1")
-    runs = [inc.run_incremental(spark, src, sink, ckpt, transform=_silver_batch)]
-    _move_csv_files(spark, f"{root}/staging/batch2", src, "batch2", fs)
-    runs.append(inc.run_incremental(spark, src, sink, ckpt, transform=_silver_batch))
-    runs.append(inc.run_incremental(spark, src, sink, ckpt, transform=_silver_batch))
-    return root, sink, runs
+    runs = []
+    for i, df in enumerate([*files, None]):
+        if df is not None:
+            io.write_csv(df, f"{root}/staging/batch{i}")
+            _move_csv_files(spark, f"{root}/staging/batch{i}", src, f"batch{i}")
+        runs.append(inc.run_incremental(spark, src, sink, ckpt, transform=transform, table=table))
+    return sink, runs
+
+
+def _order_files(spark, sf):
+    return [ad.load_bronze_orders(spark, sf), ad.load_order_changes(spark, sf), ad.load_order_reinserts(spark, sf)]
 
 
 def _move_csv_files(spark, staging, dest, tag, fs=None):
@@ -193,26 +247,35 @@ def _move_csv_files(spark, staging, dest, tag, fs=None):
     return fs
 
 
+def _with_date_columns(df):
+    return df.drop("year", "month").withColumns({"year": F.year("created_at"), "month": F.month("created_at")})
+
+
 @register("incremental_bookmark")
 def incremental_bookmark(spark, sf):
-    _, sink, _ = _bookmark_runs(spark, sf)
-    return inc.read_silver(spark, sink, mode="append").drop("year", "month").withColumns(
-        {"year": F.year("created_at"), "month": F.month("created_at")})
+    sink, _ = _bookmark_runs(spark, _order_files(spark, sf)[:2], _silver_batch)
+    return _with_date_columns(inc.read_silver(spark, sink, mode="append"))
 
 
 @register("incremental_empty_run")
 def incremental_empty_run(spark, sf):
-    _, _, runs = _bookmark_runs(spark, sf)
+    _, runs = _bookmark_runs(spark, _order_files(spark, sf)[:2], _silver_batch)
     return spark.createDataFrame([(i + 1, int(n)) for i, n in enumerate(runs)],
                                  "run bigint, rows_written bigint")
 
 
 @register("incremental_merge")
 def incremental_merge(spark, sf):
-    _, sink, _ = _bookmark_runs(spark, sf)
-    merged = inc.read_silver(spark, sink, mode="merge")
-    return merged.drop("year", "month").withColumns(
-        {"year": F.year("created_at"), "month": F.month("created_at")})
+    """Merged silver after three files: updates, deletes and orders that come back."""
+    sink, _ = _bookmark_runs(spark, _order_files(spark, sf), md.silver_changes)
+    return _with_date_columns(inc.read_silver(spark, sink, mode="merge"))
+
+
+@register("incremental_customers")
+def incremental_customers(spark, sf):
+    first = ad.load_bronze_customers(spark, sf)
+    sink, _ = _bookmark_runs(spark, [first, ad.customer_changes(first)], md.customer_changes, table="customers")
+    return inc.read_silver(spark, sink, mode="merge", key="customer_id")
 
 
 # -- streams ---------------------------------------------------------------------
@@ -236,44 +299,101 @@ def raw_hourly_landing(spark, sf):
     root = scratch_path(spark, "landing")
     src = _land_records(spark, sf, root)
     sev.land_hourly(spark, src, f"{root}/raw", f"{root}/_ckpt")
-    return spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/raw")
+    return spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/raw").drop("seq")
 
 
 @register("stream_silver")
 def stream_silver(spark, sf):
+    """Two landings and two refreshes: the second brings rows that are hours late, some with
+    a zone offset in their time, and changed repeats of rows that silver has."""
     root = scratch_path(spark, "stream_silver")
-    src = _land_records(spark, sf, root)
-    sev.land_hourly(spark, src, f"{root}/raw", f"{root}/_ckpt_raw")
-    sev.refresh_silver(spark, f"{root}/raw", f"{root}/silver", f"{root}/_ckpt_silver")
-    return spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/silver")
+    for i, part in enumerate(ad.late_arrivals(ad.load_order_events(spark, sf))):
+        ad.stream_records(part).write.parquet(f"{root}/records/{i}")
+        sev.land_hourly(spark, f"{root}/records/*", f"{root}/raw", f"{root}/_ckpt_raw")
+        sev.refresh_silver(spark, f"{root}/raw", f"{root}/silver", f"{root}/_ckpt_silver")
+    return spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/silver").drop("seq")
 
 
-@register("gold_refresh")
-def gold_refresh(spark, sf):
+def _gold_refreshes(spark, sf, build, silver_part, gold_part):
+    """Gold after three change files: built from merged silver, then the touched parts again.
+    A changed order touches the part where it is now and the part where it was."""
     root = scratch_path(spark, "gold_refresh")
-    first = silver_orders_of(spark, sf)
-    second = _changes_silver(spark, sf)
-    io.write_parquet(first, f"{root}/silver", mode="append")
-    sev.refresh_gold_days(first, first, f"{root}/gold", md.daily_sales)
-    io.write_parquet(second, f"{root}/silver", mode="append")
-    silver = spark.read.parquet(f"{root}/silver")
-    sev.refresh_gold_days(silver, second, f"{root}/gold", md.daily_sales)
+    before = None
+    for i, file in enumerate(_order_files(spark, sf)):
+        batch = md.silver_changes(file)
+        io.write_parquet(batch, f"{root}/silver/batch_id={i}")
+        silver = inc.read_silver(spark, f"{root}/silver", mode="merge")
+        touched = batch.select(silver_part.alias("part"))
+        if before is not None:  # where the changed orders were until now
+            touched = touched.union(before.join(batch.select("order_id"), "order_id", "left_semi").select(silver_part))
+        sev.refresh_gold(silver, touched, f"{root}/gold", build, silver_part, gold_part)
+        io.write_parquet(silver, f"{root}/before/{i}")
+        before = spark.read.parquet(f"{root}/before/{i}")
     return sev.read_gold(spark, f"{root}/gold")
 
 
+@register("gold_refresh")
+def gold_refresh(spark, sf):
+    return _gold_refreshes(spark, sf, md.daily_sales, sev.month_of("created_at"), sev.month_of("date"))
+
+
+@register("gold_refresh_customer")
+def gold_refresh_customer(spark, sf):
+    customers = silver_customers_of(spark, sf)
+    bucket = sev.key_bucket("customer_id")
+    return _gold_refreshes(spark, sf, lambda s: md.customer_summary(s, customers), bucket, bucket)
+
+
+@register("gold_refresh_product")
+def gold_refresh_product(spark, sf):
+    """Totals are stored by product; the rank, which any product can move, is taken on reading."""
+    bucket = sev.key_bucket("product")
+    return md.with_revenue_rank(_gold_refreshes(spark, sf, md.product_totals, bucket, bucket))
+
+
 @register("stream_ingest_latest")
 def stream_ingest_latest(spark, sf):
-    """Consumer that starts at the newest record: the records present at its first
-    start (the first half of the stream by sequence number) are skipped; every
-    record landing afterwards is processed."""
+    """Consumer that starts at the newest record: the files present at its first start are
+    skipped, every record landing afterwards is processed.  The two landings are two
+    shards, whose sequence numbers overlap."""
     root = scratch_path(spark, "stream_latest")
     recs = ad.load_stream_records(spark, sf)
-    # the stream position when the consumer first starts: one scalar from an aggregate
-    half = recs.agg(F.max("seq").alias("m")).first()["m"] // 2
-    marked = recs.withColumn("_early", F.col("seq") <= F.lit(half))
-    marked.filter("_early").drop("_early").write.parquet(f"{root}/records/a")
     src = f"{root}/records/*"
+    recs.filter(F.col("seq") % 2 == 0).write.parquet(f"{root}/records/a")
     sev.ingest(spark, src, f"{root}/out", f"{root}/_ckpt", start="latest")
-    marked.filter("NOT _early").drop("_early").write.parquet(f"{root}/records/b")
+    recs.filter(F.col("seq") % 2 == 1).write.parquet(f"{root}/records/b")
     sev.ingest(spark, src, f"{root}/out", f"{root}/_ckpt", start="latest")
     return sev.item_view(spark, f"{root}/out")
+
+
+# -- stored access paths of the item table -----------------------------------------------
+ITEM_ORDER = ["pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "customer_id", "event_type", "product", "amount",
+              "status", "timestamp"]
+
+
+def _stored_items(spark, sf, key, sort):
+    path = scratch_path(spark, f"items_by_{key}")
+    ev.store(items_of(spark, sf), path, key, sort)
+    return path
+
+
+@register("order_history")
+def order_history(spark, sf):
+    """Every order's events as the table stored by pk has them, with their place in the order."""
+    rows = ev.stored(spark, _stored_items(spark, sf, "pk", ["sk"]), "pk")
+    return rows.select("pk", "sk", "event_type", "status", "timestamp", "position")
+
+
+@register("order_history_of")
+def order_history_of(spark, sf):
+    """One order by point lookup: one bucket folder is read."""
+    found = ev.history_of(spark, _stored_items(spark, sf, "pk", ["sk"]), "o7")
+    w = Window.orderBy("sk")
+    return found.select(*ITEM_ORDER, F.row_number().over(w).cast("bigint").alias("position"))
+
+
+@register("customer_orders")
+def customer_orders(spark, sf):
+    """The index copy: all attributes, by customer and time, with the place in the customer."""
+    rows = ev.stored(spark, _stored_items(spark, sf, "gsi1pk", ["gsi1sk", "pk", "sk"]), "gsi1pk")
+    return rows.select(*ITEM_ORDER, "position")

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklake.functions.scalar import exact_sum, round_half_up
+from sparklake.functions.scalar import exact_sum, money, money_digits, round_half_up
 from sparklake.operators.cdc import current_state
+from sparklake.operators.dedup import dedup_changes
+from sparklake.operators.ordered import global_position
 
 
-def type_orders(df: DataFrame, now=None) -> DataFrame:
-    """Cast the text columns of bronze orders; bad text becomes NULL (never an error)."""
+def type_orders(df: DataFrame, now=None, keep=()) -> DataFrame:
+    """Cast the text columns of bronze orders; bad text becomes NULL (never an error).
+    An amount that is no finite number (NaN, infinity) is bad text."""
     created = F.col("created_at").try_cast("timestamp_ntz")
     cols = [
         F.col("order_id"),
         F.col("customer_id").try_cast("int").alias("customer_id"),
         F.col("product"),
         F.col("quantity").try_cast("int").alias("quantity"),
-        F.col("amount").try_cast("double").alias("amount"),
+        money("amount").alias("amount"),
         F.trim(F.upper(F.col("status"))).alias("status"),
         created.alias("created_at"),
         F.col("updated_at").try_cast("timestamp_ntz").alias("updated_at"),
@@ -26,7 +29,7 @@ def type_orders(df: DataFrame, now=None) -> DataFrame:
     ]
     if now is not False:
         cols.append((F.current_timestamp() if now is None else F.lit(now)).alias("processed_at"))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def silver_orders(bronze: DataFrame, now=None, mode: str = "filter") -> DataFrame:
@@ -37,6 +40,12 @@ def silver_orders(bronze: DataFrame, now=None, mode: str = "filter") -> DataFram
     return type_orders(current_state(bronze, "order_id", mode=mode), now=now)
 
 
+def silver_changes(bronze: DataFrame) -> DataFrame:
+    """One typed row per order of a change batch with its op, deletes kept: what a merge
+    needs to apply the batch.  Rows without an op are no changes."""
+    return type_orders(dedup_changes(bronze.filter(F.col("op").isNotNull()), "order_id"), now=False, keep=("op",))
+
+
 def silver_customers(bronze: DataFrame, now=None, mode: str = "filter") -> DataFrame:
     state = current_state(bronze, "customer_id", mode=mode, ts="updated_at")
     cols = [
@@ -50,6 +59,14 @@ def silver_customers(bronze: DataFrame, now=None, mode: str = "filter") -> DataF
     return state.select(*cols)
 
 
+def customer_changes(bronze: DataFrame) -> DataFrame:
+    """As ``silver_changes``, for customers."""
+    latest = dedup_changes(bronze.filter(F.col("op").isNotNull()), "customer_id")
+    return latest.select(F.col("customer_id").try_cast("int").alias("customer_id"), "name", "email",
+                         F.trim(F.upper(F.col("country"))).alias("country"),
+                         F.col("created_at").try_cast("timestamp_ntz").alias("created_at"), "op")
+
+
 def _money_stats(prefix_total: str, prefix_avg: str):
     return [round_half_up(exact_sum("amount"), 2).alias(prefix_total),
             round_half_up(exact_sum("amount") / F.count("amount"), 2).alias(prefix_avg)]
@@ -59,7 +76,7 @@ def _partials(orders: DataFrame, keys) -> DataFrame:
     """Additive partial aggregates per ``keys`` (exact decimal money sums)."""
     return orders.groupBy(*keys).agg(
         F.count("order_id").alias("_n"),
-        F.sum(F.col("amount").cast("decimal(18,2)")).alias("_s"),
+        F.sum(money_digits("amount")).alias("_s"),
         F.count("amount").alias("_na"),
         F.max("created_at").alias("_last"))
 
@@ -93,19 +110,27 @@ def daily_sales(orders: DataFrame, approx_distinct: bool = False, rsd: float = 0
         F.count("customer_id").alias("unique_customers"))
 
 
-def product_ranking(orders: DataFrame) -> DataFrame:
-    """K4: product KPIs with a dense rank on rounded revenue.
-
-    The rank is a window over the grouped result (one row per product), so
-    the single-partition window sees #products rows, not #orders.
-    """
-    per = orders.groupBy("product").agg(
+def product_totals(orders: DataFrame) -> DataFrame:
+    """Product KPIs, one row per product."""
+    return orders.groupBy("product").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("quantity").cast("bigint").alias("total_units_sold"),
         *_money_stats("total_revenue", "avg_unit_price"),
         round_half_up(exact_sum("amount") / F.sum("quantity"), 2).alias("true_unit_price"))
-    w = Window.orderBy(F.col("total_revenue").desc())
-    return per.withColumn("revenue_rank", F.dense_rank().over(w).cast("bigint"))
+
+
+def with_revenue_rank(products: DataFrame) -> DataFrame:
+    """Dense rank on rounded revenue, highest first: the place of each distinct revenue
+    among the distinct ones, counted range by range, so no task holds all products."""
+    distinct = products.select(F.col("total_revenue").alias("_revenue")).distinct()
+    places = global_position(distinct, [F.col("_revenue").desc()], name="revenue_rank")
+    return products.join(places, F.col("total_revenue").eqNullSafe(F.col("_revenue"))).drop("_revenue") \
+        .withColumn("revenue_rank", F.col("revenue_rank").cast("bigint"))
+
+
+def product_ranking(orders: DataFrame) -> DataFrame:
+    """K4: product KPIs with a dense rank on rounded revenue."""
+    return with_revenue_rank(product_totals(orders))
 
 
 def _top_from_counts(counts: DataFrame, ties: str) -> DataFrame:
@@ -160,13 +185,12 @@ def customer_summary(orders: DataFrame, customers: DataFrame, ties: str = "rank"
 STATUS_ROLLUP_SQL = """
 SELECT status,
        COUNT(*) AS total,
-       CAST(ROUND(SUM(CAST(amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue
+       CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
 FROM {table}
 GROUP BY status
 """
 
 
-def silver_status_rollup(orders: DataFrame, view: str = "silver_orders") -> DataFrame:
-    """K7: SQL text over a registered silver table."""
-    orders.createOrReplaceTempView(view)
-    return orders.sparkSession.sql(STATUS_ROLLUP_SQL.format(table=view))
+def silver_status_rollup(orders: DataFrame) -> DataFrame:
+    """K7: SQL text over a silver table."""
+    return orders.sparkSession.sql(STATUS_ROLLUP_SQL.format(table="{orders}"), orders=orders)

@@ -6,6 +6,8 @@ driver's pre-registered tables.  Column names equal the Spark outputs.
 
 from __future__ import annotations
 
+from sparklake.sources.tables import TABLES
+
 FLIGHTS = """flights AS (
   SELECT o_orderkey AS id, o_orderpriority AS route, CAST(o_orderdate AS DATE) AS flight_date,
          CASE o_orderstatus WHEN 'P' THEN 'CANCELLED' WHEN 'O' THEN 'DELAYED'
@@ -23,23 +25,35 @@ SYSTEM_LOG = """system_log AS (
 _BRONZE_COLS = """CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
          o_orderpriority AS product, CAST(1 + o_orderkey % 5 AS VARCHAR) AS quantity"""
 
+_PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+_CREATED = """CASE WHEN o_orderkey % 89 = 5 THEN 'not a date'
+              WHEN o_orderkey % 89 <> 6 THEN CAST(o_orderdate AS VARCHAR) END"""
+
 BRONZE_ORDERS = f"""bronze_orders AS (
   SELECT {_BRONZE_COLS},
-         CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+         CASE o_orderkey % 97 WHEN 11 THEN '0.004' WHEN 12 THEN 'NaN' WHEN 13 THEN '1234567.25'
+              WHEN 14 THEN 'abc' ELSE CAST({_PRICE} AS VARCHAR) END AS amount,
          concat(' ', lower(o_orderstatus), ' ') AS status,
-         CAST(o_orderdate AS VARCHAR) AS created_at, CAST(o_orderdate AS VARCHAR) AS updated_at,
+         {_CREATED} AS created_at, CASE WHEN o_orderkey % 89 <> 7 THEN {_CREATED} END AS updated_at,
          CASE WHEN o_orderkey % 50 = 7 THEN NULL WHEN o_orderkey % 10 = 0 THEN 'D'
               WHEN o_orderkey % 10 <= 3 THEN 'U' ELSE 'I' END AS op
   FROM orders)"""
 
-ORDER_CHANGES = f"""order_changes AS (
+
+def _changes(name: str, where: str, amount: str, updated: str, op: str) -> str:
+    return f"""{name} AS (
   SELECT {_BRONZE_COLS},
-         CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+         CAST(CAST({_PRICE} + ({amount}) AS DECIMAL(18,2)) AS VARCHAR) AS amount,
          concat(' ', lower(o_orderstatus), ' ') AS status,
-         CAST(o_orderdate AS VARCHAR) AS created_at,
-         CAST(o_orderdate + INTERVAL 1 DAY AS VARCHAR) AS updated_at,
-         CASE WHEN o_orderkey % 20 = 3 THEN 'U' ELSE 'D' END AS op
-  FROM orders WHERE o_orderkey % 20 IN (3, 6))"""
+         CAST(o_orderdate AS VARCHAR) AS created_at, CAST({updated} AS VARCHAR) AS updated_at, {op} AS op
+  FROM orders WHERE {where})"""
+
+
+ORDER_CHANGES = _changes(
+    "order_changes", "o_orderkey % 20 IN (3, 6)", "CASE WHEN o_orderkey % 40 = 3 THEN -1 ELSE 1 END",
+    """CASE o_orderkey % 40 WHEN 3 THEN o_orderdate WHEN 26 THEN o_orderdate WHEN 6 THEN NULL
+            ELSE o_orderdate + INTERVAL 1 DAY END""", "CASE WHEN o_orderkey % 20 = 3 THEN 'U' ELSE 'D' END")
+ORDER_REINSERTS = _changes("order_reinserts", "o_orderkey % 80 = 26", "5", "o_orderdate", "'I'")
 
 BRONZE_CUSTOMERS = """bronze_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name,
@@ -92,29 +106,25 @@ OCC = "(100.0::DOUBLE * passengers / capacity)"
 W7 = "(PARTITION BY route ORDER BY flight_date, id ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
 
 
+AMOUNT = """CASE WHEN isfinite(TRY_CAST(amount AS DOUBLE)) AND abs(TRY_CAST(amount AS DOUBLE)) < 1e18
+              THEN TRY_CAST(amount AS DOUBLE) END"""
+
+
 def _silver_orders_cte(source: str = "bronze_orders", name: str = "silver_orders",
-                       mode: str = "filter") -> str:
-    if mode == "filter":
-        pick = f"""SELECT * FROM (
-      SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY
-          TRY_CAST(updated_at AS TIMESTAMP) DESC NULLS LAST,
-          CASE op WHEN 'I' THEN 0 WHEN 'U' THEN 1 WHEN 'D' THEN 2 ELSE -1 END DESC,
-          customer_id DESC NULLS LAST, product DESC NULLS LAST, quantity DESC NULLS LAST,
-          amount DESC NULLS LAST, status DESC NULLS LAST, created_at DESC NULLS LAST,
-          updated_at DESC NULLS LAST, op DESC NULLS LAST) AS rn
-      FROM {source} WHERE op <> 'D') WHERE rn = 1"""
-    else:
-        pick = f"""SELECT * FROM (
-      SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY
+                       mode: str = "filter", seq: str = "") -> str:
+    """Latest row per order by commit order (``seq``, where there is one), time, op, all else."""
+    where, last = ("op <> 'D'", "") if mode == "filter" else ("op IS NOT NULL", " AND op <> 'D'")
+    pick = f"""SELECT * FROM (
+      SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {seq + ' DESC,' if seq else ''}
           TRY_CAST(updated_at AS TIMESTAMP) DESC NULLS LAST,
           CASE op WHEN 'I' THEN 0 WHEN 'U' THEN 1 WHEN 'D' THEN 2 ELSE -1 END DESC,
           customer_id DESC NULLS LAST, product DESC NULLS LAST, quantity DESC NULLS LAST,
           amount DESC NULLS LAST, status DESC NULLS LAST, created_at DESC NULLS LAST,
           updated_at DESC NULLS LAST, op DESC NULLS LAST) AS rn
-      FROM {source} WHERE op IS NOT NULL) WHERE rn = 1 AND op <> 'D'"""
+      FROM {source} WHERE {where}) WHERE rn = 1{last}"""
     return f"""{name} AS (
   SELECT order_id, TRY_CAST(customer_id AS INTEGER) AS customer_id, product,
-         TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(amount AS DOUBLE) AS amount,
+         TRY_CAST(quantity AS INTEGER) AS quantity, {AMOUNT} AS amount,
          trim(upper(status)) AS status, TRY_CAST(created_at AS TIMESTAMP) AS created_at,
          TRY_CAST(updated_at AS TIMESTAMP) AS updated_at,
          CAST(year(TRY_CAST(created_at AS TIMESTAMP)) AS INTEGER) AS year,
@@ -133,7 +143,7 @@ SILVER_CUSTOMERS = """silver_customers AS (
             created_at DESC NULLS LAST, op DESC NULLS LAST) AS rn
         FROM bronze_customers WHERE op <> 'D') d WHERE rn = 1)"""
 
-SUM_AMT = "CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+SUM_AMT = "CAST(SUM(CAST(amount AS DECIMAL(38,9))) AS DOUBLE)"
 
 ORACLE: dict[str, str] = {}
 
@@ -282,13 +292,8 @@ SELECT route, {ym('flight_date')} AS month, flight_date AS last_flight, status,
   FROM flights) WHERE rn = 1"""
 
 ORACLE["first_last_cancellation"] = with_(FLIGHTS) + """
-SELECT route, MAX(flight_date) FILTER (WHERE rn_asc = 1) AS first_cancellation,
-              MAX(flight_date) FILTER (WHERE rn_desc = 1) AS last_cancellation
-FROM (SELECT route, flight_date,
-             row_number() OVER (PARTITION BY route ORDER BY flight_date ASC, id ASC) AS rn_asc,
-             row_number() OVER (PARTITION BY route ORDER BY flight_date DESC, id DESC) AS rn_desc
-      FROM flights WHERE status = 'CANCELLED')
-GROUP BY route"""
+SELECT route, min(flight_date) AS first_cancellation, max(flight_date) AS last_cancellation
+FROM flights WHERE status = 'CANCELLED' GROUP BY route"""
 
 ORACLE["distinct_on"] = with_(FLIGHTS) + """
 SELECT DISTINCT ON (route) route, flight_date AS last_flight, status, passengers
@@ -318,56 +323,29 @@ SELECT route, flight_date, id, passengers, {rnd(OCC, 2)} AS occupancy_pct,
 FROM flights
 WHERE status <> 'CANCELLED' AND date_trunc('month', flight_date) = DATE '1996-01-01'"""
 
-ORACLE["fully_cancelled_days"] = with_(FLIGHTS) + """
-SELECT DISTINCT v.route FROM flights v
-WHERE EXISTS (
-  SELECT 1 FROM flights inner_v
-  WHERE inner_v.route = v.route AND inner_v.flight_date = v.flight_date
-    AND inner_v.status = 'CANCELLED'
-    AND NOT EXISTS (SELECT 1 FROM flights comp
-                    WHERE comp.route = inner_v.route AND comp.flight_date = inner_v.flight_date
-                      AND comp.status <> 'CANCELLED'))"""
+ORACLE["fully_cancelled_days"] = with_(FLIGHTS, """days AS (
+  SELECT route, count(*) FILTER (WHERE status = 'CANCELLED') AS off,
+         count(*) FILTER (WHERE status <> 'CANCELLED') AS flown
+  FROM flights GROUP BY route, flight_date)""") + """
+SELECT route FROM days WHERE off > 0 AND flown = 0 GROUP BY route"""
 
 ORACLE["lookback_count_7d"] = with_(FLIGHTS) + """
-SELECT v.route, v.flight_date, v.status, v.id,
-  (SELECT COUNT(*) FROM flights hist
-   WHERE hist.route = v.route AND hist.flight_date >= v.flight_date - INTERVAL 7 DAYS
-     AND hist.flight_date < v.flight_date AND hist.status = 'CANCELLED') AS cancellations_7d
-FROM flights v
-WHERE v.route = '1-URGENT' AND v.flight_date BETWEEN DATE '1996-01-08' AND DATE '1996-01-31'"""
-
-ORACLE["above_average_rate"] = with_(FLIGHTS) + f"""
-SELECT route, COUNT(*) AS total_flights, COUNT(*) FILTER (WHERE status = 'CANCELLED') AS cancelled,
-  {rnd("100.0::DOUBLE * COUNT(*) FILTER (WHERE status = 'CANCELLED') / COUNT(*)", 2)} AS cancellation_rate_pct
-FROM flights GROUP BY route
-HAVING 100.0::DOUBLE * COUNT(*) FILTER (WHERE status = 'CANCELLED') / COUNT(*) >
-  (SELECT 100.0::DOUBLE * COUNT(*) FILTER (WHERE status = 'CANCELLED') / COUNT(*) FROM flights)"""
-
-ORACLE["never_completed"] = with_(FLIGHTS) + """
-SELECT DISTINCT carrier FROM flights v
-WHERE date_trunc('month', flight_date) = DATE '1996-02-01'
-  AND NOT EXISTS (SELECT 1 FROM flights comp
-                  WHERE comp.carrier = v.carrier AND comp.status = 'COMPLETED'
-                    AND date_trunc('month', comp.flight_date) = DATE '1996-02-01')"""
-
-ORACLE["flight_calendar"] = with_(FLIGHTS, """routes AS (
-  SELECT route, CAST(dense_rank() OVER (ORDER BY route) AS INTEGER) AS route_idx FROM (SELECT DISTINCT route FROM flights))""",
-  """base AS (
-  SELECT r.route, r.route_idx, CAST(s.d AS DATE) AS flight_date,
-         CAST(day(s.d) AS INTEGER) AS dia, CAST(dayofweek(s.d) AS INTEGER) AS dow
-  FROM routes r CROSS JOIN (SELECT unnest(generate_series(min(flight_date), max(flight_date), INTERVAL 1 DAY)) AS d FROM flights) s)""") + """
-SELECT route, route_idx, flight_date,
-  CASE WHEN route_idx = 7 AND (route_idx + dia) % 5 = 0 THEN 'CANCELLED'
-       WHEN route_idx = 3 AND (route_idx + dia) % 6 = 0 THEN 'CANCELLED'
-       WHEN route_idx = 4 AND (route_idx + dia) % 6 = 0 THEN 'CANCELLED'
-       WHEN (route_idx + dia) % 9 = 0 THEN 'CANCELLED'
-       WHEN (route_idx * 2 + dia) % 7 = 0 THEN 'DELAYED'
-       ELSE 'COMPLETED' END AS status,
-  CAST(CASE WHEN dow IN (5, 6) THEN 165 + route_idx * 2
-            WHEN dow = 0 THEN 155 + route_idx * 2
-            ELSE 130 + route_idx * 3 + dia % 10 END AS INTEGER) AS passengers,
-  180 AS capacity
-FROM base"""
+SELECT f.route, f.flight_date, f.status, f.id, count(c.id) AS cancellations_7d
+FROM flights f LEFT JOIN flights c
+  ON c.route = f.route AND c.status = 'CANCELLED' AND f.flight_date - c.flight_date BETWEEN 1 AND 7
+WHERE f.route = '1-URGENT' AND f.flight_date BETWEEN DATE '1996-01-08' AND DATE '1996-01-31'
+GROUP BY f.route, f.flight_date, f.status, f.id"""
+
+ORACLE["above_average_rate"] = with_(FLIGHTS, """per AS (
+  SELECT route, count(*) AS total_flights, sum(CASE WHEN status = 'CANCELLED' THEN 1 ELSE 0 END) AS cancelled
+  FROM flights GROUP BY route)""") + f"""
+SELECT route, total_flights, CAST(cancelled AS BIGINT) AS cancelled, {rnd('100.0::DOUBLE * cancelled / total_flights', 2)} AS cancellation_rate_pct
+FROM (SELECT *, sum(cancelled) OVER () AS all_cancelled, sum(total_flights) OVER () AS all_flights FROM per)
+WHERE cancelled * all_flights > all_cancelled * total_flights"""
+
+ORACLE["never_completed"] = with_(FLIGHTS, """february AS (
+  SELECT carrier, status FROM flights WHERE flight_date >= DATE '1996-02-01' AND flight_date < DATE '1996-03-01')""") + """
+SELECT carrier FROM february EXCEPT SELECT carrier FROM february WHERE status = 'COMPLETED'"""
 
 ORACLE["join_on_expression"] = with_(FLIGHTS) + """
 SELECT v.id, v.route, v.carrier, t.c_name, t.c_mktsegment AS role
@@ -399,14 +377,15 @@ SELECT order_id, op FROM bronze_orders WHERE op <> 'D'"""
 ORACLE["silver_orders"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + "SELECT * FROM silver_orders"
 ORACLE["silver_customers"] = with_(BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + "SELECT * FROM silver_customers"
 
-ORACLE["daily_sales"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + f"""
+GOLD: dict[str, str] = {}
+GOLD["daily_sales"] = f"""
 SELECT CAST(created_at AS DATE) AS date, COUNT(order_id) AS total_orders,
        {rnd(SUM_AMT, 2)} AS total_revenue,
        {rnd(f'{SUM_AMT} / COUNT(amount)', 2)} AS avg_order_value,
        COUNT(DISTINCT customer_id) AS unique_customers
 FROM silver_orders GROUP BY CAST(created_at AS DATE)"""
 
-ORACLE["product_ranking"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + f"""
+GOLD["product_ranking"] = f"""
 SELECT *, CAST(dense_rank() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS revenue_rank FROM (
   SELECT product, COUNT(order_id) AS total_orders, CAST(SUM(quantity) AS BIGINT) AS total_units_sold,
          {rnd(SUM_AMT, 2)} AS total_revenue,
@@ -414,7 +393,7 @@ SELECT *, CAST(dense_rank() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS rev
          {rnd(f'{SUM_AMT} / SUM(quantity)', 2)} AS true_unit_price
   FROM silver_orders GROUP BY product)"""
 
-ORACLE["customer_summary"] = with_(BRONZE_ORDERS, SILVER_ORDERS, BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + f"""
+GOLD["customer_summary"] = f"""
 SELECT a.customer_id, a.total_orders, a.total_spent, a.avg_order_value, a.last_order_date,
        c.name, c.email, c.country, t.top_product
 FROM (SELECT customer_id, COUNT(order_id) AS total_orders, {rnd(SUM_AMT, 2)} AS total_spent,
@@ -428,30 +407,32 @@ LEFT JOIN (SELECT customer_id, product AS top_product FROM (
              FROM silver_orders GROUP BY customer_id, product) WHERE r = 1) t
   ON t.customer_id = a.customer_id"""
 
+for _name, _gold in GOLD.items():
+    ORACLE[_name] = with_(BRONZE_ORDERS, SILVER_ORDERS, BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + _gold
+
 ORACLE["silver_status_rollup"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + """
 SELECT status, COUNT(*) AS total,
-       CAST(ROUND(SUM(CAST(amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS revenue
+       CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
 FROM silver_orders GROUP BY status"""
 
 # -- change capture -----------------------------------------------------------
 FEED = """feed AS (
   SELECT *, 0 AS commit_seq FROM bronze_orders
-  UNION ALL
-  SELECT *, 1 AS commit_seq FROM order_changes)"""
-
-ORACLE["cdc_full_load"] = "SELECT *, 'I' AS op FROM orders"
-ORACLE["cdc_snapshot_plus_changes"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + \
+  UNION ALL SELECT *, 1 AS commit_seq FROM order_changes
+  UNION ALL SELECT *, 2 AS commit_seq FROM order_reinserts)"""
+FEED_CTES = (BRONZE_ORDERS, ORDER_CHANGES, ORDER_REINSERTS, FEED)
+STATE = _silver_orders_cte("feed", "state", mode="apply", seq="commit_seq")
+
+ORACLE["cdc_full_load"] = "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, CAST(1 + (SELECT COUNT(*) FROM (DESCRIBE {t})) AS INTEGER) AS columns,
+       COUNT(*) AS row_count FROM {t}""" for t in TABLES)
+ORACLE["cdc_snapshot_plus_changes"] = with_(*FEED_CTES) + \
     "SELECT order_id, op, amount, updated_at, commit_seq FROM feed"
-ORACLE["cdc_inserts_updates"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + \
+ORACLE["cdc_inserts_updates"] = with_(*FEED_CTES) + \
     "SELECT order_id, op, amount, updated_at, commit_seq FROM feed WHERE op IN ('I', 'U')"
-ORACLE["cdc_current_state"] = with_(
-    BRONZE_ORDERS, ORDER_CHANGES,
-    "feed AS (SELECT * FROM bronze_orders UNION ALL SELECT * FROM order_changes)",
-    _silver_orders_cte("feed", "state", mode="apply")) + "SELECT * FROM state"
+ORACLE["cdc_current_state"] = with_(*FEED_CTES, STATE) + "SELECT * FROM state"
 ORACLE["cdc_current_state_filter"] = with_(
-    BRONZE_ORDERS, ORDER_CHANGES,
-    "feed AS (SELECT * FROM bronze_orders UNION ALL SELECT * FROM order_changes)",
-    _silver_orders_cte("feed", "state", mode="filter")) + "SELECT * FROM state"
+    *FEED_CTES, _silver_orders_cte("feed", "state", mode="filter", seq="commit_seq")) + "SELECT * FROM state"
 
 ORACLE["dedup_by_key"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
@@ -464,12 +445,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
 
 # -- events ---------------------------------------------------------------------
 GOOD_EVENTS = """good AS (
-  SELECT event_id AS seq, order_id AS partition_key, CAST(event_id AS VARCHAR) AS event_id, order_id,
+  SELECT event_id AS seq, order_id AS partition_key, md5(CAST(event_id AS VARCHAR)) AS event_id, order_id,
          CAST(customer_id AS VARCHAR) AS customer_id, event_type, COALESCE(product, '') AS product,
          COALESCE(amount, '0') AS amount, status, timestamp
   FROM order_events WHERE NOT is_corrupt AND NOT misses_order_id)"""
 ITEMS = """items AS (
-  SELECT concat('ORDER#', order_id) AS pk, concat('EVENT#', timestamp, '#', event_type) AS sk,
+  SELECT seq, concat('ORDER#', order_id) AS pk, concat('EVENT#', timestamp, '#', event_type) AS sk,
          concat('CUSTOMER#', customer_id) AS gsi1pk, timestamp AS gsi1sk,
          event_id, order_id, customer_id, event_type, product, amount, status, timestamp
   FROM good)"""
@@ -483,14 +464,20 @@ ORACLE["event_batch_counters"] = with_(ORDER_EVENTS) + """
 SELECT COUNT(*) FILTER (WHERE NOT (is_corrupt OR misses_order_id)) AS processed,
        COUNT(*) FILTER (WHERE is_corrupt OR misses_order_id) AS failed
 FROM order_events"""
-ORACLE["event_items"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + "SELECT * FROM items"
-ORACLE["event_upsert"] = ORACLE["event_items"]
-ORACLE["order_history"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + \
-    "SELECT pk, sk, event_type, status, timestamp FROM items"
+ITEM_COLS = "pk, sk, gsi1pk, gsi1sk, event_id, order_id, customer_id, event_type, product, amount, status, timestamp"
+ORACLE["event_items"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + f"SELECT {ITEM_COLS} FROM items"
+ORACLE["event_upsert"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT * EXCLUDE (seq) REPLACE (CASE WHEN seq % 3 = 0 THEN CASE WHEN seq % 6 = 0 THEN amount ELSE '777' END ELSE amount END AS amount,
+                                CASE WHEN seq % 6 = 0 THEN 'resent' ELSE status END AS status)
+FROM items"""
+ORACLE["order_history"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
+SELECT pk, sk, event_type, status, timestamp, row_number() OVER (PARTITION BY pk ORDER BY sk) AS position FROM items"""
+ORACLE["order_history_of"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + f"""
+SELECT {ITEM_COLS}, row_number() OVER (ORDER BY sk) AS position FROM items WHERE order_id = 'o7'"""
 ORACLE["order_history_range"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
 SELECT pk, sk, event_type FROM items WHERE sk >= 'EVENT#2024-01-10' AND sk < 'EVENT#2024-01-20'"""
-ORACLE["customer_orders"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + \
-    "SELECT gsi1pk, gsi1sk, pk, sk, event_type FROM items"
+ORACLE["customer_orders"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + f"""
+SELECT {ITEM_COLS}, row_number() OVER (PARTITION BY gsi1pk ORDER BY gsi1sk, pk, sk) AS position FROM items"""
 ORACLE["order_current_state"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
 SELECT order_id, event_type, status, timestamp AS last_timestamp FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sk DESC) AS rn FROM items) WHERE rn = 1"""
@@ -625,7 +612,7 @@ SELECT event_id, status AS status_lookup, COALESCE(amount, '0') AS amount_or_zer
 FROM order_events"""
 ORACLE["scalar_json"] = with_(ORDER_EVENTS) + """
 SELECT event_id AS seq,
-       CASE WHEN is_corrupt THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
+       CASE WHEN is_corrupt THEN NULL ELSE md5(CAST(event_id AS VARCHAR)) END AS event_id,
        CASE WHEN is_corrupt THEN NULL ELSE event_type END AS event_type,
        CASE WHEN is_corrupt THEN NULL ELSE COALESCE(product, '') END AS product,
        CASE WHEN is_corrupt THEN NULL ELSE COALESCE(amount, '0') END AS amount,
@@ -652,7 +639,7 @@ _CHANGES_SILVER = _silver_orders_cte("order_changes", "changes_silver", mode="fi
 ORACLE["append_sink"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + \
     "SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver"
 ORACLE["incremental_bookmark"] = ORACLE["append_sink"]
-ORACLE["cdc_date_partitioned_sink"] = with_(BRONZE_ORDERS, ORDER_CHANGES, FEED) + """
+ORACLE["cdc_date_partitioned_sink"] = with_(*FEED_CTES) + """
 SELECT order_id, op, amount, updated_at, commit_seq,
        strftime(TRY_CAST(updated_at AS TIMESTAMP), '%Y') AS year,
        strftime(TRY_CAST(updated_at AS TIMESTAMP), '%m') AS month,
@@ -660,32 +647,59 @@ SELECT order_id, op, amount, updated_at, commit_seq,
 FROM feed"""
 ORACLE["write_metrics"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + \
     "SELECT 'silver_orders' AS table_name, COUNT(*) AS rows_written FROM silver_orders"
-ORACLE["insert_select"] = ORACLE["flight_calendar"]
+ORACLE["insert_select"] = ORACLE["mom_change"]
 ORACLE["table_lifecycle"] = ORACLE["join_on_expression"]
-ORACLE["catalog_discover"] = ORACLE["silver_status_rollup"]
+ORACLE["catalog_discover"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
+SELECT status, channel, COUNT(*) AS total, CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
+FROM (SELECT *, NULL AS channel FROM silver_orders UNION ALL SELECT *, 'web' AS channel FROM changes_silver)
+GROUP BY status, channel"""
 ORACLE["incremental_empty_run"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
 SELECT CAST(1 AS BIGINT) AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
 SELECT 2, (SELECT COUNT(*) FROM changes_silver) UNION ALL
 SELECT 3, 0"""
-ORACLE["incremental_merge"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
-SELECT order_id, customer_id, product, quantity, amount, status, created_at, updated_at, year, month
-FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC NULLS LAST,
-        customer_id DESC NULLS LAST, product DESC NULLS LAST, quantity DESC NULLS LAST,
-        amount DESC NULLS LAST, status DESC NULLS LAST, created_at DESC NULLS LAST) AS rn
-      FROM (SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver)) WHERE rn = 1"""
+ORACLE["incremental_merge"] = ORACLE["cdc_current_state"]
+ORACLE["incremental_customers"] = with_(BRONZE_CUSTOMERS, """customer_changes AS (
+  SELECT * REPLACE (concat('new.', email) AS email, CASE CAST(customer_id AS BIGINT) % 20 WHEN 0 THEN 'U' ELSE 'D' END AS op)
+  FROM bronze_customers WHERE CAST(customer_id AS BIGINT) % 20 <= 1)""") + """
+SELECT CAST(customer_id AS INTEGER) AS customer_id, name, email, trim(upper(country)) AS country,
+       CAST(created_at AS TIMESTAMP) AS created_at
+FROM (SELECT * FROM customer_changes
+      UNION ALL SELECT * FROM bronze_customers WHERE CAST(customer_id AS BIGINT) % 20 > 1)
+WHERE op <> 'D'"""
 ORACLE["stream_ingest"] = ORACLE["event_items"]
-ORACLE["raw_hourly_landing"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
-SELECT *, substring(timestamp, 1, 4) AS year, substring(timestamp, 6, 2) AS month,
+ORACLE["raw_hourly_landing"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + f"""
+SELECT {ITEM_COLS}, substring(timestamp, 1, 4) AS year, substring(timestamp, 6, 2) AS month,
        substring(timestamp, 9, 2) AS day, substring(timestamp, 12, 2) AS hour
 FROM items"""
-ORACLE["stream_silver"] = ORACLE["raw_hourly_landing"]
-ORACLE["gold_refresh"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + f"""
-SELECT CAST(created_at AS DATE) AS date, COUNT(order_id) AS total_orders,
-       {rnd(SUM_AMT, 2)} AS total_revenue,
-       {rnd(f'{SUM_AMT} / COUNT(amount)', 2)} AS avg_order_value,
-       COUNT(DISTINCT customer_id) AS unique_customers
-FROM (SELECT * FROM silver_orders UNION ALL SELECT * FROM changes_silver)
-GROUP BY CAST(created_at AS DATE)"""
+# Late rows keep their hour in UTC, whatever offset their text has; resent rows win.
+ORACLE["stream_silver"] = with_(ORDER_EVENTS, """arrived AS (
+  SELECT event_id AS seq, timestamp AS utc, * REPLACE (CASE WHEN event_id % 10 = 5
+      THEN strftime(CAST(left(timestamp, 23) AS TIMESTAMP) + INTERVAL 2 HOURS, '%Y-%m-%dT%H:%M:%S.%g+02:00')
+      ELSE timestamp END AS timestamp,
+      CASE WHEN event_id % 10 = 1 THEN '999' ELSE amount END AS amount)
+  FROM order_events)""") + f"""
+SELECT concat('ORDER#', order_id) AS pk, concat('EVENT#', timestamp, '#', event_type) AS sk,
+       concat('CUSTOMER#', CAST(customer_id AS VARCHAR)) AS gsi1pk, timestamp AS gsi1sk,
+       md5(CAST(event_id AS VARCHAR)) AS event_id, order_id, CAST(customer_id AS VARCHAR) AS customer_id, event_type,
+       COALESCE(product, '') AS product, COALESCE(amount, '0') AS amount, status, timestamp,
+       substring(utc, 1, 4) AS year, substring(utc, 6, 2) AS month, substring(utc, 9, 2) AS day,
+       substring(utc, 12, 2) AS hour
+FROM arrived WHERE NOT is_corrupt AND NOT misses_order_id"""
+
+
+# Gold over the merged state of all change files.
+for _name, _gold in (("gold_refresh", "daily_sales"), ("gold_refresh_customer", "customer_summary"),
+                     ("gold_refresh_product", "product_ranking")):
+    ORACLE[_name] = with_(*FEED_CTES, _silver_orders_cte("feed", mode="apply", seq="commit_seq"),
+                          BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + GOLD[_gold]
+
+ORACLE["sorted_daily_sales"] = f"""
+SELECT *, row_number() OVER (ORDER BY date NULLS FIRST) AS position FROM ({ORACLE["daily_sales"]})"""
+ORACLE["sorted_cancellations"] = with_(FLIGHTS, MONTHLY_CANCEL) + f"""
+SELECT {ym('month')} AS month, route, cancellations,
+       row_number() OVER (ORDER BY month, cancellations DESC, route) AS position FROM monthly"""
+ORACLE["sorted_mom_change"] = f"""
+SELECT *, row_number() OVER (ORDER BY route, month) AS position FROM ({ORACLE["mom_change"]})"""
 
 ORACLE["in_exists_join_equivalence"] = with_(FLIGHTS) + """
 SELECT 'in_subquery' AS method, COUNT(*) AS row_count FROM customer
@@ -699,17 +713,18 @@ UNION ALL SELECT 'not_exists', COUNT(*) FROM customer c
 UNION ALL SELECT 'not_in_nullable_list', COUNT(*) FROM customer
   WHERE c_custkey NOT IN (SELECT CASE WHEN status = 'CANCELLED' THEN NULL ELSE carrier END FROM flights)"""
 
-# Catalog metadata: the listing and the schema diff follow from the layout and
-# the schemas the queries create, independent of the row values.
-ORACLE["catalog_layers"] = """
-SELECT * FROM (VALUES ('bronze', 'orders', 'EXTERNAL'), ('silver', 'orders', 'EXTERNAL'),
-                      ('gold', 'daily_sales', 'EXTERNAL')) AS t(database, table_name, table_type)"""
-ORACLE["schema_evolution_diff"] = """
-SELECT * FROM (VALUES ('segment', 'added', CAST(NULL AS VARCHAR), 'string', 'applied'),
-                      ('email', 'dropped', 'string', CAST(NULL AS VARCHAR), 'logged'))
-  AS t("column", change, old_type, new_type, action)"""
-
-ORACLE["stream_ingest_latest"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + """
-SELECT pk, sk, gsi1pk, gsi1sk, event_id, order_id, customer_id, event_type, product, amount, status, timestamp
-FROM items
-WHERE CAST(event_id AS BIGINT) > (SELECT floor(max(event_id) / 2) FROM order_events)"""
+ORACLE["catalog_layers"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + """
+SELECT 'bronze' AS database, 'orders' AS table_name, 'EXTERNAL' AS table_type, COUNT(*) AS row_count FROM bronze_orders
+UNION ALL SELECT 'silver', 'orders', 'EXTERNAL', COUNT(*) FROM silver_orders
+UNION ALL SELECT 'gold', 'daily_sales', 'EXTERNAL',
+                 COUNT(DISTINCT CAST(created_at AS DATE)) + max(CASE WHEN created_at IS NULL THEN 1 ELSE 0 END)
+          FROM silver_orders"""
+ORACLE["schema_evolution_diff"] = with_(BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + """
+SELECT 'segment' AS "column", 'added' AS change, NULL AS old_type, 'string' AS new_type, 'applied' AS action,
+       COUNT(*) FILTER (customer_id % 3 = 0) AS filled_rows FROM silver_customers
+UNION ALL SELECT 'email', 'dropped', 'string', NULL, 'logged', COUNT(email) FROM silver_customers
+UNION ALL SELECT 'customer_id', 'type_changed', 'int', 'bigint', 'applied',
+                 COUNT(*) + COUNT(*) FILTER (customer_id % 3 = 0) FROM silver_customers"""
+
+ORACLE["stream_ingest_latest"] = with_(ORDER_EVENTS, GOOD_EVENTS, ITEMS) + f"""
+SELECT {ITEM_COLS} FROM items WHERE seq % 2 = 1"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparklake.functions import casting as cs
 from sparklake.operators import cdc
@@ -14,7 +15,9 @@ from sparklake.plans import events as ev
 from sparklake.plans import flights as fl
 from sparklake.plans import medallion as md
 from sparklake.plans import scalars as sc
+from sparklake.session import scratch_path
 from sparklake.sources import adapters as ad
+from sparklake.sources.files import read_parquet, write_parquet
 from sparklake.sources.tables import TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,7 +65,6 @@ for _name, _fn, _kw in [
     ("lookback_count_7d", fl.lookback_count, {}),
     ("above_average_rate", fl.above_average_rate, {}),
     ("never_completed", fl.never_completed, {}),
-    ("flight_calendar", fl.flight_calendar_from, {}),
     ("inline_values", fl.status_translation, {}),
     ("filter_between", fl.filter_between, {}),
     ("filter_in", fl.filter_in, {}),
@@ -83,7 +85,6 @@ def _join_on_expression(spark, sf):
 
 @register("filter_not_equal")
 def _filter_not_equal(spark, sf):
-    from pyspark.sql import functions as F
     return ad.load_bronze_orders(spark, sf).filter(F.col("op") != "D").select("order_id", "op")
 
 
@@ -109,7 +110,8 @@ QUERIES["silver_status_rollup"] = lambda spark, sf: md.silver_status_rollup(silv
 
 
 def feed_of(spark, sf):
-    return cdc.change_feed(ad.load_bronze_orders(spark, sf), ad.load_order_changes(spark, sf))
+    return cdc.change_feed(ad.load_bronze_orders(spark, sf), ad.load_order_changes(spark, sf),
+                           ad.load_order_reinserts(spark, sf))
 
 
 FEED_COLS = ["order_id", "op", "amount", "updated_at", "commit_seq"]
@@ -117,14 +119,18 @@ FEED_COLS = ["order_id", "op", "amount", "updated_at", "commit_seq"]
 
 @register("cdc_full_load")
 def _cdc_full_load(spark, sf):
-    """Snapshot of every selected table into a replaced target (drop-and-create)."""
-    from sparklake.session import scratch_path
-    from sparklake.sources.files import read_parquet, write_parquet
-    names = cdc.select_tables(list(TABLES), include=["order%"], exclude=["%_tmp"])
+    """Snapshot of every selected table into a replaced target (drop-and-create): the rows
+    of each target with the load op, read back."""
+    names = cdc.select_tables([f"public.{t}" for t in TABLES], include=[("public", "%")], exclude=["%_tmp"])
     root = scratch_path(spark, "full_load")
-    for name in names:  # one job per selected table (catalog metadata, a few names)
+    out = None
+    for name in (n.split(".")[1] for n in names):  # one job per selected table (catalog metadata, a few names)
         write_parquet(cdc.full_load(table(spark, sf, name)), f"{root}/{name}/load", mode="overwrite")
-    return read_parquet(spark, f"{root}/{names[0]}/load")
+        loaded = read_parquet(spark, f"{root}/{name}/load")
+        one = loaded.agg(F.count_if(F.col("op") == "I").alias("row_count")).select(
+            F.lit(name).alias("table_name"), F.lit(len(loaded.columns)).alias("columns"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 QUERIES["cdc_snapshot_plus_changes"] = lambda spark, sf: feed_of(spark, sf).select(*FEED_COLS)
@@ -159,17 +165,18 @@ QUERIES["event_items"] = items_of
 
 @register("event_upsert")
 def _event_upsert(spark, sf):
-    from pyspark.sql import functions as F
-    items = items_of(spark, sf).withColumn("seq", F.col("event_id").cast("bigint"))
-    # the same batch delivered twice (a replay) must change nothing
-    batches = items.withColumn("batch_id", F.lit(0)).unionByName(items.withColumn("batch_id", F.lit(1)))
-    return ev.upsert_view(batches)
+    """The stream delivered twice; the second time every third record is changed, and some
+    come once more with a higher sequence number.  The newest wins, the rest stays."""
+    items = ev.to_items(ev.good(decoded_of(spark, sf)), keep=("seq",))
+    changed = items.withColumn("amount", F.when(F.col("seq") % 3 == 0, F.lit("777")).otherwise(F.col("amount")))
+    again = items.filter(F.col("seq") % 6 == 0).withColumns({
+        "status": F.lit("resent"), "seq": F.col("seq") + ad.RESENT_SEQ})
+    return ev.upsert_view(items.withColumn("batch_id", F.lit(0)).unionByName(
+        changed.unionByName(again).withColumn("batch_id", F.lit(1))))
 
 
-QUERIES["order_history"] = lambda spark, sf: ev.order_history(items_of(spark, sf))
 QUERIES["order_history_range"] = lambda spark, sf: ev.history_range(
     items_of(spark, sf), "2024-01-10", "2024-01-20")
-QUERIES["customer_orders"] = lambda spark, sf: ev.customer_orders(items_of(spark, sf))
 QUERIES["order_current_state"] = lambda spark, sf: ev.current_state(items_of(spark, sf))
 QUERIES["lifecycle_violations"] = lambda spark, sf: ev.lifecycle_violations(items_of(spark, sf))
 QUERIES["lifecycle_durations"] = lambda spark, sf: ev.lifecycle_durations(items_of(spark, sf))
@@ -227,7 +234,6 @@ QUERIES["scalar_json"] = lambda spark, sf: sc.json_functions(ad.load_stream_reco
 
 @register("table_counts")
 def _table_counts(spark, sf):
-    from pyspark.sql import functions as F
     parts = [("flights", ad.load_flights(spark, sf)), ("system_log", ad.load_system_log(spark, sf)),
              ("bronze_orders", ad.load_bronze_orders(spark, sf)),
              ("bronze_customers", ad.load_bronze_customers(spark, sf)),

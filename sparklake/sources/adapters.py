@@ -67,40 +67,63 @@ def _op_code(key: F.Column) -> F.Column:
              .otherwise("I"))
 
 
+def _amount_text(key: F.Column) -> F.Column:
+    """Amounts as sources send them: below a cent, very large, no number, no text of a number."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    return (F.when(key % 97 == 11, "0.004").when(key % 97 == 12, "NaN").when(key % 97 == 13, "1234567.25")
+             .when(key % 97 == 14, "abc").otherwise(price))
+
+
 def bronze_orders(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    created = F.col("o_orderdate").cast("string")
+    date = F.col("o_orderdate").cast("string")
+    created = F.when(k % 89 == 5, "not a date").when(k % 89 != 6, date)
     return orders.select(
         k.cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderpriority").alias("product"),
         (F.lit(1) + k % 5).cast("string").alias("quantity"),
-        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("amount"),
+        _amount_text(k).alias("amount"),
         F.concat(F.lit(" "), F.lower("o_orderstatus"), F.lit(" ")).alias("status"),
         created.alias("created_at"),
-        created.alias("updated_at"),
+        F.when(k % 89 != 7, created).alias("updated_at"),
         _op_code(k).alias("op"),
     )
 
 
-def order_changes(orders: DataFrame) -> DataFrame:
-    """Second capture file: +1 on amount and +1 day on updated_at (U), or a delete (D)."""
+def _changed(orders: DataFrame, amount: F.Column, updated: F.Column, op: F.Column) -> DataFrame:
     k = F.col("o_orderkey")
-    sel = orders.filter((k % 20 == 3) | (k % 20 == 6))
-    return sel.select(
+    return orders.select(
         k.cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("o_orderpriority").alias("product"),
         (F.lit(1) + k % 5).cast("string").alias("quantity"),
-        (F.col("o_totalprice").cast("decimal(18,2)") + F.lit(1)).cast("decimal(18,2)")
+        (F.col("o_totalprice").cast("decimal(18,2)") + amount).cast("decimal(18,2)")
             .cast("string").alias("amount"),
         F.concat(F.lit(" "), F.lower("o_orderstatus"), F.lit(" ")).alias("status"),
         F.col("o_orderdate").cast("string").alias("created_at"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("string").alias("updated_at"),
-        F.when(k % 20 == 3, "U").otherwise("D").alias("op"),
+        updated.cast("string").alias("updated_at"),
+        op.alias("op"),
     )
 
 
+def order_changes(orders: DataFrame) -> DataFrame:
+    """Second capture file: updates and deletes a day later, some at the very time of the
+    snapshot's row (with a lower amount), some deletes without a time."""
+    k, date = F.col("o_orderkey"), F.col("o_orderdate")
+    sel = orders.filter((k % 20 == 3) | (k % 20 == 6))
+    updated = (F.when((k % 40 == 3) | (k % 40 == 26), date)
+                .when(k % 40 != 6, date + F.expr("INTERVAL 1 DAY")))
+    return _changed(sel, F.when(k % 40 == 3, F.lit(-1)).otherwise(F.lit(1)), updated,
+                    F.when(k % 20 == 3, "U").otherwise("D"))
+
+
+def order_reinserts(orders: DataFrame) -> DataFrame:
+    """Third capture file: some deleted orders come back at the time of their delete."""
+    k = F.col("o_orderkey")
+    return _changed(orders.filter(k % 80 == 26), F.lit(5), F.col("o_orderdate"), F.lit("I"))
+
+
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice",
                "o_orderstatus", "o_orderdate"]
 
@@ -113,6 +136,10 @@ def load_order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_changes(table(spark, sf_dir, "orders", _ORDER_COLS))
 
 
+def load_order_reinserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_reinserts(table(spark, sf_dir, "orders", _ORDER_COLS))
+
+
 # -- bronze customers -------------------------------------------------------
 CUSTOMER_CREATED_AT = "2024-01-01 00:00:00"
 
@@ -137,6 +164,13 @@ def load_bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
 
 
+def customer_changes(customers: DataFrame) -> DataFrame:
+    """Second customer file: new mail addresses, and deletes."""
+    k = F.col("customer_id").cast("bigint")
+    return customers.filter(k % 20 <= 1).withColumns({
+        "email": F.concat(F.lit("new."), F.col("email")), "op": F.when(k % 20 == 0, "U").otherwise("D")})
+
+
 # -- order events (plain columns) and their encoded stream records ----------
 def order_events(events: DataFrame) -> DataFrame:
     # order number and lifecycle step are computed once, then referenced
@@ -175,16 +209,33 @@ def stream_records(events: DataFrame) -> DataFrame:
     (missing key), corrupt records carry text that is not base64.
     """
     body = F.struct(
-        "event_id",
+        F.md5(F.col("event_id").cast("string")).alias("event_id"),  # sources send text ids
         F.when(~F.col("misses_order_id"), F.col("order_id")).alias("order_id"),
         "customer_id", "event_type", "product", "amount", "status", "timestamp")
     payload = F.base64(F.encode(F.to_json(body), "UTF-8"))
     return events.select(
-        F.col("event_id").alias("seq"),
+        (F.col("seq") if "seq" in events.columns else F.col("event_id")).alias("seq"),
         F.col("order_id").alias("partition_key"),
         F.when(F.col("is_corrupt"), F.lit("%%not-base64%%")).otherwise(payload).alias("data"),
     )
 
 
+RESENT_SEQ = 1_000_000_000
+
+
+def late_arrivals(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Order events in two landings (seq, then the event columns): a fifth arrives hours late,
+    some of it with a zone offset in its time, and some of the first come again, changed."""
+    k = F.col("event_id")
+    first = events.filter(k % 5 != 0).withColumn("seq", k)
+    utc = F.col("timestamp").try_cast("timestamp")
+    shifted = F.concat(F.date_format(F.to_utc_timestamp(utc, F.current_timezone()) + F.expr("INTERVAL 2 HOURS"),
+                                     "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+02:00"))
+    late = events.filter(k % 5 == 0).withColumn("seq", k).withColumn(
+        "timestamp", F.when(k % 10 == 5, shifted).otherwise(F.col("timestamp")))
+    again = events.filter(k % 10 == 1).withColumn("seq", k + RESENT_SEQ).withColumn("amount", F.lit("999"))
+    return first, late.unionByName(again)
+
+
 def load_stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_records(load_order_events(spark, sf_dir))

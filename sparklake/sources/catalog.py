@@ -18,17 +18,30 @@ def create_layers(spark: SparkSession, root: str, layers=LAYERS, prefix: str = "
     return names
 
 
+def drop_layers(spark: SparkSession, dbs) -> None:
+    """Remove namespaces with their table entries; files of external tables stay."""
+    for db in dbs:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def _create(spark: SparkSession, table: str, path: str, fmt: str, options: dict, columns: str = "") -> None:
+    opts = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
+    spark.sql(f"CREATE TABLE {table} {columns} USING {fmt}" + (f" OPTIONS ({opts})" if opts else "")
+              + f" LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)  # MSCK REPAIR TABLE
+
+
 def discover_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet",
                    options: dict | None = None) -> None:
-    """Register files under ``path`` as a table (schema read from the files),
-    then pick up partition folders, as a crawler would."""
-    opts = ""
-    if options:
-        opts = " OPTIONS (" + ", ".join(f"'{k}' '{v}'" for k, v in options.items()) + ")"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{name} USING {fmt}{opts} LOCATION '{path}'")
-    partitioned = any(c.isPartition for c in spark.catalog.listColumns(f"{db}.{name}"))
-    if partitioned:
-        spark.catalog.recoverPartitions(f"{db}.{name}")  # MSCK REPAIR TABLE
+    """Register files under ``path`` as a table (schema read from all files), then pick
+    up partition folders, as a crawler would.  A later crawl updates the entry in
+    place: the files are external, so it is dropped and made anew from them."""
+    options = dict(options or {})
+    if fmt == "parquet":
+        options.setdefault("mergeSchema", "true")
+    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+    _create(spark, f"{db}.{name}", path, fmt, options)
     spark.catalog.refreshTable(f"{db}.{name}")
 
 
@@ -58,14 +71,31 @@ def schema_diff(old: StructType, new: StructType) -> list[tuple[str, str, str |
     return out
 
 
+# Type changes that every stored value survives: old type -> wider types.
+WIDER = {"tinyint": {"smallint", "int", "bigint"}, "smallint": {"int", "bigint"}, "int": {"bigint", "double"},
+         "float": {"double"}, "date": {"timestamp_ntz"}}
+
+
 def evolve_table(spark: SparkSession, table: str, new_schema: StructType) -> DataFrame:
-    """Schema-change policy: add new columns in place, keep dropped ones and
-    only report them (deletions are logged, never applied)."""
-    diff = schema_diff(spark.table(table).schema, new_schema)
+    """Schema-change policy for an external table: new columns and wider types are applied in
+    place, dropped columns and other type changes are only reported (never applied)."""
+    old = spark.table(table).schema
+    diff = schema_diff(old, new_schema)
     added = [(c, t) for c, ch, _, t in diff if ch == "added"]
+    wider = {c: t for c, ch, o, t in diff if ch == "type_changed" and t in WIDER.get(o, ())}
+    if wider:
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        columns = ", ".join(f"`{f.name}` {wider.get(f.name, f.dataType.simpleString())}" for f in old.fields)
+        columns = f"({columns})"
+        by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"CREATE TABLE {table} {columns} USING {about['Provider']}{by} LOCATION '{about['Location']}'")
+        if parts:
+            spark.catalog.recoverPartitions(table)
     if added:
-        cols = ", ".join(f"{c} {t}" for c, t in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({cols})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in added)})")
+    applied = {c for c, _ in added} | set(wider)
     return spark.createDataFrame(
-        [(c, ch, ot, nt, "applied" if ch == "added" else "logged") for c, ch, ot, nt in diff],
+        [(c, ch, ot, nt, "applied" if c in applied else "logged") for c, ch, ot, nt in diff],
         "column string, change string, old_type string, new_type string, action string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,6 +55,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return r.parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, order: Sequence, mode: str = "overwrite") -> None:
+    """Parquet sink in a global order: part files follow each other and are sorted inside."""
+    df.orderBy(*order).write.mode(mode).parquet(path)
+
+
+def with_file_position(spark: SparkSession, path: str, name: str = "position") -> DataFrame:
+    """A sorted sink read back, each row with its place as the files have it.  For results
+    (reports, gold tables): the place is counted over all rows."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"),
+                                           F.col("_metadata.row_index").alias("_at"))
+    w = Window.orderBy("_file", "_at")
+    return rows.withColumn(name, F.row_number().over(w).cast("bigint")).drop("_file", "_at")
+
+
 def with_date_parts(df: DataFrame, ts: str, parts=("year", "month", "day")) -> DataFrame:
     """Zero-padded text partition columns (YYYY / MM / DD / HH) from a timestamp."""
     fmt = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}

@@ -6,18 +6,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklake import schemas
 from pyspark.sql import types as T
 
-ITEM_COLUMNS = ("pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "customer_id", "event_type",
-                "product", "amount", "status", "timestamp")
-# Landing zone: item columns plus zero-padded text partitions (never re-inferred as numbers).
-LANDING_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ITEM_COLUMNS]
-                              + [T.StructField(c, T.StringType()) for c in ("year", "month", "day", "hour")])
+from sparklake import schemas
+from sparklake.functions.scalar import utc_of_iso
 from sparklake.operators.dedup import latest_by_key
 from sparklake.plans import events as ev
 from sparklake.sources.files import read_parquet, with_date_parts, write_parquet
 
+ITEM_COLUMNS = ("pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "customer_id", "event_type",
+                "product", "amount", "status", "timestamp")
+HOUR_PARTS = ("year", "month", "day", "hour")
+_ITEM_FIELDS = [T.StructField(c, T.StringType()) for c in ITEM_COLUMNS] + [T.StructField("seq", T.LongType())]
+ITEM_SCHEMA = T.StructType([*_ITEM_FIELDS, T.StructField("batch_id", T.IntegerType())])
+# Landing zone: item columns plus zero-padded text partitions (never re-inferred as numbers).
+LANDING_SCHEMA = T.StructType(_ITEM_FIELDS + [T.StructField(c, T.StringType()) for c in HOUR_PARTS])
+#: Folder names of events whose time is no time.
+NO_TIME = "unknown"
+
 
 def record_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Broker records landed as Parquet files (the source is a parameter; a
@@ -34,32 +40,24 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
     ``out/items/batch_id=<n>`` and ``out/dead_letter/batch_id=<n>`` (overwrite:
     a replayed batch rewrites its own folder, so the upsert is idempotent).
 
-    ``start="latest"`` skips the records already present when the consumer
-    starts for the first time (no checkpoint yet): only records with a higher
-    sequence number are processed, on this and later runs.
+    ``start="latest"`` skips the files already present when the consumer starts for
+    the first time (no checkpoint yet): one run commits them to the checkpoint and
+    discards their rows.  Whatever lands later is processed, whatever its sequence number.
     """
-    stream = record_stream(spark, source, max_files_per_trigger)
-    if start == "latest":
-        marker = f"{checkpoint}_start"
-        if not _exists(spark, marker):  # first run: remember where the stream stood
-            top = spark.read.schema(schemas.STREAM_RECORD).parquet(source).agg(F.max("seq").alias("seq"))
-            top.write.mode("overwrite").parquet(marker)
-        first_seq = spark.read.parquet(marker).first()["seq"]
-        if first_seq is not None:
-            stream = stream.filter(F.col("seq") > F.lit(first_seq))
-    decoded = ev.decode(stream)
+    decoded = ev.decode(record_stream(spark, source, max_files_per_trigger))
+
+    def run(sink_batch) -> None:
+        (decoded.writeStream.foreachBatch(sink_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            items = ev.to_items(ev.good(batch)).withColumn("seq", F.col("event_id").cast("bigint"))
-            write_parquet(items, f"{out}/items/batch_id={batch_id}")
-            write_parquet(ev.dead_letter(batch), f"{out}/dead_letter/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
-
-    (decoded.writeStream.foreachBatch(sink_batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+        # two passes over the batch's files instead of holding the whole batch in memory
+        write_parquet(ev.to_items(ev.good(batch), keep=("seq",)), f"{out}/items/batch_id={batch_id}")
+        write_parquet(ev.dead_letter(batch), f"{out}/dead_letter/batch_id={batch_id}")
+
+    if start == "latest" and not _exists(spark, checkpoint):
+        run(lambda batch, batch_id: None)
+    run(sink_batch)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -77,6 +75,8 @@ def _current_version(spark: SparkSession, out: str):
 
 def _item_sources(spark: SparkSession, out: str, upto=None) -> DataFrame:
     """Current compacted version (as batch ``version``) plus the batches after it."""
+    if not _exists(spark, f"{out}/items"):
+        return spark.createDataFrame([], ITEM_SCHEMA)
     batches = spark.read.parquet(f"{out}/items")
     if upto is not None:
         batches = batches.filter(F.col("batch_id") <= upto)
@@ -98,6 +98,8 @@ def compact(spark: SparkSession, out: str) -> int:
     """Fold all batches so far into ``compacted/v=<last batch>``, then move the
     ``_current`` pointer.  Readers switch only after the version is complete;
     re-running after a crash rewrites the same version.  Returns the version."""
+    if not _exists(spark, f"{out}/items"):
+        return -1
     top = spark.read.parquet(f"{out}/items").agg(F.max("batch_id").alias("v")).first()["v"]
     if top is None:
         return -1
@@ -109,41 +111,69 @@ def compact(spark: SparkSession, out: str) -> int:
 
 
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:
-    """Raw landing zone: decoded good events under year=/month=/day=/hour=."""
-    good = ev.to_items(ev.good(ev.decode(record_stream(spark, source))))
-    ts = F.translate(F.substring("timestamp", 1, 19), "T", " ").try_cast("timestamp_ntz")
-    parts = with_date_parts(good.withColumn("_ts", ts), "_ts", ("year", "month", "day", "hour")).drop("_ts")
+    """Raw landing zone: decoded good events under year=/month=/day=/hour= of their UTC time."""
+    good = ev.to_items(ev.good(ev.decode(record_stream(spark, source))), keep=("seq",))
+    parts = with_date_parts(good.withColumn("_ts", utc_of_iso("timestamp")), "_ts", HOUR_PARTS).drop("_ts")
+    parts = parts.withColumns({p: F.coalesce(p, F.lit(NO_TIME)) for p in HOUR_PARTS})
     (parts.writeStream.format("parquet").option("path", landing)
-     .option("checkpointLocation", checkpoint).partitionBy("year", "month", "day", "hour")
+     .option("checkpointLocation", checkpoint).partitionBy(*HOUR_PARTS)
      .trigger(availableNow=True).start().awaitTermination())
 
 
-def refresh_silver(spark: SparkSession, landing: str, silver: str, checkpoint: str,
-                   delay: str = "1 hour") -> None:
-    """Hourly silver refresh over the landing zone: repeats of a (pk, sk) within
-    the watermark delay are dropped; the watermark bounds the state kept."""
+def refresh_silver(spark: SparkSession, landing: str, silver: str, checkpoint: str) -> None:
+    """Hourly silver refresh over the landing zone: one row per (pk, sk), the newest record.
+
+    Each batch rewrites the hours it touches from what silver has there and the batch,
+    so a row may arrive any time late; replaying a batch gives the same hours.
+    """
     raw = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
-    ts = F.translate(F.substring("timestamp", 1, 23), "T", " ").try_cast("timestamp_ntz").cast("timestamp")
-    dedup = (raw.withColumn("event_time", ts).withWatermark("event_time", delay)
-                .dropDuplicatesWithinWatermark(["pk", "sk"]).drop("event_time"))
-    (dedup.writeStream.format("parquet").option("path", silver)
+
+    def merge_hours(batch: DataFrame, batch_id: int) -> None:
+        rows = batch
+        if _exists(spark, silver):
+            hours = batch.select(*HOUR_PARTS).distinct()
+            there = spark.read.schema(LANDING_SCHEMA).parquet(silver).join(hours, list(HOUR_PARTS), "left_semi")
+            rows = there.select(*batch.columns).unionByName(batch)
+        write_parquet(latest_by_key(rows, ["pk", "sk"], ["seq"]), silver, partition_by=HOUR_PARTS, dynamic=True)
+
+    (raw.writeStream.foreachBatch(merge_hours)
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
-def refresh_gold_days(silver: DataFrame, new_batch: DataFrame, gold_path: str, build) -> None:
-    """Recompute gold rows only for the periods a new batch touched.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
-    ``build`` maps silver rows to gold rows keyed by ``date``.  Gold is stored
-    partitioned by month (``period``) and overwritten dynamically: the months a
-    batch touched are rebuilt from silver, all other months stay as they are.
+def refresh_gold(silver: DataFrame, touched: DataFrame, gold_path: str, build, silver_part, gold_part) -> None:
+    """Recompute gold rows only for the parts that a new batch touched.
+
+    ``silver_part`` gives each silver row's part, ``gold_part`` each gold row's; ``build`` maps
+    the silver rows of some parts to exactly the gold rows of these parts.  Gold is stored by ``part`` and
+    overwritten dynamically: touched parts are rebuilt from silver, all others stay as they
+    are, and a touched part that has no rows any more goes.  NULL is a part like any other.
     """
-    period = F.date_format(F.col("created_at").cast("date"), "yyyy-MM")
-    touched = new_batch.select(period.alias("period")).distinct()
-    scope = silver.withColumn("_period", period).join(
-        touched, F.col("_period") == touched["period"], "left_semi").drop("_period")
-    gold = build(scope).withColumn("period", F.date_format("date", "yyyy-MM"))
-    write_parquet(gold, gold_path, mode="overwrite", partition_by=["period"], dynamic=True)
+    spark = silver.sparkSession
+    wanted = touched.select(F.col(touched.columns[0]).alias("_touched")).distinct()
+    scope = silver.withColumn("_part", silver_part).join(
+        wanted, F.col("_part").eqNullSafe(F.col("_touched")), "left_semi").drop("_part")
+    write_parquet(build(scope).withColumn("part", gold_part), gold_path, mode="overwrite", partition_by=["part"],
+                  dynamic=True)
+    left = scope.select(silver_part.alias("_left")).distinct()
+    gone = wanted.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti")
+    jvm = spark.sparkContext._jvm
+    for row in gone.collect():  # parts of gold, not rows
+        folder = NULL_FOLDER if row["_touched"] is None else row["_touched"]
+        path = jvm.org.apache.hadoop.fs.Path(f"{gold_path}/part={folder}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def month_of(date) -> F.Column:
+    return F.date_format(F.col(date).cast("date"), "yyyy-MM")
+
+
+def key_bucket(key: str, buckets: int = 64) -> F.Column:
+    """Part of a gold table that is keyed by something else than a date."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path).drop("period")
+    return read_parquet(spark, path).drop("part")

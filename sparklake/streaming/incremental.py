@@ -19,10 +19,15 @@ from sparklake.operators.dedup import latest_by_key
 from sparklake.sources.files import CSV_READ, write_with_metrics
 
 
+PARTITIONS = {"orders": ("year", "month")}
+
+
 def run_incremental(spark: SparkSession, source: str, sink: str, checkpoint: str, *,
                     transform: Callable[[DataFrame], DataFrame], table: str = "orders",
-                    partition_by=("year", "month"), max_files_per_trigger: int | None = None) -> int:
-    """One bookmarked run; returns the number of rows written (0 when no new file)."""
+                    partition_by=None, max_files_per_trigger: int | None = None) -> int:
+    """One bookmarked run; returns the number of rows written (0 when no new file).
+    ``partition_by`` defaults to the table's own layout (PARTITIONS)."""
+    partition_by = PARTITIONS.get(table, ()) if partition_by is None else partition_by
     reader = spark.readStream.schema(schemas.BRONZE[table]).options(**CSV_READ)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -45,10 +50,16 @@ def run_incremental(spark: SparkSession, source: str, sink: str, checkpoint: str
 def read_silver(spark: SparkSession, sink: str, mode: str = "append", key: str = "order_id",
                 ts: str = "updated_at") -> DataFrame:
     """Silver as appended (``append``: a key arriving in a later file is kept
-    twice, as the source system did) or merged (``merge``: latest per key)."""
-    df = spark.read.parquet(sink).drop("batch_id")
+    twice, as the source system did) or merged (``merge``: per key the row of the latest
+    batch, inside a batch the latest by ``ts``; a key whose last change is a delete is gone,
+    where the batches were written with their op)."""
+    df = spark.read.parquet(sink)
     if mode == "append":
-        return df
+        return df.drop("batch_id")
     if mode == "merge":
-        return latest_by_key(df, [key], [F.col(ts)])
+        order = [F.col("batch_id")] + ([F.col(ts)] if ts in df.columns else [])
+        last = latest_by_key(df, [key], order)
+        if "op" in df.columns:
+            last = last.filter(F.col("op") != "D").drop("op")
+        return last.drop("batch_id")
     raise ValueError(mode)

@@ -137,14 +137,15 @@ def test_event_roundtrip_and_replay(spark):
     plain = ad.order_events(events)
     decoded = ev.decode(ad.stream_records(plain))
     good = ev.good(decoded).collect()
-    assert {r["event_id"] for r in good} == {"0", "1"}  # event 5 is corrupt (5 % 97 == 5)
+    assert {r["seq"] for r in good} == {0, 1}  # event 5 is corrupt (5 % 97 == 5)
+    assert all(len(r["event_id"]) == 32 for r in good)  # ids are text
     assert [r["reason"] for r in ev.dead_letter(decoded).collect()] == ["undecodable_payload"]
-    by_id = {r["event_id"]: r for r in good}
+    by_id = {str(r["seq"]): r for r in good}
     # event 0: amount and product were dropped from the JSON (defaults apply);
     # event 1: props was NULL (missing key -> ''), amount present
     assert (by_id["0"]["amount"], by_id["0"]["product"]) == ("0", "")
     assert (by_id["1"]["amount"], by_id["1"]["product"]) == ("2.0", "")
-    items = ev.to_items(ev.good(decoded)).withColumn("seq", F.col("event_id").cast("bigint"))
+    items = ev.to_items(ev.good(decoded), keep=("seq",))
     once = ev.upsert_view(items.withColumn("batch_id", F.lit(0)))
     twice = ev.upsert_view(items.withColumn("batch_id", F.lit(0)).unionByName(items.withColumn("batch_id", F.lit(1))))
     assert sorted(once.collect()) == sorted(twice.collect())
@@ -182,8 +183,13 @@ def test_table_selection_rules_and_scale_settings():
     assert cdc.select_tables(names, include=["order%"], exclude=["%_tmp"]) == ["orders", "order_items"]
     assert cdc.select_tables(names, include=["%"], exclude=["audit%", "%_tmp"]) == ["orders", "order_items", "customers"]
     assert cdc.select_tables(names, include=["orders"]) == ["orders"]  # '_' and '%' only
+    assert cdc.select_tables(["a[1]", "a1"], include=["a[1]"]) == ["a[1]"]
+    both = ["shop.orders", "audit.orders", "orders"]
+    assert cdc.select_tables(both, include=["orders"]) == both
+    assert cdc.select_tables(both, include=[("shop", "%")]) == ["shop.orders"]
+    assert cdc.select_tables(both, include=["%"], exclude=[("audit", "%")]) == ["shop.orders", "orders"]
     small, big = scale_settings(10 << 20), scale_settings(100 << 40)
-    assert small["spark.sql.shuffle.partitions"] == "200" and big["spark.sql.shuffle.partitions"] == "50000"
+    assert small["spark.sql.shuffle.partitions"] == "200" and big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
@@ -220,3 +226,102 @@ def test_resolve_choice_policies_and_apply_mapping(spark):
     assert [(r["c1"], r["c2_double"], r["c2_text"], r["c3"]) for r in rows] == [(1, 2.5, None, "x"), (None, None, "b", "y")]
     mapped = cs.apply_mapping(df, [("c1", "string", "key", "int"), ("c3", "string", "label", "string")])
     assert mapped.columns == ["key", "label"] and sorted(r["key"] or 0 for r in mapped.collect()) == [0, 1]
+
+
+def _feed(spark, rows):
+    return spark.createDataFrame(rows, "order_id string, v string, updated_at string, op string, commit_seq int")
+
+
+def test_commit_order_decides_the_current_state(spark):
+    t = "2025-01-01 00:00:00"
+    feed = _feed(spark, [("same", "900", t, "U", 1), ("same", "100", t, "U", 2),
+                         ("back", "1", t, "I", 0), ("back", "1", t, "D", 1), ("back", "2", t, "I", 2),
+                         ("gone", "1", t, "I", 0), ("gone", "1", None, "D", 1)])
+    assert {r["order_id"]: r["v"] for r in cdc.current_state(feed, "order_id").collect()} == {"same": "100", "back": "2"}
+
+
+def test_money_is_rounded_after_the_sum(spark):
+    cols = ("order_id string, customer_id string, product string, quantity string, amount string, status string, "
+            "created_at string, updated_at string, op string")
+    day = "2024-01-01 00:00:00"
+
+    def sales(amounts):
+        bronze = spark.createDataFrame([(str(i), "1", "p", "1", a, "s", day, day, "I") for i, a in enumerate(amounts)], cols)
+        r = md.daily_sales(md.silver_orders(bronze, now=False)).first()
+        assert md.silver_status_rollup(md.silver_orders(bronze, now=False)).first()["revenue"] == r["total_revenue"]
+        return r["total_orders"], r["total_revenue"], r["avg_order_value"]
+
+    assert sales(["0.004", "0.004", "0.004"]) == (3, 0.01, 0.0)
+    assert sales(["100000000000000000", "1"]) == (2, 1e17, 5e16)
+    assert sales(["10", "NaN", "Infinity", "-Infinity", "1e300", "x"]) == (6, 10.0, 10.0)
+
+
+def test_repeated_json_key_keeps_the_last_value(spark):
+    from sparklake.functions.json import json_map
+    df = spark.createDataFrame([('{"a":1,"b":null,"a":2}',), ('[1]',), ("no",)], "s string")
+    assert [r[0] for r in df.select(json_map("s")).collect()] == [{"a": "2", "b": None}, None, None]
+
+
+def test_time_text_with_an_offset(spark):
+    from sparklake.functions.scalar import utc_of_iso
+    df = spark.createDataFrame([("2024-01-01T22:00:00.500+02:00",), ("2024-01-01T20:00:00Z",), ("2024-01-01T20:00:00",), ("x",)], "s string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Santiago"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [r[0] for r in df.select(utc_of_iso("s")).collect()]
+            assert got == [dt.datetime(2024, 1, 1, 20, 0, 0, 500000), dt.datetime(2024, 1, 1, 20), dt.datetime(2024, 1, 1, 20), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_sliding_over_a_wide_frame_and_many_short_ranges(spark):
+    from sparklake.operators.ordered import keyed_sliding
+    df = spark.createDataFrame([("k", i, i) for i in range(400)], "k string, t int, x int")
+    got = keyed_sliding(df, ["k"], ["t"], 150, {"s": lambda w: F.sum("x").over(w)}, num_ranges=40)
+    ref = df.withColumn("s", F.sum("x").over(Window.partitionBy("k").orderBy("t").rowsBetween(-150, 0)))
+    assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_checkpoint_folder_is_never_private_on_a_cluster():
+    import pytest
+    from sparklake.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://head:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_crawl_again_and_widen(spark):
+    from sparklake.session import scratch_path
+    from sparklake.sources import catalog as cat
+    root = scratch_path(spark, "t_crawl")
+    db = cat.create_layers(spark, root, layers=("silver",), prefix="t" + root[-6:] + "_")[0]
+    path = f"{root}/data"
+    spark.createDataFrame([(1, 5)], "id int, n int").write.parquet(path)
+    cat.discover_table(spark, db, "x", path)
+    spark.createDataFrame([(2, 6, "new")], "id int, n int, extra string").write.mode("append").parquet(path)
+    cat.discover_table(spark, db, "x", path)
+    assert sorted(map(tuple, spark.table(f"{db}.x").collect()), key=str) == [(1, 5, None), (2, 6, "new")]
+    wide = spark.createDataFrame([(2**40, "t", 1)], "id bigint, n string, more int")
+    actions = {r["column"]: r["action"] for r in cat.evolve_table(spark, f"{db}.x", wide.schema).collect()}
+    assert actions == {"id": "applied", "n": "logged", "more": "applied", "extra": "logged"}
+    wide.select("id", "more").write.mode("append").parquet(path)
+    spark.catalog.refreshTable(f"{db}.x")
+    assert {r["id"] for r in spark.table(f"{db}.x").collect()} == {1, 2, 2**40}
+    cat.drop_layers(spark, [db])

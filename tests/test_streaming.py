@@ -1,5 +1,6 @@
 """Streaming and incremental jobs: restarts, replays, empty runs."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -85,3 +86,83 @@ def test_compaction_keeps_the_view(spark):
     after = sev.item_view(spark, f"{root}/out")
     assert sorted(after.collect(), key=str) == sorted(ev_items(spark).collect(), key=str)
     assert sev.compact(spark, f"{root}/out") > v
+
+
+def _record(spark, rows):
+    """Records (seq, data) of events (order, id, type, amount, time)."""
+    df = spark.createDataFrame(rows, "seq bigint, order_id string, event_id string, event_type string, amount string, timestamp string")
+    body = F.to_json(F.struct("order_id", "event_id", "event_type", "amount", "timestamp",
+                              F.lit("7").alias("customer_id"), F.lit("s").alias("status")))
+    return df.select("seq", F.col("order_id").alias("partition_key"), F.base64(F.encode(body, "UTF-8")).alias("data"))
+
+
+def test_latest_start_takes_later_files_with_lower_sequence_numbers(spark):
+    root = scratch_path(spark, "t_shards")
+    _record(spark, [(10, "o1", "uuid-a", "t", "1", "2024-01-01T00:00:00Z")]).write.parquet(f"{root}/src/a")
+    sev.ingest(spark, f"{root}/src/*", f"{root}/out", f"{root}/ck", start="latest")
+    _record(spark, [(5, "o2", "uuid-b", "t", "2", "2024-01-01T00:00:00Z")]).write.parquet(f"{root}/src/b")
+    sev.ingest(spark, f"{root}/src/*", f"{root}/out", f"{root}/ck", start="latest")
+    assert [r["event_id"] for r in sev.item_view(spark, f"{root}/out").collect()] == ["uuid-b"]
+
+
+def test_view_of_a_stream_without_records(spark):
+    root = scratch_path(spark, "t_none")
+    view = sev.item_view(spark, f"{root}/out")
+    assert view.count() == 0 and view.columns == list(sev.ITEM_COLUMNS)
+    assert sev.compact(spark, f"{root}/out") == -1
+
+
+def test_silver_takes_late_rows_and_the_newest_repeat(spark):
+    root = scratch_path(spark, "t_late")
+
+    def run(i, rows):
+        _record(spark, rows).write.parquet(f"{root}/src/{i}")
+        sev.land_hourly(spark, f"{root}/src/*", f"{root}/raw", f"{root}/ck_raw")
+        sev.refresh_silver(spark, f"{root}/raw", f"{root}/silver", f"{root}/ck")
+        rows = spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/silver").collect()
+        return sorted((r["order_id"], r["amount"], r["day"], r["hour"]) for r in rows)
+
+    assert run(1, [(1, "a", "u1", "t", "1", "2024-01-01T23:30:00Z")]) == [("a", "1", "01", "23")]
+    got = run(2, [(2, "b", "u2", "t", "2", "2024-01-01T20:00:00Z"), (3, "a", "u1", "t", "9", "2024-01-01T23:30:00Z"),
+                  (4, "c", "u3", "t", "3", "2024-01-02T01:00:00+02:00"), (5, "d", "u4", "t", "4", "no time")])
+    assert got == [("a", "9", "01", "23"), ("b", "2", "01", "20"), ("c", "3", "01", "23"), ("d", "4", "unknown", "unknown")]
+    # an older record that arrives later changes nothing
+    assert run(3, [(0, "a", "u1", "t", "0", "2024-01-01T23:30:00Z")]) == got
+
+
+def test_gold_refresh_keeps_rows_without_a_date_and_drops_emptied_parts(spark):
+    root = scratch_path(spark, "t_gold")
+
+    def silver(rows):
+        return spark.createDataFrame(rows, "order_id string, customer_id int, amount double, created_at timestamp_ntz")
+
+    jan, feb = (dt.datetime(2024, m, 3) for m in (1, 2))
+    part, of_date = sev.month_of("created_at"), sev.month_of("date")
+
+    def gold(rows, touched):
+        sev.refresh_gold(silver(rows), silver(touched).select(part.alias("p")), f"{root}/gold", md.daily_sales, part, of_date)
+        return sorted(((str(r["date"]), r["total_orders"], r["total_revenue"]) for r in sev.read_gold(spark, f"{root}/gold").collect()))
+
+    first = [("1", 1, 5.0, jan), ("2", 1, 7.0, None), ("3", 2, 1.0, feb)]
+    assert gold(first, first) == [("2024-01-03", 1, 5.0), ("2024-02-03", 1, 1.0), ("None", 1, 7.0)]
+    assert gold([("1", 1, 6.0, jan), ("2", 1, 7.0, None)], [("1", 1, 6.0, jan), ("3", 2, 1.0, feb)]) == [
+        ("2024-01-03", 1, 6.0), ("None", 1, 7.0)]
+
+
+def test_merge_uses_the_later_batch_and_applies_deletes(spark):
+    root = scratch_path(spark, "t_merge")
+    t = dt.datetime(2024, 1, 1)
+    for i, rows in enumerate([[("a", 900.0, t, "U"), ("b", 1.0, t, "I"), ("c", 1.0, t, "I")],
+                              [("a", 100.0, t, "U"), ("b", 1.0, None, "D")], [("b", 2.0, t, "I")]]):
+        spark.createDataFrame(rows, "order_id string, amount double, updated_at timestamp_ntz, op string") \
+            .write.parquet(f"{root}/batch_id={i}")
+    got = {r["order_id"]: r["amount"] for r in inc.read_silver(spark, root, mode="merge").collect()}
+    assert got == {"a": 100.0, "b": 2.0, "c": 1.0}
+
+
+def test_customers_load_with_the_defaults(spark):
+    root = scratch_path(spark, "t_customers")
+    io.write_csv(ad.load_bronze_customers(spark, SF), f"{root}/bronze/1")
+    n = inc.run_incremental(spark, f"{root}/bronze/*", f"{root}/silver", f"{root}/ck", transform=md.customer_changes,
+                            table="customers")
+    assert n == ad.load_bronze_customers(spark, SF).count()
