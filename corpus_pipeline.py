@@ -31,9 +31,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document's text, their number, and in place of the text what the ids decode to."""
-    encoded = sentencepiece_bpe.encode(docs, carry_text=False)
-    decoded = sentencepiece_bpe.decode(encoded).withColumnRenamed("decoded", "text")
-    return decoded.withColumn("n_tokens", F.size("ids").cast("long"))
+    both = sentencepiece_bpe.encode(docs, carry_text=False, decoded=True)
+    return both.withColumnRenamed("decoded", "text").withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("near_join", near), ("source_mix", mix),

@@ -13,7 +13,7 @@ from public_tokenizers import path
 MARK = "▁"
 PRE_TOKEN = re.compile(f"{MARK}+[^{MARK}]*")
 #: Text bytes that are worked on at a time in a Python worker (a longer text is whole, on its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def default_model() -> str:

@@ -11,7 +11,7 @@ part is encoded once per worker while it is kept; the number kept is bounded.
 
 Defined results: null text counts as empty and gives only the end id; other columns are
 carried; repeated rows are encoded alike; an empty table gives an empty result; texts are encoded whole.
-Input columns named ids are replaced.
+Input columns named ids (or decoded, where asked for) are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from sparklake.llm.common import ROW, field, packed, ship, unpacked
 from sparklake.llm.pieces import MARK, Kept, Vocabulary, default_model, sliced
 
 KEPT_PARTS = 250_000
-KEPT_PAIRS = 300_000
+KEPT_PAIRS = 200_000
 
 
 def merged(symbols: list[str], score: dict[str, float]) -> list[str]:
@@ -176,26 +176,34 @@ def _shared(docs: DataFrame, model: str | None):
     return docs.sparkSession.sparkContext.broadcast((model, Vocabulary(model)))  # under 2 MB
 
 
-def encode(docs: DataFrame, model: str | None = None, carry_text: bool = True) -> DataFrame:
-    """``docs`` with ids (array of int): the ids of ``text`` and the end id."""
+def encode(docs: DataFrame, model: str | None = None, carry_text: bool = True, decoded: bool = False) -> DataFrame:
+    """``docs`` with ids (array of int): the ids of ``text`` and the end id.
+
+    ``decoded`` adds what the ids decode to, in the same pass and Python worker.
+    """
     shared = _shared(docs, model)
-    names = [c for c in docs.columns if c != "ids" and (carry_text or c != "text")]
+    new = ["ids", "decoded"] if decoded else ["ids"]
+    names = [c for c in docs.columns if c not in new and (carry_text or c != "text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, _ = _tools(shared)
+        encoder, decoder = _tools(shared)
         end = encoder.vocabulary.end
         for b in sliced(batches):
-            flat, ends = [], [0]
+            flat, ends, texts = [], [0], []
             for text in b.column("text").to_pylist():
                 flat += encoder.encode(text or "")
                 flat.append(end)
+                if decoded:
+                    texts.append(decoder.decode(flat[ends[-1]:]))
                 ends.append(len(flat))
             ids = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.array(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(ROW), ids], names=[ROW, "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(ROW), ids, *([pa.array(texts, pa.string())] if decoded else [])],
+                                             names=[ROW, *new])
 
     rows = docs.select(packed(docs.select(*names)), field(docs, "text").alias("text"))
     schema = rows.select(ROW).schema.add("ids", ArrayType(IntegerType()))
-    return rows.mapInArrow(run, schema).select(*unpacked(docs, names), "ids")
+    schema = schema.add("decoded", StringType()) if decoded else schema
+    return rows.mapInArrow(run, schema).select(*unpacked(docs, names), *new)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -220,7 +228,7 @@ def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    both = decode(encode(docs.select("doc_id", "text"), carry_text=False))
+    both = encode(docs.select("doc_id", "text"), carry_text=False, decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

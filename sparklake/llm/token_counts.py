@@ -30,8 +30,8 @@ UNKNOWN_BELOW = 10.0
 #: Pieces with a score at or below this are placeholders and don't set the unknown score.
 PLACEHOLDER = -1e8
 #: A worker starts a new trie beyond this many nodes.
-MOST_NODES = 500_000
-KEPT_PARTS = 250_000
+MOST_NODES = 400_000
+KEPT_PARTS = 200_000
 CHARS = 0x110000
 
 
