@@ -61,6 +61,24 @@ def field(docs: DataFrame, name: str, kind: str = "string") -> Column:
     return F.col(quoted(name)) if name in docs.columns else F.lit(None).cast(kind)
 
 
+def content_key(docs: DataFrame, names: list[str]) -> list[Column]:
+    """Two independent 64-bit hashes, ``key_a`` and ``key_b``, of the columns ``names``.
+
+    A decision that depends on these columns alone is carried back to the rows by this key,
+    so that no stage has to write the texts a second time.
+    """
+    one = [field(docs, n) for n in names]
+    return [F.xxhash64(F.lit(1), *one).alias("key_a"), F.xxhash64(F.lit(2), *reversed(one)).alias("key_b")]
+
+
+KEY = ["key_a", "key_b"]
+
+
+def with_key(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` as a struct column ``__row`` with its content key."""
+    return docs.select(packed(docs), *content_key(docs, names))
+
+
 def word_array(text: Column) -> Column:
     """Words of a text, in order; null and empty text: none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

@@ -31,7 +31,7 @@ BLOCK_BITS = 32_768
 MAX_BLOCKS = 16_384
 
 
-def repeated_cells(rows: DataFrame, blocks: int) -> DataFrame:
+def repeated_cells(rows: DataFrame) -> DataFrame:
     """(block, bits): a bitmap of the cells hit twice or more, for blocks that have any."""
     cells = rows.select("block", F.explode(F.array("bit1", "bit2")).alias("bit"))
     twice = cells.groupBy("block", "bit").agg(F.count("*").alias("hits")).where("hits >= 2")
@@ -43,50 +43,75 @@ def _is_set(bit: Column) -> Column:
     return F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
 
 
-def groups(docs: DataFrame, carry_text: bool = True) -> DataFrame:
-    """``docs`` as a struct column ``__row`` with text_sha256, keep_id, group_size and kept.
-
-    ``carry_text=False`` leaves the text out of ``__row``; the work table then has no texts.
-    """
+def _sha(docs: DataFrame) -> Column:
     text = F.regexp_replace(F.coalesce(field(docs, "text"), F.lit("")), SPACE, " ")
-    h = F.xxhash64("text_sha256")
-    named = docs.select(packed(docs, () if carry_text else ("text",)), F.col("doc_id").alias("__id"),
-                        F.sha2(text, 256).alias("text_sha256"), F.monotonically_increasing_id().alias("__uid"))
-    rows = save(named, "dedup")
-    n = rows.count()
-    blocks = max(1, min(MAX_BLOCKS, -(-n * BITS_PER_ROW // BLOCK_BITS)))
-    rows = (rows.withColumn("__h", h).select(
-        "*", F.pmod("__h", F.lit(blocks)).alias("block"),
-        F.pmod(F.shiftright("__h", 20), F.lit(BLOCK_BITS)).alias("bit1"),
-        F.pmod(F.shiftright("__h", 40), F.lit(BLOCK_BITS)).alias("bit2")).drop("__h"))
-    cells = save(repeated_cells(rows.select("block", "bit1", "bit2"), blocks), "dedup_cells")
-    # at most MAX_BLOCKS rows of 4 KB: the bound of this broadcast
-    tested = rows.join(F.broadcast(cells), "block", "left").withColumn(
-        "__maybe", _is_set(F.col("bit1")) & _is_set(F.col("bit2")))
-    tested = tested.select(ROW, "__id", "__uid", "text_sha256", "__maybe")
-    alone = tested.where(~F.col("__maybe")).select(
-        ROW, "text_sha256", F.col("__id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"))
-    maybe = tested.where("__maybe").drop("__maybe")
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__uid").alias("uid")))
-    found = (maybe.groupBy(F.col("text_sha256").alias("__sha")).agg(first.alias("__first"), F.count("*").alias("__n"))
-             .where("__n >= 2"))
-    # a hot group is one row of `found`; its many rows on the other side are split by AQE
-    resolved = maybe.join(small(save(found, "dedup_groups")), F.col("text_sha256") == F.col("__sha"), "left").select(
-        ROW, "text_sha256", F.when(F.col("__n") >= 2, F.col("__first")["id"]).otherwise(F.col("__id")).alias("keep_id"),
-        F.coalesce("__n", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("__uid") == F.col("__first")["uid"], F.lit(True)).alias("kept"))
-    return alone.unionByName(resolved)
+    return F.sha2(text, 256).alias("text_sha256")
+
+
+class Filter:
+    """The filter of a table of hashes, and the groups of those it finds possibly repeated."""
+
+    def __init__(self, hashes: DataFrame):
+        """``hashes``: a written table of (doc_id, text_sha256)."""
+        self.blocks = max(1, min(MAX_BLOCKS, -(-hashes.count() * BITS_PER_ROW // BLOCK_BITS)))
+        placed = self._placed(hashes).select("block", "bit1", "bit2")
+        self.cells = save(repeated_cells(placed), "dedup_cells")
+        maybe = self.tested(hashes).where("maybe")
+        known = F.min("doc_id")  # leaves nulls out
+        found = maybe.groupBy("text_sha256").agg(known.alias("keep_id"), F.count("*").alias("group_size"))
+        self.groups = save(found.where("group_size >= 2"), "dedup_groups")
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        h = F.xxhash64("text_sha256")
+        return rows.select("*", F.pmod(h, F.lit(self.blocks)).alias("block"),
+                           F.pmod(F.shiftright(h, 20), F.lit(BLOCK_BITS)).alias("bit1"),
+                           F.pmod(F.shiftright(h, 40), F.lit(BLOCK_BITS)).alias("bit2"))
+
+    def tested(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with text_sha256) with maybe: whether a row may have a copy."""
+        # at most MAX_BLOCKS rows of 4 KB: the bound of this broadcast
+        hit = self._placed(rows).join(F.broadcast(self.cells), "block", "left")
+        return hit.withColumn("maybe", _is_set(F.col("bit1")) & _is_set(F.col("bit2"))).drop("block", "bit1", "bit2", "bits")
+
+
+def resolved(rows: DataFrame, found: Filter) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those without a copy, and the others with keep_id and group_size."""
+    tested = found.tested(rows)
+    # a hot group is one row of `groups`; its many rows on the other side are split by AQE
+    return tested.where(~F.col("maybe")).drop("maybe"), tested.where("maybe").drop("maybe").join(
+        small(found.groups), "text_sha256", "left")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group of equal texts, with its own columns."""
-    return groups(docs).where("kept").select(*unpacked(docs, docs.columns))
+    found = Filter(save(docs.select(_id(docs), _sha(docs)), "dedup"))
+    alone, maybe = resolved(docs.select(packed(docs), _id(docs), _sha(docs)), found)
+    single = maybe.where("group_size IS NULL").select(ROW)
+    # one row a group, but for repeated rows with the smallest id
+    first = maybe.where(F.col("group_size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    first = first.dropDuplicates(["text_sha256"]).select(ROW)
+    return alone.select(ROW).union(single).union(first).select(*unpacked(docs, docs.columns))
+
+
+def _id(docs: DataFrame) -> Column:
+    return field(docs, "doc_id", "long").alias("doc_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    found = groups(docs.select("doc_id", "text"), carry_text=False)
-    return found.select(F.col(ROW)["doc_id"].alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+    """(doc_id, keep_id, group_size, kept, text_sha256) of every row."""
+    hashes = save(docs.select(_id(docs), _sha(docs), F.monotonically_increasing_id().alias("uid")), "dedup")
+    found = Filter(hashes)
+    alone, maybe = resolved(hashes, found)
+    alone = alone.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+                         F.lit(True).alias("kept"), "text_sha256")
+    # of repeated rows with the smallest id the first one stays
+    stay = maybe.where(F.col("group_size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    stay = stay.groupBy("text_sha256").agg(F.min("uid").alias("stays"))
+    maybe = maybe.join(small(save(stay, "dedup_stays")), "text_sha256", "left").select(
+        "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("uid") == F.col("stays"), F.lit(True)).alias("kept"), "text_sha256")
+    return alone.unionByName(maybe)
 
 
 ORACLE = r"""

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklake.llm import signature_tree
-from sparklake.llm.common import field, packed, save, ship, small, unpacked
+from sparklake.llm.common import KEY, content_key, field, save, ship, small, unpacked, with_key
 from sparklake.llm.components import components
 
 SHINGLE = 5
@@ -41,7 +41,7 @@ PARTS = ((128, 1.0), (512, 0.5), (2048, 0.3), (1 << 62, 0.25))
 BLOCK_TOKENS = 2_000_000
 #: Documents of each part of a block that go on as its delegates.
 DELEGATES = 4
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _word_hashes: dict[bytes, int] = {}
@@ -97,7 +97,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
 
 
 def _counted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(uid, doc_id, text) -> (uid, doc_id, class, key, n, tokens, tested).
+    """(doc_id, text, content key) -> (doc_id, content key, class, key, n, tokens, tested).
 
     ``tokens`` is the counted part of the set in the order of hashes, ``tested`` how many of
     them every partner of up to 1.25 times the size counts as well.
@@ -113,9 +113,9 @@ def _counted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             tokens.append(s[:np.searchsorted(s, _limit(len(s)), "right")])
             tested.append(int(np.searchsorted(s, _limit(-(-len(s) * 100 // signature_tree.PERCENT)), "right")))
         yield pa.RecordBatch.from_arrays(
-            [b.column("uid"), b.column("doc_id"), pa.array(names, pa.string()), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
+            [*(b.column(c) for c in ("doc_id", *KEY)), pa.array(names, pa.string()), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
              _lists(tokens), pa.array(tested, pa.int32())],
-            names=["uid", "doc_id", "class", "key", "n", "tokens", "tested"])
+            names=["doc_id", *KEY, "class", "key", "n", "tokens", "tested"])
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,13 +246,15 @@ def linked_classes(sets: DataFrame, limit: int = BLOCK_TOKENS) -> DataFrame:
 
 
 def with_components(docs: DataFrame) -> DataFrame:
-    """(uid, doc_id, n_shingles, component, component_id) of docs (uid, doc_id, text).
+    """(doc_id, content key, n_shingles, component, component_id) of docs (doc_id, text).
 
     ``component`` names the component (null: the row is alone); ``component_id`` is its smallest doc_id.
     """
     ship(docs.sparkSession)
-    rows = save(docs.mapInArrow(_counted_tokens, "uid long, doc_id {}, class string, key long, n long, tokens array<long>, tested int"
-                                .format(docs.schema["doc_id"].dataType.simpleString())), "near")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    keyed = docs.select("doc_id", "text", *content_key(docs, ["doc_id", "text"]))
+    rows = save(keyed.mapInArrow(_counted_tokens, f"doc_id {kind}, key_a long, key_b long, class string, key long, n long, "
+                                                  "tokens array<long>, tested int"), "near")
     wanted = save(candidates(rows), "near_candidates")
     sets = save(whole_sets(docs.select("doc_id", "text"), wanted), "near_sets")
     parts = linked_classes(sets)
@@ -265,22 +267,27 @@ def with_components(docs: DataFrame) -> DataFrame:
     found = joined.join(found.where("members > 1"), "component").select("class", "component", "component_id")
     # many rows of one class are split by AQE; the other side has a row a class
     return rows.join(small(save(found, "near_found")), "class", "left").select(
-        "uid", "doc_id", F.col("n").alias("n_shingles"), "component",
+        "doc_id", *KEY, F.col("n").alias("n_shingles"), "component",
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component (smallest doc_id, null ids last), with its own columns."""
-    rows = save(docs.select(packed(docs), F.monotonically_increasing_id().alias("uid"), F.col("doc_id"),
-                            field(docs, "text").alias("text")), "near_docs")
-    found = save(with_components(rows.select("uid", "doc_id", "text")), "near_result")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))["uid"]
-    dropped = found.where(F.col("component").isNotNull())
-    kept = dropped.groupBy("component").agg(first.alias("kept"))
-    dropped = dropped.join(small(save(kept, "near_kept")), "component").where(F.col("uid") != F.col("kept")).select("uid")
-    return rows.join(small(save(dropped, "near_dropped")), "uid", "left_anti").select(*unpacked(docs, docs.columns))
+    names = ["doc_id", "text"]
+    rows = docs.select(F.col("doc_id"), field(docs, "text").alias("text"))
+    found = with_components(rows).where(F.col("component").isNotNull())
+    found = save(found.select("doc_id", "component", *KEY), "near_result")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY))
+    kept = found.groupBy("component").agg(first.alias("first")).select(F.col("first.key_a").alias("key_a"), F.col("first.key_b").alias("key_b"))
+    keys = found.groupBy(*KEY).agg(F.count("*").alias("rows"))
+    dropped = save(keys.join(kept, KEY, "left_anti").select(*KEY), "near_dropped")
+    again = save(keys.where("rows > 1").join(kept, KEY, "left_semi").select(*KEY), "near_again")
+    left = with_key(docs, names).join(small(dropped), KEY, "left_anti")
+    if again.limit(1).count():  # rows that equal the kept one in id and text: one of them stays
+        once = left.join(small(again), KEY, "left_semi").dropDuplicates(KEY)
+        left = left.join(small(again), KEY, "left_anti").unionByName(once)
+    return left.select(*unpacked(docs, docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
-    return with_components(rows).select("doc_id", "n_shingles", "component_id")
+    return with_components(docs.select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklake.llm.common import ROW, SPACE_CHARS, field, packed, save, small, unpacked, word_array
+from sparklake.llm.common import KEY, SPACE_CHARS, content_key, field, save, small, unpacked, with_key, word_array
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -172,16 +172,16 @@ def _fit(rows: DataFrame) -> DataFrame:
     return save(fitted.withColumn("cutoff", F.col("stretch") * CHI2_CUTOFF).drop("stretch"), "mcd")
 
 
-def score(docs: DataFrame, carry_text: bool = True) -> DataFrame:
-    """``docs`` as a struct column ``__row`` with COUNTS, base_failed, d2, cutoff and kept.
+READ = ["doc_id", "text", "lang", "source"]
 
-    ``carry_text=False`` leaves the text out of ``__row``; the work table then has no texts.
-    """
-    base = docs.select(packed(docs, () if carry_text else ("text",)), field(docs, "text").alias("__text"),
+
+def score(docs: DataFrame) -> DataFrame:
+    """(doc_id, content key, COUNTS, base_failed, d2, cutoff, kept) of every row; no texts."""
+    base = docs.select(field(docs, "doc_id", "long").alias("doc_id"), *content_key(docs, READ), field(docs, "text").alias("__text"),
                        F.to_json(F.struct(field(docs, "lang").alias("l"))).alias("lkey"),
                        F.to_json(F.struct(field(docs, "lang").alias("l"), field(docs, "source").alias("s"))).alias("gkey"))
     counted = with_counts(base, "__text").drop("__text")
-    stats = save(counted.select(ROW, "lkey", "gkey", *COUNTS, _base_failed().alias("base_failed"), *_vector()), "quality")
+    stats = save(counted.select("doc_id", *KEY, "lkey", "gkey", *COUNTS, _base_failed().alias("base_failed"), *_vector()), "quality")
     passing = stats.where(~F.col("base_failed"))
     groups = save(_groups(passing.select("gkey", "lkey")), "mcd_groups")
     labelled = save(passing.select("gkey", *Z).join(small(groups), "gkey").where(F.col("label").isNotNull())
@@ -189,15 +189,15 @@ def score(docs: DataFrame, carry_text: bool = True) -> DataFrame:
     model = groups.join(_fit(labelled), "label").drop("label")
     judged = _distance(stats.join(small(save(model, "mcd")), "gkey", "left"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= F.col("cutoff"), F.lit(True))
-    return judged.select(ROW, *COUNTS, "base_failed", F.when(~F.col("base_failed"), F.col("d2")).alias("d2"),
+    return judged.select("doc_id", *KEY, *COUNTS, "base_failed", F.when(~F.col("base_failed"), F.col("d2")).alias("d2"),
                          F.col("cutoff"), kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    return score(docs).where("kept").select(*unpacked(docs, docs.columns))
+    rejected = save(score(docs).where(~F.col("kept")).select(*KEY).distinct(), "quality_rejected")
+    return with_key(docs, READ).join(small(rejected), KEY, "left_anti").select(*unpacked(docs, docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    scored = score(docs.select("doc_id", "text", "lang", "source"), carry_text=False)
-    return scored.select(F.col(ROW)["doc_id"].alias("doc_id"), *COUNTS, "base_failed", "kept", "d2")
+    return score(docs).select("doc_id", *COUNTS, "base_failed", "kept", "d2")

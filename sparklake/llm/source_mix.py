@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklake.llm.common import ROW, field, packed, save, small, unpacked
+from sparklake.llm.common import KEY, content_key, field, save, small, unpacked, with_key
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -38,11 +38,14 @@ GRID = 1 << 12
 BUCKET_ROWS = 2_000
 
 
-def _sized(docs: DataFrame, carry_text: bool) -> DataFrame:
-    """``__row``, source, size, and a key that orders each source's documents."""
+READ = ["doc_id", "text", "source"]
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    """doc_id, content key, source, size, and a key that orders each source's documents; no texts."""
     text = F.coalesce(field(docs, "text"), F.lit(""))
     key = F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text))
-    return docs.select(packed(docs, () if carry_text else ("text",)), field(docs, "source").alias("source"),
+    return docs.select("doc_id", *content_key(docs, READ), field(docs, "source").alias("source"),
                        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(key).alias("order"),
                        F.monotonically_increasing_id().alias("uid"))
 
@@ -118,13 +121,13 @@ def _turns(block: int) -> Column:
         F.ceil(F.col("words") / block) + F.ceil(more / block))
 
 
-def mix(docs: DataFrame, carry_text: bool = True) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): the documents with their source's figures, and the mix itself.
 
-    ``rows``: ``__row``, uid, size, source_size, target.  ``spans``: slot, uid, turn, first and last
+    ``rows``: doc_id, content key, source, uid, size, source_size, target.  ``spans``: slot, uid, turn, first and last
     (exclusive) word of the document; ordered by slot they are the mix.
     """
-    sized = save(_sized(docs, carry_text), "mix")
+    sized = save(_sized(docs), "mix")
     n, words = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     sources = save(targets(sized.groupBy("source").agg(F.sum("size").alias("words"))), "mix_sources")
     all_words = -(-words * SHARE_PERCENT // 100)
@@ -132,7 +135,7 @@ def mix(docs: DataFrame, carry_text: bool = True) -> tuple[DataFrame, DataFrame]
     buckets = max(1, n // BUCKET_ROWS)
     known = sources.select(F.col("source").alias("__source"), "rank", F.col("words").alias("source_size"), "target")
     rows = sized.join(small(known), F.col("source").eqNullSafe(F.col("__source"))).select(
-        ROW, "uid", "size", "rank", "source_size", "target", "order")
+        "doc_id", *KEY, "source", "uid", "size", "rank", "source_size", "target", "order")
     streams = rows.where("size > 0").select("uid", "size", "rank", "source_size", "target", "order", F.pmod(
         F.conv(F.substring("order", 1, 8), 16, 10).cast("long"), F.lit(buckets)).alias("bucket"))
     streams = _running(streams, ["rank"], "bucket", ["order", "uid"], "size", "start")
@@ -148,24 +151,25 @@ def mix(docs: DataFrame, carry_text: bool = True) -> tuple[DataFrame, DataFrame]
     last = F.least(F.col("end"), (F.col("block") + 1) * block, limit)
     spans = parts.join(turns.where(F.col("round") < MOST_REPEATS), ["rank", "block"]).select(
         "slot", "uid", "turn", (first - F.col("start")).alias("first"), (last - F.col("start")).alias("last"))
-    return rows.select(ROW, "uid", "size", "source_size", "target"), spans.where("first < last")
+    return rows.select("doc_id", *KEY, "source", "uid", "size", "source_size", "target"), spans.where("first < last")
 
 
-def taken(docs: DataFrame, carry_text: bool = True) -> DataFrame:
-    """``__row``, size, source_size, target and taken, the words of each document in the mix."""
-    rows, spans = mix(docs, carry_text)
+def taken(docs: DataFrame) -> DataFrame:
+    """(doc_id, content key, size, source_size, target, taken): the words of each document in the mix."""
+    rows, spans = mix(docs)
     got = save(spans.groupBy("uid").agg(F.sum(F.col("last") - F.col("first")).alias("taken")), "mix_taken")
     return rows.join(small(got), "uid", "left").select(
-        ROW, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+        "doc_id", *KEY, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, with their own columns: each as often as the mix has it, to the nearest whole."""
-    times = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5).cast("int")
-    return (taken(docs).where(times > 0).withColumn("__times", F.explode(F.array_repeat(F.lit(0), times)))
+    """The documents of the mix, with their own columns: each as often as the mix has it, to the nearest
+    whole (rows that are equal in id, text and source: as often as they are on average)."""
+    times = F.floor(F.avg("taken") / F.greatest(F.max("size"), F.lit(1)) + 0.5).cast("int")
+    per_key = save(taken(docs).groupBy(*KEY).agg(times.alias("__times")).where("__times > 0"), "mix_times")
+    return (with_key(docs, READ).join(small(per_key), KEY).withColumn("__time", F.explode(F.array_repeat(F.lit(0), F.col("__times"))))
             .select(*unpacked(docs, docs.columns)))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return taken(docs.select("doc_id", "text", "source"), carry_text=False).select(
-        F.col(ROW)["doc_id"].alias("doc_id"), "size", "source_size", "target", "taken")
+    return taken(docs).select("doc_id", "size", "source_size", "target", "taken")

@@ -271,7 +271,7 @@ def test_source_mix_schedule_is_even_and_spans_are_whole(spark):
     rng = random.Random(1)
     rows = [(i, prose(rng, rng.randrange(1, 400)), "en", rng.choice("abc"), 0) for i in range(300)]
     mixed, spans = source_mix.mix(spark.createDataFrame(rows, SCHEMA))
-    at = spans.join(mixed.select("uid", F.col("__row.source").alias("source"), "target"), "uid").collect()
+    at = spans.join(mixed.select("uid", "source", "target"), "uid").collect()
     slots = [r for r in at if r.slot is not None]
     last = max(r.slot for r in slots)
     total = sum({r.source: r.target for r in at}.values())
