@@ -70,6 +70,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/sparklake/{name}/{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all folders that ``scratch_path`` has named: to be called when no result that
+    is read lazily from them is needed any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparklake")
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def scale_settings(shuffle_bytes: int, *, partition_bytes: int = 256 << 20,
                    min_partitions: int = 200) -> dict:
     """SQL settings for a job that shuffles about ``shuffle_bytes``.
