@@ -77,7 +77,7 @@ def _item_sources(spark: SparkSession, out: str, upto=None) -> DataFrame:
     """Current compacted version (as batch ``version``) plus the batches after it."""
     if not _exists(spark, f"{out}/items"):
         return spark.createDataFrame([], ITEM_SCHEMA)
-    batches = spark.read.parquet(f"{out}/items")
+    batches = spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items")
     if upto is not None:
         batches = batches.filter(F.col("batch_id") <= upto)
     version = _current_version(spark, out)
@@ -94,22 +94,40 @@ def item_view(spark: SparkSession, out: str) -> DataFrame:
     return ev.upsert_view(_item_sources(spark, out))
 
 
-def compact(spark: SparkSession, out: str) -> int:
+def compact(spark: SparkSession, out: str, drop_folded: bool = False) -> int:
     """Fold all batches so far into ``compacted/v=<last batch>``, then move the
     ``_current`` pointer.  Readers switch only after the version is complete;
-    re-running after a crash rewrites the same version.  Returns the version."""
+    re-running after a crash rewrites the same version.  Returns the version.
+
+    ``drop_folded`` then deletes the batches and versions that no new reader opens: for
+    when no reader of an older version is still at work.
+    """
     if not _exists(spark, f"{out}/items"):
         return -1
-    top = spark.read.parquet(f"{out}/items").agg(F.max("batch_id").alias("v")).first()["v"]
-    if top is None:
-        return -1
+    top = spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items").agg(F.max("batch_id").alias("v")).first()["v"]
+    if top is None:  # nothing since the last compaction
+        version = _current_version(spark, out)
+        return -1 if version is None else version
     latest = latest_by_key(_item_sources(spark, out, upto=top), ["pk", "sk"], ["batch_id", "seq"])
     write_parquet(latest.drop("batch_id"), f"{out}/compacted/v={top}")
     (spark.createDataFrame([(int(top),)], "version bigint").coalesce(1)
           .write.mode("overwrite").json(f"{out}/_current"))
+    if drop_folded:
+        for folder, name, keep in (("items", "batch_id", lambda v: v > top), ("compacted", "v", lambda v: v == top)):
+            _drop_folders(spark, f"{out}/{folder}", name, keep)
     return int(top)
 
 
+def _drop_folders(spark: SparkSession, root: str, name: str, keep) -> None:
+    """Delete the folders ``name=<n>`` below ``root`` whose number is not to be kept."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        key, _, value = status.getPath().getName().partition("=")
+        if key == name and not keep(int(value)):
+            fs.delete(status.getPath(), True)
+
+
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:
     """Raw landing zone: decoded good events under year=/month=/day=/hour= of their UTC time."""
     good = ev.to_items(ev.good(ev.decode(record_stream(spark, source))), keep=("seq",))

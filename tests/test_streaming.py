@@ -84,8 +84,13 @@ def test_compaction_keeps_the_view(spark):
     recs.filter(F.col("seq") > cut).write.parquet(f"{root}/src/b")
     sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
     after = sev.item_view(spark, f"{root}/out")
-    assert sorted(after.collect(), key=str) == sorted(ev_items(spark).collect(), key=str)
-    assert sev.compact(spark, f"{root}/out") > v
+    whole = sorted(ev_items(spark).collect(), key=str)
+    assert sorted(after.collect(), key=str) == whole
+    last = sev.compact(spark, f"{root}/out", drop_folded=True)
+    assert last > v and sorted(sev.item_view(spark, f"{root}/out").collect(), key=str) == whole
+    assert not [d for d in os.listdir(f"{root}/out/items") if d.startswith("batch_id=")]
+    assert os.listdir(f"{root}/out/compacted") == [f"v={last}"]
+    assert sev.compact(spark, f"{root}/out") == last
 
 
 def _record(spark, rows):
