@@ -9,8 +9,10 @@ import pyarrow as pa
 import sentencepiece
 from public_tokenizers import path
 
-#: The space mark of SentencePiece (U+2581); it replaces every space, and one leads the text.
-MARK = "▁"
+#: SentencePiece writes a space as this mark, in pieces and texts; one leads the text.  Here
+#: both stand as a space, which keeps most strings at one byte a character.
+SPACE_MARK = "▁"
+MARK = " "
 PRE_TOKEN = re.compile(f"{MARK}+[^{MARK}]*")
 #: Text bytes that are worked on at a time in a Python worker (a longer text is whole, on its own).
 SLICE_BYTES = 1 << 20
@@ -26,7 +28,7 @@ class Vocabulary:
     def __init__(self, model: str):
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         n = sp.get_piece_size()
-        self.pieces = [sp.id_to_piece(i) for i in range(n)]
+        self.pieces = [sp.id_to_piece(i).replace(SPACE_MARK, MARK) for i in range(n)]
         self.byte_id = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if sp.is_byte(i)}
         self.control = {i for i in range(n) if sp.is_control(i)}
         self.unknown, self.end = sp.unk_id(), sp.eos_id()
@@ -46,7 +48,7 @@ class Vocabulary:
 
     def parts(self, text: str) -> list[str]:
         """The text with its leading mark, cut where no piece goes across; no text: nothing."""
-        return self.part.findall(MARK + text.replace(" ", MARK)) if text else []
+        return self.part.findall(MARK + text.replace(SPACE_MARK, MARK)) if text else []
 
     def byte_ids(self, char: str) -> list[int]:
         return [self.byte_id[b] for b in char.encode()] if self.byte_id else [self.unknown]

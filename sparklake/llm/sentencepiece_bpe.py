@@ -29,8 +29,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from sparklake.llm.common import ROW, field, packed, ship, unpacked
 from sparklake.llm.pieces import MARK, Kept, Vocabulary, default_model, sliced
 
-KEPT_PARTS = 250_000
-KEPT_PAIRS = 200_000
+KEPT_PARTS = 200_000
+KEPT_PAIRS = 100_000
 
 
 def merged(symbols: list[str], score: dict[str, float]) -> list[str]:
@@ -104,7 +104,7 @@ class Encoder:
             at, before, left = end, piece, len(matches[end])
         return taken
 
-    def part_ids(self, part: str) -> list[int]:
+    def part_ids(self, part: str) -> tuple[int, ...]:
         found, known = [], self.vocabulary.ids
         for piece in self.split(part):
             i = known.get(piece)
@@ -112,7 +112,7 @@ class Encoder:
                 found += self.vocabulary.byte_ids(piece)
             else:
                 found.append(i)
-        return found
+        return tuple(found)
 
     def encode(self, text: str) -> list[int]:
         """Ids of the text, without an end id."""
@@ -133,7 +133,7 @@ def _utf8(raw: bytes) -> str:
 
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.text = [p.replace(MARK, " ") for p in vocabulary.pieces]
+        self.text = list(vocabulary.pieces)
         for i in vocabulary.control:
             self.text[i] = ""
         self.text[vocabulary.unknown] = " ⁇ "  # as the library shows it

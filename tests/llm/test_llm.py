@@ -465,7 +465,7 @@ def test_encode_digest(docs, rows, library):
 def brute_unigram(vocabulary, unknown, text):
     if not text:
         return 0
-    t = MARK + text.replace(" ", MARK)
+    t = MARK + text.replace("▁", MARK)
     best = [(0.0, 0)]
     for end in range(1, len(t) + 1):
         top = None
