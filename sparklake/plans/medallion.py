@@ -9,6 +9,8 @@ from sparklake.functions.scalar import exact_sum, money, money_digits, round_hal
 from sparklake.operators.cdc import current_state
 from sparklake.operators.dedup import dedup_changes
 from sparklake.operators.ordered import global_position
+from sparklake.session import scratch_path
+from sparklake.sources.files import read_parquet, write_parquet
 
 
 def type_orders(df: DataFrame, now=None, keep=()) -> DataFrame:
@@ -129,8 +131,11 @@ def with_revenue_rank(products: DataFrame) -> DataFrame:
 
 
 def product_ranking(orders: DataFrame) -> DataFrame:
-    """K4: product KPIs with a dense rank on rounded revenue."""
-    return with_revenue_rank(product_totals(orders))
+    """K4: product KPIs with a dense rank on rounded revenue.  The totals (a row a product) are
+    written once, as the rank reads them several times."""
+    path = scratch_path(orders.sparkSession, "product_totals")
+    write_parquet(product_totals(orders), path)
+    return with_revenue_rank(read_parquet(orders.sparkSession, path))
 
 
 def _top_from_counts(counts: DataFrame, ties: str) -> DataFrame:
