@@ -58,6 +58,10 @@ def _blob(docs: DataFrame) -> Column:
     return F.sha2(F.coalesce(field(docs, "text"), F.lit("")), 256)
 
 
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.xxhash64(a, b).alias("key_a"), F.xxhash64(b, a).alias("key_b")]
+
+
 def unseen(paths: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
     """(blob, path, todo): blobs that lack a rule version, one of their paths, and the rules to apply."""
     blobs = paths.groupBy("blob").agg(F.min("path").alias("path"))
@@ -70,7 +74,10 @@ def unseen(paths: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...])
 
 
 def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
-    """(blob, start, order, rule, end) of every match in ``texts`` (blob, text, todo), in code points."""
+    """(blob, start, order, rule, end) of every match in ``texts`` (blob, text, todo), in code points.
+
+    ``todo`` has a bit for each rule to apply.
+    """
     def lengths(of: Column) -> Column:
         return F.transform(of, lambda x: F.length(x).cast("long"))
 
@@ -81,7 +88,7 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                          lengths(F.split("text", rule.pattern)).alias("gap"),
                          lengths(F.regexp_extract_all("text", pattern, F.lit(0))).alias("length"),
                          lengths(F.regexp_extract_all("text", pattern, F.lit(rule.group))).alias("part"))
-        per_rule.append(F.when(F.array_contains("todo", rule.name) & F.col("text").rlike(rule.pattern), found))
+        per_rule.append(F.when((F.getbit("todo", F.lit(order)) == 1) & F.col("text").rlike(rule.pattern), found))
     hits = texts.select("blob", F.explode(F.filter(F.array(*per_rule), lambda x: x.isNotNull())).alias("hit"))
     rows = hits.select("blob", F.col("hit.order").alias("order"), F.posexplode(F.arrays_zip("hit.gap", "hit.length", "hit.part")))
     rows = rows.where("col.length IS NOT NULL").select("blob", "order", "pos", "col.*")  # the text after the last match
@@ -105,9 +112,11 @@ def scan(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, fir
                  "secret_paths")
     ledger = None if first else spark.read.schema(LEDGER).parquet(ledger_path)
     todo = save(unseen(paths, ledger, rules), "secret_todo")
-    wanted = todo.select(F.col("path").alias("__path"), F.col("blob").alias("__blob"), "todo")
+    # by two hashes and a bit a rule: three numbers a blob
+    bits = sum((F.when(F.array_contains("todo", r.name), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(rules)), F.lit(0))
+    wanted = todo.select(*_pair("path", "blob"), bits.alias("todo"))
     texts = docs.select(_path(docs).alias("path"), _blob(docs).alias("blob"), F.coalesce(field(docs, "text"), F.lit("")).alias("text"))
-    texts = texts.join(small(wanted), (F.col("path") == F.col("__path")) & (F.col("blob") == F.col("__blob")))
+    texts = texts.select("blob", "text", *_pair("path", "blob")).join(small(wanted), ["key_a", "key_b"])
     found = matches(texts.select("blob", "text", "todo"), rules)
     # a path may come several times with one text: its matches are the same and count once
     found = found.groupBy("blob").agg(F.sort_array(F.collect_set(F.struct("start", "order", "rule", "end"))).alias("found"))
