@@ -1,9 +1,9 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant (MCD).
 
 Per language and source, statistic vectors of the documents get a robust centre and
-scatter from concentration steps (the ``COVERED`` share of documents nearest to the centre
-define the next centre and scatter); a document whose Mahalanobis distance is beyond
-the cutoff is rejected.  Everything is DataFrame functions.
+scatter from concentration steps, begun at medians and median absolute deviations (the
+``COVERED`` share of documents nearest to the centre define the next centre and scatter); a document whose Mahalanobis distance is beyond the
+cutoff is rejected.  Everything is DataFrame functions.
 
 * Vectors are fixed-point integers (1/256), so sums are exact and reruns agree.
 * A concentration step is one pass: documents are summed per group and distance bin
@@ -29,7 +29,7 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Share of a group's documents that define its centre and scatter.
-COVERED = 0.75
+COVERED = 0.5
 STEPS = 4
 MIN_GROUP = 50
 UNIT = 256
@@ -42,6 +42,8 @@ PRIOR_LINES, PRIOR_WORDS = 10, 100
 P = len(LEAST_SD)
 #: Chi-square with 5 degrees of freedom: the median and the quantile at 1 - 1e-6.
 CHI2_MEDIAN, CHI2_CUTOFF = 4.3515, 36.5
+#: A normal standard deviation over its median absolute deviation.
+MAD_SCALE = 1.4826
 BINS_PER_OCTAVE = 8
 
 Z = [f"z{j}" for j in range(P)]
@@ -119,11 +121,12 @@ def _factor(df: DataFrame, cov) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Coordinatewise medians and quartile spreads: the first centre and scatter."""
-    q = rows.groupBy("label").agg(*[F.percentile(z, F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(z) for z in Z])
-    q = q.select("label", *[F.col(z)[1].alias(f"m{j}") for j, z in enumerate(Z)],
-                 *[((F.col(z)[2] - F.col(z)[0]) / 1.349).alias(f"s{j}") for j, z in enumerate(Z)])
-    return _factor(q, lambda j, k: F.col(f"s{j}") ** 2 if j == k else F.lit(0.0))
+    """Coordinatewise medians and median absolute deviations: the first centre and scatter."""
+    half = F.lit(0.5)
+    middle = save(rows.groupBy("label").agg(*[F.percentile(z, half).alias(f"m{j}") for j, z in enumerate(Z)]), "mcd_middle")
+    off = rows.join(small(middle), "label").select("label", *[F.abs(F.col(z) - F.col(f"m{j}")).alias(z) for j, z in enumerate(Z)])
+    spread = off.groupBy("label").agg(*[(F.percentile(z, half) * MAD_SCALE).alias(f"s{j}") for j, z in enumerate(Z)])
+    return _factor(middle.join(spread, "label"), lambda j, k: F.col(f"s{j}") ** 2 if j == k else F.lit(0.0))
 
 
 def _distance(rows: DataFrame) -> DataFrame:
