@@ -1,8 +1,9 @@
 """PII: format-preserving Feistel pseudonyms.
 
 Numbers and dates that pass their check are permuted, under a key, within the values of
-their format: card numbers among those with a right check digit, phone numbers among ten digits
-whose area and exchange begin with 2 to 9, social security numbers among valid ones, IPv4 addresses, and dates among the days of 1900
+their format: card numbers among those with a right check digit, phone numbers (ten digits that
+punctuation or +1 marks, bare ones whose area and exchange begin with 2 to 9, and with + and a
+country code other countries') among numbers of their length and country, social security numbers among valid ones, IPv4 addresses, and dates among the days of 1900
 to 2099.  Spaces and punctuation stay.  The permutation is the same everywhere, so equal
 values stay linked across documents and different ones stay apart.  Mail addresses get a keyed hash.
 
@@ -37,11 +38,14 @@ PATTERNS = {
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
     "date": r"(?<![0-9A-Za-z-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])",
+    "phone": (r"(?<![0-9A-Za-z])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+              r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|[2-9][0-9]{2}[2-9][0-9]{6}"
+              r"|\+[2-9](?:[ .-]?\(?[0-9]\)?){7,14})(?![0-9A-Za-z])"),
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}|(?:-[0-9]{4}){3}|[ -][0-9]{6}[ -][0-9]{5}))(?![0-9A-Za-z])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KINDS = list(PATTERNS)
+COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 DAYS = 73_049  # 1900-01-01 to 2099-12-31
 FIRST_DAY = "1900-01-01"
 
@@ -126,22 +130,32 @@ def _ssn(match: Column, key: str) -> Column:
 
 
 def _phone(match: Column, key: str) -> Column:
+    """Ten digits whose area and exchange begin with 2 to 9 are permuted among themselves, and so are all other ten."""
     digits = F.regexp_replace(match, "[^0-9]", "")
     value = F.substring(digits, -10, 10).cast("long")
-    area, exchange = lambda x: F.floor(x / 1_000_000_000), lambda x: F.floor(x / 1_000_000) % 10
-    moved = walked(value, 100_000, 100_000, key, "phone", lambda x: (area(x) > 1) & (exchange(x) > 1))
+
+    def usual(x: Column) -> Column:
+        return (F.floor(x / 1_000_000_000) > 1) & (F.floor(x / 1_000_000) % 10 > 1)
+
+    moved = walked(value, 100_000, 100_000, key, "phone", lambda x: usual(x) == usual(value))
     country = F.when(F.length(digits) > 10, F.lit("1")).otherwise(F.lit(""))
-    return _put_back(match, F.concat(country, _padded(moved, 10)))
+    code = F.regexp_extract(digits, COUNTRY, 0)
+    abroad = F.concat(code, _any_digits(F.substring(digits, F.length(code) + 1, F.length(digits)), key, "phone"))
+    return _put_back(match, F.when(match.rlike("^[+][2-9]"), abroad).otherwise(F.concat(country, _padded(moved, 10))))
+
+
+def _any_digits(digits: Column, key: str, kind: str) -> Column:
+    """``digits`` permuted among all digits of that length."""
+    size = F.length(digits)
+    low = F.floor(size / 2)
+    radix_a, radix_b = F.pow(F.lit(10), size - low).cast("long"), F.pow(F.lit(10), low).cast("long")
+    return F.lpad(feistel(digits.cast("long"), radix_a, radix_b, key, kind).cast("string"), size, F.lit("0"))
 
 
 def _card(match: Column, key: str) -> Column:
     """The digits before the check digit are permuted; the check digit follows from them."""
     digits = F.regexp_replace(match, "[^0-9]", "")
-    size = F.length(digits) - 1
-    low = F.floor(size / 2)
-    radix_a, radix_b = F.pow(F.lit(10), size - low).cast("long"), F.pow(F.lit(10), low).cast("long")
-    value = F.substring(digits, F.lit(1), size).cast("long")
-    moved = F.lpad(feistel(value, radix_a, radix_b, key, "card").cast("string"), size, F.lit("0"))
+    moved = _any_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
     total = F.aggregate(F.transform(F.split(F.concat(F.lit("0"), F.reverse(moved)), ""), _luhn_term), F.lit(0), lambda a, x: a + x)
     return _put_back(match, F.concat(moved, ((10 - total % 10) % 10).cast("string")))
 
