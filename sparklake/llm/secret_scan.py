@@ -90,7 +90,9 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                          lengths(F.regexp_extract_all("text", pattern, F.lit(rule.group))).alias("part"))
         per_rule.append(F.when((F.getbit("todo", F.lit(order)) == 1) & F.col("text").rlike(rule.pattern), found))
     hits = texts.select("blob", F.explode(F.filter(F.array(*per_rule), lambda x: x.isNotNull())).alias("hit"))
-    rows = hits.select("blob", F.col("hit.order").alias("order"), F.posexplode(F.arrays_zip("hit.gap", "hit.length", "hit.part")))
+    # a blob's text may come in several rows: one of them counts, or the sums below would add up all
+    hits = hits.select("blob", F.col("hit.order").alias("order"), "hit").dropDuplicates(["blob", "order"])
+    rows = hits.select("blob", "order", F.posexplode(F.arrays_zip("hit.gap", "hit.length", "hit.part")))
     rows = rows.where("col.length IS NOT NULL").select("blob", "order", "pos", "col.*")  # the text after the last match
     upto = Window.partitionBy("blob", "order").orderBy("pos")
     placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(upto))
@@ -118,7 +120,6 @@ def scan(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, fir
     texts = docs.select(_path(docs).alias("path"), _blob(docs).alias("blob"), F.coalesce(field(docs, "text"), F.lit("")).alias("text"))
     texts = texts.select("blob", "text", *_pair("path", "blob")).join(small(wanted), ["key_a", "key_b"])
     found = matches(texts.select("blob", "text", "todo"), rules)
-    # a path may come several times with one text: its matches are the same and count once
     found = found.groupBy("blob").agg(F.sort_array(F.collect_set(F.struct("start", "order", "rule", "end"))).alias("found"))
     entries = todo.select("blob", F.col("todo").alias("rules")).join(found, "blob", "left")
     entries = entries.withColumn("found", F.coalesce("found", F.array().cast(FOUND)))
