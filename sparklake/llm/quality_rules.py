@@ -2,15 +2,17 @@
 
 Per language and source, statistic vectors of the documents get a robust centre and
 scatter from concentration steps, begun at medians and median absolute deviations (the
-``COVERED`` share of documents nearest to the centre define the next centre and scatter); a document whose Mahalanobis distance is beyond the
-cutoff is rejected.  Everything is DataFrame functions.
+``COVERED`` share of documents nearest to the centre define the next centre and scatter);
+a document whose Mahalanobis distance is beyond the cutoff is rejected.  Everything is
+DataFrame functions.
 
 * Vectors are fixed-point integers (1/256), so sums are exact and reruns agree.
 * A concentration step is one pass: documents are summed per group and distance bin
   (map-side), and a window over a group's bins, whose number is bounded, picks the
   nearest ones.
-* Groups below ``MIN_GROUP`` documents are pooled per language; a pool that is still
-  too small rejects nobody beyond the base rules.
+* Groups below ``MIN_GROUP`` documents are pooled per language, and pools that are still too
+  small in one over all languages.  If that one is too small as well, its documents are held
+  against its medians with ``LEAST_SD`` as scatter.
 
 Defined results: null text has no words; empty and short texts fail the base rule; null
 language or source is a value of its own; repeated rows are scored alike; an empty
@@ -32,6 +34,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 COVERED = 0.5
 STEPS = 4
 MIN_GROUP = 50
+#: Label of the last pool; other labels are JSON objects.
+LAST = "last"
 UNIT = 256
 #: Least standard deviation of each statistic, in its own unit (log2): mean word length,
 #: and the percentages of symbols, repeated lines, repeated words and capitals.
@@ -98,13 +102,13 @@ def _base_failed() -> Column:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """(gkey, label): the group itself, the pool of its language's small groups, or null."""
+    """(gkey, label): the group itself, the pool of its language's small groups, or the pool of what is left."""
     counted = rows.groupBy("gkey", "lkey").agg(F.count("*").alias("n"))
     few = F.col("n") < MIN_GROUP
     pools = (counted.where(few).groupBy(F.col("lkey").alias("pkey"))
              .agg(F.sum("n").alias("pool")).where(F.col("pool") >= MIN_GROUP))
     joined = counted.join(pools, F.col("lkey") == F.col("pkey"), "left")
-    return joined.select("gkey", F.when(~few, F.col("gkey")).otherwise(F.col("pkey")).alias("label"))
+    return joined.select("gkey", F.when(~few, F.col("gkey")).otherwise(F.coalesce("pkey", F.lit(LAST))).alias("label"))
 
 
 def _factor(df: DataFrame, cov) -> DataFrame:
@@ -163,16 +167,19 @@ def _step(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 def _fit(rows: DataFrame) -> DataFrame:
     """(label, centre, factor, cutoff) of every group of ``rows`` (label and vectors)."""
-    model = save(_start(rows), "mcd")
+    start = model = save(_start(rows), "mcd")
     for _ in range(STEPS):
         model = save(_step(rows, model), "mcd")
     # the scatter of the nearest share is too narrow: stretch it to the median distance
     cells = _bins(rows, model, [])
-    middle = (cells.where(F.col("below") * 2 >= F.col("total")).groupBy("label").agg(F.min("bin").alias("bin"))
-              .select("label", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS_PER_OCTAVE)
-                                          / CHI2_MEDIAN).alias("stretch")))
-    fitted = model.join(small(save(middle, "mcd")), "label")
-    return save(fitted.withColumn("cutoff", F.col("stretch") * CHI2_CUTOFF).drop("stretch"), "mcd")
+    middle = (cells.where(F.col("below") * 2 >= F.col("total")).groupBy("label").agg(F.min("bin").alias("bin"), F.max("total").alias("total"))
+              .select("label", "total", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS_PER_OCTAVE)
+                                                   / CHI2_MEDIAN).alias("stretch")))
+    middle = small(save(middle, "mcd"))
+    fitted = model.join(middle.where(F.col("total") >= MIN_GROUP), "label").withColumn("cutoff", F.col("stretch") * CHI2_CUTOFF)
+    # too few for a scatter of their own: the least one, uncorrelated
+    few = start.join(middle.where(F.col("total") < MIN_GROUP), "label").withColumn("cutoff", F.lit(CHI2_CUTOFF))
+    return save(fitted.drop("stretch", "total").unionByName(_factor(few, lambda j, k: F.lit(0.0))), "mcd")
 
 
 READ = ["doc_id", "text", "lang", "source"]
@@ -187,11 +194,11 @@ def score(docs: DataFrame) -> DataFrame:
     stats = save(counted.select("doc_id", *KEY, "lkey", "gkey", *COUNTS, _base_failed().alias("base_failed"), *_vector()), "quality")
     passing = stats.where(~F.col("base_failed"))
     groups = save(_groups(passing.select("gkey", "lkey")), "mcd_groups")
-    labelled = save(passing.select("gkey", *Z).join(small(groups), "gkey").where(F.col("label").isNotNull())
+    labelled = save(passing.select("gkey", *Z).join(small(groups), "gkey")
                     .select("label", *Z), "mcd_rows")
     model = groups.join(_fit(labelled), "label").drop("label")
     judged = _distance(stats.join(small(save(model, "mcd")), "gkey", "left"))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= F.col("cutoff"), F.lit(True))
+    kept = ~F.col("base_failed") & (F.col("d2") <= F.col("cutoff"))
     return judged.select("doc_id", *KEY, *COUNTS, "base_failed", F.when(~F.col("base_failed"), F.col("d2")).alias("d2"),
                          F.col("cutoff"), kept.alias("kept"))
 
