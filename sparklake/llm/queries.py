@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sparklake.llm import (exact_dedup, near_join, pii, quality_model, quality_rules, secret_scan,
-                           sentencepiece_bpe, sharding, source_mix, token_counts)
+from sparklake.llm import (exact_dedup, near_join, periodic_runs, pii, quality_model, quality_rules, secret_scan,
+                           sentencepiece_bpe, sharding, source_mix, spelling, token_counts, word_bpe)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": _on_documents(sentencepiece_bpe.digest),
     "op9_exact_dedup": _on_documents(exact_dedup.digest),
     "op10_quality_rules": _on_documents(quality_rules.digest),
+    "op11_word_bpe": _on_documents(word_bpe.digest),
+    "op12_periodic_runs": _on_documents(periodic_runs.digest),
+    "op13_spelling": _on_documents(spelling.digest),
     "pipeline": corpus_pipeline.run,
 }
 
