@@ -99,9 +99,12 @@ def word_counts(docs: DataFrame, least_letters: int = LEAST_LETTERS, misspell: b
 def frequent_grams(words: DataFrame, most: int = MOST_FREQUENT) -> dict[str, int]:
     """Grams that occur more often than the threshold, with their counts: fewer than ``most`` of each length."""
     marked = F.concat(F.lit(BEGIN), F.col("word"), F.lit(END))
-    lengths = range(LEAST_GRAM, MOST_GRAM + 1)
-    grams = F.concat(*[F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1))), lambda i, k=k: F.substring(marked, i, F.lit(k)))
-                       for k in lengths])
+
+    def of_length(k: int) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(marked) - (k - 1), F.lit(1)))
+        return F.transform(places, lambda i: F.substring(marked, i, F.lit(k)))
+
+    grams = F.concat(*[of_length(k) for k in range(LEAST_GRAM, MOST_GRAM + 1)])
     places = words.agg(F.sum(F.length("word") + 2)).first()[0] or 0  # over the gram places of each length
     threshold = max(LEAST_FREQUENT, -(-places // most))
     counts = words.select(F.explode(grams).alias("gram")).groupBy("gram").count().where(F.col("count") > threshold)
