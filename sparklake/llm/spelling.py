@@ -144,8 +144,19 @@ def listed(word: str, frequent: dict[str, int]) -> list[tuple[str, int]]:
     return [(g, at) for _, _, g, at in order[:most_affected(grams, len(word)) + 1]]
 
 
+def pair_bits(word: str) -> int:
+    """64 bits: the parity of the numbers of letter pairs, by the pair's hash.
+
+    A replaced letter changes four pairs, one put in or taken out three; so no more bits differ.
+    """
+    marked, bits = BEGIN + word + END, 0
+    for a, b in zip(marked, marked[1:]):
+        bits ^= 1 << (ord(a) * 31 + ord(b) * 17 & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def gram_lists(words: DataFrame) -> DataFrame:
-    """(gram, letters, place, word): the index."""
+    """(gram, letters, place, word, bits): the index."""
     spark = words.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(frequent_grams(words))
@@ -153,13 +164,15 @@ def gram_lists(words: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
         for b in batches:
-            rows = [(g, len(w), at, w) for w in b.column("word").to_pylist() for g, at in listed(w, frequent)]
+            rows = [(g, len(w), at, w, bits) for w in b.column("word").to_pylist() for bits in [pair_bits(w)]
+                    for g, at in listed(w, frequent)]
             if rows:
                 columns = list(zip(*rows))
-                kinds = [pa.string(), pa.int32(), pa.int32(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["gram", "letters", "place", "word"])
+                kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                                 names=["gram", "letters", "place", "word", "bits"])
 
-    return words.select("word").mapInArrow(run, "gram string, letters int, place int, word string")
+    return words.select("word").mapInArrow(run, "gram string, letters int, place int, word string, bits long")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -171,11 +184,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # as long, at the same place; or one letter longer, at the same place or the next
     sought = F.array(*[F.struct((F.col("letters") + more).alias("letters"), (F.col("place") + on).alias("place"))
                        for more, on in ((0, 0), (1, 0), (1, 1))])
-    a = lists.select("gram", F.col("word").alias("a"), F.col("letters").alias("a_letters"), F.explode(sought).alias("s")) \
-             .select("gram", "s.letters", "s.place", "a", "a_letters")
+    a = lists.select("gram", F.col("word").alias("a"), F.col("letters").alias("a_letters"), F.col("bits").alias("a_bits"),
+                     F.explode(sought).alias("s")).select("gram", "s.letters", "s.place", "a", "a_letters", "a_bits")
     b = lists.withColumnRenamed("word", "b")
-    met = a.join(b, ["gram", "letters", "place"]).where(
-        ((F.col("a_letters") < F.col("letters")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
+    once = (F.col("a_letters") < F.col("letters")) | (F.col("a") < F.col("b"))
+    alike = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("bits"))) <= 4
+    met = a.join(b, ["gram", "letters", "place"]).where(alike & once & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "b").distinct()  # a pair meets in several lists
 
 
