@@ -8,26 +8,34 @@ processed locally; the ranges are then stitched through a table with one row per
 range (its size is bounded by the range count, which is what makes its broadcast
 safe).
 
-The range bounds are picked from a fixed sample: the rows with the smallest hashes
-of their key.  They stand in the plan as a literal, so the tag is a pure
-expression of the row: every branch, retry and re-run cuts the same ranges, and
-nothing has to be written in between.
+The rows are written once (the columns that the caller has selected), so that the input is computed once,
+whatever reads it again, and are counted on the way.  The range bounds are a *splitter tree* that Spark computes
+from them at run time: the rows whose key hash lies below a share of the hash space are a sample of bounded size, which is
+sorted, and every so-manieth key is a bound.  The plan holds it as a scalar subquery, so
+neither its size nor the time to plan it depends on the number of ranges, and no bound is collected while a
+query is built.  Beyond ``ONE_LEVEL`` ranges the root holds the bounds of as many coarse parts as there are bounds in each,
+and each part's own bounds come from the sampled keys of that part, in a table of one row a part.  The sample depends on
+the rows alone: every branch, retry and re-run cuts the same ranges.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from sparklake.functions.scalar import col
+from sparklake.session import scratch_path
 
 PID = "_range_id"
-#: Sampled rows for each range, from which its bounds are picked.
+#: Sampled rows for each range, on average.
 SAMPLE_PER_RANGE = 20
+#: Ranges up to which one array of bounds serves.
+ONE_LEVEL = 2_000
 
 
 class Key(NamedTuple):
@@ -60,56 +68,85 @@ def _keys(order: Sequence) -> list[Key]:
     return keys
 
 
-def _at_or_after(keys: list[Key], bound: Column) -> Column:
-    """Whether the row is at or after ``bound`` (a struct k0, k1, ...) in the order."""
+def _plain(keys: list[Key]) -> bool:
+    """Whether the order is that of structs."""
+    return all(not k.descending and k.nulls_first for k in keys)
+
+
+def _at_or_after(key: Column, bound: Column, keys: list[Key]) -> Column:
+    """Whether ``key`` is at or after ``bound`` in the order; both are structs k0, k1, ..."""
+    if _plain(keys):
+        return key >= bound
     out = F.lit(True)
     for i, k in reversed(list(enumerate(keys))):
-        b = bound[f"k{i}"]
-        after = (F.when(k.column.isNull(), F.lit(not k.nulls_first))
+        v, b = key[f"k{i}"], bound[f"k{i}"]
+        after = (F.when(v.isNull(), F.lit(not k.nulls_first))
                   .when(b.isNull(), F.lit(k.nulls_first))
-                  .otherwise(k.column < b if k.descending else k.column > b))
-        out = F.when(k.column.eqNullSafe(b), out).otherwise(after)
+                  .otherwise(v < b if k.descending else v > b))
+        out = F.when(v.eqNullSafe(b), out).otherwise(after)
     return out
 
 
-def _bounds(df: DataFrame, keys: list[Key], n: int) -> list:
-    """Up to n - 1 key values, in order, that cut ``df`` into ranges of like size."""
-    if n < 2:
-        return []
-    named = df.select(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
-    sample = named.orderBy(F.xxhash64(*named.columns)).limit(n * SAMPLE_PER_RANGE)
-    in_order = [getattr(F.col(f"k{i}"), f"{'desc' if k.descending else 'asc'}_nulls_{'first' if k.nulls_first else 'last'}")()
-                for i, k in enumerate(keys)]
-    rows = sample.orderBy(*in_order).collect()  # SAMPLE_PER_RANGE rows a range, whatever the input
-    picked = [rows[i * len(rows) // n] for i in range(1, n)] if rows else []
-    return [r for r, before in zip(picked, [None, *picked]) if r != before]
-
-
-def _range_of(df: DataFrame, keys: list[Key], bounds: list) -> Column:
-    """Number of bounds at or before the row: a binary search in a literal array."""
-    if not bounds:
-        return F.lit(0)
-    named = df.select(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
-    kinds = [f.dataType for f in named.schema.fields]
-    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(r, kinds))])
-                      for r in bounds])
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        right = (s["lo"] < s["hi"]) & _at_or_after(keys, F.get(table, mid))
-        return F.struct(F.when(right, mid + 1).otherwise(s["lo"]).alias("lo"),
-                        F.when(right | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
-
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    return F.aggregate(steps, start, halve)["lo"]
+def _sorted_bounds(keys: list[Key], n: int) -> Column:
+    """Aggregate of the struct column ``key``: up to n - 1 keys, in order, that cut the group into parts of like size."""
+    after = lambda a, b: F.when(a.eqNullSafe(b), 0).when(_at_or_after(a, b, keys), 1).otherwise(-1)
+    held = F.collect_list("key")
+    in_order = F.sort_array(held) if _plain(keys) else F.array_sort(held, after)
+    # the sorted array is a lambda's variable, so that it is sorted once
+    picked = F.transform(F.array(in_order), lambda s: F.transform(
+        F.filter(F.sequence(F.lit(1), F.lit(max(n - 1, 1))), lambda i: (F.size(s) > 0) & F.lit(n > 1)),
+        lambda i: F.get(s, F.floor(i.cast("long") * F.size(s) / n).cast("int"))))[0]
+    return F.array_distinct(picked)  # keeps the order
+
+
+def _with_search(df: DataFrame, name: str, key: Column, bounds: Column, keys: list[Key], most: int) -> DataFrame:
+    """``df`` with the number of bounds at or before ``key``; ``bounds`` is a sorted array of ``most`` keys at most.
+
+    A binary search as one projection a step, all of one generated stage: rows never carry the array.
+    """
+    at = F.lit(0)
+    out = df.select("*", bounds.alias("_bounds"), key.alias("_key"))
+    for i in reversed(range(most.bit_length())):
+        bound = F.get("_bounds", at + (2**i - 1))  # NULL beyond the last
+        before = bound.isNotNull() & _at_or_after(F.col("_key"), bound, keys)
+        out = out.withColumn("_at", at + F.when(before, 2**i).otherwise(0))
+        at = F.col("_at")
+    return out.withColumn(name, at).drop("_bounds", "_key", "_at")
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written once below the shared checkpoint folder, and its number of rows, counted on the way."""
+    path, seen = scratch_path(df.sparkSession, "ranged"), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
 
 
 def ranged(df: DataFrame, order: Sequence, num_ranges: int | None = None) -> DataFrame:
     """Tag each row with its range of ``order``; ranges follow each other in the order."""
-    keys = _keys(order)
-    bounds = _bounds(df, keys, _num_ranges(df, num_ranges))
-    return df.withColumn(PID, _range_of(df, keys, bounds))
+    keys, n = _keys(order), _num_ranges(df, num_ranges)
+    if n < 2:
+        return df.withColumn(PID, F.lit(0))
+    df, rows = _written(df)
+    key = F.struct(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
+    named = df.select(key.alias("key"))
+    point = F.xxhash64(F.lit(n), "key").bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
+    sample = named.where(point * rows < n * SAMPLE_PER_RANGE)
+    if n <= ONE_LEVEL:
+        bounds = sample.agg(_sorted_bounds(keys, n)).scalar()
+        return _with_search(df, PID, key, bounds, keys, n)
+    parts = math.isqrt(n - 1) + 1
+    thin = sample.where(point * rows < parts * SAMPLE_PER_RANGE)
+    root = thin.agg(_sorted_bounds(keys, parts)).scalar()
+    leaves = (_with_search(sample, "_part", F.col("key"), root, keys, parts)
+              .groupBy("_part").agg(_sorted_bounds(keys, -(-n // parts)).alias("_leaf")))
+    tagged = _with_search(df, "_part", key, root, keys, parts)
+    each = -(-n // parts)
+    found = _with_search(tagged.join(F.broadcast(leaves), "_part", "left"), PID, key, F.col("_leaf"), keys, each)  # n bounds in all
+    return found.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_part") * (each + 1) + F.col(PID)).alias(PID))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def global_position(df: DataFrame, order: Sequence, *, name: str = "_pos",
