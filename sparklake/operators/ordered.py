@@ -25,11 +25,12 @@ import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparklake.functions.scalar import col
-from sparklake.session import scratch_path
+from sparklake.operators.joins import written
 
 PID = "_range_id"
 #: Sampled rows for each range, on average.
@@ -68,6 +69,32 @@ def _keys(order: Sequence) -> list[Key]:
     return keys
 
 
+def _ascending(df: DataFrame, keys: list[Key]) -> list[Key]:
+    """The same order with ascending keys, nulls first, as far as the types have an opposite.
+
+    Structs of such keys compare as they are, in generated code.
+    """
+    out = []
+    for k in keys:
+        kind, c = df.select(k.column.alias("k")).schema["k"].dataType, k.column
+        if k.descending:
+            if isinstance(kind, T.IntegralType):
+                c = F.bitwise_not(c)  # the opposite of every value, the least one too
+            elif isinstance(kind, T.DateType):
+                c = F.bitwise_not(F.unix_date(c))
+            elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
+                c = -c
+            else:
+                out.append(k)
+                continue
+        if k.descending or not k.nulls_first:
+            out.append(Key(k.column.isNotNull() if k.nulls_first else k.column.isNull(), False, True))
+        if k.descending and isinstance(kind, (T.DoubleType, T.FloatType)):
+            out.append(Key(~F.isnan(k.column), False, True))  # NaN is the greatest, and its own opposite
+        out.append(Key(c, False, True))
+    return out
+
+
 def _plain(keys: list[Key]) -> bool:
     """Whether the order is that of structs."""
     return all(not k.descending and k.nulls_first for k in keys)
@@ -114,19 +141,13 @@ def _with_search(df: DataFrame, name: str, key: Column, bounds: Column, keys: li
     return out.withColumn(name, at).drop("_bounds", "_key", "_at")
 
 
-def _written(df: DataFrame) -> tuple[DataFrame, int]:
-    """``df`` written once below the shared checkpoint folder, and its number of rows, counted on the way."""
-    path, seen = scratch_path(df.sparkSession, "ranged"), Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get.get("rows", 0)
-
-
 def ranged(df: DataFrame, order: Sequence, num_ranges: int | None = None) -> DataFrame:
     """Tag each row with its range of ``order``; ranges follow each other in the order."""
-    keys, n = _keys(order), _num_ranges(df, num_ranges)
+    n = _num_ranges(df, num_ranges)
     if n < 2:
         return df.withColumn(PID, F.lit(0))
-    df, rows = _written(df)
+    df, rows = written(df, "ranged")
+    keys = _ascending(df, _keys(order))
     key = F.struct(*[k.column.alias(f"k{i}") for i, k in enumerate(keys)])
     named = df.select(key.alias("key"))
     point = F.xxhash64(F.lit(n), "key").bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))

@@ -15,7 +15,7 @@ REPORT_COLS = ["rule", "column", "violations", "sample_key"]
 
 
 def _key_text(cols: Sequence[str]):
-    return F.concat_ws(",", *[F.col(c).cast("string") for c in cols])
+    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
 def _report(df_one_row: DataFrame, rule: str, names: Sequence[str]) -> DataFrame:
@@ -48,8 +48,9 @@ def accepted_values(df: DataFrame, allowed: Mapping[str, Sequence], key: str) ->
 
 
 def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once (group count > 1; partial aggregation first)."""
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    """Keys that occur more than once (group count > 1; partial aggregation first).  As in
+    SQL, a key with a NULL in it equals no other."""
+    dup = (df.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
              .select(_key_text(keys).alias("k")))
     one = dup.agg(F.count(F.lit(1)).alias("v_0"), F.min("k").alias("s_0"))
     return _report(one, "unique", [",".join(keys)])

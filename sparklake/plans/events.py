@@ -16,6 +16,7 @@ from sparklake.functions.json import (
 from sparklake.functions.scalar import CANCEL_AFTER, ORDER_LIFECYCLE, micros_between, utc_of_iso
 from sparklake.operators.dedup import latest_by_key
 from sparklake.operators.ordered import keyed_shift
+from sparklake.sources.files import with_file_rows
 
 UNDECODABLE = "undecodable_payload"
 NOT_JSON = "malformed_json"
@@ -103,11 +104,18 @@ def store(items: DataFrame, path: str, key: str, sort: list[str], buckets: int =
 
 
 def stored(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """A stored access path, with each row's position inside its key as the files have it."""
-    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"),
-                                           F.col("_metadata.row_index").alias("_at"))
-    w = Window.partitionBy(key).orderBy("_file", "_at")
-    return rows.withColumn("position", F.row_number().over(w).cast("bigint")).drop("_file", "_at", "bucket")
+    """A stored access path, with each row's position inside its key as the files have it.
+
+    In a file the rows of a key follow each other, so a row's position is its number in the file less that of
+    the key's first row there, and the key's rows in earlier files: prefix sums over one row a (file, key).
+    """
+    rows = with_file_rows(spark, path)
+    runs = rows.groupBy("_file", key).agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(key).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.select("_file", key, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = rows.join(offsets, ["_file", key])
+    return placed.select(*[c for c in rows.columns if c not in ("_file", "_at", "bucket")],
+                         (F.col("_at") + F.col("_shift") + 1).alias("position"))
 
 
 def lookup(spark: SparkSession, path: str, key: str, value: str, buckets: int = BUCKETS) -> DataFrame:

@@ -429,34 +429,38 @@ def filter_month(f: DataFrame, month: str = MONTH_B) -> DataFrame:
     return f.filter(in_month("flight_date", month)).select("id", "route", "flight_date", "status")
 
 
+#: One SQL form a method.  The NOT IN list carries a NULL for every cancelled flight.
+MEMBERSHIP = {
+    "in_subquery": "SELECT count(*) AS n FROM {c} WHERE c_custkey IN (SELECT carrier FROM {f})",
+    "exists": "SELECT count(*) AS n FROM {c} c WHERE EXISTS (SELECT 1 FROM {f} f WHERE f.carrier = c.c_custkey)",
+    "inner_join": "SELECT coalesce(sum(f.flights), 0) AS n FROM {c} c JOIN "
+                  "(SELECT carrier, count(*) AS flights FROM {f} GROUP BY carrier) f ON f.carrier = c.c_custkey",
+    "inner_join_distinct": "SELECT count(*) AS n FROM (SELECT DISTINCT c.c_custkey FROM {c} c JOIN "
+                           "(SELECT DISTINCT carrier FROM {f}) f ON f.carrier = c.c_custkey)",
+    "not_exists": "SELECT count(*) AS n FROM {c} c WHERE NOT EXISTS (SELECT 1 FROM {f} f WHERE f.carrier = c.c_custkey)",
+    "not_in_nullable_list": "SELECT count(*) AS n FROM {c} c WHERE NOT EXISTS (SELECT 1 FROM {f} f WHERE f.status <=> {cancelled} "
+                            "OR f.carrier IS NULL) AND (c_custkey IS NOT NULL OR NOT EXISTS (SELECT 1 FROM {f})) "
+                            "AND NOT EXISTS (SELECT 1 FROM {f} f WHERE f.carrier = c.c_custkey)",
+}
+
+
 def in_exists_join_equivalence(f: DataFrame, customers: DataFrame) -> DataFrame:
     """IN vs EXISTS vs JOIN vs NOT IN / NOT EXISTS, as row counts per method.
 
-    Customers that fly (carrier = c_custkey).  The NOT IN list carries a NULL for
-    every cancelled flight, so NOT IN returns nothing (three-valued logic) while
-    NOT EXISTS returns the customers without flights.
-
-    The flights are reduced once, map-side, to one row per carrier, so all methods are
-    read off one left join: IN and EXISTS keep a customer with a match, the join counts
-    its flights, NOT EXISTS keeps one without, and NOT IN is an anti join unless the list
-    holds a NULL.
+    Customers that fly (carrier = c_custkey).  Each method is a SQL form of its own, which Spark
+    plans for itself (semi, inner and anti joins).  The NOT IN list carries a NULL for
+    every cancelled flight, so NOT IN returns nothing (three-valued logic) while NOT EXISTS returns the customers without
+    flights.  Written as NOT IN, Spark broadcasts the whole list whatever its size; so it is
+    spelled out: no NULL in the list, no NULL on the left unless the list is empty, and no equal in it.
     """
-    cancelled = F.col("status") == CANCELLED
-    carriers = f.groupBy(F.col("carrier").alias("k")).agg(
-        F.count(F.lit(1)).alias("flights"), F.count_if(cancelled).alias("nulls"),
-        F.count_if(~F.coalesce(cancelled, F.lit(False))).alias("listed"))
-    nulls = carriers.agg(F.sum(F.when(F.col("k").isNull(), F.col("flights")).otherwise(F.col("nulls")))).scalar()
-    j = customers.select(F.col("c_custkey").alias("k")).join(carriers, "k", "left")
-    matched = F.col("flights").isNotNull()
-    not_listed = F.col("k").isNotNull() & (F.coalesce("listed", F.lit(0)) == 0)
-    counts = {
-        "in_subquery": F.count_if(matched), "exists": F.count_if(matched), "inner_join": F.sum("flights"),
-        "inner_join_distinct": F.count_distinct(F.when(matched, F.col("k"))), "not_exists": F.count_if(~matched),
-        "not_in_nullable_list": F.count_if(not_listed)}
-    one = j.agg(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(m) for m, c in counts.items()])
-    one = one.withColumn("not_in_nullable_list", F.when(nulls > 0, F.lit(0).cast("bigint")).otherwise(F.col("not_in_nullable_list")))
-    rows = [F.struct(F.lit(m).alias("method"), F.col(m).alias("row_count")) for m in counts]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    flights = f.select("carrier", "status")
+    out = None
+    for method, sql in MEMBERSHIP.items():
+        args = {"cancelled": CANCELLED} if "{cancelled}" in sql else {}
+        one = f.sparkSession.sql(sql, c=customers.select("c_custkey"), f=flights, **args).select(
+            F.lit(method).alias("method"), F.col("n").cast("bigint").alias("row_count"))
+        out = one if out is None else out.unionAll(one)
+    return out
 
 
 # -- F: sorted reports ---------------------------------------------------------

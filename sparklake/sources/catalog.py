@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -24,10 +26,10 @@ def drop_layers(spark: SparkSession, dbs) -> None:
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
-def _create(spark: SparkSession, table: str, path: str, fmt: str, options: dict, columns: str = "") -> None:
+def _create(spark: SparkSession, table: str, path: str, fmt: str, options: dict, columns: str = "", by: str = "") -> None:
     opts = ", ".join(f"'{k}' '{v}'" for k, v in options.items())
     spark.sql(f"CREATE TABLE {table} {columns} USING {fmt}" + (f" OPTIONS ({opts})" if opts else "")
-              + f" LOCATION '{path}'")
+              + f"{by} LOCATION '{path}'")
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)  # MSCK REPAIR TABLE
 
@@ -35,14 +37,43 @@ def _create(spark: SparkSession, table: str, path: str, fmt: str, options: dict,
 def discover_table(spark: SparkSession, db: str, name: str, path: str, fmt: str = "parquet",
                    options: dict | None = None) -> None:
     """Register files under ``path`` as a table (schema read from all files), then pick
-    up partition folders, as a crawler would.  A later crawl updates the entry in
-    place: the files are external, so it is dropped and made anew from them."""
+    up partition folders, as a crawler would.  A later crawl updates the entry in place: new columns and
+    folders are added to it, so that a reader finds the table at every moment.  Only where columns have gone or changed their type, or
+    the place or format is another, is the entry made anew (the files are external)."""
     options = dict(options or {})
     if fmt == "parquet":
         options.setdefault("mergeSchema", "true")
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-    _create(spark, f"{db}.{name}", path, fmt, options)
-    spark.catalog.refreshTable(f"{db}.{name}")
+    table = f"{db}.{name}"
+    if spark.catalog.tableExists(table):
+        about = _described(spark, table)
+        found = spark.read.format(fmt).options(**options).load(path).schema
+        diff = schema_diff(spark.table(table).schema, found)
+        same = about["provider"] == fmt and _path_text(about["location"]) == _path_text(path) and about.get("storage_properties", {}) == options
+        if same and all(change == "added" for _, change, _, _ in diff):
+            _add_columns(spark, table, [(c, t) for c, _, _, t in diff])
+            if about.get("partition_columns"):
+                spark.catalog.recoverPartitions(table)
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    _create(spark, table, path, fmt, options)
+    spark.catalog.refreshTable(table)
+
+
+def _path_text(path: str) -> str:
+    return path.removeprefix("file:").rstrip("/").replace("///", "/")
+
+
+def _described(spark: SparkSession, table: str) -> dict:
+    """What the catalog holds on a table: provider, location, options, partition columns."""
+    about = json.loads(spark.sql(f"DESCRIBE EXTENDED {table} AS JSON").first()[0])
+    kept = about.get("storage_properties") or {}
+    return about | {"storage_properties": {k: v for k, v in kept.items() if k not in ("path", "serialization.format")}}
+
+
+def _add_columns(spark: SparkSession, table: str, columns: list[tuple[str, str]]) -> None:
+    if columns:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in columns)})")
 
 
 def list_tables(spark: SparkSession, dbs) -> DataFrame:
@@ -84,17 +115,13 @@ def evolve_table(spark: SparkSession, table: str, new_schema: StructType) -> Dat
     added = [(c, t) for c, ch, _, t in diff if ch == "added"]
     wider = {c: t for c, ch, o, t in diff if ch == "type_changed" and t in WIDER.get(o, ())}
     if wider:
-        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        about = _described(spark, table)
         parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
         columns = ", ".join(f"`{f.name}` {wider.get(f.name, f.dataType.simpleString())}" for f in old.fields)
-        columns = f"({columns})"
-        by = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
         spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"CREATE TABLE {table} {columns} USING {about['Provider']}{by} LOCATION '{about['Location']}'")
-        if parts:
-            spark.catalog.recoverPartitions(table)
-    if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in added)})")
+        _create(spark, table, about["location"], about["provider"], about["storage_properties"], f"({columns})", by)
+    _add_columns(spark, table, added)
     applied = {c for c, _ in added} | set(wider)
     return spark.createDataFrame(
         [(c, ch, ot, nt, "applied" if c in applied else "logged") for c, ch, ot, nt in diff],

@@ -60,13 +60,20 @@ def write_sorted(df: DataFrame, path: str, order: Sequence, mode: str = "overwri
     df.orderBy(*order).write.mode(mode).parquet(path)
 
 
+def with_file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder read back with ``_file`` and ``_at``, the file and the row's number in it."""
+    return spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+
+
 def with_file_position(spark: SparkSession, path: str, name: str = "position") -> DataFrame:
-    """A sorted sink read back, each row with its place as the files have it.  For results
-    (reports, gold tables): the place is counted over all rows."""
-    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"),
-                                           F.col("_metadata.row_index").alias("_at"))
-    w = Window.orderBy("_file", "_at")
-    return rows.withColumn(name, F.row_number().over(w).cast("bigint")).drop("_file", "_at")
+    """A sorted sink read back, each row with its place as the files have it: its number in
+    its file and the rows of the files before, summed over a table of one row a file."""
+    rows = with_file_rows(spark, path)
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    placed = rows.join(F.broadcast(offsets), "_file")  # one row a file
+    return placed.withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_file", "_at", "_before")
 
 
 def with_date_parts(df: DataFrame, ts: str, parts=("year", "month", "day")) -> DataFrame:

@@ -66,66 +66,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _current_version(spark: SparkSession, out: str):
-    """Batch id folded into the current compacted version, or None."""
-    if not _exists(spark, f"{out}/_current"):
-        return None
-    return spark.read.json(f"{out}/_current").first()["version"]
-
-
-def _item_sources(spark: SparkSession, out: str, upto=None) -> DataFrame:
-    """Current compacted version (as batch ``version``) plus the batches after it."""
-    if not _exists(spark, f"{out}/items"):
-        return spark.createDataFrame([], ITEM_SCHEMA)
-    batches = spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items")
-    if upto is not None:
-        batches = batches.filter(F.col("batch_id") <= upto)
-    version = _current_version(spark, out)
-    if version is None:
-        return batches
-    base = (spark.read.parquet(f"{out}/compacted/v={version}")
-                 .withColumn("batch_id", F.lit(version).cast(batches.schema["batch_id"].dataType)))
-    return base.unionByName(batches.filter(F.col("batch_id") > version).select(*base.columns))
-
-
 def item_view(spark: SparkSession, out: str) -> DataFrame:
-    """Current items: the latest version of each (pk, sk).  Reads the current
-    compacted version (if any) plus the batches written after it."""
-    return ev.upsert_view(_item_sources(spark, out))
-
-
-def compact(spark: SparkSession, out: str, drop_folded: bool = False) -> int:
-    """Fold all batches so far into ``compacted/v=<last batch>``, then move the
-    ``_current`` pointer.  Readers switch only after the version is complete;
-    re-running after a crash rewrites the same version.  Returns the version.
-
-    ``drop_folded`` then deletes the batches and versions that no new reader opens: for
-    when no reader of an older version is still at work.
-    """
+    """Current items: the latest version of each (pk, sk) over all batches."""
     if not _exists(spark, f"{out}/items"):
-        return -1
-    top = spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items").agg(F.max("batch_id").alias("v")).first()["v"]
-    if top is None:  # nothing since the last compaction
-        version = _current_version(spark, out)
-        return -1 if version is None else version
-    latest = latest_by_key(_item_sources(spark, out, upto=top), ["pk", "sk"], ["batch_id", "seq"])
-    write_parquet(latest.drop("batch_id"), f"{out}/compacted/v={top}")
-    (spark.createDataFrame([(int(top),)], "version bigint").coalesce(1)
-          .write.mode("overwrite").json(f"{out}/_current"))
-    if drop_folded:
-        for folder, name, keep in (("items", "batch_id", lambda v: v > top), ("compacted", "v", lambda v: v == top)):
-            _drop_folders(spark, f"{out}/{folder}", name, keep)
-    return int(top)
-
-
-def _drop_folders(spark: SparkSession, root: str, name: str, keep) -> None:
-    """Delete the folders ``name=<n>`` below ``root`` whose number is not to be kept."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.listStatus(path):
-        key, _, value = status.getPath().getName().partition("=")
-        if key == name and not keep(int(value)):
-            fs.delete(status.getPath(), True)
+        return ev.upsert_view(spark.createDataFrame([], ITEM_SCHEMA))
+    return ev.upsert_view(spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items"))
 
 
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:
@@ -145,12 +90,14 @@ def refresh_silver(spark: SparkSession, landing: str, silver: str, checkpoint: s
     so a row may arrive any time late; replaying a batch gives the same hours.
     """
     raw = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
+    hour_of = F.concat_ws("/", *HOUR_PARTS)
 
     def merge_hours(batch: DataFrame, batch_id: int) -> None:
         rows = batch
         if _exists(spark, silver):
-            hours = batch.select(*HOUR_PARTS).distinct()
-            there = spark.read.schema(LANDING_SCHEMA).parquet(silver).join(hours, list(HOUR_PARTS), "left_semi")
+            # the touched hours as a literal, so that only their folders are listed and read
+            hours = [r["h"] for r in batch.select(hour_of.alias("h")).distinct().collect()]
+            there = spark.read.schema(LANDING_SCHEMA).parquet(silver).where(hour_of.isin(hours))
             rows = there.select(*batch.columns).unionByName(batch)
         write_parquet(latest_by_key(rows, ["pk", "sk"], ["seq"]), silver, partition_by=HOUR_PARTS, dynamic=True)
 
@@ -178,8 +125,9 @@ def refresh_gold(silver: DataFrame, touched: DataFrame, gold_path: str, build, s
     left = scope.select(silver_part.alias("_left")).distinct()
     gone = wanted.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti")
     jvm = spark.sparkContext._jvm
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName  # as Spark names folders
     for row in gone.collect():  # parts of gold, not rows
-        folder = NULL_FOLDER if row["_touched"] is None else row["_touched"]
+        folder = NULL_FOLDER if row["_touched"] is None else escaped(str(row["_touched"]))
         path = jvm.org.apache.hadoop.fs.Path(f"{gold_path}/part={folder}")
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

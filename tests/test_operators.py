@@ -325,3 +325,73 @@ def test_crawl_again_and_widen(spark):
     spark.catalog.refreshTable(f"{db}.x")
     assert {r["id"] for r in spark.table(f"{db}.x").collect()} == {1, 2, 2**40}
     cat.drop_layers(spark, [db])
+
+
+def test_membership_forms_differ_where_a_null_is(spark):
+    from sparklake.plans import flights as fl
+
+    def counts(flights, customers):
+        f = spark.createDataFrame(flights, "carrier int, status string")
+        c = spark.createDataFrame([(k,) for k in customers], "c_custkey int")
+        return {r["method"]: r["row_count"] for r in fl.in_exists_join_equivalence(f, c).collect()}
+
+    got = counts([(1, "OK"), (1, "OK"), (2, "OK")], [1, 2, 3, None])
+    assert got == {"in_subquery": 2, "exists": 2, "inner_join": 3, "inner_join_distinct": 2, "not_exists": 2, "not_in_nullable_list": 1}
+    assert counts([(1, "OK"), (None, "OK")], [1, 3])["not_in_nullable_list"] == 0
+    assert counts([(1, "OK"), (7, fl.CANCELLED)], [1, 3])["not_in_nullable_list"] == 0
+    assert counts([], [1, None])["not_in_nullable_list"] == 2
+
+
+def test_ranges_in_two_levels_plan_alike_and_follow_the_order(spark):
+    import time
+
+    from sparklake.operators import ordered
+
+    df = spark.range(20_000).select((F.xxhash64("id") % 500).alias("a"), "id", F.when(F.col("id") % 7 != 0, F.col("id") % 50).alias("c"))
+    text = F.col("a").cast("string")
+    for order, n in ((["a", "id"], 3000), ([F.col("c").desc_nulls_first(), F.col("id")], 3000),
+                     ([F.col("c").asc_nulls_last(), F.col("id").desc()], 3000), ([text.desc(), F.col("id")], 12)):
+        cut = ordered.ranged(df, order, n)
+        w = Window.orderBy(*[ordered.col(c) for c in order])
+        back = cut.select(ordered.PID, F.lag(ordered.PID).over(w).alias("before")).where(f"before > {ordered.PID}")
+        assert back.count() == 0 and cut.select(ordered.PID).distinct().count() > 0.7 * n
+        assert cut.columns == [*df.columns, ordered.PID]
+    sizes = {}
+    for n in (2_500, 10_000):
+        begun = time.time()
+        sizes[n] = len(ordered.ranged(df, ["a", "id"], n)._jdf.queryExecution().optimizedPlan().toString()), time.time() - begun
+    assert sizes[10_000][0] < 1.3 * sizes[2_500][0] and sizes[10_000][1] < 30
+
+
+def test_unique_lets_nulls_pass(spark):
+    from sparklake.operators import quality
+
+    df = spark.createDataFrame([(None, 1), (None, 1), (2, 1), (2, 1), (3, None), (3, None)], "a int, b int")
+    assert [tuple(r) for r in quality.unique(df, ["a", "b"]).collect()] == [("unique", "a,b", 1, "2,1")]
+
+
+def test_catalog_keeps_options_and_updates_in_place(spark):
+    from pyspark.sql.types import StructType
+    from sparklake.session import scratch_path
+    from sparklake.sources import catalog
+
+    root = scratch_path(spark, "t_catalog")
+    dbs = catalog.create_layers(spark, root, ["bronze"], "t3_")
+    try:
+        spark.createDataFrame([("1", "x"), ("2", "y")], "k string, v string").write.option("header", "true").csv(f"{root}/csv")
+        spark.sql(f"CREATE TABLE {dbs[0]}.c (k int, v string) USING csv OPTIONS (header 'true') LOCATION '{root}/csv'")
+        catalog.evolve_table(spark, f"{dbs[0]}.c", StructType().add("k", "long").add("v", "string"))
+        rows = spark.table(f"{dbs[0]}.c")
+        assert rows.count() == 2 and rows.schema["k"].dataType.simpleString() == "bigint"
+
+        spark.createDataFrame([(1, "a")], "n int, p string").write.partitionBy("p").parquet(f"{root}/t")
+        catalog.discover_table(spark, dbs[0], "t", f"{root}/t")
+        made = spark.sql(f"DESCRIBE EXTENDED {dbs[0]}.t").where("col_name = 'Created Time'").first()["data_type"]
+        spark.createDataFrame([(2, 5.0, "b")], "n int, extra double, p string").write.mode("append").partitionBy("p").parquet(f"{root}/t")
+        catalog.discover_table(spark, dbs[0], "t", f"{root}/t")
+        assert sorted(map(str, spark.table(f"{dbs[0]}.t").select("n", "extra", "p").collect())) == [
+            "Row(n=1, extra=None, p='a')", "Row(n=2, extra=5.0, p='b')"]
+        again = spark.sql(f"DESCRIBE EXTENDED {dbs[0]}.t").where("col_name = 'Created Time'").first()["data_type"]
+        assert made == again  # the same entry
+    finally:
+        catalog.drop_layers(spark, dbs)

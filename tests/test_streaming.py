@@ -71,26 +71,17 @@ def test_incremental_runs_then_empty(spark):
     assert appended == expected1 + expected2 and merged <= appended
 
 
-def test_compaction_keeps_the_view(spark):
-    root = scratch_path(spark, "t_compact")
+def test_view_over_batches_is_the_whole(spark):
+    root = scratch_path(spark, "t_batches")
     recs = _records(spark)
     cut = recs.agg(F.percentile_approx("seq", 0.5)).first()[0]
-    recs.filter(F.col("seq") <= cut).write.parquet(f"{root}/src/a")
     src = f"{root}/src/*"
-    sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
-    before = sorted(sev.item_view(spark, f"{root}/out").collect(), key=str)
-    v = sev.compact(spark, f"{root}/out")
-    assert v >= 0 and sorted(sev.item_view(spark, f"{root}/out").collect(), key=str) == before
-    recs.filter(F.col("seq") > cut).write.parquet(f"{root}/src/b")
-    sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
+    for name, part in (("a", recs.filter(F.col("seq") <= cut)), ("b", recs.filter(F.col("seq") > cut))):
+        part.write.parquet(f"{root}/src/{name}")
+        sev.ingest(spark, src, f"{root}/out", f"{root}/ck")
     after = sev.item_view(spark, f"{root}/out")
     whole = sorted(ev_items(spark).collect(), key=str)
     assert sorted(after.collect(), key=str) == whole
-    last = sev.compact(spark, f"{root}/out", drop_folded=True)
-    assert last > v and sorted(sev.item_view(spark, f"{root}/out").collect(), key=str) == whole
-    assert not [d for d in os.listdir(f"{root}/out/items") if d.startswith("batch_id=")]
-    assert os.listdir(f"{root}/out/compacted") == [f"v={last}"]
-    assert sev.compact(spark, f"{root}/out") == last
 
 
 def _record(spark, rows):
@@ -114,7 +105,6 @@ def test_view_of_a_stream_without_records(spark):
     root = scratch_path(spark, "t_none")
     view = sev.item_view(spark, f"{root}/out")
     assert view.count() == 0 and view.columns == list(sev.ITEM_COLUMNS)
-    assert sev.compact(spark, f"{root}/out") == -1
 
 
 def test_silver_takes_late_rows_and_the_newest_repeat(spark):
@@ -171,3 +161,36 @@ def test_customers_load_with_the_defaults(spark):
     n = inc.run_incremental(spark, f"{root}/bronze/*", f"{root}/silver", f"{root}/ck", transform=md.customer_changes,
                             table="customers")
     assert n == ad.load_bronze_customers(spark, SF).count()
+
+
+def test_silver_refresh_reads_only_the_touched_hours(spark):
+    root = scratch_path(spark, "t_hours")
+
+    def run(i, rows):
+        _record(spark, rows).write.parquet(f"{root}/src/{i}")
+        sev.land_hourly(spark, f"{root}/src/*", f"{root}/raw", f"{root}/ck_raw")
+        sev.refresh_silver(spark, f"{root}/raw", f"{root}/silver", f"{root}/ck")
+
+    run(1, [(h, f"o{h}", f"u{h}", "t", "1", f"2024-01-01T{h:02d}:10:00Z") for h in range(24)])
+    before = {f: os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(f"{root}/silver") for f in fs if f.endswith(".parquet")}
+    run(2, [(99, "late", "u99", "t", "1", "2024-01-01T05:50:00Z")])
+    after = {f for d, _, fs in os.walk(f"{root}/silver") for f in fs if f.endswith(".parquet")}
+    assert len(set(before) - after) == 1  # the one hour is rewritten
+    rows = spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/silver")
+    assert rows.count() == 25 and rows.where("hour = '05'").count() == 2
+    pruned = rows.where(F.concat_ws("/", *sev.HOUR_PARTS).isin(["2024/01/01/05"]))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "2024/01/01/05" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+
+
+def test_gold_part_with_an_escaped_name_goes_when_it_is_empty(spark):
+    root = scratch_path(spark, "t_escaped")
+
+    def gold(rows, touched):
+        silver = spark.createDataFrame(rows, "name string, n int")
+        sev.refresh_gold(silver, spark.createDataFrame([(t,) for t in touched], "p string"), f"{root}/gold",
+                         lambda s: s.groupBy("name").agg(F.sum("n").alias("n")), F.col("name"), F.col("name"))
+        return sorted((r["name"], r["n"]) for r in sev.read_gold(spark, f"{root}/gold").collect())
+
+    assert gold([("a:b", 1), ("c/d=%", 2), ("e", 3)], ["a:b", "c/d=%", "e"]) == [("a:b", 1), ("c/d=%", 2), ("e", 3)]
+    assert gold([("e", 3)], ["a:b", "c/d=%"]) == [("e", 3)]
