@@ -144,19 +144,29 @@ def _may_link(size: str, alone: str):
 
 
 def candidates(rows: DataFrame) -> DataFrame:
-    """(class, key, n, doc_id) of the classes that may link; doc_id is one of theirs."""
-    classes = (rows.where("n > 0").groupBy("class", "key")
-               .agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")))
+    """(class, key, n, content key, repeated) of the classes that may link.
+
+    The content key is that of one of their texts, the least; ``repeated``: several rows have it.
+    """
+    classes = (rows.where("n > 0").groupBy("class", "key", *KEY).agg(F.min("n").alias("n"), F.count("*").alias("rows"))
+               .groupBy("class", "key").agg(F.min("n").alias("n"), F.min(F.struct(*KEY, "rows")).alias("one")))
     tokens = rows.select("key", F.posexplode("tokens").alias("at", "token"), "tested").select(
         "key", "token", (F.col("at") < F.col("tested")).alias("tested"))
-    return classes.join(_alone(tokens), "key", "left").where(_may_link("n", "alone")).drop("alone")
+    kept = classes.join(_alone(tokens), "key", "left").where(_may_link("n", "alone"))
+    return kept.select("class", "key", "n", *[F.col(f"one.{k}").alias(k) for k in KEY], (F.col("one.rows") > 1).alias("repeated"))
+
+
+def wanted_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, key, text): one row of docs (doc_id, text) for each wanted class, found by its content key."""
+    keyed = docs.select("text", *content_key(docs, ["doc_id", "text"]))
+    found = keyed.join(small(wanted.select("class", "key", *KEY, "repeated")), KEY)
+    again = found.where("repeated").dropDuplicates(KEY)  # equal rows: one of them serves
+    return found.where("NOT repeated").unionByName(again).select("class", "key", "text")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(key, n, tokens) of the wanted classes."""
-    w = wanted.select(F.col("doc_id").alias("__doc"), "class", "key")
-    texts = docs.join(small(w), F.col("doc_id").eqNullSafe(F.col("__doc"))).select("class", "key", "text")
-    return texts.mapInArrow(_whole_sets, "key long, n long, tokens array<long>")
+    return wanted_texts(docs, wanted).mapInArrow(_whole_sets, "key long, n long, tokens array<long>")
 
 
 def prefixes(sets: DataFrame) -> DataFrame:

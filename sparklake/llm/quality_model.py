@@ -33,6 +33,8 @@ from sparklake.llm.pieces import sliced
 FEATURES = ["log_words", "word_length", "symbols", "capitals", "exclaims", "digits", "stops", "other_marks", "non_ascii",
             "lone_symbols", "equal_neighbours", "distinct_words", "line_words", "repeated_lines", "short_words"]
 MOST_ROWS = 20_000
+#: Standard deviations by which the share of hashes is wider than needed.
+SLACK = 6
 BINS = 32
 PAIR_BINS = 8
 ROUNDS, PAIR_ROUNDS, PAIRS = 250, 60, 8
@@ -202,11 +204,22 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
+def training_sample(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> DataFrame:
+    """(x, quality): at most ``most`` different labelled rows that are not held out, by a hash of id and statistics.
+
+    Rows whose hash lies above the share that is needed (and SLACK more) go before anything is ordered, so that about
+    ``most`` rows are gathered, however many there are and however they are partitioned.
+    """
+    known = labels.where("quality IS NOT NULL").select("doc_id", "quality").where(~held_out()).distinct()
+    found = rows.select("doc_id", "x").where(~held_out()).join(known, "doc_id").distinct()
+    found = save(found.withColumn("hash", F.xxhash64("doc_id", "x", "quality")), "quality_labelled")
+    share = min(1.0, (most + SLACK * most ** 0.5) / max(found.count(), 1))
+    near = found.where(F.col("hash").bitwiseAND(F.lit(2**53 - 1)) < int(share * 2**53))
+    return near.orderBy(F.col("hash").bitwiseAND(F.lit(2**53 - 1)), "hash", "doc_id", "quality", "x").limit(most).select("x", "quality")
+
+
 def training_rows(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``most`` labelled rows that are not held out, by the hash of their id."""
-    known = labels.where("quality IS NOT NULL").select("doc_id", "quality")
-    picked = (rows.where(~held_out()).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "x")
-              .limit(most).select("x", "quality").toPandas())
+    picked = training_sample(rows, labels, most).toPandas()
     x = np.array(picked["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return x, picked["quality"].to_numpy(np.float64)
 
