@@ -16,10 +16,12 @@ from sparklake.functions.scalar import (
     DAY_ACTIVE, DAY_IDLE, QUARTILE_LABELS, TREND_BETTER, TREND_SAME, TREND_WORSE,
     clock_time, dow_sunday0, epoch_minutes_between, in_month, micros_between,
     month_start, pct, round_half_up, year_month)
+from sparklake.operators.bands import band_pairs, band_totals
 from sparklake.operators.dedup import distinct_on, latest_by_key
 from sparklake.operators.joins import small
 from sparklake.operators.ordered import (global_lead, global_ntile, keyed_position, keyed_shift,
                                          keyed_sliding)
+from sparklake.operators.recursion import fixpoint
 
 CANCELLED, DELAYED, COMPLETED = "CANCELLED", "DELAYED", "COMPLETED"
 
@@ -117,6 +119,35 @@ def range_occupancy(f: DataFrame, days: int = 6) -> DataFrame:
         "route", "flight_date", "id", "occupancy_avg_7d", "rows_in_range")
 
 
+# -- bands of hours on raw events ---------------------------------------------
+BAND_HOURS = 36
+_HOUR = 3_600_000_000  # microseconds
+
+
+def signups_before_errors(log: DataFrame, hours: int = BAND_HOURS) -> DataFrame:
+    """Per ERROR event: how many WARN events the same user had in the ``hours`` before."""
+    errors = log.where("severity = 'ERROR'").select("event_id", "user_id", "ts")
+    warnings = log.where("severity = 'WARN'").select("user_id", "ts")
+    return band_totals(errors, warnings, ["user_id"], "ts", "ts", hours * _HOUR, count="warnings_before")
+
+
+def events_in_reach(log: DataFrame, hours: int = BAND_HOURS) -> DataFrame:
+    """Logical frame on timestamps: events of the same system in the ``hours`` up to each event, and the sum of their user ids."""
+    rows = log.select("event_id", "system", "ts")
+    facts = log.select("system", "ts", F.col("user_id").cast("decimal(20,0)").alias("user_id"))
+    out = band_totals(rows, facts, ["system"], "ts", "ts", hours * _HOUR, count="events_in_range", sums={"_users": "user_id"},
+                      inclusive=True)
+    return out.select("event_id", "system", "events_in_range", F.col("_users").cast("bigint").alias("user_id_sum"))
+
+
+def warned_errors(log: DataFrame, hours: int = BAND_HOURS) -> DataFrame:
+    """Pairs of an ERROR event and a WARN event of the same user in the ``hours`` before it, with the minutes between."""
+    errors = log.where("severity = 'ERROR'").select("event_id", "user_id", "ts")
+    warnings = log.where("severity = 'WARN'").select("user_id", F.col("event_id").alias("warning_id"), F.col("ts").alias("warned_at"))
+    pairs = band_pairs(errors, warnings, ["user_id"], "ts", "warned_at", hours * _HOUR)
+    return pairs.select("user_id", "event_id", "warning_id", F.floor(micros_between("warned_at", "ts") / 60_000_000).alias("minutes_between"))
+
+
 # -- K13-K15: gaps in a global event order -----------------------------------
 def gaps(log: DataFrame, threshold_minutes: float = 30, by: str | None = None) -> DataFrame:
     """Consecutive events (ordered by ts, event_id) more than ``threshold`` apart.
@@ -257,6 +288,38 @@ def route_date_series(f: DataFrame) -> DataFrame:
                        .alias("day"))
 
 
+#: Spans are halved until they have at most 31 days; 40 levels would hold any span that a date can have.
+RECURSIVE_SERIES = """
+WITH RECURSIVE spans (route, lo, hi) MAX RECURSION LEVEL {levels} AS (
+  SELECT route, min(flight_date), max(flight_date) FROM {f} GROUP BY route
+  UNION ALL
+  SELECT s.route, half.lo, half.hi
+  FROM (SELECT route, lo, hi, date_add(lo, CAST(datediff(hi, lo) DIV 2 AS INT)) AS mid FROM spans WHERE datediff(hi, lo) >= 31) s
+  LATERAL VIEW inline(array(struct(lo AS lo, mid AS hi), struct(date_add(mid, 1) AS lo, hi AS hi))) half AS lo, hi)
+SELECT route, explode(sequence(lo, hi, INTERVAL 1 DAY)) AS day FROM spans WHERE datediff(hi, lo) < 31"""
+
+
+def recursive_date_series(f: DataFrame, levels: int = 40) -> DataFrame:
+    """``route_date_series`` by a recursive query; beyond ``levels`` levels Spark raises.
+
+    A day a level would be one job a day.  Each level halves the spans instead, so the depth is
+    the logarithm of the days; the leaves, of at most a month, are spelled out.
+    """
+    return f.sparkSession.sql(RECURSIVE_SERIES, f=f.select("route", "flight_date"), levels=levels)
+
+
+def date_series_steps(f: DataFrame, levels: int = 40) -> DataFrame:
+    """The same series by semi-naive DataFrame steps; beyond ``levels`` levels ``TooDeep`` is raised."""
+    span = f.groupBy("route").agg(F.min("flight_date").alias("lo"), F.max("flight_date").alias("hi"))
+    mid = F.expr("date_add(lo, CAST(datediff(hi, lo) DIV 2 AS INT))")
+
+    def halves(spans: DataFrame) -> DataFrame:
+        return spans.where("datediff(hi, lo) >= 31").withColumn("mid", mid).select("route", F.inline(F.array(
+            F.struct("lo", F.col("mid").alias("hi")), F.struct(F.date_add("mid", 1).alias("lo"), "hi"))))
+    leaves = fixpoint(span, halves, most_levels=levels).where("datediff(hi, lo) < 31")
+    return leaves.select("route", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
+
+
 def route_day_grid(f: DataFrame) -> DataFrame:
     """Routes x days over the whole span, with flights and passengers per cell.
 

@@ -275,6 +275,8 @@ series AS (
   SELECT route, CAST(day + 1 AS DATE), hi FROM series WHERE day < hi)
 SELECT route, day FROM series"""
 
+ORACLE["anchored_date_series"] = ORACLE["date_series_steps"] = ORACLE["recursive_date_series"]
+
 ORACLE["cross_join_grid"] = with_(FLIGHTS) + """
 SELECT g.route, g.day, COALESCE(d.n, 0) AS flights, CAST(COALESCE(d.p, 0) AS BIGINT) AS passengers
 FROM (SELECT r.route, CAST(s.day AS DATE) AS day
@@ -336,6 +338,22 @@ FROM flights f LEFT JOIN flights c
 WHERE f.route = '1-URGENT' AND f.flight_date BETWEEN DATE '1996-01-08' AND DATE '1996-01-31'
 GROUP BY f.route, f.flight_date, f.status, f.id"""
 
+ORACLE["band_count_36h"] = with_(SYSTEM_LOG) + """
+SELECT e.event_id, e.user_id, e.ts, count(w.event_id) AS warnings_before
+FROM (SELECT * FROM system_log WHERE severity = 'ERROR') e LEFT JOIN (SELECT * FROM system_log WHERE severity = 'WARN') w
+  ON w.user_id = e.user_id AND w.ts >= e.ts - INTERVAL 36 HOUR AND w.ts < e.ts
+GROUP BY e.event_id, e.user_id, e.ts"""
+
+ORACLE["band_range_36h"] = with_(SYSTEM_LOG) + """
+SELECT event_id, system, count(*) OVER w AS events_in_range, CAST(sum(user_id) OVER w AS BIGINT) AS user_id_sum
+FROM system_log WINDOW w AS (PARTITION BY system ORDER BY ts RANGE BETWEEN INTERVAL 36 HOUR PRECEDING AND CURRENT ROW)"""
+
+ORACLE["band_pairs_36h"] = with_(SYSTEM_LOG) + """
+SELECT e.user_id, e.event_id, w.event_id AS warning_id,
+       CAST(floor((epoch_us(e.ts) - epoch_us(w.ts)) / 60000000.0) AS BIGINT) AS minutes_between
+FROM system_log e JOIN system_log w ON w.user_id = e.user_id AND w.ts >= e.ts - INTERVAL 36 HOUR AND w.ts < e.ts
+WHERE e.severity = 'ERROR' AND w.severity = 'WARN'"""
+
 ORACLE["above_average_rate"] = with_(FLIGHTS, """per AS (
   SELECT route, count(*) AS total_flights, sum(CASE WHEN status = 'CANCELLED' THEN 1 ELSE 0 END) AS cancelled
   FROM flights GROUP BY route)""") + f"""

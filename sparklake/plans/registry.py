@@ -53,7 +53,9 @@ for _name, _fn, _kw in [
     ("running_count", fl.running_count, {}),
     ("calendar_activity", fl.calendar_activity, {}),
     ("date_series", fl.date_series, {}),
-    ("recursive_date_series", fl.route_date_series, {}),
+    ("recursive_date_series", fl.recursive_date_series, {}),
+    ("anchored_date_series", fl.route_date_series, {}),
+    ("date_series_steps", fl.date_series_steps, {}),
     ("cross_join_grid", fl.route_day_grid, {}),
     ("latest_per_group", fl.latest_per_group, {}),
     ("first_last_cancellation", fl.first_last_cancellation, {}),
@@ -73,7 +75,8 @@ for _name, _fn, _kw in [
     QUERIES[_name] = _on_flights(_fn, **_kw)
 
 for _name, _fn in [("gap_detection", fl.gap_detection), ("gap_report", fl.gap_report),
-                   ("gap_summary", fl.gap_summary)]:
+                   ("gap_summary", fl.gap_summary), ("band_count_36h", fl.signups_before_errors),
+                   ("band_range_36h", fl.events_in_reach), ("band_pairs_36h", fl.warned_errors)]:
     QUERIES[_name] = _on_log(_fn)
 
 
