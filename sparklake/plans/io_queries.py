@@ -19,6 +19,7 @@ from sparklake.sources import files as io
 from sparklake.sources.tables import table
 from sparklake.streaming import events as sev
 from sparklake.streaming import incremental as inc
+from sparklake.streaming import steps
 
 
 @register("csv_bronze_scan")
@@ -36,6 +37,28 @@ def csv_recursive_scan(spark, sf):
     return io.read_bronze(spark, root, "orders", recursive=True)
 
 
+def broken_lines(bronze):
+    """Bronze rows as CSV lines, some of which do not fit: values missing, one too many, a quote left open."""
+    k = F.col("order_id").cast("bigint") % 53
+    cells = [F.coalesce(c, F.lit("")) for c in bronze.columns]
+    short, opened = cells[:7], [F.concat(F.lit('"'), c) if i == 2 else c for i, c in enumerate(cells)]
+    line = (F.when(k == 4, F.concat_ws(",", *short)).when(k == 5, F.concat_ws(",", *cells, F.lit("extra")))
+             .when(k == 6, F.concat_ws(",", *opened)).otherwise(F.concat_ws(",", *cells)))
+    return bronze.select(line.alias("value"))
+
+
+@register("csv_quarantine")
+def csv_quarantine(spark, sf):
+    """Lines that do not fit the schema, as they were, and (line NULL) the number of rows that do."""
+    root = scratch_path(spark, "bronze_checked")
+    broken_lines(ad.load_bronze_orders(spark, sf)).write.text(f"{root}/lines")
+    io.split_bronze(spark, f"{root}/lines", f"{root}/split", header=False)
+    good, quarantine = io.read_split(spark, f"{root}/split")
+    bad = quarantine.groupBy("line").agg(F.count(F.lit(1)).alias("row_count"))
+    return bad.unionAll(good.agg(F.count_if(F.col("order_id").isNotNull()).alias("row_count")).select(
+        F.lit(None).cast("string").alias("line"), "row_count"))
+
+
 @register("parquet_scan")
 def parquet_scan(spark, sf):
     path = scratch_path(spark, "flights_by_month")
@@ -294,6 +317,38 @@ def stream_ingest(spark, sf):
     return sev.item_view(spark, f"{root}/out")
 
 
+@register("stream_batch_counters")
+def stream_batch_counters(spark, sf):
+    """Processed and failed records of each batch, observed while the batch is written; three landings, three batches."""
+    root = scratch_path(spark, "stream_counters")
+    recs = ad.load_stream_records(spark, sf)
+    for i in range(3):
+        recs.where(F.col("seq") % 3 == i).write.parquet(f"{root}/records/{i}")
+        sev.ingest(spark, f"{root}/records/*", f"{root}/out", f"{root}/_ckpt")
+    letters = sev.dead_letters(spark, f"{root}/out").groupBy("batch_id").agg(F.count(F.lit(1)).alias("dead_letters"))
+    return sev.batch_counters(spark, f"{root}/out").join(letters, "batch_id", "left")
+
+
+#: The second landing of ``stream_step_waits`` begins here.
+SECOND_LANDING = "2024-01-16"
+
+
+@register("stream_step_waits")
+def stream_step_waits(spark, sf):
+    """Placed orders with their confirmation within five minutes, matched by a stateful stream in two landings; the
+    second brings some records of the first again, and confirms orders that the first has placed."""
+    root = scratch_path(spark, "stream_steps")
+    events = ad.load_order_events(spark, sf)
+    again = events.where("event_id % 10 < 3")
+    first = events.where(F.col("timestamp") < SECOND_LANDING)
+    second = events.where(F.col("timestamp") >= SECOND_LANDING).unionAll(again)
+    for i, landed in enumerate([first, second]):
+        ad.stream_records(landed).write.parquet(f"{root}/records/{i}")
+        steps.follow(spark, f"{root}/records/*", f"{root}/waits", f"{root}/_ckpt", step="order_placed",
+                     following="order_confirmed", limit="5 minutes")
+    return steps.followed(spark, f"{root}/waits")
+
+
 @register("raw_hourly_landing")
 def raw_hourly_landing(spark, sf):
     root = scratch_path(spark, "landing")

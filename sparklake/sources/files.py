@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from sparklake import schemas
 
@@ -25,6 +25,44 @@ def read_bronze(spark: SparkSession, path: str, table: str = "orders",
     return r.csv(path)
 
 
+#: Columns of a checked read: the line as it was if it does not fit the schema, and the file it is from.
+CORRUPT, ORIGIN = "_corrupt_line", "_origin_file"
+
+
+def read_bronze_checked(spark: SparkSession, path: str, table: str = "orders", schema: StructType | None = None,
+                        header: bool = True) -> DataFrame:
+    """Bronze CSV with every line that does not fit (too few or too many values, an unclosed quote) kept as it
+    was in ``CORRUPT``, NULL for good rows, and the file in ``ORIGIN``."""
+    fields = schema or schemas.BRONZE[table]
+    checked = StructType([*fields.fields, StructField(CORRUPT, StringType())])
+    r = (spark.read.schema(checked).options(**CSV_READ).option("header", str(header).lower())
+         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+    return r.csv(path).select("*", F.col("_metadata.file_path").alias(ORIGIN))
+
+
+def split_bronze(spark: SparkSession, path: str, out: str, table: str = "orders", schema: StructType | None = None,
+                 header: bool = True) -> dict:
+    """One pass over bronze CSV: good rows to ``out/quarantined=false``, lines that do not fit to ``out/quarantined=true``.
+
+    Returns the counts ``good`` and ``quarantined`` of that pass; they add up to the lines read.
+    """
+    seen, bad = Observation("split_bronze"), F.col(CORRUPT).isNotNull()
+    rows = read_bronze_checked(spark, path, table, schema, header).observe(
+        seen, F.count_if(~bad).alias("good"), F.count_if(bad).alias("quarantined"))
+    rows.withColumn("quarantined", bad).write.mode("overwrite").partitionBy("quarantined").parquet(out)
+    return {k: seen.get.get(k) or 0 for k in ("good", "quarantined")}
+
+
+def read_split(spark: SparkSession, out: str, table: str = "orders", schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
+    """The good rows of ``split_bronze`` and its quarantine (line, file)."""
+    fields = schema or schemas.BRONZE[table]
+    both = StructType([*fields.fields, StructField(CORRUPT, StringType()), StructField(ORIGIN, StringType()),
+                       StructField("quarantined", BooleanType())])
+    rows = spark.read.schema(both).parquet(out)
+    return (rows.where("NOT quarantined").select(*fields.fieldNames()),
+            rows.where("quarantined").select(F.col(CORRUPT).alias("line"), F.col(ORIGIN).alias("file")))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_WRITE).csv(path)
 

@@ -3,7 +3,7 @@ hourly raw landing, de-duplicated silver refresh, touched-day gold refresh."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -18,7 +18,11 @@ ITEM_COLUMNS = ("pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "custome
                 "product", "amount", "status", "timestamp")
 HOUR_PARTS = ("year", "month", "day", "hour")
 _ITEM_FIELDS = [T.StructField(c, T.StringType()) for c in ITEM_COLUMNS] + [T.StructField("seq", T.LongType())]
-ITEM_SCHEMA = T.StructType([*_ITEM_FIELDS, T.StructField("batch_id", T.IntegerType())])
+BATCH_SCHEMA = T.StructType([*_ITEM_FIELDS, *[T.StructField(c, T.StringType()) for c in ("partition_key", "data", "reason", "kind")],
+                             T.StructField("batch_id", T.IntegerType())])
+COUNTERS_SCHEMA = T.StructType([T.StructField("batch_id", T.IntegerType()), T.StructField("processed", T.LongType()),
+                                T.StructField("failed", T.LongType())])
+ITEMS, DEAD_LETTERS = "items", "dead_letter"
 # Landing zone: item columns plus zero-padded text partitions (never re-inferred as numbers).
 LANDING_SCHEMA = T.StructType(_ITEM_FIELDS + [T.StructField(c, T.StringType()) for c in HOUR_PARTS])
 #: Folder names of events whose time is no time.
@@ -36,9 +40,9 @@ def record_stream(spark: SparkSession, source: str, max_files_per_trigger: int |
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
            max_files_per_trigger: int | None = None, start: str = "earliest") -> None:
-    """Decode each micro-batch; good items and dead letters go to
-    ``out/items/batch_id=<n>`` and ``out/dead_letter/batch_id=<n>`` (overwrite:
-    a replayed batch rewrites its own folder, so the upsert is idempotent).
+    """Decode each micro-batch once; its items go to ``out/kind=items/batch_id=<n>``, its dead letters to
+    ``out/kind=dead_letter/batch_id=<n>`` and its counts, observed while they are written, to
+    ``out/counters/batch_id=<n>``.  A replayed batch overwrites its own folders, so the upsert is idempotent.
 
     ``start="latest"`` skips the files already present when the consumer starts for
     the first time (no checkpoint yet): one run commits them to the checkpoint and
@@ -51,9 +55,16 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
          .trigger(availableNow=True).start().awaitTermination())
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
-        # two passes over the batch's files instead of holding the whole batch in memory
-        write_parquet(ev.to_items(ev.good(batch), keep=("seq",)), f"{out}/items/batch_id={batch_id}")
-        write_parquet(ev.dead_letter(batch), f"{out}/dead_letter/batch_id={batch_id}")
+        seen, bad = Observation(), F.col("reason").isNotNull()
+        rows = ev.to_items(batch, keep=("seq", "partition_key", "data", "reason")).withColumns({
+            "kind": F.when(bad, DEAD_LETTERS).otherwise(ITEMS), "batch_id": F.lit(batch_id).cast("int"),
+            "data": F.when(bad, F.col("data"))})
+        counted = rows.observe(seen, F.count_if(~bad).alias("processed"), F.count_if(bad).alias("failed"))
+        (counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("kind", "batch_id").parquet(f"{out}/batches"))
+        counts = seen.get
+        one = spark.createDataFrame([(batch_id, counts.get("processed") or 0, counts.get("failed") or 0)], COUNTERS_SCHEMA)
+        write_parquet(one.drop("batch_id"), f"{out}/counters/batch_id={batch_id}")
 
     if start == "latest" and not _exists(spark, checkpoint):
         run(lambda batch, batch_id: None)
@@ -66,11 +77,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _batches(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    path = f"{out}/batches"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], BATCH_SCHEMA)
+    return spark.read.schema(BATCH_SCHEMA).parquet(path).where(F.col("kind") == kind)
+
+
 def item_view(spark: SparkSession, out: str) -> DataFrame:
     """Current items: the latest version of each (pk, sk) over all batches."""
-    if not _exists(spark, f"{out}/items"):
-        return ev.upsert_view(spark.createDataFrame([], ITEM_SCHEMA))
-    return ev.upsert_view(spark.read.schema(ITEM_SCHEMA).parquet(f"{out}/items"))
+    return ev.upsert_view(_batches(spark, out, ITEMS).select(*ITEM_COLUMNS, "seq", "batch_id"))
+
+
+def dead_letters(spark: SparkSession, out: str) -> DataFrame:
+    """The records of all batches that could not be decoded, with their payload and the reason."""
+    return _batches(spark, out, DEAD_LETTERS).select("batch_id", "seq", "partition_key", "data", "reason")
+
+
+def batch_counters(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, processed, failed) of each batch, as observed in the pass that wrote it."""
+    path = f"{out}/counters"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], COUNTERS_SCHEMA)
+    return spark.read.schema(COUNTERS_SCHEMA).parquet(path).select(*COUNTERS_SCHEMA.fieldNames())
 
 
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:

@@ -1,17 +1,22 @@
 """Streaming and incremental jobs: restarts, replays, empty runs."""
 
+import base64
 import datetime as dt
+import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sparklake import schemas
 from sparklake.plans import medallion as md
 from sparklake.session import scratch_path
 from sparklake.sources import adapters as ad
 from sparklake.sources import files as io
 from sparklake.streaming import events as sev
 from sparklake.streaming import incremental as inc
+from sparklake.streaming import steps
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -51,7 +56,7 @@ def test_ingest_start_latest_skips_existing(spark):
     sev.ingest(spark, src, f"{root}/out", f"{root}/ck", start="latest")
     recs.filter(F.col("seq") > cut).write.parquet(f"{root}/src/b")
     sev.ingest(spark, src, f"{root}/out", f"{root}/ck", start="latest")
-    seqs = [r["seq"] for r in spark.read.parquet(f"{root}/out/items").select("seq").collect()]
+    seqs = [r["seq"] for r in spark.read.parquet(f"{root}/out/batches/kind=items").select("seq").collect()]
     assert seqs and min(seqs) > cut
 
 
@@ -198,3 +203,67 @@ def test_gold_part_with_an_escaped_name_goes_when_it_is_empty(spark):
 
     assert gold([("a:b", 1), ("c/d=%", 2), ("e", 3)], ["a:b", "c/d=%", "e"]) == [("a:b", 1), ("c/d=%", 2), ("e", 3)]
     assert gold([("e", 3)], ["a:b", "c/d=%"]) == [("e", 3)]
+
+
+# -- batches in one pass -----------------------------------------------------------------------
+def test_ingest_counts_each_batch_and_keeps_dead_letters(spark):
+    root = scratch_path(spark, "counted")
+    bad = [(1, "p", "%%"), (2, "p", None)]
+    for i, rows in enumerate([[*bad, record(3, "o1", "2024-01-01T00:00:00.000Z")], bad[:1], [record(4, "o2", "2024-01-01T01:00:00.000Z")]]):
+        spark.createDataFrame(rows, schemas.STREAM_RECORD).coalesce(1).write.parquet(f"{root}/src/{i}")
+        sev.ingest(spark, f"{root}/src/*", f"{root}/out", f"{root}/ck")
+        sev.ingest(spark, f"{root}/src/*", f"{root}/out", f"{root}/ck")  # nothing new: no batch
+    got = sorted(tuple(r) for r in sev.batch_counters(spark, f"{root}/out").collect())
+    assert got == [(0, 1, 2), (1, 0, 1), (2, 1, 0)]
+    letters = sorted(((r.batch_id, r.seq, r.data) for r in sev.dead_letters(spark, f"{root}/out").collect()), key=str)
+    assert letters == [(0, 1, "%%"), (0, 2, None), (1, 1, "%%")]
+    assert sev.item_view(spark, f"{root}/out").count() == 2
+    assert sev.batch_counters(spark, f"{root}/none").count() == sev.dead_letters(spark, f"{root}/none").count() == 0
+
+
+# -- steps matched by state --------------------------------------------------------------------
+def record(seq, order, at, kind="order_placed"):
+    body = {"event_id": f"e{seq}", "order_id": order, "customer_id": "c", "event_type": kind, "status": "s", "timestamp": at}
+    return (seq, order, base64.b64encode(json.dumps(body).encode()).decode())
+
+
+def test_steps_are_matched_over_restarts(spark):
+    root = scratch_path(spark, "steps")
+    placed, confirmed = "order_placed", "order_confirmed"
+    landings = [
+        [record(1, "a", "2024-01-01T10:00:00.000Z"), record(2, "b", "2024-01-01T10:00:00.500+00:00"),
+         record(3, "c", "2024-01-01T12:00:00.000+02:00"), record(4, "x", "2024-01-01T10:30:00.000Z", confirmed)],
+        [record(1, "a", "2024-01-01T10:00:00.000Z"),  # again
+         record(5, "a", "2024-01-01T10:50:00.000Z", confirmed), record(6, "c", "2024-01-01T11:00:00.001Z", confirmed),
+         record(7, "d", "2024-01-01T10:55:00.000Z")],
+        [record(5, "a", "2024-01-01T10:50:00.000Z", confirmed),  # again
+         record(8, "e", "2024-01-01T20:00:00.000Z"), record(9, "d", "2024-01-01T11:00:00.000Z", confirmed),
+         record(10, "y", "2024-01-01T20:00:00.000Z", confirmed)]]
+    seen = []
+    for i, rows in enumerate(landings):  # each call is a new query that goes on from the state of the one before
+        spark.createDataFrame(rows, schemas.STREAM_RECORD).write.parquet(f"{root}/src/{i}")
+        steps.follow(spark, f"{root}/src/*", f"{root}/out", f"{root}/ck", step=placed, following=confirmed, limit="1 hour")
+        seen.append(sorted((r.order_id, r.seconds) for r in steps.followed(spark, f"{root}/out").where("seconds IS NOT NULL").collect()))
+    assert seen == [[], [("a", 3000.0)], [("a", 3000.0), ("d", 300.0)]]
+    late = {(r.order_id, r.step_at) for r in steps.followed(spark, f"{root}/out").where("seconds IS NULL").collect()}
+    assert late == {("b", dt.datetime(2024, 1, 1, 10, 0, 0, 500000)), ("c", dt.datetime(2024, 1, 1, 10))}  # e is still open
+    assert steps.followed(spark, f"{root}/none").count() == 0
+
+
+# -- lines that do not fit ---------------------------------------------------------------------
+def test_split_bronze_keeps_every_line(spark):
+    root = scratch_path(spark, "checked")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "abc"])
+    lines = ["1,x,y", "2,x", "3,x,y,z", '4,"x,y', '5,"x,1",y', "only", ",,", "6,ü,"]
+    spark.createDataFrame([(v,) for v in lines], "value string").repartition(3).write.text(f"{root}/in")
+    counts = io.split_bronze(spark, f"{root}/in", f"{root}/out", schema=schema, header=False)
+    good, bad = io.read_split(spark, f"{root}/out", schema=schema)
+    assert counts == {"good": 4, "quarantined": 4} and good.count() + bad.count() == len(lines)
+    assert sorted(r.line for r in bad.collect()) == sorted(["2,x", "3,x,y,z", '4,"x,y', "only"])
+    assert all(r.file.endswith(".txt") for r in bad.collect())
+    assert sorted((tuple(r) for r in good.collect()), key=str) == sorted(
+        [("1", "x", "y"), ("5", "x,1", "y"), ("6", "ü", None), (None, None, None)], key=str)
+    # headers of each file are skipped, and a good folder leaves an empty quarantine
+    spark.createDataFrame([("1", "x", "y")], schema).write.option("header", True).csv(f"{root}/fine")
+    assert io.split_bronze(spark, f"{root}/fine", f"{root}/fine_out", schema=schema) == {"good": 1, "quarantined": 0}
+    assert io.read_split(spark, f"{root}/fine_out", schema=schema)[1].count() == 0
