@@ -5,8 +5,10 @@
 * Slot i of the schedule takes the golden-ratio point frac(i * phi) and the source whose
   interval of cumulative weights holds it.  The r-th slot of a source takes block r of its
   stream, going round again after the last block.  So every stretch of the mix has the
-  sources near their weights, and the whole has each within a few blocks of its target; slots at
-  the end fill what is missing, and the last block of a source is cut at the target.
+  sources near their weights, and the whole has each within a few blocks of its target.
+* What a source's slots take is what the mix has of it, in whole blocks, as long as that is within
+  ``SLACK`` of its target.  Only a source so small that a few blocks are more than that is brought to its target: slots
+  after the last one fill what is missing, or its last block is cut there.
 
 Weights: sources in code-point order, null last, weigh 5, 2, 1, repeating, and share 150 %
 of all words.  A target stops at twice its source's words; the excess goes to the others
@@ -15,6 +17,7 @@ never ordered in one task.  The order depends on the rows alone, so reruns agree
 
 Defined results: null and blank texts have size 0, are never taken, and count as documents of their
 source; null is a source of its own; equal (doc_id, text) rows are taken in turn;
+very long texts are spread over the blocks they fill;
 an empty table gives an empty result; extra columns are carried under their names.
 """
 
@@ -33,6 +36,8 @@ GOLDEN = 0.6180339887498949
 #: A schedule has about this many slots; beyond MOST_BLOCK_WORDS a block it grows with the input.
 SLOTS = 1 << 18
 MOST_BLOCK_WORDS = 1024
+#: How far the words of a source's slots may be from its target, as a share of it.
+SLACK = 0.01
 CHUNK_SLOTS = 1 << 13
 GRID = 1 << 12
 BUCKET_ROWS = 2_000
@@ -90,9 +95,10 @@ def _running(rows: DataFrame, keys: list[str], cell: str, order: list[Column | s
 
 
 def schedule(sources: DataFrame, slots: int, block: int) -> DataFrame:
-    """(slot, rank, turn): the source that each slot takes, and its how-manieth slot that is.
+    """(slot, rank, turn, whole): the source that each slot takes, and its how-manieth slot that is.
 
-    ``slots`` slots follow the points; those that a source still lacks come after them (slot null).
+    ``slots`` slots follow the points.  ``whole`` says that the source's blocks stand as drawn; else its slots are
+    to be cut at the target, and those that it lacks come after all others (slot null).
     """
     drawn = sources.sparkSession.range(slots).select(
         F.col("id").alias("slot"), F.floor(F.col("id") / CHUNK_SLOTS).alias("chunk"),
@@ -107,11 +113,15 @@ def schedule(sources: DataFrame, slots: int, block: int) -> DataFrame:
     drawn = _running(drawn, ["rank"], "chunk", ["slot"], "one", "turn").select("slot", "rank", "turn")
     drawn = save(drawn, "mix_slots")
     have = save(drawn.groupBy("rank").agg(F.count("*").alias("have")), "mix_have")
-    lacking = open_.join(small(have), "rank", "left").select(
-        "rank", F.coalesce("have", F.lit(0).cast("long")).alias("have"), _turns(block).alias("need")).where("have < need")
-    lacking = lacking.select(F.lit(None).cast("long").alias("slot"), "rank",
-                             F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("turn"))
-    return drawn.unionByName(lacking)
+    blocks = F.ceil(F.col("words") / block)
+    got = F.least(F.coalesce("have", F.lit(0).cast("long")), MOST_REPEATS * blocks)
+    taken_ = F.floor(got / blocks) * F.col("words") + (got % blocks) * block
+    state = small(save(open_.join(small(have), "rank", "left").select(
+        "rank", got.alias("have"), _turns(block).alias("need"),
+        (F.abs(taken_ - F.col("target")) <= SLACK * F.col("target")).alias("whole")), "mix_state"))
+    lacking = state.where("NOT whole AND have < need").select(
+        F.lit(None).cast("long").alias("slot"), "rank", F.explode(F.sequence(F.col("have"), F.col("need") - 1)).alias("turn"), "whole")
+    return drawn.join(state.select("rank", "whole"), "rank").select("slot", "rank", "turn", "whole").unionByName(lacking)
 
 
 def _turns(block: int) -> Column:
@@ -144,10 +154,10 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                                 F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     turns = schedule(sources, -(-all_words // block), block).join(small(sources.select("rank", "words")), "rank")
     blocks = F.ceil(F.col("words") / block)
-    turns = turns.select("slot", "rank", "turn", F.floor(F.col("turn") / blocks).alias("round"), (F.col("turn") % blocks).alias("block"))
+    turns = turns.select("slot", "rank", "turn", "whole", F.floor(F.col("turn") / blocks).alias("round"), (F.col("turn") % blocks).alias("block"))
     first = F.greatest(F.col("start"), F.col("block") * block)
-    # the words of a round that come before the target is met
-    limit = F.round("target").cast("long") - F.col("round") * F.col("source_size")
+    # the words of a round that come before the target is met, where that cuts
+    limit = F.when(~F.col("whole"), F.round("target").cast("long") - F.col("round") * F.col("source_size"))
     last = F.least(F.col("end"), (F.col("block") + 1) * block, limit)
     spans = parts.join(turns.where(F.col("round") < MOST_REPEATS), ["rank", "block"]).select(
         "slot", "uid", "turn", (first - F.col("start")).alias("first"), (last - F.col("start")).alias("last"))
@@ -155,11 +165,12 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def taken(docs: DataFrame) -> DataFrame:
-    """(doc_id, content key, size, source_size, target, taken): the words of each document in the mix."""
+    """(doc_id, content key, size, source_size, target, taken, first_slot): the words of each document in the mix, and
+    the slot that takes its first ones (NULL if none does)."""
     rows, spans = mix(docs)
-    got = save(spans.groupBy("uid").agg(F.sum(F.col("last") - F.col("first")).alias("taken")), "mix_taken")
+    got = save(spans.groupBy("uid").agg(F.sum(F.col("last") - F.col("first")).alias("taken"), F.min("slot").alias("first_slot")), "mix_taken")
     return rows.join(small(got), "uid", "left").select(
-        "doc_id", *KEY, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+        "doc_id", *KEY, "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -172,4 +183,4 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return taken(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return taken(docs).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
