@@ -209,6 +209,25 @@ def catalog_discover(spark, sf):
     return io.read_parquet(spark, result)
 
 
+@register("catalog_crawl")
+def catalog_crawl(spark, sf):
+    """``catalog_discover`` by crawls with a log: the second looks only into the files that came after the first."""
+    root = scratch_path(spark, "crawl")
+    dbs = cat.create_layers(spark, root, layers=("silver",), prefix="c" + root.rsplit("/", 1)[-1][:8] + "_")
+    path = f"{root}/data/silver/orders"
+    io.write_parquet(silver_orders_of(spark, sf), path, partition_by=["year", "month"])
+    cat.crawl(spark, dbs[0], "orders", path, f"{root}/log")
+    later = _changes_silver(spark, sf).withColumn("channel", F.lit("web"))
+    io.write_parquet(later, path, mode="append", partition_by=["year", "month"])
+    cat.crawl(spark, dbs[0], "orders", path, f"{root}/log")
+    result = scratch_path(spark, "crawl_rollup")
+    io.write_parquet(spark.sql(f"""SELECT status, channel, COUNT(*) AS total,
+        CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
+        FROM {dbs[0]}.orders GROUP BY status, channel"""), result)
+    cat.drop_layers(spark, dbs)
+    return io.read_parquet(spark, result)
+
+
 @register("schema_evolution_diff")
 def schema_evolution_diff(spark, sf):
     """Schema changes of a second file and, read through the changed table, how many rows

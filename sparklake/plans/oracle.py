@@ -693,6 +693,7 @@ ORACLE["catalog_discover"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES,
 SELECT status, channel, COUNT(*) AS total, CAST(ROUND(SUM(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS revenue
 FROM (SELECT *, NULL AS channel FROM silver_orders UNION ALL SELECT *, 'web' AS channel FROM changes_silver)
 GROUP BY status, channel"""
+ORACLE["catalog_crawl"] = ORACLE["catalog_discover"]
 ORACLE["incremental_empty_run"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHANGES, _CHANGES_SILVER) + """
 SELECT CAST(1 AS BIGINT) AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
 SELECT 2, (SELECT COUNT(*) FROM changes_silver) UNION ALL

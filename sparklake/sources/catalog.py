@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparklake.operators.joins import written
+
 LAYERS = ("bronze", "silver", "gold")
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def create_layers(spark: SparkSession, root: str, layers=LAYERS, prefix: str = "") -> list[str]:
@@ -60,6 +65,75 @@ def discover_table(spark: SparkSession, db: str, name: str, path: str, fmt: str
     spark.catalog.refreshTable(table)
 
 
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, file, modified, length) of every data file below ``path``; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), F.col("path").alias("file"),
+                        F.col("modificationTime").alias("modified"), "length")
+
+
+def crawl(spark: SparkSession, db: str, name: str, path: str, log: str, fmt: str = "parquet", options: dict | None = None) -> dict:
+    """An incremental ``discover_table``: only files that the crawl log does not know yet are looked into.
+
+    ``log`` holds (folder, file, modified, length) of every file seen.  The first crawl reads all schemas; a later one
+    lists the files, opens those in folders that hold something new (not the older ones there), adds their columns
+    to the entry and registers their folders as partitions, so that the table exists at every moment.  A column whose type
+    changed makes it a full crawl.  Files that have gone are left to a full crawl too.  Returns the counts of new files and folders and
+    whether the crawl was full.  The log is written last: a crawl that failed is repeated.
+    """
+    table, known = f"{db}.{name}", _exists(spark, log)
+    listed = _listing(spark, path)
+    if known:
+        listed = listed.join(spark.read.parquet(log), ["folder", "file", "modified", "length"], "left_anti")
+    new, files = written(listed, "crawl")
+    folders = [r["folder"] for r in new.select("folder").distinct().collect()]  # catalog metadata: partitions, not files
+    full = not known or not spark.catalog.tableExists(table)
+    if files and not full:
+        full = not _merge_folders(spark, table, path, fmt, dict(options or {}), folders, new.agg(F.min("modified")).first()[0])
+    if full:
+        discover_table(spark, db, name, path, fmt, options)
+    if files:
+        new.write.mode("append").parquet(log)
+    return {"files": files, "folders": len(folders), "full": full}
+
+
+def _merge_folders(spark: SparkSession, table: str, path: str, fmt: str, options: dict, folders: list[str], since) -> bool:
+    """Adds what the new files of ``folders`` have to the entry; False if that takes a full crawl."""
+    about = _described(spark, table)
+    if fmt == "parquet":
+        options.setdefault("mergeSchema", "true")
+    if about["provider"] != fmt or _path_text(about["location"]) != _path_text(path):
+        return False
+    after = (since - dt.timedelta(seconds=2)).strftime("%Y-%m-%dT%H:%M:%S")  # whole seconds, and strictly after
+    found = spark.read.format(fmt).options(**options, basePath=path, modifiedAfter=after).load(folders).schema
+    parts = about.get("partition_columns") or []
+    plain = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    specs = [[plain(p.split("=", 1)[1]) for p in f.split("/")[-len(parts):]] for f in folders] if parts else []
+    no_value = {c for i, c in enumerate(parts) if all(spec[i] == NULL_FOLDER for spec in specs)}  # their type is unknown
+    # a column that the new files lack is no change
+    diff = [d for d in schema_diff(spark.table(table).schema, found) if d[1] != "dropped" and d[0] not in no_value]
+    if any(change == "type_changed" for _, change, _, _ in diff):
+        return False
+    _add_columns(spark, table, [(c, t) for c, _, _, t in diff])
+    if parts:
+        if any(NULL_FOLDER in spec for spec in specs):
+            spark.catalog.recoverPartitions(table)
+        else:
+            text = ["PARTITION (" + ", ".join(f"`{c}` = '{_sql_text(v)}'" for c, v in zip(parts, spec)) + ")" for spec in specs]
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(text)}")
+    spark.catalog.refreshTable(table)
+    return True
+
+
+def _sql_text(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _path_text(path: str) -> str:
     return path.removeprefix("file:").rstrip("/").replace("///", "/")
 
