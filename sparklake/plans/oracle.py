@@ -271,6 +271,8 @@ _CELLS = "coalesce(order_id, ''), coalesce(customer_id, ''), {} coalesce(product
 _MORE = ", coalesce(updated_at, ''), coalesce(op, '')"
 _PLAIN = _CELLS.format("")
 _OPENED = _CELLS.replace("{} coalesce(product, '')", "concat('\"', coalesce(product, ''))")
+ORACLE["generated_ids"] = with_(BRONZE_ORDERS) + """
+SELECT order_id, op, sha256(concat_ws(chr(1), order_id, op, created_at)) AS generated_id FROM bronze_orders"""
 ORACLE["csv_quarantine"] = with_(BRONZE_ORDERS, f"""lines AS (
   SELECT CASE CAST(order_id AS BIGINT) % 53 WHEN 4 THEN concat_ws(',', {_PLAIN})
               WHEN 5 THEN concat_ws(',', {_PLAIN}{_MORE}, 'extra') WHEN 6 THEN concat_ws(',', {_OPENED}{_MORE}) END AS line
@@ -527,6 +529,8 @@ SELECT order_id, event_type, prev_event_type,
          AS seconds_since_prev
 FROM prev"""
 
+ORACLE["processed_stamp"] = with_(BRONZE_ORDERS, SILVER_ORDERS) + """
+SELECT count(*) AS row_count, CAST(1 AS BIGINT) AS stamps, true AS in_run FROM silver_orders"""
 ORACLE["stream_batch_counters"] = with_(ORDER_EVENTS) + """
 SELECT CAST(event_id % 3 AS INTEGER) AS batch_id, COUNT(*) FILTER (WHERE NOT (is_corrupt OR misses_order_id)) AS processed,
        COUNT(*) FILTER (WHERE is_corrupt OR misses_order_id) AS failed,

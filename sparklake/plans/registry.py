@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklake.functions import casting as cs
+from sparklake.functions.scalar import stable_id
 from sparklake.operators import cdc
 from sparklake.operators import quality as dq
 from sparklake.operators.dedup import latest_by_key
@@ -109,6 +110,22 @@ QUERIES["customer_summary"] = lambda spark, sf: md.customer_summary(
 QUERIES["silver_status_rollup"] = lambda spark, sf: md.silver_status_rollup(silver_orders_of(spark, sf))
 
 
+@register("generated_ids")
+def _generated_ids(spark, sf):
+    """Identifiers from a natural key: the same in every run, one a distinct key."""
+    bronze = ad.load_bronze_orders(spark, sf)
+    return bronze.select("order_id", "op", stable_id("order_id", "op", "created_at").alias("generated_id"))
+
+
+@register("processed_stamp")
+def _processed_stamp(spark, sf):
+    """The clock column of silver orders: one time for all rows, between the start of the run and its end."""
+    started = spark.sql("SELECT current_timestamp() AS t").first()["t"]
+    stamped = silver_orders_of(spark, sf, now=None).select(F.col("processed_at").cast("timestamp").alias("t"))
+    in_run = F.coalesce(F.bool_and((F.col("t") >= F.lit(started)) & (F.col("t") <= F.current_timestamp())), F.lit(False))
+    return stamped.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("t").alias("stamps"), in_run.alias("in_run"))
+
+
 # -- change capture -----------------------------------------------------------
 
 
