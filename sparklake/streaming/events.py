@@ -40,8 +40,8 @@ def record_stream(spark: SparkSession, source: str, max_files_per_trigger: int |
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
            max_files_per_trigger: int | None = None, start: str = "earliest") -> None:
-    """Decode each micro-batch once; its items go to ``out/kind=items/batch_id=<n>``, its dead letters to
-    ``out/kind=dead_letter/batch_id=<n>`` and its counts, observed while they are written, to
+    """Decode each micro-batch once; its items go to ``out/batches/kind=items/batch_id=<n>``, its dead letters to
+    ``out/batches/kind=dead_letter/batch_id=<n>`` and its counts, observed while these are written, to
     ``out/counters/batch_id=<n>``.  A replayed batch overwrites its own folders, so the upsert is idempotent.
 
     ``start="latest"`` skips the files already present when the consumer starts for
