@@ -8,8 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparklake import schemas
 from sparklake.plans import events as ev
 from sparklake.plans import flights as fl
+from sparklake.plans import gold_views as gv
 from sparklake.plans import medallion as md
 from sparklake.plans.registry import feed_of, items_of, register, silver_customers_of, silver_orders_of
 from sparklake.session import scratch_path
@@ -19,6 +21,7 @@ from sparklake.sources import files as io
 from sparklake.sources.tables import table
 from sparklake.streaming import events as sev
 from sparklake.streaming import incremental as inc
+from sparklake.streaming import merge
 from sparklake.streaming import steps
 
 
@@ -388,27 +391,25 @@ def stream_silver(spark, sf):
     return spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/silver").drop("seq")
 
 
-def _gold_refreshes(spark, sf, build, silver_part, gold_part):
+def _gold_refreshes(spark, sf, build, silver_part, gold_part, by_month=False):
     """Gold after three change files: built from merged silver, then the touched parts again.
-    A changed order touches the part where it is now and the part where it was."""
+    A changed order touches the part where it is now and the part where it was, both of which the merge has logged.
+    ``by_month``: parts of gold are silver's own, so only these are read."""
     root = scratch_path(spark, "gold_refresh")
-    before = None
+    orders = gv.merged_orders(f"{root}/silver", buckets=8)
     for i, file in enumerate(_order_files(spark, sf)):
-        batch = md.silver_changes(file)
-        io.write_parquet(batch, f"{root}/silver/batch_id={i}")
-        silver = inc.read_silver(spark, f"{root}/silver", mode="merge")
-        touched = batch.select(silver_part.alias("part"))
-        if before is not None:  # where the changed orders were until now
-            touched = touched.union(before.join(batch.select("order_id"), "order_id", "left_semi").select(silver_part))
-        sev.refresh_gold(silver, touched, f"{root}/gold", build, silver_part, gold_part)
-        io.write_parquet(silver, f"{root}/before/{i}")
-        before = spark.read.parquet(f"{root}/before/{i}")
+        merge.merge_batch(orders, md.silver_changes(file), i)
+        changes, silver = orders.changes(spark, i), orders.rows(spark)
+        if by_month:
+            silver = silver.where(F.col(merge.PART).isin([r[0] for r in changes.select(merge.PART).distinct().collect()]))
+        sev.refresh_gold(silver.drop(merge.PART), changes.select(silver_part.alias("part")), f"{root}/gold", build,
+                         silver_part, gold_part)
     return sev.read_gold(spark, f"{root}/gold")
 
 
 @register("gold_refresh")
 def gold_refresh(spark, sf):
-    return _gold_refreshes(spark, sf, md.daily_sales, sev.month_of("created_at"), sev.month_of("date"))
+    return _gold_refreshes(spark, sf, md.daily_sales, sev.month_of("created_at"), sev.month_of("date"), by_month=True)
 
 
 @register("gold_refresh_customer")
@@ -425,6 +426,43 @@ def gold_refresh_product(spark, sf):
     return md.with_revenue_rank(_gold_refreshes(spark, sf, md.product_totals, bucket, bucket))
 
 
+def _merged_runs(spark, sf, *views):
+    """Orders merged and views brought up to date by a bookmarked run after each of three files has landed."""
+    root = scratch_path(spark, "merged")
+    orders, src = gv.merged_orders(f"{root}/orders", buckets=8), f"{root}/bronze"
+    for i, file in enumerate(_order_files(spark, sf)):
+        io.write_csv(file, f"{root}/staging/{i}")
+        _move_csv_files(spark, f"{root}/staging/{i}", src, f"batch{i}")
+        bronze = spark.readStream.schema(schemas.BRONZE["orders"]).options(**io.CSV_READ).csv(src)
+        merge.run_merge(spark, bronze, orders, f"{root}/_bookmark", md.silver_changes, views)
+    return orders
+
+
+@register("incremental_merge_pruned")
+def incremental_merge_pruned(spark, sf):
+    """Merged silver after three files; each run reads and rewrites only the months that hold its orders, found by key."""
+    return _merged_runs(spark, sf).rows(spark).drop(merge.PART)
+
+
+@register("gold_delta")
+def gold_delta(spark, sf):
+    """Daily sales kept up by what each file changed."""
+    return gv.daily_sales(spark, _merged_runs(spark, sf, gv.DAYS))
+
+
+@register("gold_delta_customer")
+def gold_delta_customer(spark, sf):
+    customers = silver_customers_of(spark, sf)
+    return gv.customer_summary(spark, _merged_runs(spark, sf, gv.CUSTOMERS), customers)
+
+
+@register("gold_delta_product")
+def gold_delta_product(spark, sf):
+    totals = scratch_path(spark, "product_totals")  # a row a product; the rank reads them several times
+    io.write_parquet(gv.product_totals(spark, _merged_runs(spark, sf, gv.PRODUCTS)), totals)
+    return md.with_revenue_rank(io.read_parquet(spark, totals))
+
+
 @register("stream_ingest_latest")
 def stream_ingest_latest(spark, sf):
     """Consumer that starts at the newest record: the files present at its first start are

@@ -105,7 +105,11 @@ def daily_sales(orders: DataFrame, approx_distinct: bool = False, rsd: float = 0
             F.count("order_id").alias("total_orders"),
             *_money_stats("total_revenue", "avg_order_value"),
             F.approx_count_distinct("customer_id", rsd).alias("unique_customers"))
-    per = _partials(orders, [day, "customer_id"])
+    return sales_of_days(_partials(orders, [day, "customer_id"]))
+
+
+def sales_of_days(per: DataFrame) -> DataFrame:
+    """Revenue KPIs per day from partial rows by (date, customer)."""
     return per.groupBy("date").agg(
         F.sum("_n").alias("total_orders"),
         *_rolled_money("total_revenue", "avg_order_value"),
@@ -166,7 +170,11 @@ def customer_summary(orders: DataFrame, customers: DataFrame, ties: str = "rank"
     is at most #products rows in the window.  A NULL customer keeps one row and
     no favourite, as a join on a NULL key would.
     """
-    per_cp = _partials(orders, ["customer_id", "product"])
+    return summary_of_customers(_partials(orders, ["customer_id", "product"]), customers, ties)
+
+
+def summary_of_customers(per_cp: DataFrame, customers: DataFrame, ties: str = "rank") -> DataFrame:
+    """``customer_summary`` from partial rows by (customer, product)."""
     cust = Window.partitionBy("customer_id")
     by_count = cust.orderBy(F.col("_n").desc())
     first = F.row_number().over(cust.orderBy(F.col("_n").desc(), "product"))

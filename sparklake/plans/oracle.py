@@ -702,7 +702,7 @@ ORACLE["incremental_empty_run"] = with_(BRONZE_ORDERS, SILVER_ORDERS, ORDER_CHAN
 SELECT CAST(1 AS BIGINT) AS run, (SELECT COUNT(*) FROM silver_orders) AS rows_written UNION ALL
 SELECT 2, (SELECT COUNT(*) FROM changes_silver) UNION ALL
 SELECT 3, 0"""
-ORACLE["incremental_merge"] = ORACLE["cdc_current_state"]
+ORACLE["incremental_merge"] = ORACLE["incremental_merge_pruned"] = ORACLE["cdc_current_state"]
 ORACLE["incremental_customers"] = with_(BRONZE_CUSTOMERS, """customer_changes AS (
   SELECT * REPLACE (concat('new.', email) AS email, CASE CAST(customer_id AS BIGINT) % 20 WHEN 0 THEN 'U' ELSE 'D' END AS op)
   FROM bronze_customers WHERE CAST(customer_id AS BIGINT) % 20 <= 1)""") + """
@@ -734,7 +734,8 @@ FROM arrived WHERE NOT is_corrupt AND NOT misses_order_id"""
 
 # Gold over the merged state of all change files.
 for _name, _gold in (("gold_refresh", "daily_sales"), ("gold_refresh_customer", "customer_summary"),
-                     ("gold_refresh_product", "product_ranking")):
+                     ("gold_refresh_product", "product_ranking"), ("gold_delta", "daily_sales"),
+                     ("gold_delta_customer", "customer_summary"), ("gold_delta_product", "product_ranking")):
     ORACLE[_name] = with_(*FEED_CTES, _silver_orders_cte("feed", mode="apply", seq="commit_seq"),
                           BRONZE_CUSTOMERS, SILVER_CUSTOMERS) + GOLD[_gold]
 

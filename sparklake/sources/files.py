@@ -85,6 +85,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def drop_parts(spark: SparkSession, path: str, column: str, values) -> None:
+    """Delete the folders of some values of a partition column, named as Spark names them."""
+    jvm = spark.sparkContext._jvm
+    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={NULL_FOLDER if value is None else escaped(str(value))}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet scan; partition folders come back as columns."""
     r = spark.read

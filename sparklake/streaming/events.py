@@ -12,7 +12,7 @@ from sparklake import schemas
 from sparklake.functions.scalar import utc_of_iso
 from sparklake.operators.dedup import latest_by_key
 from sparklake.plans import events as ev
-from sparklake.sources.files import read_parquet, with_date_parts, write_parquet
+from sparklake.sources.files import drop_parts, path_exists, read_parquet, with_date_parts, write_parquet
 
 ITEM_COLUMNS = ("pk", "sk", "gsi1pk", "gsi1sk", "event_id", "order_id", "customer_id", "event_type",
                 "product", "amount", "status", "timestamp")
@@ -66,20 +66,14 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
         one = spark.createDataFrame([(batch_id, counts.get("processed") or 0, counts.get("failed") or 0)], COUNTERS_SCHEMA)
         write_parquet(one.drop("batch_id"), f"{out}/counters/batch_id={batch_id}")
 
-    if start == "latest" and not _exists(spark, checkpoint):
+    if start == "latest" and not path_exists(spark, checkpoint):
         run(lambda batch, batch_id: None)
     run(sink_batch)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _batches(spark: SparkSession, out: str, kind: str) -> DataFrame:
     path = f"{out}/batches"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], BATCH_SCHEMA)
     return spark.read.schema(BATCH_SCHEMA).parquet(path).where(F.col("kind") == kind)
 
@@ -97,7 +91,7 @@ def dead_letters(spark: SparkSession, out: str) -> DataFrame:
 def batch_counters(spark: SparkSession, out: str) -> DataFrame:
     """(batch_id, processed, failed) of each batch, as observed in the pass that wrote it."""
     path = f"{out}/counters"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], COUNTERS_SCHEMA)
     return spark.read.schema(COUNTERS_SCHEMA).parquet(path).select(*COUNTERS_SCHEMA.fieldNames())
 
@@ -123,7 +117,7 @@ def refresh_silver(spark: SparkSession, landing: str, silver: str, checkpoint: s
 
     def merge_hours(batch: DataFrame, batch_id: int) -> None:
         rows = batch
-        if _exists(spark, silver):
+        if path_exists(spark, silver):
             # the touched hours as a literal, so that only their folders are listed and read
             hours = [r["h"] for r in batch.select(hour_of.alias("h")).distinct().collect()]
             there = spark.read.schema(LANDING_SCHEMA).parquet(silver).where(hour_of.isin(hours))
@@ -134,9 +128,6 @@ def refresh_silver(spark: SparkSession, landing: str, silver: str, checkpoint: s
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-
-
 def refresh_gold(silver: DataFrame, touched: DataFrame, gold_path: str, build, silver_part, gold_part) -> None:
     """Recompute gold rows only for the parts that a new batch touched.
 
@@ -153,12 +144,7 @@ def refresh_gold(silver: DataFrame, touched: DataFrame, gold_path: str, build, s
                   dynamic=True)
     left = scope.select(silver_part.alias("_left")).distinct()
     gone = wanted.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti")
-    jvm = spark.sparkContext._jvm
-    escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName  # as Spark names folders
-    for row in gone.collect():  # parts of gold, not rows
-        folder = NULL_FOLDER if row["_touched"] is None else escaped(str(row["_touched"]))
-        path = jvm.org.apache.hadoop.fs.Path(f"{gold_path}/part={folder}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_parts(spark, gold_path, "part", [row["_touched"] for row in gone.collect()])  # parts of gold, not rows
 
 
 def month_of(date) -> F.Column:

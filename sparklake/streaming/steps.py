@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from sparklake.functions.scalar import utc_of_iso
 from sparklake.plans import events as ev
-from sparklake.streaming.events import _exists, record_stream
+from sparklake.sources.files import path_exists
+from sparklake.streaming.events import record_stream
 
 WAITS_SCHEMA = T.StructType([
     T.StructField("order_id", T.StringType()), T.StructField("step_at", T.TimestampNTZType()),
@@ -54,7 +55,7 @@ def follow(spark: SparkSession, source: str, out: str, checkpoint: str, *, step:
 
 def followed(spark: SparkSession, out: str) -> DataFrame:
     """What ``follow`` has settled so far: (order_id, step_at, next_at, seconds between)."""
-    if not _exists(spark, out):
+    if not path_exists(spark, out):
         return spark.createDataFrame([], WAITS_SCHEMA)
     rows = spark.read.parquet(out)
     utc = [F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch()).alias(c) for c in ("step_at", "next_at")]
