@@ -10,9 +10,9 @@ DataFrame functions.
 * A concentration step is one pass: documents are summed per group and distance bin
   (map-side), and a window over a group's bins, whose number is bounded, picks the
   nearest ones.
-* Groups below ``MIN_GROUP`` documents are pooled per language, and pools that are still too
-  small in one over all languages.  If that one is too small as well, its documents are held
-  against its medians with ``LEAST_SD`` as scatter.
+* Groups below ``MIN_GROUP`` documents are pooled per language; documents of pools that are still too
+  small are held against the estimate over all documents.  If these are too few as well, they are held
+  against their medians with ``LEAST_SD`` as scatter.
 
 Defined results: null text has no words; empty and short texts fail the base rule; null
 language or source is a value of its own; repeated rows are scored alike; an empty
@@ -102,7 +102,7 @@ def _base_failed() -> Column:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    """(gkey, label): the group itself, the pool of its language's small groups, or the pool of what is left."""
+    """(gkey, label): the group itself, the pool of its language's small groups, or LAST, the pool of all documents."""
     counted = rows.groupBy("gkey", "lkey").agg(F.count("*").alias("n"))
     few = F.col("n") < MIN_GROUP
     pools = (counted.where(few).groupBy(F.col("lkey").alias("pkey"))
@@ -194,7 +194,10 @@ def score(docs: DataFrame) -> DataFrame:
     stats = save(counted.select("doc_id", *KEY, "lkey", "gkey", *COUNTS, _base_failed().alias("base_failed"), *_vector()), "quality")
     passing = stats.where(~F.col("base_failed"))
     groups = save(_groups(passing.select("gkey", "lkey")), "mcd_groups")
-    labelled = save(passing.select("gkey", *Z).join(small(groups), "gkey")
+    members = groups
+    if not groups.where(F.col("label") == LAST).isEmpty():  # what is left is held against all documents
+        members = groups.unionByName(groups.where(F.col("label") != LAST).withColumn("label", F.lit(LAST)))
+    labelled = save(passing.select("gkey", *Z).join(small(members), "gkey")
                     .select("label", *Z), "mcd_rows")
     model = groups.join(_fit(labelled), "label").drop("label")
     judged = _distance(stats.join(small(save(model, "mcd")), "gkey", "left"))
