@@ -137,14 +137,13 @@ def refresh_gold(silver: DataFrame, touched: DataFrame, gold_path: str, build, s
     are, and a touched part that has no rows any more goes.  NULL is a part like any other.
     """
     spark = silver.sparkSession
-    wanted = touched.select(F.col(touched.columns[0]).alias("_touched")).distinct()
-    scope = silver.withColumn("_part", silver_part).join(
-        wanted, F.col("_part").eqNullSafe(F.col("_touched")), "left_semi").drop("_part")
+    wanted = {r[0] for r in touched.select(touched.columns[0]).distinct().collect()}  # parts of gold, not rows
+    scope = silver.where(F.when(silver_part.isNull(), F.lit(None in wanted))
+                          .otherwise(silver_part.isin([p for p in wanted if p is not None])))
     write_parquet(build(scope).withColumn("part", gold_part), gold_path, mode="overwrite", partition_by=["part"],
                   dynamic=True)
-    left = scope.select(silver_part.alias("_left")).distinct()
-    gone = wanted.join(left, F.col("_touched").eqNullSafe(F.col("_left")), "left_anti")
-    drop_parts(spark, gold_path, "part", [row["_touched"] for row in gone.collect()])  # parts of gold, not rows
+    left = {r[0] for r in scope.select(silver_part).distinct().collect()}
+    drop_parts(spark, gold_path, "part", wanted - left)
 
 
 def month_of(date) -> F.Column:

@@ -205,6 +205,26 @@ def test_gold_part_with_an_escaped_name_goes_when_it_is_empty(spark):
     assert gold([("e", 3)], ["a:b", "c/d=%"]) == [("e", 3)]
 
 
+def test_gold_refresh_picks_the_touched_parts_without_a_join(spark):
+    root, plans = scratch_path(spark, "t_scope"), []
+
+    def build(scope):
+        plans.append(scope._jdf.queryExecution().executedPlan().toString())
+        return scope.groupBy("name").agg(F.sum("n").alias("n"))
+
+    def gold(rows, touched):
+        silver = spark.createDataFrame(rows, "name string, n int")
+        sev.refresh_gold(silver, spark.createDataFrame([(t,) for t in touched], "p string"), f"{root}/gold", build,
+                         F.col("name"), F.col("name"))
+        return sorted(((r["name"], r["n"]) for r in sev.read_gold(spark, f"{root}/gold").collect()), key=repr)
+
+    assert gold([("a", 1), (None, 2), ("b", 3)], ["a", None, "b"]) == [("a", 1), ("b", 3), (None, 2)]
+    assert gold([("a", 5), (None, 6)], [None]) == [("a", 1), ("b", 3), (None, 6)]
+    assert gold([("a", 5), (None, 7)], ["a", "b"]) == [("a", 5), (None, 6)]
+    assert gold([("a", 9)], [None, None]) == [("a", 5)]
+    assert not any("Join" in plan or "Exchange" in plan for plan in plans)
+
+
 # -- batches in one pass -----------------------------------------------------------------------
 def test_ingest_counts_each_batch_and_keeps_dead_letters(spark):
     root = scratch_path(spark, "counted")
