@@ -97,10 +97,15 @@ def batch_counters(spark: SparkSession, out: str) -> DataFrame:
 
 
 def land_hourly(spark: SparkSession, source: str, landing: str, checkpoint: str) -> None:
-    """Raw landing zone: decoded good events under year=/month=/day=/hour= of their UTC time."""
+    """Raw landing zone: decoded good events under year=/month=/day=/hour= of their UTC time.
+
+    A task sorts its rows by hour to write them, so they are dealt out by hour and, for hours that hold much, by the split
+    they come from: no more of an hour meets in a task than was in one split, and no hour has more files than splits.
+    """
     good = ev.to_items(ev.good(ev.decode(record_stream(spark, source))), keep=("seq",))
     parts = with_date_parts(good.withColumn("_ts", utc_of_iso("timestamp")), "_ts", HOUR_PARTS).drop("_ts")
     parts = parts.withColumns({p: F.coalesce(p, F.lit(NO_TIME)) for p in HOUR_PARTS})
+    parts = parts.withColumn("_split", F.spark_partition_id()).repartition(*HOUR_PARTS, "_split").drop("_split")
     (parts.writeStream.format("parquet").option("path", landing)
      .option("checkpointLocation", checkpoint).partitionBy(*HOUR_PARTS)
      .trigger(availableNow=True).start().awaitTermination())

@@ -225,6 +225,38 @@ def test_gold_refresh_picks_the_touched_parts_without_a_join(spark):
     assert not any("Join" in plan or "Exchange" in plan for plan in plans)
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _one_file(spark, root):
+    _record(spark, [(i, f"o{i}", f"u{i % 9}", "t", "1", f"2024-01-01T{i % 24:02d}:10:00Z") for i in range(240)]) \
+        .coalesce(1).write.parquet(f"{root}/src")
+    return f"{root}/src"
+
+
+def _tasks_by_folder(path):
+    """Written files below ``path``: folder to the numbers of the tasks that wrote there."""
+    found = {}
+    for folder, _, files in os.walk(path):
+        tasks = [f.split("-")[1] for f in files if f.endswith(".parquet")]
+        if tasks:
+            found[folder] = tasks
+    return found
+
+
+def test_landing_of_one_file_is_sorted_by_several_tasks(spark, uncoalesced):
+    root = scratch_path(spark, "t_dealt").removeprefix("file:")
+    sev.land_hourly(spark, _one_file(spark, root), f"{root}/raw", f"{root}/ck")
+    tasks = _tasks_by_folder(f"{root}/raw")
+    assert len(tasks) == 24 and all(len(t) == 1 for t in tasks.values())
+    assert len({t for (t,) in tasks.values()}) > 1
+    assert spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/raw").count() == 240
+
+
 # -- batches in one pass -----------------------------------------------------------------------
 def test_ingest_counts_each_batch_and_keeps_dead_letters(spark):
     root = scratch_path(spark, "counted")
