@@ -47,16 +47,19 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, *,
     ``start="latest"`` skips the files already present when the consumer starts for
     the first time (no checkpoint yet): one run commits them to the checkpoint and
     discards their rows.  Whatever lands later is processed, whatever its sequence number.
+
+    A batch is dealt out by ``seq`` before it is decoded, however few files and row groups it came in: a task
+    sorts what it writes by kind, and would else sort a whole row group.
     """
-    decoded = ev.decode(record_stream(spark, source, max_files_per_trigger))
+    records = record_stream(spark, source, max_files_per_trigger)
 
     def run(sink_batch) -> None:
-        (decoded.writeStream.foreachBatch(sink_batch).option("checkpointLocation", checkpoint)
+        (records.writeStream.foreachBatch(sink_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start().awaitTermination())
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
         seen, bad = Observation(), F.col("reason").isNotNull()
-        rows = ev.to_items(batch, keep=("seq", "partition_key", "data", "reason")).withColumns({
+        rows = ev.to_items(ev.decode(batch.hint("rebalance", "seq")), keep=("seq", "partition_key", "data", "reason")).withColumns({
             "kind": F.when(bad, DEAD_LETTERS).otherwise(ITEMS), "batch_id": F.lit(batch_id).cast("int"),
             "data": F.when(bad, F.col("data"))})
         counted = rows.observe(seen, F.count_if(~bad).alias("processed"), F.count_if(bad).alias("failed"))

@@ -257,6 +257,15 @@ def test_landing_of_one_file_is_sorted_by_several_tasks(spark, uncoalesced):
     assert spark.read.schema(sev.LANDING_SCHEMA).parquet(f"{root}/raw").count() == 240
 
 
+def test_ingest_of_one_file_is_decoded_by_several_tasks(spark, uncoalesced):
+    root = scratch_path(spark, "t_spread").removeprefix("file:")
+    sev.ingest(spark, _one_file(spark, root), f"{root}/out", f"{root}/ck")
+    (tasks,) = _tasks_by_folder(f"{root}/out/batches").values()
+    assert len(tasks) > 1
+    assert sev.item_view(spark, f"{root}/out").count() == 240
+    assert sev.batch_counters(spark, f"{root}/out").collect() == [(0, 240, 0)]
+
+
 # -- batches in one pass -----------------------------------------------------------------------
 def test_ingest_counts_each_batch_and_keeps_dead_letters(spark):
     root = scratch_path(spark, "counted")
