@@ -4,7 +4,7 @@ A merged table is four folders below its root:
 
 * ``rows/part=<p>``: the current row of each key;
 * ``places/bucket=<b>``: the part in which each key is, by a hash of the key;
-* ``changes/batch_id=<n>``: what batch n changed, each row that went with sign -1, each that came with +1;
+* ``changes/batch_id=<n>/_sign=<s>``: what batch n changed, the rows that came with sign 1, those that went with -1;
 * ``views/<name>/part=<p>``: aggregates of the rows, per part.
 
 A batch reads the buckets of its keys, the parts that these name, and the parts into which its rows go; all
@@ -40,7 +40,9 @@ class Merged:
 
     def _read(self, spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
         path = f"{self.root}/{folder}"
-        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+        if path_exists(spark, path):
+            return spark.read.schema(schema).parquet(path)
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])  # planned away, no Python
 
     def rows(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "rows", T.StructType([*self.fields, T.StructField(PART, T.StringType())]))
@@ -49,9 +51,15 @@ class Merged:
         return self._read(spark, "places", T.StructType([self.fields[self.key], T.StructField(PART, T.StringType()),
                                                          T.StructField(BUCKET, T.IntegerType())]))
 
+    def logged(self, batch_id: int, sign: int) -> str:
+        return f"changes/batch_id={batch_id}/{SIGN}={sign}"
+
     def changes(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        more = [T.StructField(PART, T.StringType()), T.StructField(BUCKET, T.IntegerType()), T.StructField(SIGN, T.IntegerType())]
-        return self._read(spark, f"changes/batch_id={batch_id}", T.StructType([*self.fields, *more]))
+        """The rows that came and went; a delete is logged as it came, and is none of them."""
+        more = [T.StructField(OP, T.StringType()), T.StructField(PART, T.StringType()), T.StructField(BUCKET, T.IntegerType()),
+                T.StructField(SIGN, T.IntegerType())]
+        logged = self._read(spark, f"changes/batch_id={batch_id}", T.StructType([*self.fields, *more]))
+        return logged.where(~F.col(OP).eqNullSafe("D")).drop(OP)
 
 
 def _values(df: DataFrame, column: str) -> list:
@@ -66,16 +74,16 @@ def _of_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
 
 def _log_changes(table: Merged, batch: DataFrame, batch_id: int) -> None:
     spark, names = batch.sparkSession, table.fields.fieldNames()
-    staged = f"{table.root}/staged"
-    write_parquet(batch.select(*names, OP, F.coalesce(F.expr(table.part).cast("string"), F.lit(NO_PART)).alias(PART),
-                               F.pmod(F.xxhash64(table.key), F.lit(table.buckets)).cast("int").alias(BUCKET)), staged)
-    came = spark.read.parquet(staged)
-    known = table.places(spark).where(F.col(BUCKET).isin(_values(came, BUCKET)))
-    parts = _values(_of_keys(known, came, table.key, "left_semi"), PART)
-    went = _of_keys(table.rows(spark).where(F.col(PART).isin(parts)), came, table.key, "left_semi")
-    went = went.select(*names, PART, F.pmod(F.xxhash64(table.key), F.lit(table.buckets)).cast("int").alias(BUCKET), F.lit(-1).alias(SIGN))
-    came = came.where(~F.col(OP).eqNullSafe("D")).select(*names, PART, BUCKET, F.lit(1).alias(SIGN))
-    write_parquet(went.unionByName(came), f"{table.root}/changes/batch_id={batch_id}")
+    bucket = F.pmod(F.xxhash64(table.key), F.lit(table.buckets)).cast("int").alias(BUCKET)
+    write_parquet(batch.select(*names, OP, F.coalesce(F.expr(table.part).cast("string"), F.lit(NO_PART)).alias(PART), bucket),
+                  f"{table.root}/{table.logged(batch_id, 1)}")
+    went = table.rows(spark).select(*names, PART, bucket)
+    if path_exists(spark, f"{table.root}/places"):  # else the table has no rows yet
+        came = spark.read.parquet(f"{table.root}/{table.logged(batch_id, 1)}")
+        known = table.places(spark).where(F.col(BUCKET).isin(_values(came, BUCKET)))
+        parts = _values(_of_keys(known, came, table.key, "left_semi"), PART)
+        went = _of_keys(went.where(F.col(PART).isin(parts)), came, table.key, "left_semi")
+    write_parquet(went, f"{table.root}/{table.logged(batch_id, -1)}")
 
 
 def _replace(there: DataFrame, changes: DataFrame, path: str, column: str, key: str) -> None:
@@ -83,19 +91,22 @@ def _replace(there: DataFrame, changes: DataFrame, path: str, column: str, key:
     gains = {r[0]: r[1] for r in changes.groupBy(column).agg(F.max(SIGN)).collect()}  # a row a folder
     if not gains:
         return
+    spark, came = changes.sparkSession, changes.where(F.col(SIGN) > 0).select(*there.columns)
+    if not path_exists(spark, path):
+        write_parquet(came, path, partition_by=[column], dynamic=True)
+        return
     kept = _of_keys(there.where(F.col(column).isin(list(gains))), changes, key, "left_anti")
     only_lost = [v for v, sign in gains.items() if sign < 0]
     gone = set(only_lost) - set(_values(kept.where(F.col(column).isin(only_lost)), column)) if only_lost else ()
-    came = changes.where(F.col(SIGN) > 0).select(*there.columns)
     write_parquet(kept.unionByName(came), path, partition_by=[column], dynamic=True)
-    drop_parts(changes.sparkSession, path, column, gone)
+    drop_parts(spark, path, column, gone)
 
 
 def merge_batch(table: Merged, batch: DataFrame, batch_id: int) -> None:
     """Apply a batch of one row a key, with its ``op``: a delete takes the key's row away, any other op puts
     the batch's row in its place.  Batches are applied in the order of their ids; the last may be applied again."""
     spark = batch.sparkSession
-    if not path_exists(spark, f"{table.root}/changes/batch_id={batch_id}/_SUCCESS"):
+    if not path_exists(spark, f"{table.root}/{table.logged(batch_id, -1)}/_SUCCESS"):  # written last
         _log_changes(table, batch, batch_id)
     changes = table.changes(spark, batch_id)
     _replace(table.rows(spark), changes, f"{table.root}/rows", PART, table.key)

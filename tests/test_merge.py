@@ -122,3 +122,14 @@ def test_only_touched_parts_are_read_and_written(spark):
     plan = orders.rows(spark).where(F.col("part").isin(merge._values(orders.changes(spark, 1), "part")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [part" in text and "2024-02" in text and "2024-03" in text and "2024-01" not in text
+
+
+def test_a_batch_is_written_once_to_the_log(spark):
+    orders = gv.merged_orders(scratch_path(spark, "t_once"), buckets=2)
+    at = dt.datetime(2024, 1, 1)
+    merge.merge_batch(orders, _batch(spark, [_order(f"o{i}", i, "p", 1, 1.0, at) for i in range(10)]), 0)
+    below = spark.read.schema("order_id string").option("recursiveFileLookup", "true").parquet(orders.root)
+    assert below.count() == 30  # log, rows and places
+    merge.merge_batch(orders, _batch(spark, [_order("o1", 1, "p", 1, 1.0, at, "D"), _order("x", 1, "p", 1, 1.0, at, "D")]), 1)
+    logged = orders.changes(spark, 1).select("order_id", "_sign").collect()
+    assert [tuple(r) for r in logged] == [("o1", -1)]  # a delete is no row that came
