@@ -173,7 +173,7 @@ def refresh_view(view: View, table: Merged, spark: SparkSession, batch_id: int)
     for n in view.highs:
         stale = stale | F.coalesce(F.col(f"_lost_{n}") >= F.col(n), F.lit(False))
     now = now.withColumn("_stale", stale & (F.col(LIVE) > 0)).withColumn(AS_OF, F.lit(batch_id).cast("bigint"))
-    if view.highs:
+    if view.highs and not changes.where(~came).isEmpty():
         written = f"{table.root}/staged_{view.name}"
         write_parquet(now, written)
         now = spark.read.parquet(written)
@@ -194,8 +194,8 @@ def _retaken(view: View, table: Merged, now: DataFrame, spark: SparkSession) ->
     rows = table.rows(spark).where(F.col(PART).isin(parts)).select(*_typed(view.keys), *_typed(view.highs), PART)
     anew = rows.join(wanted, same, "left_semi").groupBy(*cell).agg(*[F.max(n).alias(n) for n in view.highs])
     anew = anew.select(*[F.col(c).alias(f"_of_{c}") for c in cell], *[F.col(n).alias(f"_new_{n}") for n in view.highs])
-    return now.join(anew, same, "left").select(
-        *[F.when(F.col("_stale"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in view.highs else F.col(c) for c in now.columns])
+    retaken = stale.join(anew, same, "left").select(*[F.col(f"_new_{c}").alias(c) if c in view.highs else F.col(c) for c in now.columns])
+    return now.where("NOT _stale").unionByName(retaken)
 
 
 def run_merge(spark: SparkSession, stream: DataFrame, table: Merged, checkpoint: str,

@@ -133,3 +133,15 @@ def test_a_batch_is_written_once_to_the_log(spark):
     merge.merge_batch(orders, _batch(spark, [_order("o1", 1, "p", 1, 1.0, at, "D"), _order("x", 1, "p", 1, 1.0, at, "D")]), 1)
     logged = orders.changes(spark, 1).select("order_id", "_sign").collect()
     assert [tuple(r) for r in logged] == [("o1", -1)]  # a delete is no row that came
+
+
+def test_a_batch_from_which_nothing_goes_writes_its_view_once(spark):
+    orders = gv.merged_orders(scratch_path(spark, "t_gains"))
+    days = [dt.datetime(2024, 1, d) for d in (1, 2)]
+    for n, at in enumerate(days):
+        _apply(spark, orders, [_order(f"o{n}", 1, "p", 1, 1.0, at)], n)
+    staged = f"{orders.root}/staged_{gv.CUSTOMERS.name}"
+    assert not merge.path_exists(spark, staged)
+    _apply(spark, orders, [_order("o1", 1, "p", 1, 1.0, days[1], "D")], 2)
+    assert merge.path_exists(spark, staged)
+    assert [r["_last"] for r in gv.CUSTOMERS.read(spark, orders).collect()] == [days[0]]
